@@ -131,38 +131,73 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class DriverRaw:
-    """Raw filing-shaped relations derived from the driver tables of one scale."""
+    """Raw filing-shaped relations derived from the driver tables of one scale.
+
+    ``land=True`` (default) writes the derived raw tables once per application
+    under the shared checkpoint folder, as the landing job would: ``sub`` and
+    ``num`` bucketed and sorted by ``adsh`` into the same number of buckets, so
+    the one big join (facts x filings on adsh) and every aggregate keyed by
+    adsh run without a shuffle.  ``land=False`` keeps them as lazy plans over
+    the driver tables.
+    """
+
+    _landed: dict = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True, buckets: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.land = land
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         self._sql = adapter_sql("spark")
         self._cache: dict[str, DataFrame] = {}
 
     def _t(self, name):
         return read_driver(self.spark, self.sf_dir, name)
 
-    def _run(self, key, **tables):
-        if key not in self._cache:
-            self._cache[key] = self.spark.sql(self._sql[key], **tables)
-        return self._cache[key]
+    def _plan(self, key) -> DataFrame:
+        if key == "raw_sub":
+            return self.spark.sql(self._sql[key], orders=self._t("orders"), customer=self._t("customer"))
+        if key == "raw_num":
+            return self.spark.sql(self._sql[key], lineitem=self._t("lineitem"), orders=self._t("orders"))
+        if key == "raw_tag":
+            return self.spark.sql(self._sql[key], raw_num=self._get("raw_num"))
+        return self.spark.sql(self._sql[key], customer=self._t("customer"))
+
+    def _get(self, key) -> DataFrame:
+        if key in self._cache:
+            return self._cache[key]
+        if not self.land:
+            df = self._plan(key)
+        else:
+            from .tables import land_table
+            app = self.spark.sparkContext.applicationId
+            tag = "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir.strip("/"))
+            ident = (app, self.sf_dir, key, self.buckets)
+            name = f"{key}_{tag}_{abs(hash(ident)) % 10**8}"
+            if ident not in DriverRaw._landed:
+                bucket = "adsh" if key in ("raw_sub", "raw_num") else None
+                land_table(self.spark, self._plan(key), name, bucket_col=bucket, buckets=self.buckets)
+                DriverRaw._landed[ident] = name
+            df = self.spark.table(DriverRaw._landed[ident])
+        self._cache[key] = df
+        return df
 
     @property
     def sub(self) -> DataFrame:
-        return self._run("raw_sub", orders=self._t("orders"), customer=self._t("customer"))
+        return self._get("raw_sub")
 
     @property
     def num(self) -> DataFrame:
-        return self._run("raw_num", lineitem=self._t("lineitem"), orders=self._t("orders"))
+        return self._get("raw_num")
 
     @property
     def tag(self) -> DataFrame:
-        return self._run("raw_tag", raw_num=self.num)
+        return self._get("raw_tag")
 
     @property
     def esg_risk_factors(self) -> DataFrame:
-        return self._run("esg_risk_factors", customer=self._t("customer"))
+        return self._get("esg_risk_factors")
 
     @property
     def isin_cik(self) -> DataFrame:
-        return self._run("isin_cik", customer=self._t("customer"))
+        return self._get("isin_cik")
