@@ -130,6 +130,12 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def choose_buckets(spark: SparkSession, source_bytes: int, bytes_per_bucket: int = 256 << 20) -> int:
+    """Enough buckets for every core, and for ~256 MB of source per bucket."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, -(-source_bytes // bytes_per_bucket))
+
+
 class DriverRaw:
     """Raw filing-shaped relations derived from the driver tables of one scale.
 
@@ -147,13 +153,18 @@ class DriverRaw:
         self.spark = spark
         self.sf_dir = sf_dir
         self.land = land
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        self.buckets = buckets or choose_buckets(spark, self._source_bytes())
         self._sql = adapter_sql("spark")
         self._cache: dict[str, DataFrame] = {}
 
     def _t(self, name):
         return read_driver(self.spark, self.sf_dir, name)
 
+    def _source_bytes(self) -> int:
+        jp = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir.rstrip('/')}/lineitem.parquet")
+        fs = jp.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(jp).getLength()) if fs.exists(jp) else 0
+
     def _plan(self, key) -> DataFrame:
         if key == "raw_sub":
             return self.spark.sql(self._sql[key], orders=self._t("orders"), customer=self._t("customer"))
