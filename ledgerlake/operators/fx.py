@@ -34,9 +34,21 @@ def fx_quotes(facts: DataFrame) -> DataFrame:
                     rate_to_usd(c1, F.col("value")).alias("rate_to_usd")))
 
 
+RATE_SCALE = 1e12  # fixed-point unit of the rate average: 1e-12 USD per unit of base
+
+
+def fixed_point_mean(rate) -> F.Column:
+    """Mean of USD-per-unit rates accumulated in fixed point (1e-12 units, exact
+    decimal sum): the result does not depend on partitioning or summation
+    order, so reruns and other engines give bit-identical rates."""
+    units = F.floor((rate * F.lit(RATE_SCALE)).cast("decimal(38,4)"))
+    return F.sum(units).cast("double") / F.count(units) / F.lit(RATE_SCALE)
+
+
 def fx_rates(facts: DataFrame) -> DataFrame:
     """(kind, base, ddate) -> to_usd = mean rate, from_usd = 1 / to_usd."""
-    agg = fx_quotes(facts).groupBy("kind", "base", "ddate").agg(F.avg("rate_to_usd").alias("to_usd"))
+    agg = fx_quotes(facts).groupBy("kind", "base", "ddate") \
+                          .agg(fixed_point_mean(F.col("rate_to_usd")).alias("to_usd"))
     return agg.withColumn("from_usd", F.try_divide(F.lit(1.0), F.col("to_usd")))
 
 

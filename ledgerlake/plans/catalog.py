@@ -24,9 +24,14 @@ METRIC_IDS = {"assets": (1, 9), "cash": (3, 10), "debt": (5, 11), "float": (7, 1
               "revenue": (9, 13), "income": (11, 14)}
 
 
+SIG_PATTERN = "0.00000000000E0"  # 12 significant digits
+
+
 def sig(c) -> F.Column:
+    """12 significant digits, rounded half-even on the exact binary value
+    (DecimalFormat), which is what C's ``%.11e`` does on the oracle side."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isNotNull(), F.format_string("%.11e", c).cast("double"))
+    return F.when(c.isNotNull(), F.call_function("format_number", c, F.lit(SIG_PATTERN)).cast("double"))
 
 
 def with_sig(df: DataFrame, doubles) -> DataFrame:

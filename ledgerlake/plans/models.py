@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.tags import METRICS, all_fact_tags
 from ..operators import convert, exposure, floats, fx, kpis, marts, metrics, staging
+from ..session import checkpoint_dir
 from ..sources.adapter import ESG_SIGNALS, DriverRaw
 
 
@@ -120,4 +121,9 @@ class FilingModels:
                                              signal=signal)
 
     def kpis(self, dedupe: bool = True) -> DataFrame:
-        return kpis.all_kpis(self.financials(dedupe=dedupe), self.stg_esg)
+        """KPIs read the financials mart twice (rows and industry means), so the
+        mart is checkpointed to the shared checkpoint folder first: the marts
+        are tables in the source too, and the lineage is cut there."""
+        checkpoint_dir(self.spark)
+        fin = self.financials(dedupe=dedupe).checkpoint(eager=True)
+        return kpis.all_kpis(fin, self.stg_esg)
