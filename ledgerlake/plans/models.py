@@ -88,11 +88,21 @@ class FilingModels:
         return self._keep(convert.converted_tables(self.metric_values, self.fx_rates,
                                                    max_broadcast_rows=self.max_broadcast_rows))
 
+    @cached_property
+    def converted_table(self) -> DataFrame:
+        """``converted`` written once to the shared checkpoint folder.  The
+        source materialises its six ``t_*`` models as tables for the same
+        reason: the financials mart reads all six, and each read of the lazy
+        plan would scan and aggregate the facts again (the metric filter is
+        pushed into each read, so the reads share no exchange)."""
+        checkpoint_dir(self.spark)
+        return self.converted.checkpoint(eager=True)
+
     def t(self, name: str) -> DataFrame:
         return convert.t_table(self.converted, name)
 
     def t_tables(self) -> dict:
-        return {n: self.t(n) for n in METRICS}
+        return {n: convert.t_table(self.converted_table, n) for n in METRICS}
 
     # ------------------------------------------------------------------ marts
     @cached_property

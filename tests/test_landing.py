@@ -77,3 +77,30 @@ def test_missing_dir_and_empty_dir(spark):
         landing.land_archives(spark, "/nonexistent/dir/xyz", _root())
     with pytest.raises(FileNotFoundError):
         landing.land_archives(spark, _root(), _root())
+
+
+def test_incremental_landing_only_new_archives(spark):
+    from ledgerlake.streaming import start_incremental_landing
+    zips = _root()
+    out = os.path.join(_root(), "raw")
+    ckpt = os.path.join(_root(), "stream")
+    make_zip(zips, "2022q1.zip", {"sub.txt": "adsh\tcik\nA1\t1\nA2\t2\n"})
+    start_incremental_landing(spark, zips, out, ckpt).awaitTermination()
+    assert landing.read_landed(spark, out, "sub").count() == 2
+    make_zip(zips, "2022q2.zip", {"sub.txt": "adsh\tcik\nB1\t3\n", "num.txt": "adsh\ttag\nB1\tAssets\n"})
+    start_incremental_landing(spark, zips, out, ckpt).awaitTermination()
+    sub = landing.read_landed(spark, out, "sub")
+    assert sub.count() == 3 and sorted(r.srcdir for r in sub.select("srcdir").distinct().collect()) == ["2022q1", "2022q2"]
+    assert landing.read_landed(spark, out, "num").count() == 1
+
+
+def test_register_view_rules(spark):
+    from ledgerlake.plans import views
+    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("base_kpi_src")
+    df = views.register_view(spark, "my_kpi_view", "select x * 2 as y from base_kpi_src")
+    assert spark.table("my_kpi_view").first().y == 2 and df.count() == 1
+    for name, sql in [("BadName", "select 1"), ("a" * 50, "select 1"), ("ok_name", "select 1;"),
+                      ("ok_name", "delete from t"), ("ok_name", "select * from db.t"),
+                      ("ok_name", "select 1; select 2")]:
+        with pytest.raises(views.ViewRuleError):
+            views.register_view(spark, name, sql)
