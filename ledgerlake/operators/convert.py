@@ -73,13 +73,20 @@ def attach_rate(rows: DataFrame, rates: DataFrame, only=None,
 
 
 def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
-                     max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                     max_broadcast_rows: int = 2_000_000, uom_mode: str = "pair") -> DataFrame:
     """All six ``t_*`` tables in one frame:
     metric, adsh, cik, name, sic, fy, ddate, amount_usd.
 
     One exchange: the top-1 window on (metric, side, cik, fy); the rate join is
     map-side (broadcast) and the fold-back aggregate reuses the window's
-    partitioning."""
+    partitioning.
+
+    ``uom_mode='pair'`` is the source's behaviour: only a currency pair
+    (``EURUSD``, ``USD/JPY``) names a base currency, so single codes never
+    convert.  ``'pair_or_single'`` also reads a bare three-letter unit
+    (``EUR``) as its own base currency."""
+    if uom_mode not in ("pair", "pair_or_single"):
+        raise ValueError(f"unknown uom_mode {uom_mode}")
     specs = specs or list(METRICS.values())
     names = [s.name for s in specs]
     drop_metrics = [s.name for s in specs if s.no_match == "drop"]
@@ -90,12 +97,13 @@ def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
                  .filter(F.col("side").isNotNull())
     best = rank_latest(rows, keys=("metric", "side", "cik", "fy"))
     is_xyz = F.col("side") == F.lit("xyz")
+    single = u.rlike(r"^[A-Z]{3}$") if uom_mode == "pair_or_single" else F.lit(False)
     if drop_metrics:
         # the unit is parsed after the top-1 pick: a dropped best row is not replaced
-        best = best.filter(~(is_xyz & F.col("metric").isin(*drop_metrics) & ~has_pair(u)))
+        best = best.filter(~(is_xyz & F.col("metric").isin(*drop_metrics) & ~(has_pair(u) | single)))
     c1, c2 = parse_pair(u)
-    best = best.select("metric", "side", *OUT_COLS, "value",
-                       F.when(is_xyz, base_currency(c1, c2)).alias("base"))
+    base = F.when(single, u).otherwise(base_currency(c1, c2))
+    best = best.select("metric", "side", *OUT_COLS, "value", F.when(is_xyz, base).alias("base"))
     rated = attach_rate(best, rates, only=is_xyz, max_broadcast_rows=max_broadcast_rows)
     amount = F.when(is_xyz, F.col("rate") * F.col("value").cast("double")) \
               .otherwise(F.col("value").cast("double"))

@@ -22,21 +22,26 @@ def asset_weighted_exposure(esg: DataFrame, assets_usd: DataFrame, signal: str =
                             out_industry: str = "industry_code",
                             out_value: str = "asset_weighted_physical_climate_change_exposure",
                             require_positive_assets: bool = True,
-                            drop_null_signal: bool = True) -> DataFrame:
+                            drop_null_signal: bool = True, match_year: bool = False) -> DataFrame:
     """Weighted mean of ``signal`` per industry; ``drop_null_signal=False`` keeps
     rows with a NULL signal in the weight (their products are NULL and skipped
-    by the numerator sum), which is what the side-project query does."""
+    by the numerator sum), which is what the side-project query does.
+    ``match_year=True`` pairs an ESG year only with asset rows of the same
+    fiscal year (the source pairs every year with every asset row)."""
     e = esg.filter(F.col(signal).isNotNull()) if drop_null_signal else esg
     if year is not None:
         e = e.filter(F.col("year") == F.lit(year))
-    e = (e.select(F.col(esg_key).try_cast("bigint").alias("cik"), F.col(signal).alias("x"))
-          .groupBy("cik").agg(F.sum("x").alias("sum_x"), F.count(F.lit(1)).alias("n_e")))
+    keys = ["cik", "_year"] if match_year else ["cik"]
+    e_year = [F.col("year").alias("_year")] if match_year else []
+    a_year = [F.year("fy").alias("_year")] if match_year else []
+    e = (e.select(F.col(esg_key).try_cast("bigint").alias("cik"), *e_year, F.col(signal).alias("x"))
+          .groupBy(*keys).agg(F.sum("x").alias("sum_x"), F.count(F.lit(1)).alias("n_e")))
     a = assets_usd
     if require_positive_assets:
         a = a.filter(F.col("assets") > F.lit(0))
-    a = (a.select("cik", "sic", F.col("assets").cast("double").alias("a"))
-          .groupBy("cik", "sic").agg(F.sum("a").alias("sum_a")))
-    pairs = e.join(a, "cik", "inner")
+    a = (a.select("cik", "sic", *a_year, F.col("assets").cast("double").alias("a"))
+          .groupBy(*keys, "sic").agg(F.sum("a").alias("sum_a")))
+    pairs = e.join(a, keys, "inner")
     num = F.sum(F.col("sum_x") * F.col("sum_a"))
     den = F.sum(F.col("n_e") * F.col("sum_a"))
     aggs = [F.try_divide(num, den).alias(out_value)]

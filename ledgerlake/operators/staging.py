@@ -101,3 +101,40 @@ def stg_esg(esg: DataFrame, isin_cik: DataFrame, signals) -> DataFrame:
 def annual_filings(stg_sub_df: DataFrame) -> DataFrame:
     """Annual forms from fiscal 2014 on."""
     return stg_sub_df.filter(F.col("form").isin(*ANNUAL_FORMS) & (F.col("fy") >= F.lit(ANNUAL_FROM)))
+
+
+def _reject(raw_col: str, parsed) -> F.Column:
+    """Non-blank text that did not parse."""
+    return F.when((F.coalesce(F.col(raw_col), F.lit("")) != F.lit("")) & parsed.isNull(), F.lit(raw_col))
+
+
+def sub_rejects(sub: DataFrame) -> DataFrame:
+    """Submission rows whose non-blank cik/sic/ein/period/fy/filed text does not
+    parse, with the offending columns (staging reads them as NULL)."""
+    checks = [_reject("cik", F.col("cik").try_cast("bigint")),
+              _reject("sic", F.col("sic").try_cast("int")),
+              _reject("ein", F.col("ein").try_cast("bigint")),
+              _reject("period", yyyymmdd("period")), _reject("fy", yyyy("fy")),
+              _reject("filed", yyyymmdd("filed"))]
+    bad = F.array_compact(F.array(*checks))
+    return sub.withColumn("rejected_columns", bad).filter(F.size("rejected_columns") > 0)
+
+
+def num_rejects(num: DataFrame) -> DataFrame:
+    """Fact rows whose non-blank ddate/qtrs/value text does not parse."""
+    checks = [_reject("ddate", yyyymmdd(fix_ddate("ddate"))),
+              _reject("qtrs", F.col("qtrs").try_cast("int")),
+              _reject("value", F.col("value").try_cast("decimal(28,4)"))]
+    bad = F.array_compact(F.array(*checks))
+    return num.withColumn("rejected_columns", bad).filter(F.size("rejected_columns") > 0)
+
+
+class RejectedRowsError(ValueError):
+    pass
+
+
+def assert_clean(rejects: DataFrame, table: str) -> None:
+    """Strict mode: fail on the first row that does not parse."""
+    row = rejects.select("rejected_columns").first()
+    if row is not None:
+        raise RejectedRowsError(f"{table}: values do not parse in columns {row['rejected_columns']}")

@@ -23,12 +23,19 @@ from ..sources.adapter import ESG_SIGNALS, DriverRaw
 
 class FilingModels:
     def __init__(self, spark: SparkSession, raw, materialize: bool = False,
-                 max_broadcast_rows: int = 2_000_000, truthy=("true",)):
+                 max_broadcast_rows: int = 2_000_000, truthy=("true",), uom_mode: str = "pair",
+                 strict: bool = False):
+        """``truthy``: spellings read as true for the boolean flags (the source
+        tests ``= 'true'`` only); ``uom_mode``: see ``convert.converted_tables``;
+        ``strict``: fail when a non-blank raw value does not parse (the source's
+        casts raise) instead of reading it as NULL."""
         self.spark = spark
         self.raw = raw
         self.materialize = materialize
         self.max_broadcast_rows = max_broadcast_rows
         self.truthy = truthy
+        self.uom_mode = uom_mode
+        self.strict = strict
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "FilingModels":
@@ -40,8 +47,18 @@ class FilingModels:
     # ---------------------------------------------------------------- staging
     @cached_property
     def stg_sub(self) -> DataFrame:
+        if self.strict:
+            staging.assert_clean(self.rejects_sub, "sub")
         return staging.stg_sub(self.raw.sub, self.truthy)
 
+    @property
+    def rejects_sub(self) -> DataFrame:
+        return staging.sub_rejects(self.raw.sub)
+
+    @property
+    def rejects_num(self) -> DataFrame:
+        return staging.num_rejects(self.raw.num)
+
     @cached_property
     def stg_num(self) -> DataFrame:
         """All facts of FY filings, as the source's staging view."""
@@ -51,6 +68,8 @@ class FilingModels:
     def facts(self) -> DataFrame:
         """Facts of the ~50 tags any model reads, joined once to FY filing attributes.
         The tag filter runs before the exchange, so only those facts are shuffled."""
+        if self.strict:
+            staging.assert_clean(self.rejects_num, "num")
         return self._keep(staging.stg_num(self.raw.num, self.stg_sub, tags=all_fact_tags(),
                                           with_filing=True))
 
@@ -86,7 +105,8 @@ class FilingModels:
     @cached_property
     def converted(self) -> DataFrame:
         return self._keep(convert.converted_tables(self.metric_values, self.fx_rates,
-                                                   max_broadcast_rows=self.max_broadcast_rows))
+                                                   max_broadcast_rows=self.max_broadcast_rows,
+                                                   uom_mode=self.uom_mode))
 
     @cached_property
     def converted_table(self) -> DataFrame:
@@ -121,9 +141,9 @@ class FilingModels:
         return marts.financials(self.t_tables(), self.stg_sub, dedupe=dedupe)
 
     # ------------------------------------------------------- exposure & KPIs
-    def exposure(self, signal: str = "ph_expo_ew") -> DataFrame:
+    def exposure(self, signal: str = "ph_expo_ew", match_year: bool = False) -> DataFrame:
         return exposure.asset_weighted_exposure(self.stg_esg, self.metric_view("assets", "usd"),
-                                                signal=signal)
+                                                signal=signal, match_year=match_year)
 
     def exposure_by_industry(self, year: int = 2024, signal: str = "cc_expo_ew") -> DataFrame:
         return exposure.exposure_by_industry(self.raw.esg_risk_factors,

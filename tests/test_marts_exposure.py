@@ -120,3 +120,33 @@ def test_daily_totals(spark):
              .withColumn("ts", F.to_timestamp("ts"))
     out = {str(r.order_date): r.total_amount for r in exposure.daily_totals(o, "ts", "amount").collect()}
     assert out == {"2020-01-01": 3.5, "2020-01-02": 4.0}
+
+
+def test_exposure_match_year_option(spark):
+    import datetime as dt
+    e = spark.createDataFrame([(1, 0.1, 2019), (1, 0.3, 2020)], "cik long, ph_expo_ew double, year int")
+    a = spark.createDataFrame([(1, 10, 100.0, dt.date(2019, 1, 1)), (1, 10, 300.0, dt.date(2020, 1, 1))],
+                              "cik long, sic int, assets double, fy date")
+    r = exposure.asset_weighted_exposure(e, a, match_year=True).first()
+    assert r.asset_weighted_physical_climate_change_exposure == pytest.approx((0.1 * 100 + 0.3 * 300) / 400)
+
+
+def test_uom_mode_pair_or_single(spark, raw_fixture):
+    subs = [sub_row("X2", cik="3"), sub_row("R", cik="9")]
+    nums = [num_row("X2", "Assets", "20201231", "70", uom="EUR"),
+            num_row("R", "ClosingForeignExchangeRate", "20201231", "2", uom="EURUSD")]
+    raw = raw_fixture(subs, nums)
+    assert FilingModels(spark, raw).t("assets").count() == 0
+    out = FilingModels(spark, raw, uom_mode="pair_or_single").t("assets").collect()
+    assert len(out) == 1 and out[0].assets_usd == 140.0
+
+
+def test_rejects_and_strict(spark, raw_fixture):
+    from ledgerlake.operators.staging import RejectedRowsError
+    subs = [sub_row("A1", cik="x12")]
+    nums = [num_row("A1", "Assets", "2020-12-31", "12,5"), num_row("A1", "Assets", "20201231", "3")]
+    m = FilingModels(spark, raw_fixture(subs, nums))
+    assert [r.rejected_columns for r in m.rejects_num.collect()] == [["ddate", "value"]]
+    assert [r.rejected_columns for r in m.rejects_sub.collect()] == [["cik"]]
+    with pytest.raises(RejectedRowsError):
+        FilingModels(spark, raw_fixture(subs, nums), strict=True).stg_sub
