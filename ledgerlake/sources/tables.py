@@ -14,6 +14,9 @@ def land_table(spark: SparkSession, df: DataFrame, name: str, bucket_col: str |
     sorted on that column, so joins and aggregates keyed by it read co-located
     buckets instead of shuffling."""
     path = scratch_table_path(spark, name)
+    if bucket_col:
+        # one writer task per bucket: N files per table, not tasks x N
+        df = df.repartition(buckets, bucket_col)
     w = df.write.format("parquet").mode("overwrite").option("path", path)
     if partition_by:
         w = w.partitionBy(partition_by)
