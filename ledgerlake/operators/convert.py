@@ -102,7 +102,8 @@ def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
         # the unit is parsed after the top-1 pick: a dropped best row is not replaced
         best = best.filter(~(is_xyz & F.col("metric").isin(*drop_metrics) & ~(has_pair(u) | single)))
     c1, c2 = parse_pair(u)
-    base = F.when(single, u).otherwise(base_currency(c1, c2))
+    best = best.withColumns({"_c1": c1, "_c2": c2})  # parse once; base reads the parts
+    base = F.when(single, u).otherwise(base_currency(F.col("_c1"), F.col("_c2")))
     best = best.select("metric", "side", *OUT_COLS, "value", F.when(is_xyz, base).alias("base"))
     rated = attach_rate(best, rates, only=is_xyz, max_broadcast_rows=max_broadcast_rows)
     amount = F.when(is_xyz, F.col("rate") * F.col("value").cast("double")) \

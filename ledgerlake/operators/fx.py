@@ -30,8 +30,9 @@ def fx_quotes(facts: DataFrame) -> DataFrame:
     return (facts.filter(F.col("tag").isin(*(FX_CLOSING_TAGS + FX_AVERAGE_TAGS)))
             .withColumn("kind", kind)
             .filter(F.col("kind").isNotNull() & cond)
-            .select("kind", base_currency(c1, c2).alias("base"), "ddate",
-                    rate_to_usd(c1, F.col("value")).alias("rate_to_usd")))
+            .withColumns({"_c1": c1, "_c2": c2})
+            .select("kind", base_currency("_c1", "_c2").alias("base"), "ddate",
+                    rate_to_usd("_c1", F.col("value")).alias("rate_to_usd")))
 
 
 RATE_SCALE = 1e12  # fixed-point unit of the rate average: 1e-12 USD per unit of base
