@@ -152,8 +152,7 @@ class FilingModels:
 
     def kpis(self, dedupe: bool = True) -> DataFrame:
         """KPIs read the financials mart twice (rows and industry means), so the
-        mart is checkpointed to the shared checkpoint folder first: the marts
-        are tables in the source too, and the lineage is cut there."""
-        checkpoint_dir(self.spark)
-        fin = self.financials(dedupe=dedupe).checkpoint(eager=True)
+        mart is persisted first; its lineage is already cut at the checkpointed
+        ``t_*`` tables, so a lost block is rebuilt from there, not from ``num``."""
+        fin = self.financials(dedupe=dedupe).persist(StorageLevel.MEMORY_AND_DISK)
         return kpis.all_kpis(fin, self.stg_esg)

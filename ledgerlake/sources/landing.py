@@ -108,7 +108,7 @@ def _decode_archives(batches, batch_lines: int, members):
                         buf_no, buf_line = [], []
                         for i, line in enumerate(text):
                             if i == 0:
-                                line = line.lstrip("﻿")
+                                line = line.lstrip("\ufeff")
                             buf_no.append(i)
                             buf_line.append(line)
                             if len(buf_line) >= batch_lines:
@@ -127,6 +127,38 @@ def archive_lines(archives: DataFrame, batch_lines: int = 50_000, members=MEMBER
         lambda it: _decode_archives(it, batch_lines, members), LINE_SCHEMA)
 
 
+HEADER_SCHEMA = T.StructType([
+    T.StructField("srcdir", T.StringType()),
+    T.StructField("table", T.StringType()),
+    T.StructField("header_line", T.StringType()),
+])
+
+
+def _read_headers(batches, members):
+    for pdf in batches:
+        rows = []
+        for content, srcdir in zip(pdf["content"], pdf["srcdir"]):
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                names = set(z.namelist())
+                for member in members:
+                    if member not in names:
+                        continue
+                    with z.open(member) as fh:
+                        text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
+                        first = text.readline()
+                    if first:
+                        rows.append((srcdir, member.split(".")[0], first.lstrip("\ufeff")))
+        yield pd.DataFrame(rows, columns=["srcdir", "table", "header_line"])
+
+
+def archive_headers(archives: DataFrame, members=MEMBERS) -> DataFrame:
+    """(srcdir, table, header array): only the first line of each member is
+    decompressed.  An empty member has no header and loads nothing."""
+    return (archives.select("content", "srcdir")
+            .mapInPandas(lambda it: _read_headers(it, members), HEADER_SCHEMA)
+            .select("srcdir", "table", split_fields(clean_line("header_line")).alias("header")))
+
+
 def archive_members(archives: DataFrame) -> DataFrame:
     """(srcdir, member) listing; used to warn about missing members."""
     schema = T.StructType([T.StructField("srcdir", T.StringType()), T.StructField("member", T.StringType())])
@@ -206,19 +238,16 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
             if m not in ms:
                 log.warning("%s not found in archive %s", m, src)
 
-    lines = archive_lines(archives, batch_lines)
-    headers = headers_of(lines).persist()
+    headers = archive_headers(archives).persist()
     written = {}
     for member in MEMBERS:
         table = member.split(".")[0]
         path = f"{out_root.rstrip('/')}/{table}"
-        t_lines, t_headers = lines, headers.filter(F.col("table") == F.lit(table))
-        if mode == "skip":
-            done = landed_srcdirs(spark, path)
-            if done:
-                t_lines = t_lines.filter(~F.col("srcdir").isin(*done))
-                t_headers = t_headers.filter(~F.col("srcdir").isin(*done))
-        hdr_rows = t_headers.select("header").collect()  # one row per archive member
+        t_headers = headers.filter(F.col("table") == F.lit(table))
+        done = landed_srcdirs(spark, path) if mode == "skip" else set()
+        if done:
+            t_headers = t_headers.filter(~F.col("srcdir").isin(*done))
+        hdr_rows = t_headers.select("srcdir", "header").collect()  # one row per archive member
         if not hdr_rows:
             written[table] = []
             continue
@@ -227,6 +256,9 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
             for c in r["header"]:
                 if c != "srcdir" and c not in columns:
                     columns.append(c)
+        todo = archives.filter(F.col("srcdir").isin(*{r["srcdir"] for r in hdr_rows}))
+        # one pass per table that decompresses only that member
+        t_lines = archive_lines(todo, batch_lines, members=(member,))
         rows = rows_for_table(t_lines, t_headers, table, columns)
         writer = rows.write.partitionBy("srcdir").option("mergeSchema", "true")
         if mode == "replace":
@@ -234,7 +266,7 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
         else:
             writer = writer.mode("append")
         writer.parquet(path)
-        written[table] = sorted({r["srcdir"] for r in t_headers.select("srcdir").collect()})
+        written[table] = sorted({r["srcdir"] for r in hdr_rows})
     headers.unpersist()
     return written
 

@@ -33,8 +33,7 @@ def _land_batch(out_root: str, batch_lines: int):
         if not batch.take(1):
             return
         archives = batch.select("content", landing.srcdir_of("path").alias("srcdir"))
-        lines = landing.archive_lines(archives, batch_lines)
-        headers = landing.headers_of(lines).persist()
+        headers = landing.archive_headers(archives).persist()
         try:
             for member in landing.MEMBERS:
                 table = member.split(".")[0]
@@ -47,6 +46,7 @@ def _land_batch(out_root: str, batch_lines: int):
                     for c in r["header"]:
                         if c != "srcdir" and c not in columns:
                             columns.append(c)
+                lines = landing.archive_lines(archives, batch_lines, members=(member,))
                 out = landing.rows_for_table(lines, hdrs, table, columns)
                 (out.write.partitionBy("srcdir").mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
