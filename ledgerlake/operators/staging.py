@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import blank_to_null, fix_ddate, to_bool, yyyy, yyyymmdd
 from ..functions.tags import ANNUAL_FORMS, ANNUAL_FROM
+from ..plans.sizing import broadcast_if_small
 
 
 def stg_sub(sub: DataFrame, truthy=("true",)) -> DataFrame:
@@ -55,16 +56,30 @@ def fy_filings(stg_sub_df: DataFrame) -> DataFrame:
         "adsh", "fy", "fp", "cik", "name", "sic", "form")
 
 
-def stg_num(num: DataFrame, stg_sub_df: DataFrame, tags=None, with_filing: bool = False) -> DataFrame:
+FILINGS_BROADCAST_ROWS = 5_000_000  # ~0.5 GB of filing attributes
+
+
+def stg_num(num: DataFrame, stg_sub_df: DataFrame, tags=None, with_filing: bool = False,
+            max_broadcast_rows: int | None = FILINGS_BROADCAST_ROWS) -> DataFrame:
     """Facts of FY filings (the source's left join + ``fp = 'FY'`` is an inner join).
 
     ``with_filing`` keeps cik/name/sic/form of the filing on every fact, so that the
     metric, FX and float consumers need no second join on ``adsh``.
+
+    Filings are one row per submission, far fewer than facts.  When their count
+    is under ``max_broadcast_rows`` they are broadcast and the facts are read in
+    their natural splits: a filing that holds a third of all facts is spread
+    over as many tasks as its files.  Above the limit the join is a shuffle
+    sort-merge join, and AQE splits a hot adsh partition (the session sets
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin`` so the split is allowed even
+    though the aggregate after it then needs its own exchange).
     """
     facts = typed_num(num, tags)
     right = fy_filings(stg_sub_df)
     if not with_filing:
         right = right.select("adsh", "fy", "fp")
+    if max_broadcast_rows:
+        right = broadcast_if_small(right, max_broadcast_rows)
     return facts.join(right, "adsh", "inner")
 
 

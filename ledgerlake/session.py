@@ -15,6 +15,11 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even when the operator after the join then needs
+    # its own exchange (the facts join is followed by an aggregate on adsh)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # size coalesced shuffle partitions by bytes, not by maximum parallelism
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

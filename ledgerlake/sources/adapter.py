@@ -140,11 +140,14 @@ class DriverRaw:
     """Raw filing-shaped relations derived from the driver tables of one scale.
 
     ``land=True`` (default) writes the derived raw tables once per application
-    under the shared checkpoint folder, as the landing job would: ``sub`` and
-    ``num`` bucketed and sorted by ``adsh`` into the same number of buckets, so
-    the one big join (facts x filings on adsh) and every aggregate keyed by
-    adsh run without a shuffle.  ``land=False`` keeps them as lazy plans over
-    the driver tables.
+    under the shared checkpoint folder, as the landing job would, as plain
+    Parquet.  ``buckets=N`` instead writes ``sub`` and ``num`` bucketed and
+    sorted by ``adsh`` into N buckets: the facts x filings join and every
+    aggregate keyed by adsh then need no shuffle, but a bucket is read by one
+    task, so a filing holding a third of all facts would pin that third to one
+    task.  The default layout keeps the facts splittable and lets the join
+    broadcast the (size-checked) filings or split a hot key at runtime.
+    ``land=False`` keeps the relations as lazy plans over the driver tables.
     """
 
     _landed: dict = {}
@@ -153,7 +156,7 @@ class DriverRaw:
         self.spark = spark
         self.sf_dir = sf_dir
         self.land = land
-        self.buckets = buckets or choose_buckets(spark, self._source_bytes())
+        self.buckets = buckets
         self._sql = adapter_sql("spark")
         self._cache: dict[str, DataFrame] = {}
 
@@ -186,7 +189,7 @@ class DriverRaw:
             ident = (app, self.sf_dir, key, self.buckets)
             name = f"{key}_{tag}_{abs(hash(ident)) % 10**8}"
             if ident not in DriverRaw._landed:
-                bucket = "adsh" if key in ("raw_sub", "raw_num") else None
+                bucket = "adsh" if key in ("raw_sub", "raw_num") and self.buckets else None
                 land_table(self.spark, self._plan(key), name, bucket_col=bucket, buckets=self.buckets)
                 DriverRaw._landed[ident] = name
             df = self.spark.table(DriverRaw._landed[ident])
