@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import METRICS
-from ..operators import exposure, kpis, staging, text_signals
-from ..sources.adapter import ESG_SIGNALS, DriverRaw, read_driver
+from ..operators import exposure, kpis, text_signals
+from ..sources.adapter import DriverRaw, read_driver
 from ..sources import landing
 from .models import FilingModels
 

@@ -141,7 +141,8 @@ class DriverRaw:
 
     ``land=True`` (default) writes the derived raw tables once per application
     under the shared checkpoint folder, as the landing job would, as plain
-    Parquet.  ``buckets=N`` instead writes ``sub`` and ``num`` bucketed and
+    Parquet.  ``buckets=N`` (or ``"auto"``: a bucket per core and per ~256 MB of
+    source) instead writes ``sub`` and ``num`` bucketed and
     sorted by ``adsh`` into N buckets: the facts x filings join and every
     aggregate keyed by adsh then need no shuffle, but a bucket is read by one
     task, so a filing holding a third of all facts would pin that third to one
@@ -152,10 +153,12 @@ class DriverRaw:
 
     _landed: dict = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True, buckets: int | str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.land = land
+        if buckets == "auto":
+            buckets = choose_buckets(spark, self._source_bytes())
         self.buckets = buckets
         self._sql = adapter_sql("spark")
         self._cache: dict[str, DataFrame] = {}

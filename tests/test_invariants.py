@@ -58,3 +58,29 @@ def test_registered_source_names_answer_sql(spark, models):
     names = register_models(models)
     assert {"stg_dera_sub", "assets_usd", "fy_income_fx", "t_r", "financials", "float"} <= set(names)
     assert spark.sql("select count(*) from financials").first()[0] == models.financials().count()
+
+
+def test_bucketed_layout_joins_without_exchange(spark):
+    from ledgerlake.sources.adapter import DriverRaw
+    raw = DriverRaw(spark, SF, buckets=4)
+    m = FilingModels(spark, raw)
+    df = m.metric_values
+    plain = FilingModels.from_driver(spark, SF).metric_values
+    assert df.exceptAll(plain).count() == 0 and plain.exceptAll(df).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from ledgerlake.operators import staging
+        facts = staging.stg_num(raw.num, m.stg_sub, with_filing=True, max_broadcast_rows=None)
+        facts.collect()
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(adsh" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_read_seed(spark, tmp_path):
+    from ledgerlake.sources.seeds import read_seed
+    p = tmp_path / "isin_cik.csv"
+    p.write_text("isin,cik\nUS0000000001,0000000001\n")
+    r = read_seed(spark, str(p), "isin_cik").first()
+    assert r.isin == "US0000000001" and r.cik == "0000000001"

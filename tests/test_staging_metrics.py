@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import num_row, sub_row
 from ledgerlake.functions.tags import METRICS
