@@ -89,7 +89,7 @@ def list_archives(spark: SparkSession, zips_dir: str) -> DataFrame:
         raise FileNotFoundError(f"directory not found: {zips_dir}")
     df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
           .option("recursiveFileLookup", "false").load(zips_dir))
-    if not df.take(1):
+    if not df.select("path").take(1):
         raise FileNotFoundError(f"no .zip files found in: {zips_dir}")
     return df.select("path", "content", srcdir_of("path").alias("srcdir"))
 
@@ -146,17 +146,19 @@ def _read_headers(batches, members):
                     with z.open(member) as fh:
                         text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
                         first = text.readline()
-                    if first:
-                        rows.append((srcdir, member.split(".")[0], first.lstrip("\ufeff")))
+                    # an empty member is present but has no header (and loads nothing)
+                    rows.append((srcdir, member.split(".")[0], first.lstrip("\ufeff") if first else None))
         yield pd.DataFrame(rows, columns=["srcdir", "table", "header_line"])
 
 
 def archive_headers(archives: DataFrame, members=MEMBERS) -> DataFrame:
-    """(srcdir, table, header array): only the first line of each member is
-    decompressed.  An empty member has no header and loads nothing."""
+    """(srcdir, table, header array) per member present; only the first line of
+    each member is decompressed.  An empty member has a NULL header."""
     return (archives.select("content", "srcdir")
             .mapInPandas(lambda it: _read_headers(it, members), HEADER_SCHEMA)
-            .select("srcdir", "table", split_fields(clean_line("header_line")).alias("header")))
+            .select("srcdir", "table",
+                    F.when(F.col("header_line").isNotNull(),
+                           split_fields(clean_line("header_line"))).alias("header")))
 
 
 def archive_members(archives: DataFrame) -> DataFrame:
@@ -229,16 +231,17 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
     if mode not in ("append", "skip", "replace"):
         raise ValueError(f"unknown mode {mode}")
     archives = list_archives(spark, zips_dir)
-    present = archive_members(archives).collect()  # one small row per member
-    by_src: dict = {}
-    for r in present:
-        by_src.setdefault(r["srcdir"], set()).add(r["member"])
+    cached = archive_headers(archives).persist()
+    headers = cached
+    # warnings for missing members: one small row per archive member
+    by_src: dict = {r["srcdir"]: set() for r in archives.select("srcdir").collect()}
+    for r in headers.select("srcdir", "table").collect():
+        by_src[r["srcdir"]].add(r["table"] + ".txt")
     for src, ms in sorted(by_src.items()):
         for m in MEMBERS:
             if m not in ms:
                 log.warning("%s not found in archive %s", m, src)
-
-    headers = archive_headers(archives).persist()
+    headers = headers.filter(F.col("header").isNotNull())
     written = {}
     for member in MEMBERS:
         table = member.split(".")[0]
@@ -267,7 +270,7 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
             writer = writer.mode("append")
         writer.parquet(path)
         written[table] = sorted({r["srcdir"] for r in hdr_rows})
-    headers.unpersist()
+    cached.unpersist()
     return written
 
 
