@@ -24,6 +24,7 @@ from ..plans.sizing import broadcast_if_small
 from .fx import AVERAGE, CLOSING
 
 OUT_COLS = ("adsh", "cik", "name", "sic", "fy", "ddate")
+RATES_BROADCAST_ROWS = 2_000_000  # currencies x dates; ~100 MB
 
 
 def rank_latest(df: DataFrame, keys=("metric", "cik", "fy")) -> DataFrame:
@@ -56,7 +57,7 @@ def fx_candidates(df: DataFrame, only=None) -> DataFrame:
 
 
 def attach_rate(rows: DataFrame, rates: DataFrame, only=None,
-                max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                max_broadcast_rows: int = RATES_BROADCAST_ROWS) -> DataFrame:
     """Add ``rate`` (USD per unit of ``base``, first step that has one) to each row.
 
     The rate table is (kind, base, ddate) -> to_usd.  Rows must be distinct."""
@@ -73,7 +74,7 @@ def attach_rate(rows: DataFrame, rates: DataFrame, only=None,
 
 
 def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
-                     max_broadcast_rows: int = 2_000_000, uom_mode: str = "pair") -> DataFrame:
+                     max_broadcast_rows: int = RATES_BROADCAST_ROWS, uom_mode: str = "pair") -> DataFrame:
     """All six ``t_*`` tables in one frame:
     metric, adsh, cik, name, sic, fy, ddate, amount_usd.
 

@@ -105,7 +105,8 @@ def climate_kpis(kp: DataFrame, esg: DataFrame, max_broadcast_rows: int = 2_000_
 KPI_COLS = tuple(RATIOS) + tuple(RELATIVE) + tuple(CLIMATE)
 
 
-def all_kpis(fin: DataFrame, esg: DataFrame) -> DataFrame:
-    kp = relative_kpis(ratio_kpis(fin))
-    kp = climate_kpis(kp, esg)
+def all_kpis(fin: DataFrame, esg: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+    lim = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
+    kp = relative_kpis(ratio_kpis(fin), **lim)
+    kp = climate_kpis(kp, esg, **lim)
     return kp.select("cik", "fy", "ddate", "sic", *KPI_COLS)

@@ -23,12 +23,14 @@ from ..sources.adapter import ESG_SIGNALS, DriverRaw
 
 class FilingModels:
     def __init__(self, spark: SparkSession, raw, materialize: bool = False,
-                 max_broadcast_rows: int = 2_000_000, truthy=("true",), uom_mode: str = "pair",
+                 max_broadcast_rows: int | None = None, truthy=("true",), uom_mode: str = "pair",
                  strict: bool = False):
         """``truthy``: spellings read as true for the boolean flags (the source
         tests ``= 'true'`` only); ``uom_mode``: see ``convert.converted_tables``;
         ``strict``: fail when a non-blank raw value does not parse (the source's
-        casts raise) instead of reading it as NULL."""
+        casts raise) instead of reading it as NULL; ``max_broadcast_rows``: one
+        row limit for every size-checked broadcast (filings, rates, industry
+        means, ESG panel); None keeps each site's default, 0 never broadcasts."""
         self.spark = spark
         self.raw = raw
         self.materialize = materialize
@@ -41,6 +43,9 @@ class FilingModels:
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "FilingModels":
         return cls(spark, DriverRaw(spark, sf_dir), **kw)
 
+    def _limit(self, default: int) -> int:
+        return default if self.max_broadcast_rows is None else self.max_broadcast_rows
+
     def _keep(self, df: DataFrame) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK) if self.materialize else df
 
@@ -62,7 +67,8 @@ class FilingModels:
     @cached_property
     def stg_num(self) -> DataFrame:
         """All facts of FY filings, as the source's staging view."""
-        return staging.stg_num(self.raw.num, self.stg_sub)
+        return staging.stg_num(self.raw.num, self.stg_sub,
+                               max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS))
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -71,7 +77,8 @@ class FilingModels:
         if self.strict:
             staging.assert_clean(self.rejects_num, "num")
         return self._keep(staging.stg_num(self.raw.num, self.stg_sub, tags=all_fact_tags(),
-                                          with_filing=True))
+                                          with_filing=True,
+                                          max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS)))
 
     @cached_property
     def stg_tag(self) -> DataFrame:
@@ -105,7 +112,7 @@ class FilingModels:
     @cached_property
     def converted(self) -> DataFrame:
         return self._keep(convert.converted_tables(self.metric_values, self.fx_rates,
-                                                   max_broadcast_rows=self.max_broadcast_rows,
+                                                   max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS),
                                                    uom_mode=self.uom_mode))
 
     @cached_property
@@ -155,4 +162,4 @@ class FilingModels:
         mart is persisted first; its lineage is already cut at the checkpointed
         ``t_*`` tables, so a lost block is rebuilt from there, not from ``num``."""
         fin = self.financials(dedupe=dedupe).persist(StorageLevel.MEMORY_AND_DISK)
-        return kpis.all_kpis(fin, self.stg_esg)
+        return kpis.all_kpis(fin, self.stg_esg, max_broadcast_rows=self.max_broadcast_rows)

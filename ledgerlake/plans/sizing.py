@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Persist ``df`` (a small aggregate reused by the join), count it, and hint
-    a broadcast when ``count <= max_rows``."""
+    a broadcast when ``count <= max_rows``.  ``max_rows <= 0`` disables the
+    broadcast (no count is taken)."""
+    if not max_rows or max_rows <= 0:
+        return df
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df

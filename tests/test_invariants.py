@@ -84,3 +84,23 @@ def test_read_seed(spark, tmp_path):
     p.write_text("isin,cik\nUS0000000001,0000000001\n")
     r = read_seed(spark, str(p), "isin_cik").first()
     assert r.isin == "US0000000001" and r.cik == "0000000001"
+
+
+def test_no_broadcast_fallback_gives_same_results(spark, models):
+    """Every size-checked broadcast has a shuffle-join path beyond its limit."""
+    want = {k: [tuple(r) for r in df.collect()] for k, df in
+            [("converted", models.converted), ("float", models.float_latest), ("kpis", models.kpis()),
+             ("stg_num", models.stg_num)]}
+    spark.catalog.clearCache()  # no cached plan (built with broadcasts) may be reused
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = FilingModels.from_driver(spark, SF, max_broadcast_rows=0)
+        for k, a in [("converted", big.converted), ("float", big.float_latest), ("kpis", big.kpis()),
+                     ("stg_num", big.stg_num)]:
+            got = [tuple(r) for r in a.collect()]
+            plan = a._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" not in plan, k
+            key = lambda t: tuple((x is None, str(x)) for x in t)
+            assert sorted(got, key=key) == sorted(want[k], key=key), k
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
