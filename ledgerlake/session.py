@@ -30,6 +30,9 @@ BASE_CONF = {
 # JVM is the whole "cluster", so it gets the memory.
 LOCAL_CONF = {
     "spark.driver.memory": "16g",
+    # one machine: keep every core busy rather than packing shuffle output
+    # into few large partitions (the cluster setting above prefers size)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
 }
 
 
@@ -70,7 +73,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as given.  Only when it is unset (local tests) a scratch folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: the server owns the checkpoint folder
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         if not sc.master.startswith("local"):

@@ -131,8 +131,11 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def choose_buckets(spark: SparkSession, source_bytes: int, bytes_per_bucket: int = 256 << 20) -> int:
-    """Enough buckets for every core, and for ~256 MB of source per bucket."""
-    cores = spark.sparkContext.defaultParallelism
+    """Enough buckets (or files) for every core, and one per ~256 MB of source."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # a remote (Connect) session has no SparkContext
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     return max(cores, -(-source_bytes // bytes_per_bucket))
 
 
@@ -167,9 +170,13 @@ class DriverRaw:
         return read_driver(self.spark, self.sf_dir, name)
 
     def _source_bytes(self) -> int:
-        jp = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir.rstrip('/')}/lineitem.parquet")
-        fs = jp.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(jp).getLength()) if fs.exists(jp) else 0
+        path = f"{self.sf_dir.rstrip('/')}/lineitem.parquet"
+        try:
+            jp = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            fs = jp.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            return int(fs.getContentSummary(jp).getLength()) if fs.exists(jp) else 0
+        except Exception:  # remote session: size only matters for file counts
+            return 0
 
     def _plan(self, key) -> DataFrame:
         if key == "raw_sub":
@@ -187,13 +194,18 @@ class DriverRaw:
             df = self._plan(key)
         else:
             from .tables import land_table
-            app = self.spark.sparkContext.applicationId
+            try:
+                app = self.spark.sparkContext.applicationId
+            except Exception:
+                app = self.spark.conf.get("spark.app.id", "app")
             tag = "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir.strip("/"))
             ident = (app, self.sf_dir, key, self.buckets)
             name = f"{key}_{tag}_{abs(hash(ident)) % 10**8}"
             if ident not in DriverRaw._landed:
                 bucket = "adsh" if key in ("raw_sub", "raw_num") and self.buckets else None
-                land_table(self.spark, self._plan(key), name, bucket_col=bucket, buckets=self.buckets)
+                files = choose_buckets(self.spark, self._source_bytes()) if key == "raw_num" else None
+                land_table(self.spark, self._plan(key), name, bucket_col=bucket, buckets=self.buckets,
+                           files=files)
                 DriverRaw._landed[ident] = name
             df = self.spark.table(DriverRaw._landed[ident])
         self._cache[key] = df
