@@ -99,6 +99,14 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
                        tuple(f"{t}_{k}_ew" for t in text_signals.DEFAULT_TOPICS
                              for k in text_signals.KINDS)),
     "A5_normalize_rows": (_normalize_query, ()),
+    "L1_transcript_signals": (lambda s, d: text_signals.transcript_signals(
+        text_signals.conversation_transcripts(read_driver(s, d, "conversations")),
+        ["conv_id", "firm_id", "year", "quarter"], "text"),
+        tuple(f"{t}_{k}_ew" for t in text_signals.DEFAULT_TOPICS for k in text_signals.KINDS)),
+    "D3b_exposure_match_year": (lambda s, d: _m(s, d).exposure(match_year=True),
+                                ("asset_weighted_physical_climate_change_exposure",)),
+    "F9b_t_a_single_codes": (lambda s, d: FilingModels.from_driver(s, d, uom_mode="pair_or_single").t("assets"),
+                             ("assets_usd",)),
 }
 
 
