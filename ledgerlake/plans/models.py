@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.tags import METRICS, all_fact_tags
 from ..operators import convert, exposure, floats, fx, kpis, marts, metrics, staging
+from . import sizing
 from ..session import checkpoint_dir
 from ..sources.adapter import ESG_SIGNALS, DriverRaw
 
@@ -38,6 +39,7 @@ class FilingModels:
         self.truthy = truthy
         self.uom_mode = uom_mode
         self.strict = strict
+        self._persisted: list = []
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "FilingModels":
@@ -47,7 +49,18 @@ class FilingModels:
         return default if self.max_broadcast_rows is None else self.max_broadcast_rows
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.materialize else df
+        if not self.materialize:
+            return df
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._persisted.append(df)
+        return df
+
+    def release(self) -> None:
+        """Unpersist what this graph persisted (shared intermediates, size-checked
+        broadcast sides).  Checkpoint files stay in the checkpoint folder."""
+        while self._persisted:
+            self._persisted.pop().unpersist()
+        sizing.release_all()
 
     # ---------------------------------------------------------------- staging
     @cached_property
@@ -162,4 +175,5 @@ class FilingModels:
         mart is persisted first; its lineage is already cut at the checkpointed
         ``t_*`` tables, so a lost block is rebuilt from there, not from ``num``."""
         fin = self.financials(dedupe=dedupe).persist(StorageLevel.MEMORY_AND_DISK)
+        self._persisted.append(fin)
         return kpis.all_kpis(fin, self.stg_esg, max_broadcast_rows=self.max_broadcast_rows)

@@ -11,6 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_PERSISTED: list = []
+
+
+def release_all() -> None:
+    """Unpersist every side persisted for a size check."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Persist ``df`` (a small aggregate reused by the join), count it, and hint
     a broadcast when ``count <= max_rows``.  ``max_rows <= 0`` disables the
@@ -18,5 +27,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     if not max_rows or max_rows <= 0:
         return df
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
