@@ -95,3 +95,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for an intermediate table."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
+
+
+def cluster_conf(num_bytes: int, cores: int, tag_fraction: float = 0.05,
+                 target_partition_bytes: int = 128 << 20) -> dict:
+    """Starting sizes for a cluster run over ``num_bytes`` of landed ``num``.
+
+    Only the facts pruned to the model tags (``tag_fraction`` of ``num``) are
+    shuffled, after partial aggregation; the initial shuffle partition count
+    covers that volume at ``target_partition_bytes`` each (AQE coalesces down
+    from there and splits skewed partitions), and never falls below the core
+    count.  Scans read 256 MB splits."""
+    shuffled = int(num_bytes * tag_fraction)
+    parts = max(cores * 2, -(-shuffled // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
