@@ -104,3 +104,25 @@ def test_no_broadcast_fallback_gives_same_results(spark, models):
             assert sorted(got, key=key) == sorted(want[k], key=key), k
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sql_over_source_view_names(spark, models):
+    """SQL written against the published view names gives the operator results."""
+    register_models(models)
+    by_sql = spark.sql("""
+        select f.sic as industry_code,
+               sum(e.ph_expo_ew * f.assets) / nullif(sum(f.assets), 0)
+                   as asset_weighted_physical_climate_change_exposure,
+               count(distinct e.cik) as firm_count
+        from stg_esg_risk_factors e join assets_usd f on e.cik = f.cik
+        where e.ph_expo_ew is not null and f.assets > 0
+        group by f.sic""")
+    ours = {r.industry_code: r for r in models.exposure().collect()}
+    got = {r.industry_code: r for r in by_sql.collect()}
+    assert set(ours) == set(got)
+    for k, r in got.items():
+        assert r.firm_count == ours[k].firm_count
+        assert abs(r.asset_weighted_physical_climate_change_exposure
+                   - ours[k].asset_weighted_physical_climate_change_exposure) < 1e-12
+    top = spark.sql("select cik, count(*) as n from `float` group by cik having count(*) > 1")
+    assert top.count() == 0
