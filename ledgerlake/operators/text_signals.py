@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.sizing import broadcast_if_small
+
 SENTENCE_SPLIT = r"[.!?\n]+"
 TOKEN = r"\p{L}+"
 
@@ -52,34 +54,82 @@ def _arr(words) -> F.Column:
     return F.array(*[F.lit(w) for w in words])
 
 
-def sentence_counts(turns: DataFrame, key_cols, text_col: str = "text", topics=None,
-                    risk_words=DEFAULT_RISK_WORDS, pos_words=DEFAULT_POSITIVE_WORDS,
-                    neg_words=DEFAULT_NEGATIVE_WORDS) -> DataFrame:
-    """One row per sentence: key columns, bigram count and per-topic hit counts
-    split by the sentence's risk / positive / negative flags."""
-    topics = topics or DEFAULT_TOPICS
+def _sentence_tokens(turns: DataFrame, key_cols, text_col: str, risk_words, pos_words,
+                     neg_words) -> DataFrame:
+    """One row per sentence: key columns, tokens, bigrams, bigram count and flags."""
     sent = turns.select(*key_cols, F.explode(F.split(F.col(text_col), SENTENCE_SPLIT, -1)).alias("s"))
     toks = sent.select(*key_cols, F.regexp_extract_all(F.lower(F.col("s")), F.lit(TOKEN), 0).alias("t"))
     n = F.size("t")
     bigrams = F.when(n >= 2, F.zip_with(F.slice("t", 1, n - 1), F.slice("t", 2, n - 1),
                                         lambda a, b: F.concat(a, F.lit(" "), b))) \
                .otherwise(F.array().cast("array<string>"))
-    cols = [F.greatest(n - 1, F.lit(0)).alias("n_bigrams"),
-            F.arrays_overlap("t", _arr(risk_words)).alias("is_risk"),
-            F.arrays_overlap("t", _arr(pos_words)).alias("is_pos"),
-            F.arrays_overlap("t", _arr(neg_words)).alias("is_neg")]
-    for topic, words in topics.items():
-        topic_set = _arr(words)
-        cols.append(F.size(F.filter(bigrams, lambda b: F.array_contains(topic_set, b))).alias(f"hits_{topic}"))
-    return toks.select(*key_cols, *cols)
+    return toks.select(*key_cols, bigrams.alias("bigrams"),
+                       F.greatest(n - 1, F.lit(0)).alias("n_bigrams"),
+                       F.arrays_overlap("t", _arr(risk_words)).alias("is_risk"),
+                       F.arrays_overlap("t", _arr(pos_words)).alias("is_pos"),
+                       F.arrays_overlap("t", _arr(neg_words)).alias("is_neg"))
 
 
-def transcript_signals(turns: DataFrame, key_cols, text_col: str = "text", topics=None, **words) -> DataFrame:
-    """Signals per transcript (key_cols identify a transcript)."""
+def sentence_counts(turns: DataFrame, key_cols, text_col: str = "text", topics=None,
+                    risk_words=DEFAULT_RISK_WORDS, pos_words=DEFAULT_POSITIVE_WORDS,
+                    neg_words=DEFAULT_NEGATIVE_WORDS) -> DataFrame:
+    """One row per sentence: key columns, bigram count, flags and per-topic hit
+    counts (topic sets tested inline; for small dictionaries)."""
+    topics = topics or DEFAULT_TOPICS
+    st = _sentence_tokens(turns, key_cols, text_col, risk_words, pos_words, neg_words)
+    cols = []
+    for topic, words in topics.items():
+        topic_set = _arr(words)
+        cols.append(F.size(F.filter("bigrams", lambda b: F.array_contains(topic_set, b))).alias(f"hits_{topic}"))
+    return st.select(*key_cols, "n_bigrams", "is_risk", "is_pos", "is_neg", *cols)
+
+
+def _joined_counts(turns: DataFrame, key_cols, text_col: str, topics, risk_words, pos_words,
+                   neg_words, max_broadcast_rows: int) -> DataFrame:
+    """Same columns as ``sentence_counts`` for large dictionaries: bigram
+    occurrences are exploded and matched by a hash join against the
+    (bigram, topic) dictionary, broadcast after a size check.  Sentence rows
+    carry the bigram count; hit rows carry one hit for one topic."""
+    st = _sentence_tokens(turns, key_cols, text_col, risk_words, pos_words, neg_words)
+    spark = turns.sparkSession
+    dictionary = spark.createDataFrame([(b, t) for t, ws in topics.items() for b in dict.fromkeys(ws)],
+                                       "bigram string, topic string")
+    dictionary = broadcast_if_small(dictionary, max_broadcast_rows)
+    occ = st.select(*key_cols, "is_risk", "is_pos", "is_neg", F.explode("bigrams").alias("bigram"))
+    hits = occ.join(dictionary, "bigram", "inner")
+    hit_rows = hits.select(*key_cols, F.lit(0).alias("n_bigrams"), "is_risk", "is_pos", "is_neg",
+                           *[F.when(F.col("topic") == F.lit(t), 1).otherwise(0).alias(f"hits_{t}")
+                             for t in topics])
+    sent_rows = st.select(*key_cols, "n_bigrams", F.lit(False).alias("is_risk"), F.lit(False).alias("is_pos"),
+                          F.lit(False).alias("is_neg"), *[F.lit(0).alias(f"hits_{t}") for t in topics])
+    return sent_rows.unionByName(hit_rows)
+
+
+INLINE_DICTIONARY_MAX = 64  # topic bigrams tested inline per sentence; beyond: hash join
+
+
+def transcript_signals(turns: DataFrame, key_cols, text_col: str = "text", topics=None,
+                       method: str = "auto", max_broadcast_rows: int = 5_000_000, **words) -> DataFrame:
+    """Signals per transcript (key_cols identify a transcript).
+
+    ``method``: 'inline' tests each sentence's bigrams against the topic lists
+    in the sentence row; 'join' explodes bigram occurrences and hash-joins them
+    with the dictionary (the right choice for dictionaries of thousands of
+    bigrams); 'auto' picks by dictionary size."""
     topics = topics or DEFAULT_TOPICS
-    sc = sentence_counts(turns, key_cols, text_col, topics, **words)
+    kw = {"risk_words": words.get("risk_words", DEFAULT_RISK_WORDS),
+          "pos_words": words.get("pos_words", DEFAULT_POSITIVE_WORDS),
+          "neg_words": words.get("neg_words", DEFAULT_NEGATIVE_WORDS)}
+    if method == "auto":
+        method = "inline" if sum(len(w) for w in topics.values()) <= INLINE_DICTIONARY_MAX else "join"
+    if method == "inline":
+        sc = sentence_counts(turns, key_cols, text_col, topics, **kw)
+    elif method == "join":
+        sc = _joined_counts(turns, key_cols, text_col, topics, max_broadcast_rows=max_broadcast_rows, **kw)
+    else:
+        raise ValueError(f"unknown method {method}")
     tone = F.when(F.col("is_pos"), 1).when(F.col("is_neg"), -1).otherwise(0)
-    aggs = [F.sum("n_bigrams").alias("n_bigrams")]
+    aggs = [F.sum("n_bigrams").cast("bigint").alias("n_bigrams")]
     for topic in topics:
         h = F.col(f"hits_{topic}")
         aggs += [F.sum(h).alias(f"{topic}_expo"),
@@ -115,8 +165,9 @@ def conversation_transcripts(conversations: DataFrame) -> DataFrame:
         (F.lit(1) + F.col("conv_id") % 4).cast("int").alias("quarter"))
 
 
-def text_signals(conversations: DataFrame, topics=None, **words) -> DataFrame:
+def text_signals(conversations: DataFrame, topics=None, method: str = "auto", **words) -> DataFrame:
     """Firm-year signals from the conversations table."""
     tr = conversation_transcripts(conversations)
-    per_call = transcript_signals(tr, ["conv_id", "firm_id", "year", "quarter"], "text", topics, **words)
+    per_call = transcript_signals(tr, ["conv_id", "firm_id", "year", "quarter"], "text", topics,
+                                  method=method, **words)
     return firm_year_signals(per_call, topics=topics)

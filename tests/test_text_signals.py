@@ -48,3 +48,23 @@ def test_firm_year_mean_of_quarters(spark):
     df = spark.createDataFrame(data, ["firm_id", "year", "quarter"] + cols)
     r = TS.firm_year_signals(df).first()
     assert r.cc_expo_ew == pytest.approx((0.2 + 0.5) / 2)
+
+
+def test_inline_and_join_methods_agree(spark):
+    conv = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    tr = TS.conversation_transcripts(conv)
+    keys = ["conv_id", "firm_id", "year", "quarter"]
+    a = TS.transcript_signals(tr, keys, "text", method="inline")
+    b = TS.transcript_signals(tr, keys, "text", method="join")
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_join_method_large_dictionary(spark):
+    vocab = [f"q{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    topics = {"cc": tuple(f"{x} {y}" for x, y in zip(vocab, vocab[1:])) + ("carbon tax",)}
+    assert sum(len(v) for v in topics.values()) > TS.INLINE_DICTIONARY_MAX
+    df = spark.createDataFrame([(1, 0, "Carbon tax qaa qab qac. nothing")], "conv_id long, turn long, text string")
+    r = TS.transcript_signals(df, ["conv_id"], "text", topics, risk_words=("x",), pos_words=("y",),
+                              neg_words=("z",)).first()
+    assert r.n_bigrams == 4 and r.cc_expo_ew == pytest.approx(3 / 4)
