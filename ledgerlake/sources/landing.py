@@ -81,49 +81,100 @@ def srcdir_of(path) -> F.Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^/]*)?$", 1)
 
 
-def list_archives(spark: SparkSession, zips_dir: str) -> DataFrame:
-    """``binaryFile`` scan of ``*.zip`` (case-insensitive), with ``srcdir``."""
+def _pyarrow_readable(uri: str) -> bool:
+    if uri.startswith("file:"):
+        return True
+    try:
+        import pyarrow.fs as pafs
+        pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        return True
+    except Exception:
+        return False
+
+
+def list_archives(spark: SparkSession, zips_dir: str, read_content: bool | None = None) -> DataFrame:
+    """``binaryFile`` listing of ``*.zip`` (case-insensitive) with ``srcdir``.
+
+    By default only paths are listed and each task opens its archive as a
+    seekable file (local files directly, other stores through pyarrow): the
+    header pass then reads just the zip directory and the first line of each
+    member, and no task holds a whole archive in memory.  Where pyarrow cannot
+    open the store, ``content`` (the archive bytes, read by Spark) is carried
+    instead."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(zips_dir)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path) or not fs.getFileStatus(jvm_path).isDirectory():
         raise FileNotFoundError(f"directory not found: {zips_dir}")
     df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
           .option("recursiveFileLookup", "false").load(zips_dir))
-    if not df.select("path").take(1):
+    first = df.select("path").take(1)
+    if not first:
         raise FileNotFoundError(f"no .zip files found in: {zips_dir}")
-    return df.select("path", "content", srcdir_of("path").alias("srcdir"))
+    if read_content is None:
+        read_content = not _pyarrow_readable(first[0]["path"])
+    cols = ["path", srcdir_of("path").alias("srcdir")]
+    if read_content:
+        cols.insert(1, "content")
+    return df.select(*cols)
+
+
+def _open(path: str):
+    """Seekable handle on an archive by its Spark path (executor side)."""
+    if path.startswith("file:"):
+        from urllib.parse import unquote, urlparse
+        return open(unquote(urlparse(path).path), "rb")
+    import pyarrow.fs as pafs
+    fs, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return fs.open_input_file(inner)
+
+
+def _archives(pdf):
+    """(srcdir, ZipFile) for each archive row of a pandas batch."""
+    has_content = "content" in pdf.columns
+    for i in range(len(pdf)):
+        srcdir = pdf["srcdir"].iat[i]
+        if has_content and pdf["content"].iat[i] is not None:
+            handle = io.BytesIO(pdf["content"].iat[i])
+        else:
+            handle = _open(pdf["path"].iat[i])
+        with handle, zipfile.ZipFile(handle) as z:
+            yield srcdir, z
+
+
+def _source_cols(archives: DataFrame) -> list:
+    return [c for c in ("path", "content", "srcdir") if c in archives.columns]
 
 
 def _decode_archives(batches, batch_lines: int, members):
     for pdf in batches:
-        for content, srcdir in zip(pdf["content"], pdf["srcdir"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                names = set(z.namelist())
-                for member in members:
-                    if member not in names:
-                        continue
-                    table = member.split(".")[0]
-                    with z.open(member) as fh:
-                        text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                        buf_no, buf_line = [], []
-                        for i, line in enumerate(text):
-                            if i == 0:
-                                line = line.lstrip("\ufeff")
-                            buf_no.append(i)
-                            buf_line.append(line)
-                            if len(buf_line) >= batch_lines:
-                                yield pd.DataFrame({"srcdir": srcdir, "table": table,
-                                                    "line_no": buf_no, "line": buf_line})
-                                buf_no, buf_line = [], []
-                        if buf_line:
+        for srcdir, z in _archives(pdf):
+            names = set(z.namelist())
+            for member in members:
+                if member not in names:
+                    continue
+                table = member.split(".")[0]
+                with z.open(member) as fh:
+                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
+                    buf_no, buf_line = [], []
+                    for i, line in enumerate(text):
+                        if i == 0:
+                            line = line.lstrip("\ufeff")
+                        buf_no.append(i)
+                        buf_line.append(line)
+                        if len(buf_line) >= batch_lines:
                             yield pd.DataFrame({"srcdir": srcdir, "table": table,
                                                 "line_no": buf_no, "line": buf_line})
+                            buf_no, buf_line = [], []
+                    if buf_line:
+                        yield pd.DataFrame({"srcdir": srcdir, "table": table,
+                                            "line_no": buf_no, "line": buf_line})
 
 
 def archive_lines(archives: DataFrame, batch_lines: int = 50_000, members=MEMBERS) -> DataFrame:
     """(srcdir, table, line_no, line) for every line of the wanted members;
-    line 0 is the header (BOM removed)."""
-    return archives.select("content", "srcdir").mapInPandas(
+    line 0 is the header (BOM removed).  Output leaves each task in Arrow
+    batches of at most ``batch_lines`` lines."""
+    return archives.select(*_source_cols(archives)).mapInPandas(
         lambda it: _decode_archives(it, batch_lines, members), LINE_SCHEMA)
 
 
@@ -137,44 +188,29 @@ HEADER_SCHEMA = T.StructType([
 def _read_headers(batches, members):
     for pdf in batches:
         rows = []
-        for content, srcdir in zip(pdf["content"], pdf["srcdir"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                names = set(z.namelist())
-                for member in members:
-                    if member not in names:
-                        continue
-                    with z.open(member) as fh:
-                        text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                        first = text.readline()
-                    # an empty member is present but has no header (and loads nothing)
-                    rows.append((srcdir, member.split(".")[0], first.lstrip("\ufeff") if first else None))
+        for srcdir, z in _archives(pdf):
+            names = set(z.namelist())
+            for member in members:
+                if member not in names:
+                    continue
+                with z.open(member) as fh:
+                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
+                    first = text.readline()
+                # an empty member is present but has no header (and loads nothing)
+                rows.append((srcdir, member.split(".")[0], first.lstrip("\ufeff") if first else None))
         yield pd.DataFrame(rows, columns=["srcdir", "table", "header_line"])
 
 
 def archive_headers(archives: DataFrame, members=MEMBERS) -> DataFrame:
-    """(srcdir, table, header array) per member present; only the first line of
-    each member is decompressed.  An empty member has a NULL header."""
-    return (archives.select("content", "srcdir")
+    """(srcdir, table, header array) per member present; only the zip directory
+    and the first line of each member are read.  An empty member has a NULL header."""
+    return (archives.select(*_source_cols(archives))
             .mapInPandas(lambda it: _read_headers(it, members), HEADER_SCHEMA)
             .select("srcdir", "table",
                     F.when(F.col("header_line").isNotNull(),
                            split_fields(clean_line("header_line"))).alias("header")))
 
 
-def archive_members(archives: DataFrame) -> DataFrame:
-    """(srcdir, member) listing; used to warn about missing members."""
-    schema = T.StructType([T.StructField("srcdir", T.StringType()), T.StructField("member", T.StringType())])
-
-    def listing(batches):
-        for pdf in batches:
-            rows = []
-            for content, srcdir in zip(pdf["content"], pdf["srcdir"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    rows += [(srcdir, m) for m in z.namelist()]
-            yield pd.DataFrame(rows, columns=["srcdir", "member"])
-    return archives.select("content", "srcdir").mapInPandas(listing, schema)
-
-
 # ------------------------------------------------------------------ A5 / A6
 def headers_of(lines: DataFrame) -> DataFrame:
     """(srcdir, table, header array) from line 0 of each member."""
@@ -220,7 +256,7 @@ def landed_srcdirs(spark: SparkSession, table_path: str) -> set:
 
 
 def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str = "append",
-                  batch_lines: int = 50_000) -> dict:
+                  batch_lines: int = 50_000, read_content: bool | None = None) -> dict:
     """Land every archive of ``zips_dir`` into ``out_root/{sub,num,tag}``.
 
     mode: 'append' adds rows, 'skip' leaves (table, srcdir) already landed
@@ -230,7 +266,7 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
     """
     if mode not in ("append", "skip", "replace"):
         raise ValueError(f"unknown mode {mode}")
-    archives = list_archives(spark, zips_dir)
+    archives = list_archives(spark, zips_dir, read_content)
     cached = archive_headers(archives).persist()
     headers = cached
     # warnings for missing members: one small row per archive member

@@ -30,9 +30,13 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 def _land_batch(out_root: str, batch_lines: int):
     def run(batch: DataFrame, batch_id: int) -> None:
-        if not batch.take(1):
+        first = batch.select("path").take(1)
+        if not first:
             return
-        archives = batch.select("content", landing.srcdir_of("path").alias("srcdir"))
+        cols = ["path", landing.srcdir_of("path").alias("srcdir")]
+        if not landing._pyarrow_readable(first[0]["path"]):
+            cols.insert(1, "content")
+        archives = batch.select(*cols)
         headers = landing.archive_headers(archives).persist()
         try:
             for member in landing.MEMBERS:

@@ -63,12 +63,13 @@ def test_land_parse_rules_and_schema_evolution(spark):
 
 
 @pytest.mark.parametrize("mode,expect", [("append", 4), ("skip", 2), ("replace", 2)])
-def test_reload_modes(spark, mode, expect):
+@pytest.mark.parametrize("read_content", [False, True])
+def test_reload_modes(spark, mode, expect, read_content):
     zips = _root()
     out = os.path.join(_root(), "raw")
     make_zip(zips, "2021q1.zip", {"sub.txt": "adsh\tcik\nA1\t1\nA2\t2\n"})
-    landing.land_archives(spark, zips, out, mode="append")
-    landing.land_archives(spark, zips, out, mode=mode)
+    landing.land_archives(spark, zips, out, mode="append", read_content=read_content)
+    landing.land_archives(spark, zips, out, mode=mode, read_content=read_content)
     assert landing.read_landed(spark, out, "sub").count() == expect
 
 
