@@ -6,9 +6,9 @@ Archive layout: one ``YYYYqN.zip`` per quarter holding tab-separated
 Execution:
   * archives are listed by Spark's ``binaryFile`` source (non-zip files are
     ignored by the glob); each archive is decoded in one task by
-    ``mapInPandas``, which streams members line by line and yields Arrow
-    batches of at most ``batch_lines`` lines: a task never holds a whole
-    decoded member;
+    ``mapInPandas``, which opens it as a seekable file, streams members line
+    by line and yields Arrow batches of at most ``batch_lines`` lines: a task
+    never holds a whole archive or a whole decoded member;
   * splitting, padding/folding and the column mapping are Catalyst
     expressions over those lines;
   * headers (one per archive member) are the only thing joined back, as a
