@@ -8,7 +8,8 @@ predicate applies ``qtrs`` / ``coreg`` / sign, and a single
 The non-USD views keep a filing only when it has no USD row for that metric.
 The source writes this as ``left join usd ... where x.ddate is null``; it is a
 left anti join on (metric, adsh), done here as a window flag over the
-aggregate, which is partitioned by (metric, adsh) already.
+aggregated rows (a filing's rows per metric are its distinct dates x units,
+not its facts, so even a hot filing makes a small window group).
 """
 
 from __future__ import annotations
