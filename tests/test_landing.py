@@ -105,3 +105,15 @@ def test_register_view_rules(spark):
                       ("ok_name", "select 1; select 2")]:
         with pytest.raises(views.ViewRuleError):
             views.register_view(spark, name, sql)
+
+
+def test_line_endings_and_bad_bytes(spark):
+    zips = _root()
+    out = os.path.join(_root(), "raw")
+    path = os.path.join(zips, "2023q4.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        # CR-only and CRLF line ends, a blank CRLF line, an invalid UTF-8 byte
+        z.writestr("sub.txt", b"adsh\tname\r\nA1\tfoo\rA2\tb\xffr\r\n\r\nA3\tbaz")
+    landing.land_archives(spark, zips, out)
+    got = {r.adsh: r.name for r in landing.read_landed(spark, out, "sub").collect()}
+    assert got == {"A1": "foo", "A2": "b�r", "A3": "baz"}
