@@ -52,6 +52,8 @@ def main(argv=None) -> None:
     b.add_argument("--raw", required=True)
     b.add_argument("--seeds", required=True)
     b.add_argument("--out", required=True)
+    b.add_argument("--catalog-schema", help="also save every model as a table in <schema>, <schema>_stg, "
+                                            "<schema>_int, <schema>_marts (the source's layout)")
     q = sub.add_parser("sql")
     q.add_argument("--raw", required=True)
     q.add_argument("--seeds", required=True)
@@ -65,6 +67,8 @@ def main(argv=None) -> None:
     elif args.cmd == "build":
         m = _models(spark, args.raw, args.seeds)
         print(json.dumps(build_all(m, args.out)))
+        if args.catalog_schema:
+            print(json.dumps(views.save_models_as_tables(m, args.catalog_schema, args.out + "/_catalog")))
         m.release()
     else:
         m = _models(spark, args.raw, args.seeds, materialize=False)

@@ -96,3 +96,31 @@ def register_models(models) -> list[str]:
     put(models.exposure(), "asset_weighted_phys_climate_exposure_view")
     put(models.exposure(), "physical_climate_change_exposure_view")
     return names
+
+
+# schema of each published model, as the source lays them out
+# (<base>, <base>_stg, <base>_int, <base>_marts)
+SCHEMA_SUFFIX = {
+    "stg_dera_sub": "_stg", "stg_dera_num": "_stg", "stg_dera_tag": "_stg", "stg_esg_risk_factors": "_stg",
+    "int_float_candidates": "_int", "int_float_inferred": "_int",
+    "float": "_marts", "financials": "_marts",
+}
+
+
+def save_models_as_tables(models, base: str = "analytics", path_root: str | None = None) -> list[str]:
+    """Write every model as a Parquet table in the catalog, in the schema the
+    source uses for it, so that schema-qualified SQL (``analytics_marts.financials``)
+    resolves.  Tables are external under ``path_root`` (default: the shared
+    checkpoint folder)."""
+    from ..session import scratch_table_path
+    spark = models.spark
+    names = register_models(models)
+    out = []
+    for name in names:
+        db = base + SCHEMA_SUFFIX.get(name, "")
+        spark.sql(f"create database if not exists `{db}`")
+        path = f"{path_root.rstrip('/')}/{db}/{name}" if path_root else scratch_table_path(spark, f"{db}/{name}")
+        (spark.table(name).write.mode("overwrite").format("parquet").option("path", path)
+            .saveAsTable(f"`{db}`.`{name}`"))
+        out.append(f"{db}.{name}")
+    return out

@@ -126,3 +126,12 @@ def test_sql_over_source_view_names(spark, models):
                    - ours[k].asset_weighted_physical_climate_change_exposure) < 1e-12
     top = spark.sql("select cik, count(*) as n from `float` group by cik having count(*) > 1")
     assert top.count() == 0
+
+
+def test_models_as_catalog_tables(spark, models):
+    from ledgerlake.plans.views import save_models_as_tables
+    names = save_models_as_tables(models, base="ll_test")
+    assert "ll_test_marts.financials" in names and "ll_test_stg.stg_dera_sub" in names
+    n = spark.sql("select count(*) from ll_test_marts.financials").first()[0]
+    assert n == models.financials().count()
+    assert spark.sql("select count(*) from ll_test.t_a").first()[0] == models.t("assets").count()
