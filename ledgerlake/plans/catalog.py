@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import METRICS
-from ..operators import exposure, kpis, text_signals
+from ..operators import exposure, fx, kpis, text_signals
 from ..sources.adapter import DriverRaw, read_driver
 from ..sources import landing
 from .models import FilingModels
@@ -76,6 +76,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
     "B3_stg_tag": (lambda s, d: _m(s, d).stg_tag, ()),
     "B4_stg_esg": (lambda s, d: _m(s, d).stg_esg, ()),
     "D7_isin_map": (lambda s, d: DriverRaw(s, d).isin_cik.distinct(), ()),
+    "F3_fx_quotes": (lambda s, d: fx.fx_quotes(_m(s, d).facts), ("rate_to_usd",)),
     "F4_closing_fx": (lambda s, d: _m(s, d).closing_fx, ("to_usd", "from_usd")),
     "F5_average_fx": (lambda s, d: _m(s, d).average_fx, ("to_usd", "from_usd")),
     **_metric_queries(),
