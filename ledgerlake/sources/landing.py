@@ -32,6 +32,18 @@ from ..plans.sizing import broadcast_if_small
 log = logging.getLogger(__name__)
 
 MEMBERS = ("sub.txt", "num.txt", "tag.txt")
+
+# Base columns of the raw tables (the quarterly data sets' documented fields).
+# Every landed table carries them, NULL where an archive's header lacks one;
+# columns seen only in a header are added after them.
+RAW_BASE_COLUMNS = {
+    "sub": ("adsh", "cik", "name", "sic", "countryba", "stprba", "cityba", "zipba", "bas1", "bas2", "baph",
+            "countryma", "stprma", "cityma", "zipma", "mas1", "mas2", "countryinc", "stprinc", "ein",
+            "former", "changed", "afs", "wksi", "fye", "form", "period", "fy", "fp", "filed", "accepted",
+            "prevrpt", "detail", "instance", "nciks", "aciks"),
+    "num": ("adsh", "tag", "version", "coreg", "ddate", "qtrs", "uom", "segments", "value", "footnote"),
+    "tag": ("tag", "version", "custom", "abstract", "datatype", "iord", "crdr", "tlabel", "doc"),
+}
 LINE_SCHEMA = T.StructType([
     T.StructField("srcdir", T.StringType()),
     T.StructField("table", T.StringType()),
@@ -290,7 +302,7 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
         if not hdr_rows:
             written[table] = []
             continue
-        columns = []
+        columns = list(RAW_BASE_COLUMNS[table])
         for r in hdr_rows:
             for c in r["header"]:
                 if c != "srcdir" and c not in columns:
@@ -311,8 +323,14 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
 
 
 def read_landed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
-    """Landed raw table (all archives, merged schema)."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{out_root.rstrip('/')}/{table}")
+    """Landed raw table (all archives, merged schema).  A table no archive has
+    delivered yet reads as empty with its base columns, as a freshly created
+    raw table would."""
+    path = f"{out_root.rstrip('/')}/{table}"
+    if not landed_srcdirs(spark, path):
+        cols = list(RAW_BASE_COLUMNS.get(table, ())) + ["srcdir"]
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in cols]))
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 class LandedRaw:

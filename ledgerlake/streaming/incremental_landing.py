@@ -45,7 +45,7 @@ def _land_batch(out_root: str, batch_lines: int):
                 rows = hdrs.select("header").collect()  # one row per archive member
                 if not rows:
                     continue
-                columns = []
+                columns = list(landing.RAW_BASE_COLUMNS[table])
                 for r in rows:
                     for c in r["header"]:
                         if c != "srcdir" and c not in columns:
