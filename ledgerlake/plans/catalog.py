@@ -1,9 +1,11 @@
 """Registered queries: id -> (spark, sf_dir) -> DataFrame.
 
-Ids follow the operator inventory.  Each query builds its own plan from the
-driver tables of ``sf_dir`` (nothing is shared between calls).  Doubles listed
-per query are reduced to 12 significant digits for the engine-to-engine
-comparison (``sig``), exactly as the SQL oracle does.
+Ids follow the operator inventory.  Each query builds its own plan over the
+raw filing tables derived from the driver tables of ``sf_dir``; those are
+landed once per application (``DriverRaw``), everything else is rebuilt per
+call.  Doubles listed per query are reduced to 12 significant digits for the
+engine-to-engine comparison (``sig``), exactly as the SQL oracle does; the
+library functions themselves return full precision.
 """
 
 from __future__ import annotations
