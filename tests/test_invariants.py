@@ -100,8 +100,10 @@ def test_no_broadcast_fallback_gives_same_results(spark, models):
             got = [tuple(r) for r in a.collect()]
             plan = a._jdf.queryExecution().executedPlan().toString()
             assert "BroadcastHashJoin" not in plan, k
+            def norm(t):  # sums may associate differently under another plan
+                return tuple(float(f"{x:.12g}") if isinstance(x, float) else x for x in t)
             key = lambda t: tuple((x is None, str(x)) for x in t)
-            assert sorted(got, key=key) == sorted(want[k], key=key), k
+            assert sorted(map(norm, got), key=key) == sorted(map(norm, want[k]), key=key), k
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
