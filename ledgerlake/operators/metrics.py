@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.tags import ANNUAL_FORMS, ANNUAL_FROM, METRICS, MetricSpec
+from ..functions.tags import METRICS, MetricSpec
+from .staging import is_annual
 
 FILING_KEYS = ("adsh", "cik", "name", "sic", "fy")
 VIEW_COLS = FILING_KEYS + ("ddate", "uom")
@@ -48,9 +49,8 @@ def metric_facts(facts: DataFrame, specs=None) -> DataFrame:
     ``facts`` is staged ``num`` joined to FY filings *with* filing attributes
     (``stg_num(..., with_filing=True)``)."""
     specs = specs or list(METRICS.values())
-    annual = F.col("form").isin(*ANNUAL_FORMS) & (F.col("fy") >= F.lit(ANNUAL_FROM))
     spec = F.try_element_at(tag_spec_map(specs), F.col("tag"))
-    tagged = facts.filter(F.col("tag").isin(*metric_tags(specs)) & annual) \
+    tagged = facts.filter(F.col("tag").isin(*metric_tags(specs)) & is_annual()) \
                   .withColumn("_spec", spec)
     keep = (F.col("qtrs") == F.col("_spec.qtrs")) & F.col("coreg").isNull() \
         & (~F.col("_spec.positive") | (F.col("value") > F.lit(0)))

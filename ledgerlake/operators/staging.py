@@ -113,9 +113,13 @@ def stg_esg(esg: DataFrame, isin_cik: DataFrame, signals) -> DataFrame:
     return out.select(*ESG_ID_COLS, *signals)
 
 
+def is_annual() -> F.Column:
+    """Annual forms from fiscal 2014 on (over ``form`` and typed ``fy``)."""
+    return F.col("form").isin(*ANNUAL_FORMS) & (F.col("fy") >= F.lit(ANNUAL_FROM))
+
+
 def annual_filings(stg_sub_df: DataFrame) -> DataFrame:
-    """Annual forms from fiscal 2014 on."""
-    return stg_sub_df.filter(F.col("form").isin(*ANNUAL_FORMS) & (F.col("fy") >= F.lit(ANNUAL_FROM)))
+    return stg_sub_df.filter(is_annual())
 
 
 def _reject(raw_col: str, parsed) -> F.Column:

@@ -224,12 +224,6 @@ def archive_headers(archives: DataFrame, members=MEMBERS) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A5 / A6
-def headers_of(lines: DataFrame) -> DataFrame:
-    """(srcdir, table, header array) from line 0 of each member."""
-    return (lines.filter(F.col("line_no") == 0)
-            .select("srcdir", "table", split_fields(clean_line("line")).alias("header")))
-
-
 def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: list,
                    max_broadcast_rows: int = 100_000) -> DataFrame:
     """Raw rows of one table with the union of all header columns.

@@ -137,3 +137,15 @@ def test_models_as_catalog_tables(spark, models):
     n = spark.sql("select count(*) from ll_test_marts.financials").first()[0]
     assert n == models.financials().count()
     assert spark.sql("select count(*) from ll_test.t_a").first()[0] == models.t("assets").count()
+
+
+def test_save_view_table_and_cluster_conf(spark, models):
+    from ledgerlake.plans.views import save_table, save_view
+    from ledgerlake.session import cluster_conf
+    from ledgerlake.operators.staging import annual_filings
+    v = save_view(annual_filings(models.stg_sub), "annual_filings_v")
+    assert spark.table("annual_filings_v").count() == v.count() > 0
+    t = save_table(spark, models.t("assets"), "t_a_saved")
+    assert spark.table("t_a_saved").count() == t.count() == models.t("assets").count()
+    conf = cluster_conf(100 * 10**12, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) >= 16000
