@@ -9,6 +9,8 @@ start from identical raw rows.  Every raw column is a string, as landed.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -155,6 +157,7 @@ class DriverRaw:
     """
 
     _landed: dict = {}
+    _lock = threading.RLock()  # queries may be built from several threads; raw_tag lands raw_num first
 
     def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True, buckets: int | str | None = None):
         self.spark = spark
@@ -201,12 +204,13 @@ class DriverRaw:
             tag = "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir.strip("/"))
             ident = (app, self.sf_dir, key, self.buckets)
             name = f"{key}_{tag}_{abs(hash(ident)) % 10**8}"
-            if ident not in DriverRaw._landed:
-                bucket = "adsh" if key in ("raw_sub", "raw_num") and self.buckets else None
-                files = choose_buckets(self.spark, self._source_bytes()) if key == "raw_num" else None
-                land_table(self.spark, self._plan(key), name, bucket_col=bucket, buckets=self.buckets,
-                           files=files)
-                DriverRaw._landed[ident] = name
+            with DriverRaw._lock:
+                if ident not in DriverRaw._landed:
+                    bucket = "adsh" if key in ("raw_sub", "raw_num") and self.buckets else None
+                    files = choose_buckets(self.spark, self._source_bytes()) if key == "raw_num" else None
+                    land_table(self.spark, self._plan(key), name, bucket_col=bucket, buckets=self.buckets,
+                               files=files)
+                    DriverRaw._landed[ident] = name
             df = self.spark.table(DriverRaw._landed[ident])
         self._cache[key] = df
         return df
