@@ -131,3 +131,26 @@ def test_top1_null_ddate_first(spark, raw_fixture):
     nums = [num_row("A1", "Assets", "20201231", "100"), num_row("A2", "Assets", "bad", "50")]
     m = FilingModels(spark, raw_fixture(subs, nums))
     assert rows(m.t("assets"), "adsh", "assets_usd") == [("A2", 50.0)]
+
+
+def test_fixed_point_mean_is_order_independent(spark):
+    import random
+    from pyspark.sql import functions as F
+    from ledgerlake.operators.fx import fixed_point_mean
+    vals = [0.1, 0.2, 0.3, 1 / 3, 1 / 7, 1.1, 2.2, 1e-9, 123.456]
+    results = set()
+    for seed in range(4):
+        rnd = random.Random(seed)
+        shuffled = vals[:]
+        rnd.shuffle(shuffled)
+        df = spark.createDataFrame([(v,) for v in shuffled], "r double").repartition(1 + seed)
+        results.add(df.agg(fixed_point_mean(F.col("r")).alias("m")).first().m)
+    assert len(results) == 1
+    assert abs(results.pop() - sum(vals) / len(vals)) < 1e-12
+
+
+def test_top1_ties_break_on_adsh(spark, raw_fixture):
+    subs = [sub_row("B2", cik="1"), sub_row("A9", cik="1")]
+    nums = [num_row("B2", "Assets", "20201231", "100"), num_row("A9", "Assets", "20201231", "50")]
+    m = FilingModels(spark, raw_fixture(subs, nums))
+    assert rows(m.t("assets"), "adsh", "assets_usd") == [("A9", 50.0)]
