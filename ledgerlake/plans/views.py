@@ -60,6 +60,8 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, path: str | None =
     return out
 
 
+# The names under which the source publishes its models, kept so
+# that SQL written against them runs unchanged.
 SOURCE_VIEW_NAMES = {
     "assets": ("assets_usd", "assets_xyz", "t_a"),
     "cash": ("cash_usd", "cash_xyz", "t_c"),
@@ -98,7 +100,7 @@ def register_models(models) -> list[str]:
     return names
 
 
-# schema of each published model, as the source lays them out
+# Schema of each published model, as the source lays them out
 # (<base>, <base>_stg, <base>_int, <base>_marts)
 SCHEMA_SUFFIX = {
     "stg_dera_sub": "_stg", "stg_dera_num": "_stg", "stg_dera_tag": "_stg", "stg_esg_risk_factors": "_stg",

@@ -33,7 +33,7 @@ log = logging.getLogger(__name__)
 
 MEMBERS = ("sub.txt", "num.txt", "tag.txt")
 
-# Base columns of the raw tables (the quarterly data sets' documented fields).
+# Base columns of the raw tables (the quarterly data sets' documented fields).
 # Every landed table carries them, NULL where an archive's header lacks one;
 # columns seen only in a header are added after them.
 RAW_BASE_COLUMNS = {
