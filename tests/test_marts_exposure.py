@@ -150,3 +150,26 @@ def test_rejects_and_strict(spark, raw_fixture):
     assert [r.rejected_columns for r in m.rejects_sub.collect()] == [["cik"]]
     with pytest.raises(RejectedRowsError):
         FilingModels(spark, raw_fixture(subs, nums), strict=True).stg_sub
+
+
+def test_relative_kpis_match_window_semantics(spark):
+    """Industry means joined back null-safely equal window averages (a NULL
+    industry is its own group)."""
+    import datetime as dt
+    from pyspark.sql import Window
+    rows = [("A", 1, dt.date(2020, 1, 1), None, 1, 10.0, 2.0, 5.0, 1.0, 3.0, 20.0),
+            ("B", 2, dt.date(2020, 1, 1), None, 1, 20.0, 1.0, 5.0, 2.0, 1.0, 10.0),
+            ("C", 3, dt.date(2020, 1, 1), None, None, 30.0, 3.0, 5.0, 4.0, 2.0, 30.0),
+            ("D", 4, dt.date(2021, 1, 1), None, 1, 40.0, 8.0, 5.0, 0.0, 5.0, 40.0)]
+    fin = spark.createDataFrame(rows, "name string, cik long, fy date, ddate date, sic int, revenue_usd double, "
+                                "income_usd double, market_cap_usd double, debt_usd double, cash_usd double, "
+                                "assets_usd double")
+    kp = kpis.ratio_kpis(fin)
+    got = {r.cik: r for r in kpis.relative_kpis(kp).collect()}
+    want = kp
+    for name, (base, keys) in kpis.RELATIVE.items():
+        want = want.withColumn(name, F.try_divide(F.col(base), F.avg(base).over(Window.partitionBy(*keys))))
+    for r in want.collect():
+        for name in kpis.RELATIVE:
+            a, b = got[r.cik][name], r[name]
+            assert (a is None and b is None) or a == pytest.approx(b), (r.cik, name)
