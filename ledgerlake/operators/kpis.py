@@ -80,8 +80,8 @@ def relative_kpis(kp: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFra
     b2 = broadcast_if_small(by_sic.withColumnRenamed("sic", "_b2_sic"), max_broadcast_rows)
     out = kp.join(b1, kp["sic"].eqNullSafe(b1["_b1_sic"]) & kp["fy"].eqNullSafe(b1["_b1_fy"]), "left")
     out = out.join(b2, out["sic"].eqNullSafe(b2["_b2_sic"]), "left")
-    for name, (base, _keys) in RELATIVE.items():
-        out = out.withColumn(name, F.try_divide(F.col(base), F.col(f"_avg_{name}")))
+    out = out.withColumns({name: F.try_divide(F.col(base), F.col(f"_avg_{name}"))
+                           for name, (base, _keys) in RELATIVE.items()})
     return out.drop("_b1_sic", "_b1_fy", "_b2_sic", *[f"_avg_{n}" for n in RELATIVE])
 
 
@@ -97,8 +97,7 @@ def climate_kpis(kp: DataFrame, esg: DataFrame, max_broadcast_rows: int = 2_000_
             .agg(*[F.avg(s).alias(s) for s in signals]))
     e = broadcast_if_small(e, max_broadcast_rows)
     out = kp.join(e, (kp["cik"] == e["_e_cik"]) & (F.year(kp["fy"]) == e["_e_year"]), "left")
-    for name, (num, sig) in CLIMATE.items():
-        out = out.withColumn(name, safe_ratio(num, sig))
+    out = out.withColumns({name: safe_ratio(num, sig) for name, (num, sig) in CLIMATE.items()})
     return out.drop("_e_cik", "_e_year", *signals)
 
 
