@@ -56,8 +56,15 @@ def build_session(master: str | None = None, app: str = "ledgerlake",
 
 
 def apply_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable part of BASE_CONF to an existing session."""
-    for k, v in BASE_CONF.items():
+    """Apply the runtime-settable part of BASE_CONF (and, on a local master,
+    of LOCAL_CONF) to an existing session."""
+    conf = dict(BASE_CONF)
+    try:
+        if spark.sparkContext.master.startswith("local"):
+            conf.update({k: v for k, v in LOCAL_CONF.items() if k.startswith("spark.sql.")})
+    except Exception:  # remote session
+        pass
+    for k, v in conf.items():
         if k.startswith("spark.ui"):
             continue
         try:
