@@ -262,13 +262,19 @@ def landed_srcdirs(spark: SparkSession, table_path: str) -> set:
 
 
 def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str = "append",
-                  batch_lines: int = 50_000, read_content: bool | None = None) -> dict:
+                  batch_lines: int = 50_000, read_content: bool | None = None,
+                  rebalance: int | None = None) -> dict:
     """Land every archive of ``zips_dir`` into ``out_root/{sub,num,tag}``.
 
     mode: 'append' adds rows, 'skip' leaves (table, srcdir) already landed
     untouched, 'replace' rewrites the (table, srcdir) partitions it loads
     (dynamic partition overwrite: atomic per job).  Returns the srcdirs
     written per table.
+
+    A zip member is one deflate stream, so it is inflated by one task.  When
+    one archive holds a large share of all rows, ``rebalance=N`` spreads its
+    decoded lines round-robin over N partitions before parsing and writing
+    (one shuffle of the lines), so only the inflating stays on one core.
     """
     if mode not in ("append", "skip", "replace"):
         raise ValueError(f"unknown mode {mode}")
@@ -304,6 +310,8 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
         todo = archives.filter(F.col("srcdir").isin(*{r["srcdir"] for r in hdr_rows}))
         # one pass per table that decompresses only that member
         t_lines = archive_lines(todo, batch_lines, members=(member,))
+        if rebalance:
+            t_lines = t_lines.repartition(rebalance)
         rows = rows_for_table(t_lines, t_headers, table, columns)
         writer = rows.write.partitionBy("srcdir").option("mergeSchema", "true")
         if mode == "replace":

@@ -117,3 +117,14 @@ def test_line_endings_and_bad_bytes(spark):
     landing.land_archives(spark, zips, out)
     got = {r.adsh: r.name for r in landing.read_landed(spark, out, "sub").collect()}
     assert got == {"A1": "foo", "A2": "b�r", "A3": "baz"}
+
+
+def test_rebalance_gives_same_rows(spark):
+    zips = _root()
+    body = "".join(f"A{i}\t{i}\n" for i in range(500))
+    make_zip(zips, "2024q1.zip", {"sub.txt": "adsh\tcik\n" + body})
+    a, b = os.path.join(_root(), "raw"), os.path.join(_root(), "raw")
+    landing.land_archives(spark, zips, a)
+    landing.land_archives(spark, zips, b, rebalance=4)
+    ra, rb = landing.read_landed(spark, a, "sub"), landing.read_landed(spark, b, "sub")
+    assert ra.count() == rb.count() == 500 and ra.exceptAll(rb).count() == 0
