@@ -60,7 +60,8 @@ FILINGS_BROADCAST_ROWS = 5_000_000  # ~0.5 GB of filing attributes
 
 
 def stg_num(num: DataFrame, stg_sub_df: DataFrame, tags=None, with_filing: bool = False,
-            max_broadcast_rows: int | None = FILINGS_BROADCAST_ROWS) -> DataFrame:
+            max_broadcast_rows: int | None = FILINGS_BROADCAST_ROWS,
+            distinct_filings: bool = False) -> DataFrame:
     """Facts of FY filings (the source's left join + ``fp = 'FY'`` is an inner join).
 
     ``with_filing`` keeps cik/name/sic/form of the filing on every fact, so that the
@@ -73,11 +74,20 @@ def stg_num(num: DataFrame, stg_sub_df: DataFrame, tags=None, with_filing: bool
     sort-merge join, and AQE splits a hot adsh partition (the session sets
     ``spark.sql.adaptive.forceOptimizeSkewedJoin`` so the split is allowed even
     though the aggregate after it then needs its own exchange).
+
+    ``distinct_filings`` joins one copy of each identical filing row.  A
+    quarter loaded twice in append mode (or any group of copies) then cannot
+    multiply the facts in the join.  Maxima are unaffected.  Rate means then
+    weigh each fact once per fact copy instead of once per fact copy x filing
+    copy, as SURVEY 7.4 decides.  Off for the staging view itself, which keeps
+    the source's row multiplicity.
     """
     facts = typed_num(num, tags)
     right = fy_filings(stg_sub_df)
     if not with_filing:
         right = right.select("adsh", "fy", "fp")
+    if distinct_filings:
+        right = right.distinct()
     if max_broadcast_rows:
         right = broadcast_if_small(right, max_broadcast_rows)
     return facts.join(right, "adsh", "inner")

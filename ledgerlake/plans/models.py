@@ -85,12 +85,13 @@ class FilingModels:
 
     @cached_property
     def facts(self) -> DataFrame:
-        """Facts of the ~50 tags any model reads, joined once to FY filing attributes.
-        The tag filter runs before the exchange, so only those facts are shuffled."""
+        """Facts of the ~50 tags any model reads, joined once to FY filing attributes
+        (one copy of each identical filing row).  The tag filter runs before any
+        exchange, so only those facts are shuffled."""
         if self.strict:
             staging.assert_clean(self.rejects_num, "num")
         return self._keep(staging.stg_num(self.raw.num, self.stg_sub, tags=all_fact_tags(),
-                                          with_filing=True,
+                                          with_filing=True, distinct_filings=True,
                                           max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS)))
 
     @cached_property

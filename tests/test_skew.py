@@ -67,3 +67,15 @@ def test_top1_limit_runs_before_shuffle(spark, raw_fixture):
     # sends one row per task across the exchange, not all of its facts
     assert "WindowGroupLimit" in lines[ex[0] + 1]
     assert m.float_latest.groupBy("cik").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_copies_of_a_quarter_do_not_multiply_facts(spark, raw_fixture):
+    """The same filing landed three times (append mode): metric maxima and the
+    facts feeding every model are unchanged."""
+    subs = [sub_row("A1", cik="1")]
+    nums = [num_row("A1", "Assets", "20201231", "100"), num_row("A1", "Assets", "20201231", "70")]
+    once = FilingModels(spark, raw_fixture(subs, nums))
+    thrice = FilingModels(spark, raw_fixture(subs * 3, nums))
+    assert thrice.facts.count() == once.facts.count() == 2
+    assert [r.assets for r in thrice.metric_view("assets", "usd").collect()] == [100]
+    assert thrice.stg_num.count() == 6  # the staging view keeps the source's multiplicity
