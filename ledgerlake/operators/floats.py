@@ -63,8 +63,9 @@ def float_inferred(facts: DataFrame, candidates: DataFrame | None = None) -> Dat
 
 
 def float_latest(inferred: DataFrame, stg_sub_df: DataFrame) -> DataFrame:
-    """Latest float per company (``float`` mart; named _usd but not converted)."""
-    s = stg_sub_df.select("adsh", "cik", "name")
+    """Latest float per company (``float`` mart; named _usd but not converted).
+    Filing copies are joined once: they could only repeat the same candidates."""
+    s = stg_sub_df.select("adsh", "cik", "name").distinct()
     base = inferred.join(s, "adsh", "inner")
     w = Window.partitionBy("cik").orderBy(
         F.col("ddate").desc_nulls_first(), F.col("adsh").asc(), F.col("tag").asc(),
