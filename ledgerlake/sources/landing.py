@@ -230,18 +230,23 @@ def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: li
 
     A column missing from an archive's header reads NULL for that archive's
     rows (schema evolution); short rows are padded with '' and long rows folded.
+    The position of every output column in each archive's header is worked
+    out once per archive (on the small header frame), so each line only
+    indexes into its split fields.
     """
-    h = headers.filter(F.col("table") == F.lit(table)).select("srcdir", "header")
+    wanted = F.array(*[F.lit(c) for c in columns])
+    h = (headers.filter(F.col("table") == F.lit(table))
+         .select("srcdir", F.size("header").alias("_n"),
+                 F.transform(wanted, lambda c: F.array_position(F.col("header"), c).cast("int")).alias("_pos")))
     h = broadcast_if_small(h, max_broadcast_rows)
     body = (lines.filter((F.col("table") == F.lit(table)) & (F.col("line_no") > 0))
             .withColumn("_line", clean_line("line")).filter(F.col("_line") != F.lit("")))
     j = body.join(h, "srcdir", "inner")
-    parts = normalize_fields(split_fields(F.col("_line")), F.size("header"))
-    j = j.withColumn("_parts", parts)
+    j = j.withColumn("_parts", normalize_fields(split_fields(F.col("_line")), F.col("_n")))
     cols = []
-    for c in columns:
-        pos = F.array_position(F.col("header"), F.lit(c))
-        cols.append(F.when(pos > 0, F.element_at(F.col("_parts"), pos.cast("int"))).alias(c))
+    for k, c in enumerate(columns):
+        pos = F.col("_pos")[k]
+        cols.append(F.when(pos > 0, F.element_at(F.col("_parts"), pos)).alias(c))
     return j.select(*cols, "srcdir")
 
 
