@@ -56,7 +56,7 @@ LINE_SCHEMA = T.StructType([
 def clean_line(line) -> F.Column:
     """Strip trailing CR/LF characters (the line terminator)."""
     line = F.col(line) if isinstance(line, str) else line
-    return F.regexp_replace(line, r"[\r\n]+$", "")
+    return F.rtrim(line, F.lit("\r\n"))
 
 
 def normalize_fields(parts, n) -> F.Column:
