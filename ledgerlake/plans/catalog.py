@@ -55,9 +55,8 @@ def _metric_queries() -> dict:
     return out
 
 
-def _normalize_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4/A5 over lines made from lineitem: 2..8 tab-separated fields per line
-    (some with a trailing CR), parsed against a 5-column header."""
+def _lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tab-separated lines made from lineitem: 2..8 fields, some with a trailing CR."""
     li = read_driver(spark, sf_dir, "lineitem")
     fields = [F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey",
                                                  "l_linenumber", "l_returnflag", "l_linestatus",
@@ -66,7 +65,32 @@ def _normalize_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     arr = F.slice(F.array(*fields), 1, k.cast("int"))
     line = F.concat(F.array_join(arr, "\t"),
                     F.when(F.col("l_linenumber") % 3 == 0, F.lit("\r")).otherwise(F.lit("")))
-    lines = li.select(F.col("l_orderkey"), F.col("l_linenumber"), line.alias("line"))
+    return li.select("l_orderkey", "l_linenumber", line.alias("line"))
+
+
+# two quarters whose headers differ (schema evolution)
+EVOLVING_HEADERS = {"2020q1": ["orderkey", "partkey", "suppkey", "linenumber", "rest"],
+                    "2020q2": ["orderkey", "partkey", "extra", "linenumber"]}
+
+
+def _evolve_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of even orders belong to an archive with one header, odd
+    orders to one with another; rows come out with the union of columns."""
+    lines = _lineitem_lines(spark, sf_dir).select(
+        F.when(F.col("l_orderkey") % 2 == 0, F.lit("2020q1")).otherwise(F.lit("2020q2")).alias("srcdir"),
+        F.lit("num").alias("table"), F.col("l_linenumber").cast("long").alias("line_no"), "line")
+    headers = spark.createDataFrame([(k, "num", v) for k, v in EVOLVING_HEADERS.items()],
+                                    "srcdir string, table string, header array<string>")
+    columns = []
+    for h in EVOLVING_HEADERS.values():
+        columns += [c for c in h if c not in columns]
+    return landing.rows_for_table(lines, headers, "num", columns)
+
+
+def _normalize_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/A5 over lines made from lineitem: 2..8 tab-separated fields per line
+    (some with a trailing CR), parsed against a 5-column header."""
+    lines = _lineitem_lines(spark, sf_dir)
     header = ["orderkey", "partkey", "suppkey", "linenumber", "rest"]
     parsed = landing.parse_fixed_header(lines, "line", header)
     return parsed.select("l_orderkey", "l_linenumber", *header)
@@ -102,6 +126,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
                        tuple(f"{t}_{k}_ew" for t in text_signals.DEFAULT_TOPICS
                              for k in text_signals.KINDS)),
     "A5_normalize_rows": (_normalize_query, ()),
+    "A6_evolve_schema": (_evolve_query, ()),
     "L1_transcript_signals": (lambda s, d: text_signals.transcript_signals(
         text_signals.conversation_transcripts(read_driver(s, d, "conversations")),
         ["conv_id", "firm_id", "year", "quarter"], "text"),
