@@ -123,8 +123,17 @@ class FilingModels:
     def metric_view(self, name: str, currency: str) -> DataFrame:
         return metrics.metric_view(self.metric_values, name, currency)
 
+    def _share_facts(self) -> None:
+        """Persist the pruned facts when two consumers in one plan read them
+        (rates and metric values; reported and computed float), so ``num`` is
+        scanned once, not once per consumer."""
+        if not self.materialize and not getattr(self, "_facts_shared", False):
+            self._persisted.append(self.facts.persist(StorageLevel.MEMORY_AND_DISK))
+            self._facts_shared = True
+
     @cached_property
     def converted(self) -> DataFrame:
+        self._share_facts()
         return self._keep(convert.converted_tables(self.metric_values, self.fx_rates,
                                                    max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS),
                                                    uom_mode=self.uom_mode))
@@ -152,6 +161,7 @@ class FilingModels:
 
     @cached_property
     def float_inferred(self) -> DataFrame:
+        self._share_facts()
         return floats.float_inferred(self.facts, self.float_candidates)
 
     @cached_property
