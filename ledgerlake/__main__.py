@@ -1,6 +1,6 @@
 """Command line: the landing job, the model build and ad-hoc SQL.
 
-  python -m ledgerlake land  --zips-dir DIR --raw DIR [--mode append|skip|replace]
+  python -m ledgerlake land  --zips-dir DIR --raw DIR [--mode append|skip|replace] [--rebalance N]
   python -m ledgerlake build --raw DIR --seeds DIR --out DIR [--dedupe]
   python -m ledgerlake sql   --raw DIR --seeds DIR --query "select ..." [--out DIR]
 
@@ -48,6 +48,7 @@ def main(argv=None) -> None:
     a.add_argument("--zips-dir", required=True)
     a.add_argument("--raw", required=True)
     a.add_argument("--mode", choices=["append", "skip", "replace"], default="append")
+    a.add_argument("--rebalance", type=int, help="spread decoded lines over N partitions (one dominant archive)")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--seeds", required=True)
@@ -63,7 +64,8 @@ def main(argv=None) -> None:
 
     spark = build_session()
     if args.cmd == "land":
-        print(json.dumps(land_archives(spark, args.zips_dir, args.raw, mode=args.mode)))
+        print(json.dumps(land_archives(spark, args.zips_dir, args.raw, mode=args.mode,
+                                       rebalance=args.rebalance)))
     elif args.cmd == "build":
         m = _models(spark, args.raw, args.seeds)
         print(json.dumps(build_all(m, args.out)))
