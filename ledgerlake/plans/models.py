@@ -2,10 +2,13 @@
 
 ``FilingModels`` wires the operators together over one set of raw relations
 (driver-derived, landed Parquet, or anything with the raw columns).  Every
-property is a lazy DataFrame; nothing runs until an action.  Heavy shared
-intermediates (facts joined to filings, the rate table) are built once and
-reused by every consumer; with ``materialize=True`` they are persisted so that
-the six metric tables, the float mart and the FX tables read them once.
+property is a lazy DataFrame; nothing runs until an action (size checks for
+broadcasts and the ``t_*`` checkpoint run their own small jobs).  The pruned
+facts are persisted as soon as one plan has two consumers of them (rates and
+metric values; reported and computed float), so ``num`` is scanned once per
+plan.  With ``materialize=True`` every shared intermediate (facts, rates,
+metric values, converted amounts) is persisted, for a run that builds all
+models; ``release()`` frees them.
 """
 
 from __future__ import annotations
