@@ -124,7 +124,18 @@ class FilingModels:
         return self._keep(metrics.metric_values(self.facts))
 
     def metric_view(self, name: str, currency: str) -> DataFrame:
-        return metrics.metric_view(self.metric_values, name, currency)
+        """One metric view.  Without shared intermediates it reads only that
+        metric's tags (the single pass pays off when all metrics are needed)."""
+        if self.materialize:
+            return metrics.metric_view(self.metric_values, name, currency)
+        return metrics.metric_view(metrics.metric_values(self.facts_for(METRICS[name].tags), [METRICS[name]]),
+                                   name, currency)
+
+    def facts_for(self, tags) -> DataFrame:
+        """Facts of the given tags only, joined to FY filing attributes."""
+        return staging.stg_num(self.raw.num, self.stg_sub, tags=tuple(tags), with_filing=True,
+                               distinct_filings=True,
+                               max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS))
 
     def _share_facts(self) -> None:
         """Persist the pruned facts when two consumers in one plan read them
