@@ -87,9 +87,11 @@ def test_single_pass_equals_per_metric(spark, raw_fixture):
     m = _two_filings(spark, raw_fixture)
     for spec in METRICS.values():
         for cur in ("usd", "xyz"):
-            a = m.metric_view(spec.name, cur)
-            b = metrics.metric_view_direct(m.facts, spec, cur)
-            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+            single_pass = metrics.metric_view(m.metric_values, spec.name, cur)
+            per_metric = metrics.metric_view_direct(m.facts, spec, cur)
+            narrow = m.metric_view(spec.name, cur)  # only this metric's tags read
+            for a, b in ((single_pass, per_metric), (single_pass, narrow)):
+                assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_conversion_and_no_match(spark, raw_fixture):
