@@ -26,13 +26,9 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def _windows(words_col: str, length: int) -> Column:
-    """Structs (pos, len, h) for all windows of ``length`` words."""
-    n = F.size(words_col) - F.lit(length)
-    at = F.when(n >= 0, F.sequence(F.lit(0), F.greatest(n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(
-        i.alias("pos"), F.lit(length).alias("len"),
-        F.xxhash64(F.slice(F.col(words_col), i + F.lit(1), F.lit(length))).alias("h")))
+def _window_hash(word_hashes: str, pos: Column, length: int) -> Column:
+    """Hash of ``length`` consecutive words from their hashes."""
+    return F.xxhash64(*[F.get(F.col(word_hashes), pos + F.lit(k)) for k in range(length)])
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -42,7 +38,9 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     n = F.size("w")
     starts = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - F.lit(window), F.lit(0))))
     cut = items.withColumn("at", F.explode(starts)).withColumn("win", F.slice("w", F.col("at") + F.lit(1), F.lit(window)))
-    return cut.select(F.xxhash64("win").alias("h"), "win", "item_id").distinct()
+    hashed = cut.withColumn("wh", F.transform("win", lambda w: F.xxhash64(w)))
+    h = F.coalesce(*[F.when(F.size("win") == k, _window_hash("wh", F.lit(0), k)) for k in range(1, window + 1)])
+    return hashed.select(h.alias("h"), "win", "item_id").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -63,12 +61,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     lengths = sorted(facts["lengths"]) if facts["lengths"] else []
 
     text = F.col("text")
-    scan = docs.select("doc_id", F.md5(F.coalesce(text, F.lit(""))).alias("text_md5"), text.isNull().alias("no_text"),
+    scan = docs.select("doc_id", F.md5(F.coalesce(text, F.lit(""))).alias("text_md5"),
                        words(text).alias("w"))
-    # one marker per document (its window is empty, so only the marker of the set matches it)
-    marker = F.array(F.struct(F.lit(-1).alias("pos"), F.size("w").alias("len"), F.lit(0).cast("long").alias("h")))
-    spots = scan.select("doc_id", "text_md5", "no_text", "w",
-                        F.inline(F.concat(marker, *[_windows("w", k) for k in lengths])))
+    # one row per window position, and one marker per document at position -1
+    scan = scan.withColumn("wh", F.transform("w", lambda w: F.xxhash64(w))).withColumn("n", F.size("w"))
+    last = F.greatest(F.col("n") - F.lit(lengths[0]), F.lit(-1)) if lengths else F.lit(-1)
+    spots = scan.select("*", F.explode(F.sequence(F.lit(-1), last, F.lit(1))).alias("pos"))
+    spots = (spots.withColumn("len", F.explode(F.array(*[F.lit(k) for k in lengths]))) if len(lengths) > 1
+             else spots.withColumn("len", F.lit(lengths[0] if lengths else 0)))
+    marked = (F.col("pos") < 0) & (F.col("len") == F.lit(lengths[0] if lengths else 0))
+    spots = spots.filter(marked | ((F.col("pos") >= 0) & (F.col("pos") + F.col("len") <= F.col("n"))))
+    h = F.coalesce(*[F.when(F.col("len") == k, _window_hash("wh", F.col("pos"), k)) for k in lengths], F.lit(0))
+    spots = spots.withColumn("h", F.when(F.col("pos") < 0, F.lit(0).cast("long")).otherwise(h))
     wins = bench.groupBy("h", "win").agg(F.collect_set("item_id").alias("items"))
     marks = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("h"),
                                               F.array().cast("array<string>").alias("win"),
@@ -80,11 +84,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
              .filter(F.when(F.col("pos") < 0, F.size("win") == 0).otherwise(F.size("win") == F.col("len")))
              .filter((F.col("pos") < 0) | (F.slice("w", F.greatest(F.col("pos"), F.lit(0)) + F.lit(1),
                                                    F.greatest(F.size("win"), F.lit(1))) == F.col("win"))))
-    found = found.select("doc_id", "text_md5", "no_text", "pos", "len", "items")
+    found = found.select("doc_id", "text_md5", "n", "pos", "len", "items")
     is_hit = F.col("pos") >= 0
-    per_doc = found.groupBy("doc_id", "text_md5", "no_text").agg(
+    per_doc = found.groupBy("doc_id", "text_md5").agg(
         F.sum(F.when(is_hit, 0).otherwise(1)).cast("long").alias("copies"),
-        F.max(F.when(~is_hit, F.col("len"))).cast("long").alias("n_words"),
+        F.max("n").cast("long").alias("n_words"),
         F.collect_set(F.when(is_hit, F.struct("pos", "len"))).alias("hits"),
         F.collect_set(F.when(is_hit, F.col("items"))).alias("items"))
     hits = F.array_sort("hits")
@@ -95,9 +99,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                               .alias("n")),
         lambda a: a["n"])
     items = F.array_sort(F.array_distinct(F.flatten("items")))
-    out = per_doc.select("doc_id", "text_md5", "no_text", "copies", "n_words", union.alias("n_hit"), items.alias("items"),
+    out = per_doc.select("doc_id", "text_md5", "copies", "n_words", union.alias("n_hit"), items.alias("items"),
                          hits.alias("hits"))
-    return out.select("doc_id", "text_md5", "no_text", "copies", "n_words", "n_hit",
+    return out.select("doc_id", "text_md5", "copies", "n_words", "n_hit",
                       F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"), "hits")

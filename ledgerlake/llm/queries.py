@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, sharding
+from . import decontam, licenses, mixing, quality, sharding, toxicity
 from .common import read_table
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -23,11 +31,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_sharding, op8_decontamination, op9_mixing)}
+    return {f.__name__: f for f in (op5_toxicity, op6_license_scan, op7_sharding, op8_decontamination, op9_mixing,
+                                   op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_sharding": sharding.shard_documents_sql(),
+    return {"op6_license_scan": licenses.scan_sql(),
+            "op7_sharding": sharding.shard_documents_sql(),
             "op8_decontamination": decontam.contamination_sql(),
             "op9_mixing": mixing.mix_sql()}
