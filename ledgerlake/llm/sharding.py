@@ -21,26 +21,38 @@ RECORD_OVERHEAD = 8
 BUCKET_BITS = 10  # slot counting: 2^10 ranges of the slot order in each shard
 
 
-def rendezvous_shard(key: Column, weights: list[float]) -> Column:
-    """Index of the shard with the highest weighted draw for ``key``."""
-    if not weights or any(w <= 0 for w in weights):
-        raise ValueError("shard weights must be positive")
-    draws = [F.struct((F.ln(unit_interval(hash52(key, F.lit(i)))) / F.lit(float(w))).alias("draw"),
-                      F.lit(-i).alias("minus_shard")) for i, w in enumerate(weights)]
-    best = F.greatest(*draws) if len(draws) > 1 else draws[0]
-    return (-best["minus_shard"]).cast("int")
+def _draws(key: Column, weights: list[float], first: int = 0) -> Column:
+    """Array of (draw, -shard) for the shards from ``first`` on.  One md5 of key and
+    shard pair gives the draws of two shards; draw i never depends on the others."""
+    n = HASH_BITS // 4
+
+    def pair(j: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("null")), j.cast("string")))
+        return F.transform(F.array(F.lit(0), F.lit(1)), lambda k: F.struct(
+            F.conv(F.substring(digest, k * n + 1, F.lit(n)), 16, 10).cast("long").alias("h"),
+            (j * 2 + k).cast("int").alias("i")))
+
+    pairs = F.transform(F.sequence(F.lit(first // 2), F.lit((len(weights) - 1) // 2)), pair)
+    mine = F.filter(F.flatten(pairs), lambda x: (x["i"] >= first) & (x["i"] < len(weights)))
+    w = F.array(*[F.lit(float(x)) for x in weights])
+    return F.transform(mine, lambda x: F.struct((F.ln(unit_interval(x["h"])) / F.get(w, x["i"])).alias("draw"),
+                                                (-x["i"]).alias("minus_shard")))
 
 
 def assign_shards(docs: DataFrame, weights: list[float], key: str = "doc_id",
-                  added_weight: float | None = None, out: str = "shard") -> DataFrame:
-    """``docs`` with its shard in column ``out``, and where it would be with one
-    more shard of weight ``added_weight`` in ``grown_shard``."""
+                  added_weight: float | None = None) -> DataFrame:
+    """``docs`` with column ``shard``, the shard with the highest weighted draw for
+    the key, and, for one more shard of weight ``added_weight``, ``grown_shard``."""
     check_columns(docs, **{key: "any"})
-    df = docs.withColumn(out, rendezvous_shard(F.col(key), weights))
+    if not weights or min(weights) <= 0 or (added_weight is not None and added_weight <= 0):
+        raise ValueError("shard weights must be positive")
+    best = F.array_max(_draws(F.col(key), weights))
+    df = docs.withColumn("_best", best)
+    out = df.withColumn("shard", -F.col("_best.minus_shard"))
     if added_weight is not None:
-        grown = rendezvous_shard(F.col(key), [*weights, added_weight])
-        df = df.withColumn("grown_shard", grown)
-    return df
+        added = F.array_max(_draws(F.col(key), [*weights, added_weight], first=len(weights)))
+        out = out.withColumn("grown_shard", -F.greatest(F.col("_best"), added)["minus_shard"])
+    return out.drop("_best")
 
 
 def shard_documents(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
@@ -63,9 +75,10 @@ def shard_documents(docs: DataFrame, weights: list[float] | None = None) -> Data
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + F.lit(RECORD_OVERHEAD)).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"))
-    kinds = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
-    kinds = assign_shards(kinds, weights, added_weight=weights[-1])
-    kinds = kinds.withColumn("order_key", hash52(F.col("doc_id"), F.col("size"), F.col("text_crc32")))
+    # placed before the first shuffle, so that counting and numbering share it
+    rows = assign_shards(rows, weights, added_weight=weights[-1])
+    rows = rows.withColumn("order_key", hash52(F.col("doc_id"), F.col("size"), F.col("text_crc32")))
+    kinds = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
     kinds = kinds.withColumn("bucket", F.shiftright("order_key", HASH_BITS - BUCKET_BITS))
 
     # rows before each range: at most len(weights) * 2^BUCKET_BITS rows, so the broadcast is bounded
@@ -87,7 +100,8 @@ def hash52_sql(text: str) -> str:
 
 
 def shard_documents_sql(shards: int = SHARDS) -> str:
-    draw = f"ln((({hash52_sql("k.id || ':' || s.i")})::double + 0.5) / 4503599627370496.0)"
+    digits = "substr(md5(k.id || ':' || (s.i // 2)), 1 + 13 * (s.i % 2), 13)"
+    draw = f"ln((('0x' || {digits})::bigint::double + 0.5) / 4503599627370496.0)"
     return f"""
 with t as materialized (
   select list(list_reduce(list_prepend(i::bigint, range(8)), lambda c, j:
