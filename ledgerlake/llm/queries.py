@@ -5,11 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, licenses, mixing, quality, sharding, toxicity
+from . import (decontam, html_text, licenses, mixing, neighbours, quality, sharding, similarity, suffix_dedup,
+               toxicity)
 from .common import read_table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.similarity_join(read_table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_query(read_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -36,8 +54,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_toxicity, op6_license_scan, op7_sharding, op8_decontamination, op9_mixing,
-                                   op10_quality)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_nearest_neighbours, op3_jaccard_join, op4_suffix_dedup, op5_toxicity,
+                                   op6_license_scan, op7_sharding, op8_decontamination, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
