@@ -36,7 +36,7 @@ from .common import check_columns, written
 
 LENGTH = 200
 ANCHOR = 64
-SHARD_CONTEXTS = 16_000  # contexts in a shard: about 4 MB of text
+SHARD_CONTEXTS = 6_000  # contexts in a shard: about 1.6 MB of text
 PIECE = 1 << 22  # bytes of a text that are hashed at once
 
 _BYTE_HASH = np.random.RandomState(7).randint(0, 2 ** 63, 256).astype(np.uint64)
@@ -99,44 +99,48 @@ def contexts(raw: bytes, length: int = LENGTH, k: int = ANCHOR) -> tuple[np.ndar
 
 # ---- suffix arrays ---------------------------------------------------------------------------------------------
 
-def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
+def _sort_groups(group: np.ndarray, after: np.ndarray, place: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of (group, after, place), and where (group, after) changes."""
+    if 3 * bits <= 63:  # one integer holds all three
+        key = np.sort((group << (2 * bits)) | (after << bits) | place)
+        return key & ((1 << bits) - 1), np.concatenate([[True], (key[1:] >> bits) != (key[:-1] >> bits)])
+    order = np.lexsort((place, after, group))
+    group, after = group[order], after[order]
+    return place[order], np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
+
+
+def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffix array of ``text`` by Larsson-Sadakane refinement: suffixes are sorted by
-    8 bytes, then groups of equal ones are refined by the rank ``h`` places on, with h
-    doubling, until every group is single or ``depth`` bytes are compared.  Suffixes
-    equal to that depth stay in text order."""
+    their first 4 bytes, then groups of equal ones are refined by the rank ``h`` places
+    on, with h doubling, until every group is single or ``depth`` bytes are compared.
+    Suffixes equal to that depth stay in text order."""
     n = len(text)
-    padded = np.zeros(n + 8, np.uint8)
-    padded[:n] = text
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key |= padded[i:i + n].astype(np.uint64) << np.uint64(56 - 8 * i)
-    # the last seven suffixes are shorter than their padding: order them by length among equals
-    sa = np.argsort(key, kind="stable")
-    ordered = key[sa]
+    if not n:
+        return np.empty(0, np.int64)
+    bits = (n + 1).bit_length()
+    wide = np.zeros(n + 4, np.int64)
+    wide[:n] = text.astype(np.int64) + 1  # 0 is the end of the text
+    place = np.arange(n)
+    first = (wide[:n] * 257 + wide[1:n + 1]) * 257 ** 2 + wide[2:n + 2] * 257 + wide[3:n + 3]
+    if 33 + bits <= 63:
+        key = np.sort((first << bits) | place)
+        sa, first = key & ((1 << bits) - 1), key >> bits
+    else:
+        sa = np.argsort(first, kind="stable")
+        first = first[sa]
+    head = np.concatenate([[True], first[1:] != first[:-1]])  # where a group starts in sa
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
-    head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    group = np.repeat(head, np.diff(np.append(head, n)))
+    group = np.flatnonzero(head)[np.cumsum(head) - 1]
     rank[sa] = group
-    h = 8
-    while h < depth:
-        size = np.diff(np.append(head, n))
-        open_ = np.flatnonzero(np.repeat(size > 1, size))  # places in sa that are not settled
-        if not len(open_):
-            break
+    open_ = np.flatnonzero(~(head & np.append(head[1:], True)))  # places in sa of groups of several
+    h = 4
+    while h < depth and len(open_):
         s = sa[open_]
-        after = rank[np.minimum(s + h, n)] + 1
-        k2 = (rank[s].astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64)
-        order = np.argsort(k2, kind="stable")
-        sa[open_] = s[order]
-        k2 = k2[order]
-        fresh = np.concatenate([[True], k2[1:] != k2[:-1]])
-        starts = np.zeros(n, bool)
-        starts[head] = True
-        starts[open_[fresh]] = True
-        head = np.flatnonzero(starts)
-        group = np.repeat(head, np.diff(np.append(head, n)))
-        rank[sa[open_]] = group[open_]
+        s, fresh = _sort_groups(rank[s], rank[np.minimum(s + h, n)] + 1, s, bits)
+        sa[open_] = s
+        rank[s] = open_[fresh][np.cumsum(fresh) - 1]
+        open_ = open_[~(fresh & np.append(fresh[1:], True))]
         h *= 2
     return sa
 
@@ -177,7 +181,7 @@ def repeated_groups(parts: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
     size = np.array([len(x) for x in parts], np.int64)
     start = np.cumsum(size) - size
     text = np.frombuffer(b"".join(parts), np.uint8)
-    sa = suffix_ranks(text, length)
+    sa = suffix_array(text, length)
     lcp = common_prefixes(text, sa, start, size, length)
     group = np.cumsum(lcp < length)
     which = np.repeat(np.arange(len(parts)), size)
@@ -277,7 +281,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_contexts: int =
               .agg(F.collect_set(F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("places")))
     raw = docs.select("text", F.col("text").cast("binary").alias("_raw")).filter(F.octet_length("text") >= length)
     keyed = raw.select("text", *_key_columns(raw))
-    texts = written(keyed.join(wanted, ["text_key", "key2"]), "repeats-texts")
+    texts = keyed.join(wanted, ["text_key", "key2"]).dropDuplicates(["text_key", "key2"])
+    texts = written(texts, "repeats-texts")
 
     schema = "class binary, anchor long, context binary, text_key long, key2 long, first long"
     parts = written(texts.mapInPandas(_context_rows(length), schema), "repeats-contexts")
@@ -364,7 +369,7 @@ def repeats_query(docs: DataFrame, length: int = LENGTH, shard_contexts: int = S
                        F.sha2("_raw", 256).alias("whole_sha256"))
     copies = (rows.filter(F.col("n_bytes") >= length).groupBy("text_key", "key2").agg(F.count(F.lit(1)).alias("copies"))
               .filter("copies > 1"))
-    cut = remove_repeats(docs, length, shard_contexts).drop("kept").dropDuplicates(["text_key", "key2"])
+    cut = remove_repeats(docs, length, shard_contexts).drop("kept")
     out = rows.join(copies, ["text_key", "key2"], "left").join(cut, ["text_key", "key2"], "left")
     copied = F.col("copies").isNotNull()
     return out.select(
