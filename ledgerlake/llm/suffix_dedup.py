@@ -36,7 +36,8 @@ from .common import check_columns, written
 
 LENGTH = 200
 ANCHOR = 64
-SHARD_CONTEXTS = 6_000  # contexts in a shard: about 1.6 MB of text
+SHARD_CONTEXTS = 2_000  # contexts in a shard on average: about 0.5 MB of text, which sorts in the processor's cache
+LARGE = 4  # an anchor with more than so many times that is spread over shards
 PIECE = 1 << 22  # bytes of a text that are hashed at once
 
 _BYTE_HASH = np.random.RandomState(7).randint(0, 2 ** 63, 256).astype(np.uint64)
@@ -101,12 +102,29 @@ def contexts(raw: bytes, length: int = LENGTH, k: int = ANCHOR) -> tuple[np.ndar
 
 def _sort_groups(group: np.ndarray, after: np.ndarray, place: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in order of (group, after, place), and where (group, after) changes."""
+    fresh = np.ones(len(place), bool)
     if 3 * bits <= 63:  # one integer holds all three
-        key = np.sort((group << (2 * bits)) | (after << bits) | place)
-        return key & ((1 << bits) - 1), np.concatenate([[True], (key[1:] >> bits) != (key[:-1] >> bits)])
+        key = group.astype(np.int64)
+        key <<= bits
+        key |= after
+        key <<= bits
+        key |= place
+        key.sort()
+        place = (key & ((1 << bits) - 1)).astype(np.int32)
+        key >>= bits
+        np.not_equal(key[1:], key[:-1], out=fresh[1:])
+        return place, fresh
     order = np.lexsort((place, after, group))
     group, after = group[order], after[order]
-    return place[order], np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
+    fresh[1:] = (group[1:] != group[:-1]) | (after[1:] != after[:-1])
+    return place[order], fresh
+
+
+def _unsettled(fresh: np.ndarray) -> np.ndarray:
+    """Members of groups of several, where ``fresh`` marks the first of each group."""
+    several = ~fresh
+    several[:-1] |= ~fresh[1:]
+    return several
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -116,33 +134,38 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     Suffixes equal to that depth stay in text order."""
     n = len(text)
     if not n:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32)
     bits = (n + 1).bit_length()
     wide = np.zeros(n + 4, np.int64)
-    wide[:n] = text.astype(np.int64) + 1  # 0 is the end of the text
-    place = np.arange(n)
-    first = (wide[:n] * 257 + wide[1:n + 1]) * 257 ** 2 + wide[2:n + 2] * 257 + wide[3:n + 3]
-    if 33 + bits <= 63:
-        key = np.sort((first << bits) | place)
-        sa, first = key & ((1 << bits) - 1), key >> bits
-    else:
-        sa = np.argsort(first, kind="stable")
-        first = first[sa]
-    head = np.concatenate([[True], first[1:] != first[:-1]])  # where a group starts in sa
-    rank = np.empty(n + 1, np.int64)
-    rank[n] = -1
-    group = np.flatnonzero(head)[np.cumsum(head) - 1]
-    rank[sa] = group
-    open_ = np.flatnonzero(~(head & np.append(head[1:], True)))  # places in sa of groups of several
-    h = 4
-    while h < depth and len(open_):
-        s = sa[open_]
-        s, fresh = _sort_groups(rank[s], rank[np.minimum(s + h, n)] + 1, s, bits)
+    wide[:n] = text
+    wide[:n] += 1  # 0 is the end of the text
+    first = ((wide[:n] * 257 + wide[1:n + 1]) * 257 + wide[2:n + 2]) * 257 + wide[3:n + 3]
+    sa, fresh = (_sort_groups(np.zeros(n, np.int32), first, np.arange(n), bits) if 3 * bits > 63 else
+                 _sort_first(first, bits))
+    slots = np.arange(n, dtype=np.int32)  # places in sa
+    rank = np.zeros(n + 1, np.int32)  # 1 + place in sa of the first of the group; 0 is the end of the text
+    open_, s, h = slots, sa, 4
+    while True:
+        # a group is named by the place of its first member
+        rank[s] = np.repeat(open_[fresh] + 1, np.diff(np.append(np.flatnonzero(fresh), len(s))))
+        more = _unsettled(fresh)
+        open_, s = open_[more], s[more]
+        if h >= depth or not len(open_):
+            return sa
+        s, fresh = _sort_groups(rank[s], rank[np.minimum(s + np.int32(h), np.int32(n))], s, bits)
         sa[open_] = s
-        rank[s] = open_[fresh][np.cumsum(fresh) - 1]
-        open_ = open_[~(fresh & np.append(fresh[1:], True))]
         h *= 2
-    return sa
+
+
+def _sort_first(first: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    key = first << bits
+    key |= np.arange(len(first))
+    key.sort()
+    fresh = np.ones(len(key), bool)
+    place = (key & ((1 << bits) - 1)).astype(np.int32)
+    key >>= bits
+    np.not_equal(key[1:], key[:-1], out=fresh[1:])
+    return place, fresh
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np.ndarray, cap: int) -> np.ndarray:
@@ -291,7 +314,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_contexts: int =
                .select("class", "anchor", "context", (F.col("low") != F.col("high")).alias("several")))
     classes = written(classes, "repeats-classes")
     sizes = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.filter(F.col("n") > shard_contexts)
+    large = sizes.filter(F.col("n") > LARGE * shard_contexts)
     shards = max(1, -(-classes.count() // shard_contexts))
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -338,8 +361,8 @@ def _cut(length: int):
                 edge = np.zeros(len(raw) + 1, np.int32)
                 for f in found:
                     r = np.asarray(f["ranges"], np.int64) + f["first"]
-                    np.add.at(edge, r[0::2], 1)
-                    np.add.at(edge, r[1::2] + length - 1, -1)
+                    edge[r[0::2]] += 1  # ranges of one context do not touch
+                    edge[r[1::2] + length - 1] -= 1
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
