@@ -36,8 +36,8 @@ from .common import check_columns, written
 
 LENGTH = 200
 ANCHOR = 64
-SHARD_CONTEXTS = 2_000  # contexts in a shard on average: about 0.5 MB of text, which sorts in the processor's cache
-LARGE = 4  # an anchor with more than so many times that is spread over shards
+SHARD_CONTEXTS = 4_000  # contexts in a shard on average: about 1 MB of text
+LARGE = 2  # an anchor with more than so many times that is spread over shards
 PIECE = 1 << 22  # bytes of a text that are hashed at once
 
 _BYTE_HASH = np.random.RandomState(7).randint(0, 2 ** 63, 256).astype(np.uint64)
@@ -114,9 +114,9 @@ def _sort_groups(group: np.ndarray, after: np.ndarray, place: np.ndarray, bits:
         key >>= bits
         np.not_equal(key[1:], key[:-1], out=fresh[1:])
         return place, fresh
-    order = np.lexsort((place, after, group))
-    group, after = group[order], after[order]
-    fresh[1:] = (group[1:] != group[:-1]) | (after[1:] != after[:-1])
+    key = (group.astype(np.int64) << 32) | after  # places of a group are in order already
+    order = np.argsort(key, kind="stable")
+    fresh[1:] = np.diff(key[order]) != 0
     return place[order], fresh
 
 
@@ -169,14 +169,22 @@ def _sort_first(first: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefix (at most ``cap``) of each suffix with its predecessor in ``sa``, by
-    place in ``sa``.  Kasai's method: the next suffix of the text starts from one less than the last
-    found; all contexts (``start``, ``size``) walk side by side."""
+    """Common prefix (at most ``cap``) of each suffix in ``sa`` with the one before.
+    ``sa``: the suffixes at the first ``size`` places from each ``start``, sorted.
+    Kasai's method: if the suffix after the predecessor is there too, the next one
+    starts from one less than the last found, else from nothing.  All runs of places
+    walk side by side, and bytes are compared eight at a time."""
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n + 1, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    wide = np.zeros(n + cap + 8, np.uint8)
+    there = np.zeros(n + 1, bool)
+    there[sa] = True
+    wide = np.zeros(n + cap + 16, np.uint64)
     wide[:n] = text
+    eight = wide[:-7].copy()
+    for i in range(1, 8):
+        eight |= wide[i:len(wide) - 7 + i] << np.uint64(8 * i)
+    bytes_of = [np.uint64((1 << 8 * i) - 1) for i in range(1, 8)]
     found = np.zeros(n, np.int32)
     order = np.argsort(-size, kind="stable")
     start, size = start[order], size[order]
@@ -184,17 +192,23 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, start: np.ndarray, size: n
     for t in range(int(size[0]) if len(size) else 0):
         live = int(np.searchsorted(-size, -t, side="left"))
         p = start[:live] + t
-        q = before[p]
-        l = np.where(q < 0, 0, np.maximum(known[:live] - 1, 0))
+        q = before[p].astype(np.int64)
+        l = known[:live]
+        l[q < 0] = 0
         act = np.flatnonzero((q >= 0) & (l < cap))
         while len(act):
-            i, j = p[act] + l[act], q[act] + l[act]
-            same = (wide[i] == wide[j]) & (np.maximum(i, j) < n)
+            x = eight[p[act] + l[act]] ^ eight[q[act] + l[act]]
+            same = x == 0
+            end = act[~same]
+            x = x[~same]
+            for low in bytes_of:
+                l[end] += (x & low) == 0
             act = act[same]
-            l[act] += 1
+            l[act] += 8
             act = act[l[act] < cap]
-        known[:live] = l
+        l = np.minimum(l, np.minimum(cap, n - np.maximum(p, q)))
         found[p] = l
+        known = np.where(there[q + 1], np.maximum(l - 1, 0), 0)
     return found[sa]
 
 
@@ -204,13 +218,12 @@ def repeated_groups(parts: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
     size = np.array([len(x) for x in parts], np.int64)
     start = np.cumsum(size) - size
     text = np.frombuffer(b"".join(parts), np.uint8)
+    which = np.repeat(np.arange(len(parts), dtype=np.int32), size)
+    offset = (np.arange(len(text)) - start[which]).astype(np.int32)
+    tail = (size[which] - offset).astype(np.int32)
     sa = suffix_array(text, length)
-    lcp = common_prefixes(text, sa, start, size, length)
-    group = np.cumsum(lcp < length)
-    which = np.repeat(np.arange(len(parts)), size)
-    offset = np.arange(len(text)) - start[which]
-    owned = offset[sa] <= size[which[sa]] - length
-    sa, group = sa[owned], group[owned]
+    sa = sa[tail[sa] >= length]
+    group = np.cumsum(common_prefixes(text, sa, start, size - length + 1, length) < length)
     return which[sa], offset[sa], group
 
 
