@@ -4,10 +4,9 @@ A byte goes when it lies in a string of ``length`` bytes that starts anywhere
 else too.  The work is divided so that every pair of equal strings meets in one
 shard:
 
-1. Each string of ``length`` bytes owns one of its 64-byte substrings, the one
-   with the smallest hash (leftmost among equals), its *anchor*.  Equal strings
-   own equal anchors.  The consecutive strings that own one anchor make up a
-   *context* of a few hundred bytes; contexts divide all strings of a text.
+1. Each string of ``length`` bytes has an *anchor*, the smallest hash of its 64-byte
+   substrings.  Equal strings have equal anchors.  Consecutive strings with one
+   anchor make up a *context* of a few hundred bytes; contexts divide all strings of a text.
 2. Anchors are counted by hash.  Contexts whose anchor occurs only once in the
    corpus hold no repeated string and stay where they are.
 3. The other contexts, each different one once, are dealt to shards by anchor.
@@ -38,6 +37,7 @@ LENGTH = 200
 ANCHOR = 64
 SHARD_CONTEXTS = 4_000  # contexts in a shard on average: about 1 MB of text
 LARGE = 2  # an anchor with more than so many times that is spread over shards
+RUN = 512  # strings in a context at most
 PIECE = 1 << 22  # bytes of a text that are hashed at once
 
 _BYTE_HASH = np.random.RandomState(7).randint(0, 2 ** 63, 256).astype(np.uint64)
@@ -58,42 +58,34 @@ def _gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _owners(b: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(anchor hash, anchor position) of every string of ``length`` bytes."""
-    h = _gram_hashes(b, k)
-    w = length - k + 1
-    best, at, step = h, np.arange(len(h)), 1
-
-    def earlier(best, at, shift):
-        right, at_right = best[shift:], at[shift:]
-        left, at_left = best[:-shift], at[:-shift]
-        take = right < left
-        return np.where(take, right, left), np.where(take, at_right, at_left)
-
+def _anchor_hashes(b: np.ndarray, length: int, k: int) -> np.ndarray:
+    """Smallest hash of a k-byte substring in every string of ``length`` bytes."""
+    best, w, step = _gram_hashes(b, k), length - k + 1, 1
     while 2 * step <= w:
-        best, at = earlier(best, at, step)
+        best = np.minimum(best[:-step], best[step:])
         step *= 2
-    if step < w:
-        best, at = earlier(best, at, w - step)
-    return best, at
+    return np.minimum(best[:step - w], best[w - step:]) if step < w else best
 
 
 def contexts(raw: bytes, length: int = LENGTH, k: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first string, end of strings) of the contexts of a text, in order.
-    Long texts are hashed in overlapping pieces, with the same result."""
+    """(anchor hash, first string, end of strings) of the contexts of a text, in order:
+    the runs of strings with one anchor hash.  Long runs (of a text that repeats itself at short
+    distance) and long texts are cut; any cut leaves each string in one context."""
     n = len(raw) - length + 1  # strings
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    hashes, places, starts = [], [], []
+    hashes, starts = [], []
     for first in range(0, n, PIECE):
         b = np.frombuffer(raw, np.uint8, count=min(PIECE + length - 1, len(raw) - first), offset=first)
-        best, at = _owners(b, length, k)
-        at = at + first
-        new = np.flatnonzero(np.concatenate([[not places or at[0] != places[-1][-1]], at[1:] != at[:-1]]))
-        if len(new):
-            hashes.append(best[new])
-            places.append(at[new])
-            starts.append(new + first)
+        best = _anchor_hashes(b, length, k)
+        new = np.ones(len(best), bool)
+        np.not_equal(best[1:], best[:-1], out=new[1:])
+        new = np.flatnonzero(new)
+        size = np.diff(np.append(new, len(best)))
+        if size.max() > RUN:
+            new = np.concatenate([np.arange(s, s + m, RUN) for s, m in zip(new, size)])
+        hashes.append(best[new])
+        starts.append(new + first)
     start = np.concatenate(starts)
     return np.concatenate(hashes), start, np.append(start[1:], n)
 
@@ -188,13 +180,14 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, start: np.ndarray, size: n
     found = np.zeros(n, np.int32)
     order = np.argsort(-size, kind="stable")
     start, size = start[order], size[order]
-    known = np.zeros(len(start), np.int64)
+    known, after = np.zeros(len(start), np.int64), np.full(len(start), -1)
     for t in range(int(size[0]) if len(size) else 0):
         live = int(np.searchsorted(-size, -t, side="left"))
         p = start[:live] + t
         q = before[p].astype(np.int64)
-        l = known[:live]
-        l[q < 0] = 0
+        # of two suffixes equal beyond the sorted depth either may come first: then only the
+        # very suffix after the last predecessor is known to share the rest
+        l = np.where((q < 0) | ((known[:live] == cap - 1) & (q != after[:live])), 0, known[:live])
         act = np.flatnonzero((q >= 0) & (l < cap))
         while len(act):
             x = eight[p[act] + l[act]] ^ eight[q[act] + l[act]]
@@ -208,7 +201,7 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, start: np.ndarray, size: n
             act = act[l[act] < cap]
         l = np.minimum(l, np.minimum(cap, n - np.maximum(p, q)))
         found[p] = l
-        known = np.where(there[q + 1], np.maximum(l - 1, 0), 0)
+        known, after = np.where(there[q + 1], np.maximum(l - 1, 0), 0), q + 1
     return found[sa]
 
 
