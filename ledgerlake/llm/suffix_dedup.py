@@ -4,9 +4,10 @@ A byte goes when it lies in a string of ``length`` bytes that starts anywhere
 else too.  The work is divided so that every pair of equal strings meets in one
 shard:
 
-1. Each string of ``length`` bytes has an *anchor*, the smallest hash of its 64-byte
-   substrings.  Equal strings have equal anchors.  Consecutive strings with one
-   anchor make up a *context* of a few hundred bytes; contexts divide all strings of a text.
+1. Each string of ``length`` bytes owns one of its 64-byte substrings, the one
+   with the smallest hash (leftmost among equals), its *anchor*.  Equal strings
+   own equal anchors.  The consecutive strings that own one anchor make up a
+   *context* of a few hundred bytes; contexts divide all strings of a text.
 2. Anchors are counted by hash.  Contexts whose anchor occurs only once in the
    corpus hold no repeated string and stay where they are.
 3. The other contexts, each different one once, are dealt to shards by anchor.
@@ -37,7 +38,6 @@ LENGTH = 200
 ANCHOR = 64
 SHARD_CONTEXTS = 4_000  # contexts in a shard on average: about 1 MB of text
 LARGE = 2  # an anchor with more than so many times that is spread over shards
-RUN = 512  # strings in a context at most
 PIECE = 1 << 22  # bytes of a text that are hashed at once
 
 _BYTE_HASH = np.random.RandomState(7).randint(0, 2 ** 63, 256).astype(np.uint64)
@@ -58,32 +58,27 @@ def _gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _anchor_hashes(b: np.ndarray, length: int, k: int) -> np.ndarray:
-    """Smallest hash of a k-byte substring in every string of ``length`` bytes."""
-    best, w, step = _gram_hashes(b, k), length - k + 1, 1
-    while 2 * step <= w:
-        best = np.minimum(best[:-step], best[step:])
-        step *= 2
-    return np.minimum(best[:step - w], best[w - step:]) if step < w else best
-
-
 def contexts(raw: bytes, length: int = LENGTH, k: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first string, end of strings) of the contexts of a text, in order:
-    the runs of strings with one anchor hash.  Long runs (of a text that repeats itself at short
-    distance) and long texts are cut; any cut leaves each string in one context."""
+    """(anchor hash, first string, end of strings) of the contexts of a text, in order.
+    Long texts are hashed in overlapping pieces; a cut between two pieces may divide a
+    context, which leaves every string in one."""
     n = len(raw) - length + 1  # strings
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    hashes, starts = [], []
+    hashes, starts, w = [], [], length - k + 1
     for first in range(0, n, PIECE):
         b = np.frombuffer(raw, np.uint8, count=min(PIECE + length - 1, len(raw) - first), offset=first)
-        best = _anchor_hashes(b, length, k)
+        h = _gram_hashes(b, k)
+        best, step = h, 1  # smallest hash of the substrings of each string
+        while 2 * step <= w:
+            best = np.minimum(best[:-step], best[step:])
+            step *= 2
+        if step < w:
+            best = np.minimum(best[:step - w], best[w - step:])
         new = np.ones(len(best), bool)
-        np.not_equal(best[1:], best[:-1], out=new[1:])
+        # the anchor's place changes with its hash, and after the string that starts with it
+        np.logical_or(best[1:] != best[:-1], best[:-1] == h[:len(best) - 1], out=new[1:])
         new = np.flatnonzero(new)
-        size = np.diff(np.append(new, len(best)))
-        if size.max() > RUN:
-            new = np.concatenate([np.arange(s, s + m, RUN) for s, m in zip(new, size)])
         hashes.append(best[new])
         starts.append(new + first)
     start = np.concatenate(starts)
