@@ -114,13 +114,13 @@ def _layer(gram: np.ndarray, n: np.ndarray, lower: np.ndarray | None) -> tuple[n
     return p, (ctx, back)
 
 
-def log_ratios(gram: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """log P(toxic) - log P(ordinary) of the last symbol, for each of the 64^4
-    4-grams.  Where neither class has the gram the shared lower order cancels and
-    the ratio of the backoff weights is left; unknown contexts give 0."""
-    table = np.zeros(SYMBOLS ** ORDER, np.float32)
+def log_ratios(gram: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray) -> tuple:
+    """log P(toxic) - log P(ordinary) of the last symbol of 4-grams: (seen grams,
+    their ratios, ratio per context).  Where neither class has the gram the shared
+    lower order cancels and the ratio of the backoff weights of its context is left;
+    unknown contexts give 0."""
     if not len(gram):
-        return table
+        return np.empty(0, np.int64), np.empty(0, np.float32), np.zeros(SYMBOLS ** (ORDER - 1), np.float32)
     order = np.argsort(gram)
     gram, ordinary, toxic = gram[order].astype(np.int64), ordinary[order], toxic[order]
     # shared lower orders: continuation counts (distinct left neighbours) over both classes
@@ -145,8 +145,13 @@ def log_ratios(gram: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray) -> np.
             p[seen] = ps
         logs.append(np.log(p))
         contexts.append(np.log(back))
-    table.reshape(-1, SYMBOLS)[:] = (contexts[0] - contexts[1])[:, None]
-    table[gram] = logs[0] - logs[1]
+    return gram, (logs[0] - logs[1]).astype(np.float32), (contexts[0] - contexts[1]).astype(np.float32)
+
+
+def full_table(gram: np.ndarray, ratio: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Ratios of all 64^4 4-grams; built by each task from the small parts."""
+    table = np.repeat(context, SYMBOLS)
+    table[gram] = ratio
     return table
 
 
@@ -187,7 +192,7 @@ class ToxicityModel:
     def __init__(self, gram: np.ndarray, counts: dict, weights: np.ndarray | None = None):
         self.gram, self.counts, self.weights = gram, counts, weights
 
-    def table(self, halves=(0, 1)) -> np.ndarray:
+    def parts(self, halves=(0, 1)) -> tuple:
         ordinary, toxic = (sum(self.counts[h, c] for h in halves) for c in (0, 1))
         used = (ordinary + toxic) > 0
         return log_ratios(self.gram[used], ordinary[used], toxic[used])
@@ -210,11 +215,12 @@ def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATIO
             counts[h, c][np.searchsorted(gram, part["gram"])] = part["n"]
     model = ToxicityModel(gram, counts)
 
-    other = spark.sparkContext.broadcast([model.table(halves=(1,)), model.table(halves=(0,))])
+    other = spark.sparkContext.broadcast([model.parts(halves=(1,)), model.parts(halves=(0,))])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = [full_table(*p) for p in other.value]
         for pdf in batches:
-            x = [features(t, other.value[h]) for t, h in zip(pdf["text"], pdf["half"])]
+            x = [features(t, tables[h]) for t, h in zip(pdf["text"], pdf["half"])]
             yield pd.DataFrame({"x": [list(v) for v in x], "label": pdf["label"]})
 
     sample = label_sample(known, calibration_rows)  # bounded by its parameter
@@ -228,13 +234,12 @@ def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATIO
 
 def toxicity_score(docs: DataFrame, model: ToxicityModel, text: Column | None = None) -> Column:
     """Column with the score of each text."""
-    used = model.table()
     weights = model.weights
-    shared = docs.sparkSession.sparkContext.broadcast(used)
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = shared.value
+        table = full_table(*shared.value)
         for texts in batches:
             x = np.array([features(t, table) for t in texts]).reshape(len(texts), N_FEATURES)
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
