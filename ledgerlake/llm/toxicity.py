@@ -205,7 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATIO
     known = label_table(labels, "toxic").filter(id_fold(F.col("doc_id"), FOLDS) != 0)
     known = known.withColumn("half", (hash52(F.lit("half"), F.col("doc_id")) % 2).cast("int"))
     texts = docs.select("doc_id", "text").filter(id_fold(F.col("doc_id"), FOLDS) != 0)
-    found = count_grams(texts.join(known, "doc_id")).toPandas()  # at most 4 * 64^4 rows, by the alphabet
+    # both sides grow with the corpus: joined by a shuffle at every size
+    found = count_grams(texts.join(known.hint("merge"), "doc_id")).toPandas()  # at most 4 * 64^4 rows, by the alphabet
     gram = np.unique(found["gram"].to_numpy())
     counts = {}
     for h in (0, 1):
