@@ -92,8 +92,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for "
                                "checkpoints and intermediate tables")
-        d = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        # the setting itself cannot be changed on a running session
+        d = sc.getCheckpointDir()
+        if d is None:
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
+            d = sc.getCheckpointDir()
+        return d
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d

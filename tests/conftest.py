@@ -18,8 +18,6 @@ NUM_COLS = ["adsh", "tag", "version", "coreg", "ddate", "qtrs", "uom", "segments
 def spark():
     s = build_session("local[4]", app="ledgerlake-tests", shuffle_partitions=8,
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ll-test-wh-")})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ll-test-ckpt-"))
     yield s
 
 
