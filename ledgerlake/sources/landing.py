@@ -45,6 +45,7 @@ RAW_BASE_COLUMNS = {
     "tag": ("tag", "version", "custom", "abstract", "datatype", "iord", "crdr", "tlabel", "doc"),
 }
 LINE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
     T.StructField("srcdir", T.StringType()),
     T.StructField("table", T.StringType()),
     T.StructField("line_no", T.LongType()),
@@ -116,12 +117,12 @@ def list_archives(spark: SparkSession, zips_dir: str, read_content: bool | None
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(zips_dir)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path) or not fs.getFileStatus(jvm_path).isDirectory():
-        raise FileNotFoundError(f"directory not found: {zips_dir}")
+        raise FileNotFoundError(f"{zips_dir} is no folder")
     df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
           .option("recursiveFileLookup", "false").load(zips_dir))
     first = df.select("path").take(1)
     if not first:
-        raise FileNotFoundError(f"no .zip files found in: {zips_dir}")
+        raise FileNotFoundError(f"{zips_dir} holds no zip archive")
     if read_content is None:
         read_content = not _pyarrow_readable(first[0]["path"])
     cols = ["path", srcdir_of("path").alias("srcdir")]
@@ -141,7 +142,7 @@ def _open(path: str):
 
 
 def _archives(pdf):
-    """(srcdir, ZipFile) for each archive row of a pandas batch."""
+    """(path, srcdir, ZipFile) for each archive row of a pandas batch."""
     has_content = "content" in pdf.columns
     for i in range(len(pdf)):
         srcdir = pdf["srcdir"].iat[i]
@@ -150,7 +151,7 @@ def _archives(pdf):
         else:
             handle = _open(pdf["path"].iat[i])
         with handle, zipfile.ZipFile(handle) as z:
-            yield srcdir, z
+            yield pdf["path"].iat[i], srcdir, z
 
 
 def _source_cols(archives: DataFrame) -> list:
@@ -159,7 +160,7 @@ def _source_cols(archives: DataFrame) -> list:
 
 def _decode_archives(batches, batch_lines: int, members):
     for pdf in batches:
-        for srcdir, z in _archives(pdf):
+        for path, srcdir, z in _archives(pdf):
             names = set(z.namelist())
             for member in members:
                 if member not in names:
@@ -174,16 +175,16 @@ def _decode_archives(batches, batch_lines: int, members):
                         buf_no.append(i)
                         buf_line.append(line)
                         if len(buf_line) >= batch_lines:
-                            yield pd.DataFrame({"srcdir": srcdir, "table": table,
+                            yield pd.DataFrame({"path": path, "srcdir": srcdir, "table": table,
                                                 "line_no": buf_no, "line": buf_line})
                             buf_no, buf_line = [], []
                     if buf_line:
-                        yield pd.DataFrame({"srcdir": srcdir, "table": table,
+                        yield pd.DataFrame({"path": path, "srcdir": srcdir, "table": table,
                                             "line_no": buf_no, "line": buf_line})
 
 
 def archive_lines(archives: DataFrame, batch_lines: int = 50_000, members=MEMBERS) -> DataFrame:
-    """(srcdir, table, line_no, line) for every line of the wanted members;
+    """(path, srcdir, table, line_no, line) for every line of the wanted members;
     line 0 is the header (BOM removed).  Output leaves each task in Arrow
     batches of at most ``batch_lines`` lines."""
     return archives.select(*_source_cols(archives)).mapInPandas(
@@ -191,16 +192,18 @@ def archive_lines(archives: DataFrame, batch_lines: int = 50_000, members=MEMBER
 
 
 HEADER_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
     T.StructField("srcdir", T.StringType()),
     T.StructField("table", T.StringType()),
     T.StructField("header_line", T.StringType()),
+    T.StructField("has_rows", T.BooleanType()),
 ])
 
 
 def _read_headers(batches, members):
     for pdf in batches:
         rows = []
-        for srcdir, z in _archives(pdf):
+        for path, srcdir, z in _archives(pdf):
             names = set(z.namelist())
             for member in members:
                 if member not in names:
@@ -208,17 +211,18 @@ def _read_headers(batches, members):
                 with z.open(member) as fh:
                     text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
                     first = text.readline()
+                    filled = any(line.strip("\r\n") for line in text)  # stops at the first row
                 # an empty member is present but has no header (and loads nothing)
-                rows.append((srcdir, member.split(".")[0], first.lstrip("\ufeff") if first else None))
-        yield pd.DataFrame(rows, columns=["srcdir", "table", "header_line"])
+                rows.append((path, srcdir, member.split(".")[0], first.lstrip("\ufeff") if first else None, filled))
+        yield pd.DataFrame(rows, columns=["path", "srcdir", "table", "header_line", "has_rows"])
 
 
 def archive_headers(archives: DataFrame, members=MEMBERS) -> DataFrame:
-    """(srcdir, table, header array) per member present; only the zip directory
-    and the first line of each member are read.  An empty member has a NULL header."""
+    """(path, srcdir, table, header array, has_rows) per member present; only the zip
+    directory and the first lines of each member are read.  An empty member has a NULL header."""
     return (archives.select(*_source_cols(archives))
             .mapInPandas(lambda it: _read_headers(it, members), HEADER_SCHEMA)
-            .select("srcdir", "table",
+            .select("path", "srcdir", "table", "has_rows",
                     F.when(F.col("header_line").isNotNull(),
                            split_fields(clean_line("header_line"))).alias("header")))
 
@@ -235,13 +239,15 @@ def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: li
     indexes into its split fields.
     """
     wanted = F.array(*[F.lit(c) for c in columns])
+    # two archives may carry one srcdir: each line goes with the header of its own archive
+    key = "path" if "path" in lines.columns else "srcdir"
     h = (headers.filter(F.col("table") == F.lit(table))
-         .select("srcdir", F.size("header").alias("_n"),
+         .select(key, F.size("header").alias("_n"),
                  F.transform(wanted, lambda c: F.array_position(F.col("header"), c).cast("int")).alias("_pos")))
     h = broadcast_if_small(h, max_broadcast_rows)
     body = (lines.filter((F.col("table") == F.lit(table)) & (F.col("line_no") > 0))
             .withColumn("_line", clean_line("line")).filter(F.col("_line") != F.lit("")))
-    j = body.join(h, "srcdir", "inner")
+    j = body.join(h, key, "inner")
     j = j.withColumn("_parts", normalize_fields(split_fields(F.col("_line")), F.col("_n")))
     cols = []
     for k, c in enumerate(columns):
@@ -281,51 +287,70 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
     decoded lines round-robin over N partitions before parsing and writing
     (one shuffle of the lines), so only the inflating stays on one core.
     """
+    return land_listed(list_archives(spark, zips_dir, read_content), out_root, mode, batch_lines, rebalance)
+
+
+def _drop_partition(spark: SparkSession, table_path: str, srcdir: str) -> None:
+    jp = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/srcdir={srcdir}")
+    jp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jp, True)
+
+
+def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_lines: int = 50_000,
+                rebalance: int | None = None) -> dict:
+    """``land_archives`` for archives already listed (path, srcdir and perhaps content).
+
+    Archives are taken in the order of their paths.  Where several carry one srcdir,
+    'append' keeps the rows of all, 'replace' those of the last, 'skip' those of the
+    first.  In 'replace' a member without rows leaves its partition empty."""
     if mode not in ("append", "skip", "replace"):
         raise ValueError(f"unknown mode {mode}")
-    archives = list_archives(spark, zips_dir, read_content)
-    cached = archive_headers(archives).persist()
-    headers = cached
-    # warnings for missing members: one small row per archive member
-    by_src: dict = {r["srcdir"]: set() for r in archives.select("srcdir").collect()}
-    for r in headers.select("srcdir", "table").collect():
-        by_src[r["srcdir"]].add(r["table"] + ".txt")
-    for src, ms in sorted(by_src.items()):
+    spark = archives.sparkSession
+    # one small row per archive member
+    found = archive_headers(archives).collect()
+    by_path: dict = {r["path"]: (r["srcdir"], set()) for r in archives.select("path", "srcdir").collect()}
+    for r in found:
+        by_path[r["path"]][1].add(r["table"] + ".txt")
+    for path in sorted(by_path):
         for m in MEMBERS:
-            if m not in ms:
-                log.warning("%s not found in archive %s", m, src)
-    headers = headers.filter(F.col("header").isNotNull())
+            if m not in by_path[path][1]:
+                log.warning("archive %s has no %s", by_path[path][0], m)
     written = {}
     for member in MEMBERS:
         table = member.split(".")[0]
         path = f"{out_root.rstrip('/')}/{table}"
-        t_headers = headers.filter(F.col("table") == F.lit(table))
+        rows = sorted((r for r in found if r["table"] == table), key=lambda r: r["path"])
         done = landed_srcdirs(spark, path) if mode == "skip" else set()
-        if done:
-            t_headers = t_headers.filter(~F.col("srcdir").isin(*done))
-        hdr_rows = t_headers.select("srcdir", "header").collect()  # one row per archive member
-        if not hdr_rows:
-            written[table] = []
-            continue
-        columns = list(RAW_BASE_COLUMNS[table])
-        for r in hdr_rows:
-            for c in r["header"]:
-                if c != "srcdir" and c not in columns:
-                    columns.append(c)
-        todo = archives.filter(F.col("srcdir").isin(*{r["srcdir"] for r in hdr_rows}))
-        # one pass per table that decompresses only that member
-        t_lines = archive_lines(todo, batch_lines, members=(member,))
-        if rebalance:
-            t_lines = t_lines.repartition(rebalance)
-        rows = rows_for_table(t_lines, t_headers, table, columns)
-        writer = rows.write.partitionBy("srcdir").option("mergeSchema", "true")
+        rows = [r for r in rows if r["srcdir"] not in done]
+        if mode != "append":  # one archive per srcdir
+            kept: dict = {}
+            for r in rows:
+                if mode == "replace" or r["srcdir"] not in kept:
+                    kept[r["srcdir"]] = r
+            rows = list(kept.values())
+        load = [r for r in rows if r["header"] is not None and r["has_rows"]]
+        if load:
+            columns = list(RAW_BASE_COLUMNS[table])
+            for r in load:
+                for c in r["header"]:
+                    if c != "srcdir" and c not in columns:
+                        columns.append(c)
+            headers = spark.createDataFrame([(r["path"], table, r["header"]) for r in load],
+                                            "path string, table string, header array<string>")
+            todo = archives.filter(F.col("path").isin(*[r["path"] for r in load]))
+            # one pass per table that decompresses only that member
+            lines = archive_lines(todo, batch_lines, members=(member,))
+            if rebalance:
+                lines = lines.repartition(rebalance)
+            writer = rows_for_table(lines, headers, table, columns).write.partitionBy("srcdir")
+            if mode == "replace":
+                writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            else:
+                writer = writer.mode("append")
+            writer.parquet(path)
         if mode == "replace":
-            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        else:
-            writer = writer.mode("append")
-        writer.parquet(path)
-        written[table] = sorted({r["srcdir"] for r in hdr_rows})
-    cached.unpersist()
+            for srcdir in {r["srcdir"] for r in rows} - {r["srcdir"] for r in load}:
+                _drop_partition(spark, path, srcdir)
+        written[table] = sorted({r["srcdir"] for r in load})
     return written
 
 

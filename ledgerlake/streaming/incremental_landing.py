@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
@@ -30,33 +29,14 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 def _land_batch(out_root: str, batch_lines: int):
     def run(batch: DataFrame, batch_id: int) -> None:
-        first = batch.select("path").take(1)
-        if not first:
+        spark = batch.sparkSession
+        paths = [r["path"] for r in batch.select("path").collect()]  # at most maxFilesPerTrigger
+        if not paths:
             return
-        cols = ["path", landing.srcdir_of("path").alias("srcdir")]
-        if not landing._pyarrow_readable(first[0]["path"]):
-            cols.insert(1, "content")
-        archives = batch.select(*cols)
-        headers = landing.archive_headers(archives).persist()
-        try:
-            for member in landing.MEMBERS:
-                table = member.split(".")[0]
-                hdrs = headers.filter(F.col("table") == F.lit(table))
-                rows = hdrs.select("header").collect()  # one row per archive member
-                if not rows:
-                    continue
-                columns = list(landing.RAW_BASE_COLUMNS[table])
-                for r in rows:
-                    for c in r["header"]:
-                        if c != "srcdir" and c not in columns:
-                            columns.append(c)
-                lines = landing.archive_lines(archives, batch_lines, members=(member,))
-                out = landing.rows_for_table(lines, hdrs, table, columns)
-                (out.write.partitionBy("srcdir").mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .parquet(f"{out_root.rstrip('/')}/{table}"))
-        finally:
-            headers.unpersist()
+        archives = spark.createDataFrame([(p,) for p in paths], "path string")
+        if not landing._pyarrow_readable(paths[0]):  # only Spark can read this store
+            archives = spark.read.format("binaryFile").load(paths).select("path", "content")
+        landing.land_listed(archives.withColumn("srcdir", landing.srcdir_of("path")), out_root, "replace", batch_lines)
     return run
 
 
@@ -69,7 +49,7 @@ def start_incremental_landing(spark: SparkSession, zips_dir: str, out_root: str,
     src = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
            .option("pathGlobFilter", "*.[zZ][iI][pP]")
            .option("maxFilesPerTrigger", max_files_per_trigger)
-           .load(zips_dir))
+           .load(zips_dir).select("path"))  # the archives themselves are read by the batch
     return (src.writeStream.foreachBatch(_land_batch(out_root, batch_lines))
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True)
