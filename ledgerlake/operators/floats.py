@@ -34,7 +34,9 @@ def float_candidates(facts: DataFrame) -> DataFrame:
     prices = (base.filter(F.col("tag").isin(*FLOAT_PRICE_TAGS))
               .groupBy("adsh", "ddate", "ckey")
               .agg(F.max("value").alias("price_per_share"),
-                   F.min("uom").alias("p_uom"),
+                   # unit of the largest price fact; smallest unit on ties
+                   F.min_by("uom", F.struct((-F.col("value")).alias("v"), F.col("uom").alias("u")))
+                   .alias("p_uom"),
                    F.first("coreg", ignorenulls=True).alias("p_coreg")))
     sv = shares.join(prices, ["adsh", "ddate", "ckey"], "inner").select(
         "adsh", "ddate", "shares_out", "price_per_share",

@@ -35,21 +35,22 @@ def fx_quotes(facts: DataFrame) -> DataFrame:
                     rate_to_usd("_c1", F.col("value")).alias("rate_to_usd")))
 
 
-RATE_SCALE = 1e12  # fixed-point unit of the rate average: 1e-12 USD per unit of base
+RATE_TYPE = "decimal(38,20)"  # 20 places: every digit of a double rate of 1e-5 or more
 
 
-def fixed_point_mean(rate) -> F.Column:
-    """Mean of USD-per-unit rates accumulated in fixed point (1e-12 units, exact
-    decimal sum): the result does not depend on partitioning or summation
-    order, so reruns and other engines give bit-identical rates."""
-    units = F.floor((rate * F.lit(RATE_SCALE)).cast("decimal(38,4)"))
-    return F.sum(units).cast("double") / F.count(units) / F.lit(RATE_SCALE)
+def exact_mean(rate) -> F.Column:
+    """Mean of rates summed as decimals: a double rate is taken with all its digits
+    and the sum does not depend on the order of the rows.  A group with a rate
+    too large for the type is averaged as doubles."""
+    units = rate.try_cast(RATE_TYPE)
+    exact = F.try_sum(units).cast("double") / F.count(units)
+    return F.when(F.count(units) == F.count(rate), exact).otherwise(F.avg(rate))
 
 
 def fx_rates(facts: DataFrame) -> DataFrame:
     """(kind, base, ddate) -> to_usd = mean rate, from_usd = 1 / to_usd."""
     agg = fx_quotes(facts).groupBy("kind", "base", "ddate") \
-                          .agg(fixed_point_mean(F.col("rate_to_usd")).alias("to_usd"))
+                          .agg(exact_mean(F.col("rate_to_usd")).alias("to_usd"))
     return agg.withColumn("from_usd", F.try_divide(F.lit(1.0), F.col("to_usd")))
 
 

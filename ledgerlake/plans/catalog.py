@@ -27,13 +27,16 @@ METRIC_IDS = {"assets": (1, 9), "cash": (3, 10), "debt": (5, 11), "float": (7, 1
 
 
 SIG_PATTERN = "0.00000000000E0"  # 12 significant digits
+#: Amounts are products of short decimals, so many end in an exact half at the 12th digit, where the
+#: last bit of a mean decides.  Both engines move values up by 3e-14 of themselves before rounding.
+SIG_NUDGE = 1.00000000000003
 
 
 def sig(c) -> F.Column:
     """12 significant digits, rounded half-even on the exact binary value
     (DecimalFormat), which is what C's ``%.11e`` does on the oracle side."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isNotNull(), F.call_function("format_number", c, F.lit(SIG_PATTERN)).cast("double"))
+    return F.when(c.isNotNull(), F.call_function("format_number", c * F.lit(SIG_NUDGE), F.lit(SIG_PATTERN)).cast("double"))
 
 
 def with_sig(df: DataFrame, doubles) -> DataFrame:

@@ -3,10 +3,8 @@
 ``FilingModels`` wires the operators together over one set of raw relations
 (driver-derived, landed Parquet, or anything with the raw columns).  Every
 property is a lazy DataFrame; nothing runs until an action (size checks for
-broadcasts and the ``t_*`` checkpoint run their own small jobs).  The pruned
-facts are persisted as soon as one plan has two consumers of them (rates and
-metric values; reported and computed float), so ``num`` is scanned once per
-plan.  With ``materialize=True`` every shared intermediate (facts, rates,
+broadcasts and the ``t_*`` checkpoint run their own small jobs).  Each consumer
+scans ``num`` for its own tags only, by a filter that reaches the scan.  With ``materialize=True`` every shared intermediate (facts, rates,
 metric values, converted amounts) is persisted, for a run that builds all
 models; ``release()`` frees them.
 """
@@ -18,7 +16,8 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.tags import METRICS, all_fact_tags
+from ..functions.tags import (FLOAT_PRICE_TAGS, FLOAT_REPORTED_TAGS, FLOAT_SHARE_TAGS, FX_AVERAGE_TAGS,
+                              FX_CLOSING_TAGS, METRICS, all_fact_tags)
 from ..operators import convert, exposure, floats, fx, kpis, marts, metrics, staging
 from ..session import checkpoint_dir
 from ..sources.adapter import ESG_SIGNALS, DriverRaw
@@ -83,6 +82,7 @@ class FilingModels:
     @cached_property
     def stg_num(self) -> DataFrame:
         """All facts of FY filings, as the source's staging view."""
+        self._check_num()
         return staging.stg_num(self.raw.num, self.stg_sub,
                                max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS))
 
@@ -91,11 +91,13 @@ class FilingModels:
         """Facts of the ~50 tags any model reads, joined once to FY filing attributes
         (one copy of each identical filing row).  The tag filter runs before any
         exchange, so only those facts are shuffled."""
-        if self.strict:
+        return self._keep(self.facts_for(all_fact_tags()))
+
+    def _check_num(self) -> None:
+        """Fail on the first unparsable fact in strict mode (checked once per graph)."""
+        if self.strict and not getattr(self, "_num_checked", False):
             staging.assert_clean(self.rejects_num, "num")
-        return self._keep(staging.stg_num(self.raw.num, self.stg_sub, tags=all_fact_tags(),
-                                          with_filing=True, distinct_filings=True,
-                                          max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS)))
+            self._num_checked = True
 
     @cached_property
     def stg_tag(self) -> DataFrame:
@@ -108,7 +110,9 @@ class FilingModels:
     # --------------------------------------------------------------------- FX
     @cached_property
     def fx_rates(self) -> DataFrame:
-        return self._keep(fx.fx_rates(self.facts))
+        """Rates from the facts of the rate tags only (unless the graph shares all facts)."""
+        facts = self.facts if self.materialize else self.facts_for(FX_CLOSING_TAGS + FX_AVERAGE_TAGS)
+        return self._keep(fx.fx_rates(facts))
 
     @property
     def closing_fx(self) -> DataFrame:
@@ -131,23 +135,16 @@ class FilingModels:
         return metrics.metric_view(metrics.metric_values(self.facts_for(METRICS[name].tags), [METRICS[name]]),
                                    name, currency)
 
-    def facts_for(self, tags) -> DataFrame:
-        """Facts of the given tags only, joined to FY filing attributes."""
+    def facts_for(self, tags, distinct_filings: bool = True) -> DataFrame:
+        """Facts of the given tags only, joined to FY filing attributes (one copy of each
+        identical filing row unless ``distinct_filings`` is off)."""
+        self._check_num()
         return staging.stg_num(self.raw.num, self.stg_sub, tags=tuple(tags), with_filing=True,
-                               distinct_filings=True,
+                               distinct_filings=distinct_filings,
                                max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS))
 
-    def _share_facts(self) -> None:
-        """Persist the pruned facts when two consumers in one plan read them
-        (rates and metric values; reported and computed float), so ``num`` is
-        scanned once, not once per consumer."""
-        if not self.materialize and not getattr(self, "_facts_shared", False):
-            self._persisted.append(self.facts.persist(StorageLevel.MEMORY_AND_DISK))
-            self._facts_shared = True
-
     @cached_property
     def converted(self) -> DataFrame:
-        self._share_facts()
         return self._keep(convert.converted_tables(self.metric_values, self.fx_rates,
                                                    max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS),
                                                    uom_mode=self.uom_mode))
@@ -163,7 +160,15 @@ class FilingModels:
         return self.converted.checkpoint(eager=True)
 
     def t(self, name: str) -> DataFrame:
-        return convert.t_table(self.converted, name)
+        """One converted metric.  Without shared intermediates it scans that metric's tags
+        and the rate tags only."""
+        if self.materialize:
+            return convert.t_table(self.converted, name)
+        spec = METRICS[name]
+        values = metrics.metric_values(self.facts_for(spec.tags), [spec])
+        return convert.t_table(convert.converted_tables(
+            values, self.fx_rates, specs=[spec], max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS),
+            uom_mode=self.uom_mode), name)
 
     def t_tables(self) -> dict:
         return {n: convert.t_table(self.converted_table, n) for n in METRICS}
@@ -171,12 +176,14 @@ class FilingModels:
     # ------------------------------------------------------------------ marts
     @cached_property
     def float_candidates(self) -> DataFrame:
-        return floats.float_candidates(self.facts)
+        facts = self.facts if self.materialize else self.facts_for(FLOAT_SHARE_TAGS + FLOAT_PRICE_TAGS)
+        return floats.float_candidates(facts)
 
     @cached_property
     def float_inferred(self) -> DataFrame:
-        self._share_facts()
-        return floats.float_inferred(self.facts, self.float_candidates)
+        """Reported floats keep the source's multiplicity: once per filing row."""
+        reported = self.facts_for(FLOAT_REPORTED_TAGS, distinct_filings=False)
+        return floats.float_inferred(reported, self.float_candidates)
 
     @cached_property
     def float_latest(self) -> DataFrame:

@@ -135,10 +135,10 @@ def test_top1_null_ddate_first(spark, raw_fixture):
     assert rows(m.t("assets"), "adsh", "assets_usd") == [("A2", 50.0)]
 
 
-def test_fixed_point_mean_is_order_independent(spark):
+def test_exact_mean_is_order_independent(spark):
     import random
     from pyspark.sql import functions as F
-    from ledgerlake.operators.fx import fixed_point_mean
+    from ledgerlake.operators.fx import exact_mean
     vals = [0.1, 0.2, 0.3, 1 / 3, 1 / 7, 1.1, 2.2, 1e-9, 123.456]
     results = set()
     for seed in range(4):
@@ -146,7 +146,7 @@ def test_fixed_point_mean_is_order_independent(spark):
         shuffled = vals[:]
         rnd.shuffle(shuffled)
         df = spark.createDataFrame([(v,) for v in shuffled], "r double").repartition(1 + seed)
-        results.add(df.agg(fixed_point_mean(F.col("r")).alias("m")).first().m)
+        results.add(df.agg(exact_mean(F.col("r")).alias("m")).first().m)
     assert len(results) == 1
     assert abs(results.pop() - sum(vals) / len(vals)) < 1e-12
 
