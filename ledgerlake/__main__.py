@@ -74,8 +74,7 @@ def main(argv=None) -> None:
         m.release()
     else:
         m = _models(spark, args.raw, args.seeds, materialize=False)
-        views.register_models(m)
-        df = spark.sql(args.query)
+        df = views.query_models(m, args.query)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:

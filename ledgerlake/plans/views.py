@@ -10,36 +10,50 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.tags import METRICS
 
 _NAME = re.compile(r"^[a-z][a-z0-9]*(_[a-z0-9]+)*$")
-_DB_PREFIX = re.compile(r"\b(from|join)\s+[`\"]?[A-Za-z_][\w]*[`\"]?\s*\.", re.IGNORECASE)
+_RELATION = re.compile(r"UnresolvedRelation \[([^\]]*)\]")
+_WRITES = re.compile(r"InsertIntoStatement|InsertIntoDir|MergeInto|DeleteFromTable|UpdateTable")
 
 
 class ViewRuleError(ValueError):
     pass
 
 
-def check_view(name: str, sql: str) -> None:
-    """snake_case name under 50 characters; one SELECT (or WITH ... SELECT);
-    no trailing semicolon; no database prefix on relations."""
+def relations(spark: SparkSession, sql: str) -> list[list[str]]:
+    """Name parts of every relation that one query reads, by Spark's own parser.
+    Names that the query defines itself (WITH) are among them."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    except ParseException as e:
+        raise ViewRuleError(f"the text is not one statement: {e.getMessage() or e}") from None
+    kind = spark._jvm.java.lang.Class.forName(
+        "org.apache.spark.sql.catalyst.plans.logical.Command", True,
+        spark._jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    tree = plan.toString()
+    if kind.isInstance(plan) or plan.getClass().getSimpleName().startswith("Create") or _WRITES.search(tree):
+        raise ViewRuleError("the statement must be a query")
+    return [[part.strip() for part in m.split(",")] for m in _RELATION.findall(tree)]
+
+
+def check_view(spark: SparkSession, name: str, sql: str) -> None:
+    """snake_case name under 50 characters; one query; no trailing semicolon; no
+    database prefix on relations."""
     if not _NAME.match(name) or len(name) >= 50:
         raise ViewRuleError(f"view name must be snake_case and under 50 characters: {name!r}")
-    body = sql.strip()
-    if body.endswith(";"):
+    if sql.strip().endswith(";"):
         raise ViewRuleError("no trailing semicolon")
-    if ";" in body:
-        raise ViewRuleError("exactly one statement")
-    if not re.match(r"^(select|with)\b", body, re.IGNORECASE):
-        raise ViewRuleError("the statement must be a SELECT")
-    if _DB_PREFIX.search(body):
-        raise ViewRuleError("relations must not carry a database prefix")
+    for parts in relations(spark, sql):
+        if len(parts) > 1:
+            raise ViewRuleError(f"relations must not carry a database prefix: {'.'.join(parts)}")
 
 
 def register_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
-    check_view(name, sql)
+    check_view(spark, name, sql)
     df = spark.sql(sql)
     df.createOrReplaceTempView(name)
     return df
@@ -72,32 +86,42 @@ SOURCE_VIEW_NAMES = {
 }
 
 
-def register_models(models) -> list[str]:
-    """Temp views for every model, under the source's names."""
-    names = []
-
-    def put(df, name):
-        df.createOrReplaceTempView(name)
-        names.append(name)
-
-    put(models.stg_sub, "stg_dera_sub")
-    put(models.stg_num, "stg_dera_num")
-    put(models.stg_tag, "stg_dera_tag")
-    put(models.stg_esg, "stg_esg_risk_factors")
-    put(models.closing_fx, "closing_fx")
-    put(models.average_fx, "average_fx")
+def _model_builders(models) -> dict:
+    """Published name -> function that builds the model."""
+    out = {
+        "stg_dera_sub": lambda: models.stg_sub, "stg_dera_num": lambda: models.stg_num,
+        "stg_dera_tag": lambda: models.stg_tag, "stg_esg_risk_factors": lambda: models.stg_esg,
+        "closing_fx": lambda: models.closing_fx, "average_fx": lambda: models.average_fx,
+    }
     for metric in METRICS:
         usd, xyz, t = SOURCE_VIEW_NAMES[metric]
-        put(models.metric_view(metric, "usd"), usd)
-        put(models.metric_view(metric, "xyz"), xyz)
-        put(models.t(metric), t)
-    put(models.float_candidates, "int_float_candidates")
-    put(models.float_inferred, "int_float_inferred")
-    put(models.float_latest, "float")
-    put(models.financials(), "financials")
-    put(models.exposure(), "asset_weighted_phys_climate_exposure_view")
-    put(models.exposure(), "physical_climate_change_exposure_view")
-    return names
+        out[usd] = lambda m=metric: models.metric_view(m, "usd")
+        out[xyz] = lambda m=metric: models.metric_view(m, "xyz")
+        out[t] = lambda m=metric: models.t(m)
+    out.update({
+        "int_float_candidates": lambda: models.float_candidates, "int_float_inferred": lambda: models.float_inferred,
+        "float": lambda: models.float_latest, "financials": lambda: models.financials(),
+        "asset_weighted_phys_climate_exposure_view": lambda: models.exposure(),
+        "physical_climate_change_exposure_view": lambda: models.exposure(),
+    })
+    return out
+
+
+def register_models(models, names=None) -> list[str]:
+    """Temp views for the models, under the source's names; ``names``: only these.
+    (Building ``financials`` runs the jobs of its ``t_*`` tables.)"""
+    builders = _model_builders(models)
+    chosen = [n for n in builders if names is None or n in names]
+    for name in chosen:
+        builders[name]().createOrReplaceTempView(name)
+    return chosen
+
+
+def query_models(models, sql: str) -> DataFrame:
+    """Run one query over the published names; only models that it reads are built."""
+    read = {parts[-1].lower() for parts in relations(models.spark, sql)}
+    register_models(models, read)
+    return models.spark.sql(sql)
 
 
 # Schema of each published model, as the source lays them out

@@ -128,3 +128,81 @@ def test_rebalance_gives_same_rows(spark):
     landing.land_archives(spark, zips, b, rebalance=4)
     ra, rb = landing.read_landed(spark, a, "sub"), landing.read_landed(spark, b, "sub")
     assert ra.count() == rb.count() == 500 and ra.exceptAll(rb).count() == 0
+
+
+def test_two_archives_of_one_srcdir(spark):
+    """Lines go with the header of their own archive; append keeps both, replace the last, skip the first."""
+    zips = _root()
+    make_zip(zips, "2019q4.zip", {"sub.txt": "adsh\tcik\nA1\t1\n"})
+    make_zip(zips, "2019q4.v2.zip", {"sub.txt": "cik\tadsh\textra\n2\tB1\tz\n"})
+    order = sorted(["2019q4.zip", "2019q4.v2.zip"])
+    one = {"2019q4.zip": ("A1", "1", None), "2019q4.v2.zip": ("B1", "2", "z")}
+    for mode, want in (("append", list(one.values())), ("replace", [one[order[-1]]]), ("skip", [one[order[0]]])):
+        out = os.path.join(_root(), "raw")
+        landing.land_archives(spark, zips, out, mode=mode)
+        rows = landing.read_landed(spark, out, "sub")
+        extra = F.col("extra") if "extra" in rows.columns else F.lit(None).cast("string")
+        assert sorted(map(tuple, rows.select("adsh", "cik", extra).collect())) == sorted(want), mode
+
+
+@pytest.mark.parametrize("text", ["", "adsh\tcik\n", "adsh\tcik\r\n\r\n"])
+def test_replace_by_a_member_without_rows(spark, text):
+    out = os.path.join(_root(), "raw")
+    first, second = _root(), _root()
+    make_zip(first, "2021q1.zip", {"sub.txt": "adsh\tcik\nA1\t1\n"})
+    make_zip(first, "2021q2.zip", {"sub.txt": "adsh\tcik\nB1\t2\n"})
+    make_zip(second, "2021q1.zip", {"sub.txt": text})
+    landing.land_archives(spark, first, out, mode="replace")
+    assert landing.land_archives(spark, second, out, mode="replace")["sub"] == []
+    assert [r.adsh for r in landing.read_landed(spark, out, "sub").collect()] == ["B1"]
+
+
+def test_stream_takes_empty_members_and_reads_no_archive_whole(spark):
+    from ledgerlake.streaming import start_incremental_landing
+    zips, out, ckpt = _root(), os.path.join(_root(), "raw"), os.path.join(_root(), "stream")
+    make_zip(zips, "2021q1.zip", {"sub.txt": "adsh\tcik\nA1\t1\n", "num.txt": "", "tag.txt": "tag\n"})
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
+    try:
+        start_incremental_landing(spark, zips, out, stream_checkpoint=ckpt).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert [r.adsh for r in landing.read_landed(spark, out, "sub").collect()] == ["A1"]
+
+
+@pytest.mark.parametrize("sql,good", [
+    ("select extract(year from f.x) as y from base_kpi_dates f", True),
+    ("select ';' as mark, x from base_kpi_dates", True),
+    ("with a as (select * from base_kpi_dates) select * from a where x in (select x from base_kpi_dates)", True),
+    ("with a as (select 1 as x) insert into t select * from a", False),
+    ("select * from base_kpi_dates, otherdb.t", False),
+    ("select 1; select 2", False),
+    ("drop table base_kpi_dates", False),
+])
+def test_view_rules_by_the_parser(spark, sql, good):
+    from ledgerlake.plans import views
+    spark.sql("select date '2020-01-01' as x").createOrReplaceTempView("base_kpi_dates")
+    if good:
+        views.register_view(spark, "parsed_kpi_view", sql)
+        assert spark.table("parsed_kpi_view").count() == 1
+    else:
+        with pytest.raises(views.ViewRuleError):
+            views.register_view(spark, "parsed_kpi_view", sql)
+
+
+def test_a_filing_in_two_srcdirs_keeps_both_reported_floats(raw_fixture):
+    """Reported floats keep the source's join multiplicity; metrics stay one row."""
+    from conftest import num_row, sub_row
+    from ledgerlake.plans.models import FilingModels
+    raw = raw_fixture([sub_row("S1"), sub_row("S1", srcdir="2021q2")],
+                      [num_row("S1", "EntityPublicFloat", "20201231", "5"), num_row("S1", "Assets", "20201231", "7")])
+    m = FilingModels(raw.sub.sparkSession, raw)
+    assert m.float_inferred.count() == 2 and m.metric_view("assets", "usd").count() == 1
+
+
+def test_strict_mode_fails_in_every_reader_of_facts(raw_fixture):
+    from conftest import num_row, sub_row
+    from ledgerlake.plans.models import FilingModels
+    raw = raw_fixture([sub_row("S1")], [num_row("S1", "Assets", "20201231", "12,5")])
+    for read in (lambda m: m.stg_num, lambda m: m.metric_view("assets", "usd"), lambda m: m.facts):
+        with pytest.raises(ValueError):
+            read(FilingModels(raw.sub.sparkSession, raw, strict=True))
