@@ -10,24 +10,23 @@ topic bigram set C:
 (a sentence with both tones counts as positive for T); the firm-year value is
 the mean of the quarterly values.
 
-Tokenisation (fixed, and repeated in the SQL oracle): sentences split on
-``[.!?\\n]+``, tokens are runs of Unicode letters of the lower-cased sentence,
-bigrams are consecutive tokens within one sentence, so every bigram has exactly
-one sentence.
-
-Execution: one row per transcript turn; sentences, tokens and bigrams are
-built with higher-order array functions (JVM side), sentences are exploded and
-the per-transcript sums are a partially aggregated ``groupBy``, so neither a
-long call nor a busy firm is ever collected into one row or one task.
+Tokenisation (fixed): the text of a call is its turns in order, joined by a
+line feed; sentences split on ``[.!?\\n]+``, tokens are runs of Unicode letters of
+the lower-cased text, bigrams are consecutive tokens of the whole call.  A bigram
+whose tokens lie in two sentences (or turns) belongs to the sentence of its first.
+
+Execution: a call is never assembled.  Bigrams that start in a turn and end in it
+are built from that turn's row with higher-order array functions; the bigrams
+between turns come from one slim row per turn (first token, last token, tones of
+the last sentence).  All occurrences meet the dictionary in one broadcast hash
+join and are summed by a partially aggregated ``groupBy``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small
-
 SENTENCE_SPLIT = r"[.!?\n]+"
 TOKEN = r"\p{L}+"
 
@@ -50,88 +49,81 @@ DEFAULT_NEGATIVE_WORDS = ("was", "by", "en", "den")
 KINDS = ("expo", "risk", "pos", "neg", "sent")
 
 
-def _arr(words) -> F.Column:
-    return F.array(*[F.lit(w) for w in words])
+TURNS_PER_BLOCK = 4096  # turns of one call that one window task orders together
+FLAGS = ("is_risk", "is_pos", "is_neg")
+
+
+def _tones(tokens, words) -> list:
+    return [F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in words[f]]).cast("array<string>")).alias(f)
+            for f in FLAGS]
 
 
-def _sentence_tokens(turns: DataFrame, key_cols, text_col: str, risk_words, pos_words,
-                     neg_words) -> DataFrame:
-    """One row per sentence: key columns, tokens, bigrams, bigram count and flags."""
-    sent = turns.select(*key_cols, F.explode(F.split(F.col(text_col), SENTENCE_SPLIT, -1)).alias("s"))
-    toks = sent.select(*key_cols, F.regexp_extract_all(F.lower(F.col("s")), F.lit(TOKEN), 0).alias("t"))
+def _inner_bigrams(turns: DataFrame, key_cols, text_col: str, words) -> DataFrame:
+    """Bigrams within one turn, one row each; a turn without any gives one row with a NULL bigram."""
+    sentences = F.filter(F.transform(F.split(F.lower(F.col(text_col)), SENTENCE_SPLIT, -1),
+                                     lambda s: F.regexp_extract_all(s, F.lit(TOKEN), 0)), lambda t: F.size(t) > 0)
+    turn = turns.select(*key_cols, sentences.alias("s"))
+    sent = turn.select(*key_cols, F.size("s").alias("n"), "s", F.posexplode_outer("s").alias("i", "t"))
+    # the token that follows the sentence in its turn closes its last bigram
+    closed = F.when(F.col("i") + 1 < F.col("n"), F.concat("t", F.slice(F.element_at("s", F.col("i") + 2), 1, 1))) \
+              .otherwise(F.col("t"))
+    sent = sent.select(*key_cols, *_tones(F.col("t"), words), closed.alias("t"))
     n = F.size("t")
-    bigrams = F.when(n >= 2, F.zip_with(F.slice("t", 1, n - 1), F.slice("t", 2, n - 1),
-                                        lambda a, b: F.concat(a, F.lit(" "), b))) \
-               .otherwise(F.array().cast("array<string>"))
-    return toks.select(*key_cols, bigrams.alias("bigrams"),
-                       F.greatest(n - 1, F.lit(0)).alias("n_bigrams"),
-                       F.arrays_overlap("t", _arr(risk_words)).alias("is_risk"),
-                       F.arrays_overlap("t", _arr(pos_words)).alias("is_pos"),
-                       F.arrays_overlap("t", _arr(neg_words)).alias("is_neg"))
-
-
-def sentence_counts(turns: DataFrame, key_cols, text_col: str = "text", topics=None,
-                    risk_words=DEFAULT_RISK_WORDS, pos_words=DEFAULT_POSITIVE_WORDS,
-                    neg_words=DEFAULT_NEGATIVE_WORDS) -> DataFrame:
-    """One row per sentence: key columns, bigram count, flags and per-topic hit
-    counts (topic sets tested inline; for small dictionaries)."""
-    topics = topics or DEFAULT_TOPICS
-    st = _sentence_tokens(turns, key_cols, text_col, risk_words, pos_words, neg_words)
-    cols = []
-    for topic, words in topics.items():
-        topic_set = _arr(words)
-        cols.append(F.size(F.filter("bigrams", lambda b: F.array_contains(topic_set, b))).alias(f"hits_{topic}"))
-    return st.select(*key_cols, "n_bigrams", "is_risk", "is_pos", "is_neg", *cols)
-
-
-def _joined_counts(turns: DataFrame, key_cols, text_col: str, topics, risk_words, pos_words,
-                   neg_words, max_broadcast_rows: int) -> DataFrame:
-    """Same columns as ``sentence_counts`` for large dictionaries: bigram
-    occurrences are exploded and matched by a hash join against the
-    (bigram, topic) dictionary, broadcast after a size check.  Sentence rows
-    carry the bigram count; hit rows carry one hit for one topic."""
-    st = _sentence_tokens(turns, key_cols, text_col, risk_words, pos_words, neg_words)
-    spark = turns.sparkSession
-    dictionary = spark.createDataFrame([(b, t) for t, ws in topics.items() for b in dict.fromkeys(ws)],
-                                       "bigram string, topic string")
-    dictionary = broadcast_if_small(dictionary, max_broadcast_rows)
-    occ = st.select(*key_cols, "is_risk", "is_pos", "is_neg", F.explode("bigrams").alias("bigram"))
-    hits = occ.join(dictionary, "bigram", "inner")
-    hit_rows = hits.select(*key_cols, F.lit(0).alias("n_bigrams"), "is_risk", "is_pos", "is_neg",
-                           *[F.when(F.col("topic") == F.lit(t), 1).otherwise(0).alias(f"hits_{t}")
-                             for t in topics])
-    sent_rows = st.select(*key_cols, "n_bigrams", F.lit(False).alias("is_risk"), F.lit(False).alias("is_pos"),
-                          F.lit(False).alias("is_neg"), *[F.lit(0).alias(f"hits_{t}") for t in topics])
-    return sent_rows.unionByName(hit_rows)
-
-
-INLINE_DICTIONARY_MAX = 64  # topic bigrams tested inline per sentence; beyond: hash join
-
-
-def transcript_signals(turns: DataFrame, key_cols, text_col: str = "text", topics=None,
-                       method: str = "auto", max_broadcast_rows: int = 5_000_000, **words) -> DataFrame:
-    """Signals per transcript (key_cols identify a transcript).
-
-    ``method``: 'inline' tests each sentence's bigrams against the topic lists
-    in the sentence row; 'join' explodes bigram occurrences and hash-joins them
-    with the dictionary (the right choice for dictionaries of thousands of
-    bigrams); 'auto' picks by dictionary size."""
-    topics = topics or DEFAULT_TOPICS
-    kw = {"risk_words": words.get("risk_words", DEFAULT_RISK_WORDS),
-          "pos_words": words.get("pos_words", DEFAULT_POSITIVE_WORDS),
-          "neg_words": words.get("neg_words", DEFAULT_NEGATIVE_WORDS)}
-    if method == "auto":
-        method = "inline" if sum(len(w) for w in topics.values()) <= INLINE_DICTIONARY_MAX else "join"
-    if method == "inline":
-        sc = sentence_counts(turns, key_cols, text_col, topics, **kw)
-    elif method == "join":
-        sc = _joined_counts(turns, key_cols, text_col, topics, max_broadcast_rows=max_broadcast_rows, **kw)
-    else:
-        raise ValueError(f"unknown method {method}")
+    pairs = F.when(n >= 2, F.zip_with(F.slice("t", 1, n - 1), F.slice("t", 2, n - 1),
+                                      lambda a, b: F.concat(a, F.lit(" "), b)))
+    return sent.select(*key_cols, *FLAGS, F.explode_outer(pairs).alias("bigram"))
+
+
+def _crossing_bigrams(turns: DataFrame, key_cols, text_col: str, turn_col: str, words) -> DataFrame:
+    """Bigrams from the last token of a turn to the first of the next turn that has one.
+
+    Turns are ordered in blocks of ``TURNS_PER_BLOCK`` turn numbers, then the blocks of a
+    call among themselves, so a call that holds much of the table is spread over many tasks.
+    Rows of equal turn number are ordered by their tokens; a NULL turn number comes first."""
+    low = F.lower(F.col(text_col))
+    # reversed, the text from its first letter to a sentence mark is the last sentence
+    tail = F.reverse(F.regexp_extract(F.reverse(low), r"\p{L}[^.!?\n]*", 0))
+    ends = turns.select(*key_cols, F.col(turn_col).alias("_turn"),
+                        F.regexp_extract(low, TOKEN, 0).alias("_first"),
+                        F.regexp_extract_all(tail, F.lit(TOKEN), 0).alias("_t")) \
+                .filter(F.col("_first") != F.lit(""))
+    ends = ends.select(*key_cols, "_turn", F.floor(F.col("_turn") / TURNS_PER_BLOCK).alias("_block"), "_first",
+                       F.element_at("_t", -1).alias("_last"), *_tones(F.col("_t"), words))
+    inside = Window.partitionBy(*key_cols, "_block").orderBy("_turn", "_first", "_last", *FLAGS)
+    ends = ends.select("*", F.lead("_first").over(inside).alias("_next"),
+                       F.first("_first").over(inside).alias("_head"))
+    blocks = Window.partitionBy(*key_cols).orderBy("_block")
+    last = ends.filter(F.col("_next").isNull()).withColumn("_next", F.lead("_head").over(blocks))
+    both = ends.filter(F.col("_next").isNotNull()).unionByName(last.filter(F.col("_next").isNotNull()))
+    return both.select(*key_cols, *FLAGS, F.concat("_last", F.lit(" "), "_next").alias("bigram"))
+
+
+def _dictionary(spark, topics: dict, max_broadcast_rows: int) -> DataFrame:
+    """One row per topic bigram with a 0/1 column per topic; it is an argument of the
+    caller, so its size is known without a job."""
+    rows = [(b, *[int(b in ws) for ws in topics.values()]) for b in sorted({b for ws in topics.values() for b in ws})]
+    schema = ", ".join(["bigram string"] + [f"hits_{t} int" for t in topics])
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= max_broadcast_rows else df
+
+
+def transcript_signals(turns: DataFrame, key_cols, text_col: str = "text", topics=None, turn_col: str = "turn",
+                       max_broadcast_rows: int = 5_000_000, **words) -> DataFrame:
+    """Signals per transcript (key_cols identify a transcript, turn_col orders its turns).
+
+    ``topics``: topic -> bigrams; ``risk_words``, ``pos_words``, ``neg_words``: the tone lists.
+    A transcript without bigrams gets NULL signals."""
+    topics = {t: frozenset(ws) for t, ws in (topics or DEFAULT_TOPICS).items()}
+    tones = {"is_risk": words.get("risk_words", DEFAULT_RISK_WORDS),
+             "is_pos": words.get("pos_words", DEFAULT_POSITIVE_WORDS),
+             "is_neg": words.get("neg_words", DEFAULT_NEGATIVE_WORDS)}
+    occurrences = _inner_bigrams(turns, key_cols, text_col, tones).unionByName(
+        _crossing_bigrams(turns, key_cols, text_col, turn_col, tones))
+    sc = occurrences.join(_dictionary(turns.sparkSession, topics, max_broadcast_rows), "bigram", "left")
     tone = F.when(F.col("is_pos"), 1).when(F.col("is_neg"), -1).otherwise(0)
-    aggs = [F.sum("n_bigrams").cast("bigint").alias("n_bigrams")]
+    aggs = [F.count("bigram").alias("n_bigrams")]
     for topic in topics:
-        h = F.col(f"hits_{topic}")
+        h = F.coalesce(F.col(f"hits_{topic}"), F.lit(0))
         aggs += [F.sum(h).alias(f"{topic}_expo"),
                  F.sum(F.when(F.col("is_risk"), h).otherwise(0)).alias(f"{topic}_risk"),
                  F.sum(F.when(F.col("is_pos"), h).otherwise(0)).alias(f"{topic}_pos"),
@@ -157,7 +149,7 @@ def firm_year_signals(transcripts: DataFrame, firm_col: str = "firm_id", year_co
 def conversation_transcripts(conversations: DataFrame) -> DataFrame:
     """Driver ``conversations`` as call transcripts: one transcript per conv_id,
     firm = conv_id % 20, year = 2019 + conv_id % 3, quarter = 1 + conv_id % 4.
-    Turns stay separate rows; a sentence never spans two turns."""
+    Turns stay separate rows."""
     return conversations.select(
         "conv_id", "turn", "text",
         (F.col("conv_id") % 20).alias("firm_id"),
@@ -165,9 +157,8 @@ def conversation_transcripts(conversations: DataFrame) -> DataFrame:
         (F.lit(1) + F.col("conv_id") % 4).cast("int").alias("quarter"))
 
 
-def text_signals(conversations: DataFrame, topics=None, method: str = "auto", **words) -> DataFrame:
+def text_signals(conversations: DataFrame, topics=None, **words) -> DataFrame:
     """Firm-year signals from the conversations table."""
     tr = conversation_transcripts(conversations)
-    per_call = transcript_signals(tr, ["conv_id", "firm_id", "year", "quarter"], "text", topics,
-                                  method=method, **words)
+    per_call = transcript_signals(tr, ["conv_id", "firm_id", "year", "quarter"], "text", topics, **words)
     return firm_year_signals(per_call, topics=topics)

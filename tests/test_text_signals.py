@@ -6,22 +6,19 @@ from ledgerlake.operators import text_signals as TS
 
 
 def brute(texts, topics, risk, pos, neg):
-    n = 0
+    """One call: its turns in order, joined by a line feed."""
+    tagged = []  # (token, tones of its sentence)
+    for s in re.split(r"[.!?\n]+", "\n".join(texts).lower()):
+        toks = re.findall(r"[^\W\d_]+", s)
+        tones = (bool(set(toks) & set(risk)), bool(set(toks) & set(pos)), bool(set(toks) & set(neg)))
+        tagged += [(t, tones) for t in toks]
     sums = {f"{t}_{k}": 0 for t in topics for k in TS.KINDS}
-    for text in texts:
-        for s in re.split(r"[.!?\n]+", text):
-            toks = re.findall(r"[^\W\d_]+", s.lower())
-            bg = [a + " " + b for a, b in zip(toks, toks[1:])]
-            n += len(bg)
-            fr, fp, fn = bool(set(toks) & set(risk)), bool(set(toks) & set(pos)), bool(set(toks) & set(neg))
-            tone = 1 if fp else (-1 if fn else 0)
-            for t, words in topics.items():
-                h = sum(b in words for b in bg)
-                sums[f"{t}_expo"] += h
-                sums[f"{t}_risk"] += h * fr
-                sums[f"{t}_pos"] += h * fp
-                sums[f"{t}_neg"] += h * fn
-                sums[f"{t}_sent"] += h * tone
+    for (a, (fr, fp, fn)), (b, _) in zip(tagged, tagged[1:]):
+        for t, words in topics.items():
+            h = int(f"{a} {b}" in words)
+            for k, v in zip(TS.KINDS, (h, h * fr, h * fp, h * fn, h * (1 if fp else -1 if fn else 0))):
+                sums[f"{t}_{k}"] += v
+    n = max(len(tagged) - 1, 0)
     return {k + "_ew": (v / n if n else None) for k, v in sums.items()}
 
 
@@ -50,21 +47,31 @@ def test_firm_year_mean_of_quarters(spark):
     assert r.cc_expo_ew == pytest.approx((0.2 + 0.5) / 2)
 
 
-def test_inline_and_join_methods_agree(spark):
-    conv = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
-    tr = TS.conversation_transcripts(conv)
-    keys = ["conv_id", "firm_id", "year", "quarter"]
-    a = TS.transcript_signals(tr, keys, "text", method="inline")
-    b = TS.transcript_signals(tr, keys, "text", method="join")
-    assert a.count() == b.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_bigrams_cross_sentences_turns_and_blocks(spark, monkeypatch):
+    """Bigrams run over sentence ends, empty turns and blocks of turns; the tones are those of
+    the first token's sentence."""
+    monkeypatch.setattr(TS, "TURNS_PER_BLOCK", 2)
+    topics = {"cc": ("sea level", "tax now", "level good"), "ph": ("heat wave", "now heat")}
+    tones = {"risk_words": ("risk",), "pos_words": ("good",), "neg_words": ("loss",)}
+    calls = {1: ["risk. Sea", "", None, "level. 5 % !", "...", "Good tax", "now", "heat\nwave. Sea"],
+             2: ["loss tax", "now heat", "wave sea", "level good", "-", "?"],
+             3: [None], 4: [""], 5: ["Sea"]}
+    df = spark.createDataFrame([(c, i, t) for c, ts in calls.items() for i, t in enumerate(ts)],
+                               "conv_id long, turn int, text string")
+    out = {r.conv_id: r for r in TS.transcript_signals(df, ["conv_id"], topics=topics, **tones).collect()}
+    assert sorted(out) == [1, 2, 3, 4, 5]
+    for c, texts in calls.items():
+        want = brute([t for t in texts if t is not None], topics, *tones.values())
+        assert {k: out[c][k] for k in want} == pytest.approx(want), c
+    assert out[2].n_bigrams == 7 and out[5].n_bigrams == 0 and out[5].cc_expo_ew is None
 
 
-def test_join_method_large_dictionary(spark):
+def test_dictionary_joined_without_broadcast(spark):
+    """The same rows whether or not the dictionary is broadcast; a bigram may belong to two topics."""
     vocab = [f"q{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
-    topics = {"cc": tuple(f"{x} {y}" for x, y in zip(vocab, vocab[1:])) + ("carbon tax",)}
-    assert sum(len(v) for v in topics.values()) > TS.INLINE_DICTIONARY_MAX
+    topics = {"cc": tuple(f"{x} {y}" for x, y in zip(vocab, vocab[1:])) + ("carbon tax",), "op": ("carbon tax",)}
     df = spark.createDataFrame([(1, 0, "Carbon tax qaa qab qac. nothing")], "conv_id long, turn long, text string")
-    r = TS.transcript_signals(df, ["conv_id"], "text", topics, risk_words=("x",), pos_words=("y",),
-                              neg_words=("z",)).first()
-    assert r.n_bigrams == 4 and r.cc_expo_ew == pytest.approx(3 / 4)
+    kw = dict(topics=topics, risk_words=("x",), pos_words=("y",), neg_words=("z",))
+    for limit in (5_000_000, 0):
+        r = TS.transcript_signals(df, ["conv_id"], max_broadcast_rows=limit, **kw).first()
+        assert r.n_bigrams == 5 and r.cc_expo_ew == pytest.approx(3 / 5) and r.op_expo_ew == pytest.approx(1 / 5)
