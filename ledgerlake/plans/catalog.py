@@ -19,6 +19,7 @@ from ..functions.tags import METRICS
 from ..operators import exposure, fx, kpis, text_signals
 from ..sources.adapter import DriverRaw, read_driver
 from ..sources import landing
+from . import landing_queries
 from .models import FilingModels
 
 MONEY = ("revenue_usd", "income_usd", "market_cap_usd", "debt_usd", "cash_usd", "assets_usd")
@@ -138,6 +139,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
                                 ("asset_weighted_physical_climate_change_exposure",)),
     "F9b_t_a_single_codes": (lambda s, d: FilingModels.from_driver(s, d, uom_mode="pair_or_single").t("assets"),
                              ("assets_usd",)),
+    **{k: (fn, ()) for k, fn in landing_queries.REGISTRY.items()},
 }
 
 
