@@ -57,7 +57,7 @@ def fx_candidates(df: DataFrame, only=None) -> DataFrame:
 
 
 def attach_rate(rows: DataFrame, rates: DataFrame, only=None,
-                max_broadcast_rows: int = RATES_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = RATES_BROADCAST_ROWS, keep: list | None = None) -> DataFrame:
     """Add ``rate`` (USD per unit of ``base``, first step that has one) to each row.
 
     The rate table is (kind, base, ddate) -> to_usd.  Rows must be distinct."""
@@ -65,7 +65,7 @@ def attach_rate(rows: DataFrame, rates: DataFrame, only=None,
     cand = fx_candidates(rows, only)
     r = rates.select(F.col("kind").alias("fx_kind"), F.col("base").alias("fx_base"),
                      F.col("ddate").alias("fx_day"), "to_usd")
-    r = broadcast_if_small(r, max_broadcast_rows)
+    r = broadcast_if_small(r, max_broadcast_rows, keep)
     cond = ((cand["kind"] == r["fx_kind"]) & (cand["base"] == r["fx_base"])
             & (cand["fx_date"] == r["fx_day"]))
     joined = cand.join(r, cond, "left").select(*[cand[c] for c in keys], cand["step"], r["to_usd"])
@@ -74,7 +74,8 @@ def attach_rate(rows: DataFrame, rates: DataFrame, only=None,
 
 
 def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
-                     max_broadcast_rows: int = RATES_BROADCAST_ROWS, uom_mode: str = "pair") -> DataFrame:
+                     max_broadcast_rows: int = RATES_BROADCAST_ROWS, uom_mode: str = "pair",
+                     keep: list | None = None) -> DataFrame:
     """All six ``t_*`` tables in one frame:
     metric, adsh, cik, name, sic, fy, ddate, amount_usd.
 
@@ -106,7 +107,7 @@ def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
     best = best.withColumns({"_c1": c1, "_c2": c2})  # parse once; base reads the parts
     base = F.when(single, u).otherwise(base_currency(F.col("_c1"), F.col("_c2")))
     best = best.select("metric", "side", *OUT_COLS, "value", F.when(is_xyz, base).alias("base"))
-    rated = attach_rate(best, rates, only=is_xyz, max_broadcast_rows=max_broadcast_rows)
+    rated = attach_rate(best, rates, only=is_xyz, max_broadcast_rows=max_broadcast_rows, keep=keep)
     amount = F.when(is_xyz, F.col("rate") * F.col("value").cast("double")) \
               .otherwise(F.col("value").cast("double"))
     return rated.select("metric", *OUT_COLS, amount.alias("amount_usd"))

@@ -68,7 +68,7 @@ def industry_benchmarks(kp: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_sic_fy, by_sic
 
 
-def relative_kpis(kp: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def relative_kpis(kp: DataFrame, max_broadcast_rows: int = 1_000_000, keep: list | None = None) -> DataFrame:
     """Each relative KPI = ratio / mean of the ratio over its industry group.
 
     The group means are joined back null-safely (a NULL industry is a group,
@@ -76,8 +76,8 @@ def relative_kpis(kp: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFra
     are never shuffled by industry, so a dominant industry costs nothing extra."""
     by_sic_fy, by_sic = industry_benchmarks(kp)
     b1 = broadcast_if_small(by_sic_fy.withColumnsRenamed({"sic": "_b1_sic", "fy": "_b1_fy"}),
-                            max_broadcast_rows)
-    b2 = broadcast_if_small(by_sic.withColumnRenamed("sic", "_b2_sic"), max_broadcast_rows)
+                            max_broadcast_rows, keep)
+    b2 = broadcast_if_small(by_sic.withColumnRenamed("sic", "_b2_sic"), max_broadcast_rows, keep)
     out = kp.join(b1, kp["sic"].eqNullSafe(b1["_b1_sic"]) & kp["fy"].eqNullSafe(b1["_b1_fy"]), "left")
     out = out.join(b2, out["sic"].eqNullSafe(b2["_b2_sic"]), "left")
     out = out.withColumns({name: F.try_divide(F.col(base), F.col(f"_avg_{name}"))
@@ -85,7 +85,8 @@ def relative_kpis(kp: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFra
     return out.drop("_b1_sic", "_b1_fy", "_b2_sic", *[f"_avg_{n}" for n in RELATIVE])
 
 
-def climate_kpis(kp: DataFrame, esg: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def climate_kpis(kp: DataFrame, esg: DataFrame, max_broadcast_rows: int = 2_000_000,
+                 keep: list | None = None) -> DataFrame:
     """Join the ESG panel on (cik, year of fy) and divide by the signal.
 
     ESG is reduced to one row per firm-year first (a security map may list a
@@ -95,7 +96,7 @@ def climate_kpis(kp: DataFrame, esg: DataFrame, max_broadcast_rows: int = 2_000_
     e = (esg.filter(F.col("cik").isNotNull())
             .groupBy(F.col("cik").alias("_e_cik"), F.col("year").alias("_e_year"))
             .agg(*[F.avg(s).alias(s) for s in signals]))
-    e = broadcast_if_small(e, max_broadcast_rows)
+    e = broadcast_if_small(e, max_broadcast_rows, keep)
     out = kp.join(e, (kp["cik"] == e["_e_cik"]) & (F.year(kp["fy"]) == e["_e_year"]), "left")
     out = out.withColumns({name: safe_ratio(num, sig) for name, (num, sig) in CLIMATE.items()})
     return out.drop("_e_cik", "_e_year", *signals)
@@ -104,8 +105,9 @@ def climate_kpis(kp: DataFrame, esg: DataFrame, max_broadcast_rows: int = 2_000_
 KPI_COLS = tuple(RATIOS) + tuple(RELATIVE) + tuple(CLIMATE)
 
 
-def all_kpis(fin: DataFrame, esg: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def all_kpis(fin: DataFrame, esg: DataFrame, max_broadcast_rows: int | None = None,
+             keep: list | None = None) -> DataFrame:
     lim = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
-    kp = relative_kpis(ratio_kpis(fin), **lim)
-    kp = climate_kpis(kp, esg, **lim)
+    kp = relative_kpis(ratio_kpis(fin), keep=keep, **lim)
+    kp = climate_kpis(kp, esg, keep=keep, **lim)
     return kp.select("cik", "fy", "ddate", "sic", *KPI_COLS)

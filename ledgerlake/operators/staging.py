@@ -56,12 +56,12 @@ def fy_filings(stg_sub_df: DataFrame) -> DataFrame:
         "adsh", "fy", "fp", "cik", "name", "sic", "form")
 
 
-FILINGS_BROADCAST_ROWS = 5_000_000  # ~0.5 GB of filing attributes
+FILINGS_BROADCAST_ROWS = 5_000_000  # and at most sizing.MAX_BROADCAST_BYTES
 
 
 def stg_num(num: DataFrame, stg_sub_df: DataFrame, tags=None, with_filing: bool = False,
             max_broadcast_rows: int | None = FILINGS_BROADCAST_ROWS,
-            distinct_filings: bool = False) -> DataFrame:
+            distinct_filings: bool = False, keep: list | None = None) -> DataFrame:
     """Facts of FY filings (the source's left join + ``fp = 'FY'`` is an inner join).
 
     ``with_filing`` keeps cik/name/sic/form of the filing on every fact, so that the
@@ -80,7 +80,7 @@ def stg_num(num: DataFrame, stg_sub_df: DataFrame, tags=None, with_filing: bool
     multiply the facts in the join.  Maxima are unaffected.  Rate means then
     weigh each fact once per fact copy instead of once per fact copy x filing
     copy, as SURVEY 7.4 decides.  Off for the staging view itself, which keeps
-    the source's row multiplicity.
+    the source's row multiplicity.  ``keep``: see ``broadcast_if_small``.
     """
     facts = typed_num(num, tags)
     right = fy_filings(stg_sub_df)
@@ -89,7 +89,7 @@ def stg_num(num: DataFrame, stg_sub_df: DataFrame, tags=None, with_filing: bool
     if distinct_filings:
         right = right.distinct()
     if max_broadcast_rows:
-        right = broadcast_if_small(right, max_broadcast_rows)
+        right = broadcast_if_small(right, max_broadcast_rows, keep)
     return facts.join(right, "adsh", "inner")
 
 

@@ -3,7 +3,7 @@
 ``FilingModels`` wires the operators together over one set of raw relations
 (driver-derived, landed Parquet, or anything with the raw columns).  Every
 property is a lazy DataFrame; nothing runs until an action (size checks for
-broadcasts and the ``t_*`` checkpoint run their own small jobs).  Each consumer
+broadcasts and the ``t_*`` files run their own small jobs).  Each consumer
 scans ``num`` for its own tags only, by a filter that reaches the scan.  With ``materialize=True`` every shared intermediate (facts, rates,
 metric values, converted amounts) is persisted, for a run that builds all
 models; ``release()`` frees them.
@@ -11,6 +11,7 @@ models; ``release()`` frees them.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -21,7 +22,6 @@ from ..functions.tags import (FLOAT_PRICE_TAGS, FLOAT_REPORTED_TAGS, FLOAT_SHARE
 from ..operators import convert, exposure, floats, fx, kpis, marts, metrics, staging
 from ..session import checkpoint_dir
 from ..sources.adapter import ESG_SIGNALS, DriverRaw
-from . import sizing
 
 
 class FilingModels:
@@ -42,6 +42,7 @@ class FilingModels:
         self.uom_mode = uom_mode
         self.strict = strict
         self._persisted: list = []
+        self._written: list = []
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "FilingModels":
@@ -59,10 +60,14 @@ class FilingModels:
 
     def release(self) -> None:
         """Unpersist what this graph persisted (shared intermediates, size-checked
-        broadcast sides).  Checkpoint files stay in the checkpoint folder."""
+        broadcast sides) and delete the ``t_*`` files it wrote; its DataFrames of
+        ``financials`` and the KPIs cannot be read afterwards."""
         while self._persisted:
             self._persisted.pop().unpersist()
-        sizing.release_all()
+        while self._written:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._written.pop())
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.__dict__.pop("converted_table", None)
 
     # ---------------------------------------------------------------- staging
     @cached_property
@@ -84,7 +89,8 @@ class FilingModels:
         """All facts of FY filings, as the source's staging view."""
         self._check_num()
         return staging.stg_num(self.raw.num, self.stg_sub,
-                               max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS))
+                               max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS),
+                               keep=self._persisted)
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -141,23 +147,26 @@ class FilingModels:
         self._check_num()
         return staging.stg_num(self.raw.num, self.stg_sub, tags=tuple(tags), with_filing=True,
                                distinct_filings=distinct_filings,
-                               max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS))
+                               max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS),
+                               keep=self._persisted)
 
     @cached_property
     def converted(self) -> DataFrame:
         return self._keep(convert.converted_tables(self.metric_values, self.fx_rates,
                                                    max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS),
-                                                   uom_mode=self.uom_mode))
+                                                   uom_mode=self.uom_mode, keep=self._persisted))
 
     @cached_property
     def converted_table(self) -> DataFrame:
-        """``converted`` written once to the shared checkpoint folder.  The
-        source materialises its six ``t_*`` models as tables for the same
-        reason: the financials mart reads all six, and each read of the lazy
-        plan would scan and aggregate the facts again (the metric filter is
-        pushed into each read, so the reads share no exchange)."""
-        checkpoint_dir(self.spark)
-        return self.converted.checkpoint(eager=True)
+        """``converted`` written once, as Parquet by metric in the shared checkpoint
+        folder.  The source materialises its six ``t_*`` models as tables for the
+        same reason: the financials mart reads all six, and each read of the lazy
+        plan would scan and aggregate the facts again.  A read of one metric opens
+        its own files and columns only."""
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/converted-{uuid.uuid4().hex}"
+        self._written.append(path)
+        self.converted.write.partitionBy("metric").parquet(path)
+        return self.spark.read.schema(self.converted.schema).parquet(path)
 
     def t(self, name: str) -> DataFrame:
         """One converted metric.  Without shared intermediates it scans that metric's tags
@@ -168,7 +177,7 @@ class FilingModels:
         values = metrics.metric_values(self.facts_for(spec.tags), [spec])
         return convert.t_table(convert.converted_tables(
             values, self.fx_rates, specs=[spec], max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS),
-            uom_mode=self.uom_mode), name)
+            uom_mode=self.uom_mode, keep=self._persisted), name)
 
     def t_tables(self) -> dict:
         return {n: convert.t_table(self.converted_table, n) for n in METRICS}
@@ -204,8 +213,8 @@ class FilingModels:
 
     def kpis(self, dedupe: bool = True) -> DataFrame:
         """KPIs read the financials mart twice (rows and industry means), so the
-        mart is persisted first; its lineage is already cut at the checkpointed
-        ``t_*`` tables, so a lost block is rebuilt from there, not from ``num``."""
+        mart is persisted first; its lineage is already cut at the written
+        ``t_*`` files, so a lost block is rebuilt from there, not from ``num``."""
         fin = self.financials(dedupe=dedupe).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(fin)
-        return kpis.all_kpis(fin, self.stg_esg, max_broadcast_rows=self.max_broadcast_rows)
+        return kpis.all_kpis(fin, self.stg_esg, max_broadcast_rows=self.max_broadcast_rows, keep=self._persisted)

@@ -229,7 +229,7 @@ def archive_headers(archives: DataFrame, members=MEMBERS) -> DataFrame:
 
 # ------------------------------------------------------------------ A5 / A6
 def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: list,
-                   max_broadcast_rows: int = 100_000) -> DataFrame:
+                   max_broadcast_rows: int = 100_000, keep: list | None = None) -> DataFrame:
     """Raw rows of one table with the union of all header columns.
 
     A column missing from an archive's header reads NULL for that archive's
@@ -244,7 +244,7 @@ def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: li
     h = (headers.filter(F.col("table") == F.lit(table))
          .select(key, F.size("header").alias("_n"),
                  F.transform(wanted, lambda c: F.array_position(F.col("header"), c).cast("int")).alias("_pos")))
-    h = broadcast_if_small(h, max_broadcast_rows)
+    h = broadcast_if_small(h, max_broadcast_rows, keep)
     body = (lines.filter((F.col("table") == F.lit(table)) & (F.col("line_no") > 0))
             .withColumn("_line", clean_line("line")).filter(F.col("_line") != F.lit("")))
     j = body.join(h, key, "inner")
@@ -341,12 +341,15 @@ def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_
             lines = archive_lines(todo, batch_lines, members=(member,))
             if rebalance:
                 lines = lines.repartition(rebalance)
-            writer = rows_for_table(lines, headers, table, columns).write.partitionBy("srcdir")
+            kept_sides: list = []
+            writer = rows_for_table(lines, headers, table, columns, keep=kept_sides).write.partitionBy("srcdir")
             if mode == "replace":
                 writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             else:
                 writer = writer.mode("append")
             writer.parquet(path)
+            for side in kept_sides:
+                side.unpersist()
         if mode == "replace":
             for srcdir in {r["srcdir"] for r in rows} - {r["srcdir"] for r in load}:
                 _drop_partition(spark, path, srcdir)
