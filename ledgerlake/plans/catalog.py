@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tags import METRICS
 from ..operators import exposure, fx, kpis, text_signals
-from ..sources.adapter import DriverRaw, read_driver
+from ..sources.adapter import DirtyRaw, DriverRaw, read_driver
 from ..sources import landing
 from . import landing_queries
 from .models import FilingModels
@@ -48,6 +48,10 @@ def _m(spark, sf_dir) -> FilingModels:
     return FilingModels.from_driver(spark, sf_dir)
 
 
+def _dirty(spark, sf_dir) -> FilingModels:
+    return FilingModels(spark, DirtyRaw(spark, sf_dir))
+
+
 def _metric_queries() -> dict:
     out = {}
     for spec in METRICS.values():
@@ -139,6 +143,15 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
                                 ("asset_weighted_physical_climate_change_exposure",)),
     "F9b_t_a_single_codes": (lambda s, d: FilingModels.from_driver(s, d, uom_mode="pair_or_single").t("assets"),
                              ("assets_usd",)),
+    # the same models over raw rows with faults
+    "B1_dirty": (lambda s, d: _dirty(s, d).stg_sub, ()),
+    "B2_dirty": (lambda s, d: _dirty(s, d).stg_num, ()),
+    "B2_rejects": (lambda s, d: _dirty(s, d).rejects_num.select("adsh", "tag", "ddate", "qtrs", "value"), ()),
+    "E2_dirty": (lambda s, d: _dirty(s, d).metric_view("assets", "xyz"), ()),
+    "F4_dirty": (lambda s, d: _dirty(s, d).closing_fx, ("to_usd", "from_usd")),
+    "F9_dirty": (lambda s, d: _dirty(s, d).t("assets"), ("assets_usd",)),
+    "J2_dirty": (lambda s, d: _dirty(s, d).float_inferred, ()),
+    "J3_dirty": (lambda s, d: _dirty(s, d).float_latest, ()),
     **{k: (fn, ()) for k, fn in landing_queries.REGISTRY.items()},
 }
 

@@ -128,6 +128,48 @@ from {t['customer']} where c_custkey % 10 <> 9"""
             "esg_risk_factors": esg, "isin_cik": isin_cik}
 
 
+def dirty_sql(dialect: str = "spark") -> dict[str, str]:
+    """The same filings and facts with the faults real ones have: filings filed in two quarters,
+    malformed identifiers and years, the known bad dates, blank, absent and malformed values, missing
+    units, repeated facts, and rates far from 1 (USD/JPY near 100, USD/IRR near 42,000)."""
+    t = {n: "{" + n + "}" if dialect == "spark" else f"clean_{n}" for n in ("raw_num", "raw_sub")}
+    sub_cols = ("adsh", "cik", "name", "sic", "ein", "form", "period", "fy", "fp", "filed", "accepted", "wksi",
+                "prevrpt", "detail", "srcdir")
+    faults = {"cik": "case when n % 37 = 0 then 'CIK?' else cik end",
+              "sic": "case when n % 13 = 0 then 'abc' else sic end",
+              "period": "case when n % 43 = 0 then '20201399' else period end",
+              "fy": "case when n % 41 = 0 then 'FY20' else fy end"}
+    picked = ", ".join(f"{faults[c]} as {c}" if c in faults else c for c in sub_cols)
+    raw_sub = f"""
+with f as (select *, cast(substr(adsh, 2) as bigint) as n from {t['raw_sub']}),
+g as (select {picked}, n from f)
+select {', '.join(sub_cols)} from g
+union all
+select {', '.join(c if c != 'srcdir' else "'again'" for c in sub_cols)} from g where n % 11 = 0"""
+    amount = "cast(value as decimal(28,4))"
+    raw_num = f"""
+with f as (select *, cast(abs({amount}) * 100 as bigint) % 100 as k, tag like '%ExchangeRate%' as is_rate
+           from {t['raw_num']}),
+g as (
+  select adsh, tag, version, coreg,
+    case k when 1 then '29231231' when 2 then '21061130' when 3 then '21051130' when 4 then '21080430'
+           when 5 then '' when 6 then '20200230' else ddate end as ddate,
+    case k when 12 then 'x' when 13 then '' else qtrs end as qtrs,
+    case when k = 15 then null when k = 16 then 'Usd' when uom = 'USD/JPY' and k % 20 = 0 then 'USD/IRR' else uom end as uom,
+    segments,
+    case when is_rate and uom = 'USD/JPY' and k % 20 = 0 then cast(cast({amount} * 42105.37 as decimal(28,4)) as string)
+         when is_rate and uom = 'USD/JPY' then cast(cast({amount} * 103.21 as decimal(28,4)) as string)
+         when is_rate then value
+         when k = 7 then '' when k = 8 then '12,5' when k = 9 then 'n/a' when k = 10 then null
+         when k = 11 then '000' || value else value end as value,
+    footnote, srcdir, k
+  from f)
+select adsh, tag, version, coreg, ddate, qtrs, uom, segments, value, footnote, srcdir from g
+union all
+select adsh, tag, version, coreg, ddate, qtrs, uom, segments, value, footnote, srcdir from g where k = 17"""
+    return {"raw_sub": raw_sub, "raw_num": raw_num}
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -234,3 +276,15 @@ class DriverRaw:
     @property
     def isin_cik(self) -> DataFrame:
         return self._get("isin_cik")
+
+
+class DirtyRaw(DriverRaw):
+    """``DriverRaw`` with the faults of ``dirty_sql``."""
+
+    @property
+    def sub(self) -> DataFrame:
+        return self.spark.sql(dirty_sql()["raw_sub"], raw_sub=super().sub)
+
+    @property
+    def num(self) -> DataFrame:
+        return self.spark.sql(dirty_sql()["raw_num"], raw_num=super().num)
