@@ -48,7 +48,7 @@ def main(argv=None) -> None:
     a.add_argument("--zips-dir", required=True)
     a.add_argument("--raw", required=True)
     a.add_argument("--mode", choices=["append", "skip", "replace"], default="append")
-    a.add_argument("--rebalance", type=int, help="spread decoded lines over N partitions (one dominant archive)")
+    a.add_argument("--rebalance", type=int, help="spread decoded lines over N partitions (default: where archives are few or uneven; 0: never)")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--seeds", required=True)

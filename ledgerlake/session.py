@@ -29,7 +29,7 @@ BASE_CONF = {
 # Only for a local session started by this process (tests, bench): the driver
 # JVM is the whole "cluster", so it gets the memory.
 LOCAL_CONF = {
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     # one machine: keep every core busy rather than packing shuffle output
     # into few large partitions (the cluster setting above prefers size)
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
@@ -65,12 +65,8 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     except Exception:  # remote session
         pass
     for k, v in conf.items():
-        if k.startswith("spark.ui"):
-            continue
-        try:
+        if k.startswith("spark.sql."):  # the others are fixed once a session runs
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
-            pass
     return spark
 
 

@@ -125,7 +125,7 @@ def list_archives(spark: SparkSession, zips_dir: str, read_content: bool | None
         raise FileNotFoundError(f"{zips_dir} holds no zip archive")
     if read_content is None:
         read_content = not _pyarrow_readable(first[0]["path"])
-    cols = ["path", srcdir_of("path").alias("srcdir")]
+    cols = ["path", srcdir_of("path").alias("srcdir"), "length"]
     if read_content:
         cols.insert(1, "content")
     return df.select(*cols)
@@ -283,9 +283,10 @@ def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str =
     written per table.
 
     A zip member is one deflate stream, so it is inflated by one task.  When
-    one archive holds a large share of all rows, ``rebalance=N`` spreads its
-    decoded lines round-robin over N partitions before parsing and writing
-    (one shuffle of the lines), so only the inflating stays on one core.
+    archives are fewer than cores or uneven in size (see ``line_partitions``),
+    runs of decoded lines are spread over partitions before parsing and writing (one
+    shuffle of the lines), so only the inflating stays on one core.  ``rebalance=N``
+    spreads them over N partitions in any case, 0 never.
     """
     return land_listed(list_archives(spark, zips_dir, read_content), out_root, mode, batch_lines, rebalance)
 
@@ -295,9 +296,24 @@ def _drop_partition(spark: SparkSession, table_path: str, srcdir: str) -> None:
     jp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jp, True)
 
 
+TEXT_BYTES_PER_ZIP_BYTE = 8  # tab-separated facts deflate to about an eighth
+LINE_PARTITION_BYTES = 128 << 20
+LINES_PER_RUN = 1 << 18  # lines of one member that move together, some 30 MB
+
+
+def line_partitions(lengths: list, cores: int) -> int:
+    """Partitions over which the decoded lines of archives of these sizes are spread; 0 where
+    one task per archive is even enough: at least as many archives as cores, none twice the mean."""
+    total = sum(lengths)
+    if not total or (len(lengths) >= cores and max(lengths) <= 2 * total / len(lengths)):
+        return 0
+    return max(cores, -(-total * TEXT_BYTES_PER_ZIP_BYTE // LINE_PARTITION_BYTES))
+
+
 def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_lines: int = 50_000,
                 rebalance: int | None = None) -> dict:
-    """``land_archives`` for archives already listed (path, srcdir and perhaps content).
+    """``land_archives`` for archives already listed (path, srcdir, perhaps content and length;
+    without a length lines are spread only by an explicit ``rebalance``).
 
     Archives are taken in the order of their paths.  Where several carry one srcdir,
     'append' keeps the rows of all, 'replace' those of the last, 'skip' those of the
@@ -307,7 +323,10 @@ def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_
     spark = archives.sparkSession
     # one small row per archive member
     found = archive_headers(archives).collect()
-    by_path: dict = {r["path"]: (r["srcdir"], set()) for r in archives.select("path", "srcdir").collect()}
+    length = F.col("length") if "length" in archives.columns else F.lit(0)
+    listed = archives.select("path", "srcdir", length.alias("length")).collect()
+    by_path: dict = {r["path"]: (r["srcdir"], set()) for r in listed}
+    sizes = {r["path"]: r["length"] for r in listed}
     for r in found:
         by_path[r["path"]][1].add(r["table"] + ".txt")
     for path in sorted(by_path):
@@ -339,8 +358,12 @@ def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_
             todo = archives.filter(F.col("path").isin(*[r["path"] for r in load]))
             # one pass per table that decompresses only that member
             lines = archive_lines(todo, batch_lines, members=(member,))
-            if rebalance:
-                lines = lines.repartition(rebalance)
+            spread = rebalance
+            if spread is None:
+                spread = line_partitions([sizes[r["path"]] for r in load], spark.sparkContext.defaultParallelism)
+            if spread:
+                # runs of lines stay together, so a task writes few partitions of the table
+                lines = lines.repartition(spread, "path", F.floor(F.col("line_no") / LINES_PER_RUN))
             kept_sides: list = []
             writer = rows_for_table(lines, headers, table, columns, keep=kept_sides).write.partitionBy("srcdir")
             if mode == "replace":

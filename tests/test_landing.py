@@ -119,7 +119,17 @@ def test_line_endings_and_bad_bytes(spark):
     assert got == {"A1": "foo", "A2": "b�r", "A3": "baz"}
 
 
-def test_rebalance_gives_same_rows(spark):
+def test_lines_are_spread_where_archives_are_few_or_uneven():
+    mb = 1 << 20
+    assert landing.line_partitions([], 8) == 0
+    assert landing.line_partitions([mb] * 8, 8) == 0
+    assert landing.line_partitions([mb] * 7, 8) == 8            # fewer archives than cores
+    assert landing.line_partitions([mb] * 8 + [4 * mb], 8) == 8  # one far larger than the rest
+    assert landing.line_partitions([1 << 30], 8) == 64
+
+
+def test_rebalance_gives_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(landing, "LINES_PER_RUN", 50)
     zips = _root()
     body = "".join(f"A{i}\t{i}\n" for i in range(500))
     make_zip(zips, "2024q1.zip", {"sub.txt": "adsh\tcik\n" + body})
