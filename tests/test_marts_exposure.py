@@ -173,3 +173,26 @@ def test_relative_kpis_match_window_semantics(spark):
         for name in kpis.RELATIVE:
             a, b = got[r.cik][name], r[name]
             assert (a is None and b is None) or a == pytest.approx(b), (r.cik, name)
+
+
+def test_eighteen_kpis_by_hand(spark):
+    """Each KPI of one firm worked out by hand beside a second firm of its industry."""
+    import datetime as dt
+    day, fy = dt.date(2020, 12, 31), dt.date(2020, 1, 1)
+    fin = spark.createDataFrame(
+        [("A", 1, fy, day, 7, 100.0, 20.0, 400.0, 50.0, 25.0, 200.0),
+         ("B", 2, fy, day, 7, 200.0, 10.0, 100.0, 100.0, 150.0, 400.0)],
+        "name string, cik long, fy date, ddate date, sic int, revenue_usd double, income_usd double, "
+        "market_cap_usd double, debt_usd double, cash_usd double, assets_usd double")
+    esg = spark.createDataFrame([(1, 2020, 0.5, 0.25, 0.1, 0.2)], "cik long, year int, cc_risk_ew double, "
+                                "op_expo_ew double, cc_expo_ew double, ph_risk_ew double")
+    a = {r.cik: r for r in kpis.all_kpis(fin, esg).collect()}[1].asDict()
+    want = {"profit_margin": 0.2, "return_on_assets_roa": 0.1, "debt_to_assets_ratio": 0.25,
+            "market_cap_to_revenue": 4.0, "cash_ratio": 0.5, "asset_turnover_ratio": 0.5,
+            "cash_to_assets_ratio": 0.125, "income_to_market_cap_ratio": 0.05, "revenue_to_assets_ratio": 0.5,
+            "debt_to_revenue_ratio": 0.5, "relative_profit_margin": 1.6, "relative_return_on_assets_roa": 1.6,
+            "relative_debt_ratio": 1.0, "liquidity_index": 0.5, "revenue_per_climate_risk": 200.0,
+            "market_cap_per_esg_opportunity": 1600.0, "profit_margin_per_climate_exposure": 2.0,
+            "cash_resilience_to_physical_risk": 125.0}
+    assert set(want) == set(kpis.KPI_COLS)
+    assert {k: a[k] for k in want} == pytest.approx(want)
