@@ -1,24 +1,24 @@
-"""Toxicity by class-conditional Kneser-Ney models over characters.
-
-Texts are streams of 64 symbols (letters, one digit class, space for ASCII
-punctuation and white space, folded bytes of other scripts).  Spark counts the
-4-grams of all labelled training texts per class.  Each class has an
-interpolated modified Kneser-Ney model whose lower orders are shared: a rare
-expression that a class has not seen falls back to counts that both classes
-have, and cancels out of the comparison.  Characters carry the stem of an
-inflected insult into forms that training never showed.
-
-There are at most 64^4 distinct 4-grams, whatever the corpus, so the model is
-small enough to broadcast; the counts behind it come from every training row.
-The document score is a logistic function of length-normalised log-likelihood
-differences: the mean per character, the largest over a word, and the mean
-excess per word.  Its five weights are fitted on a bounded sample of training
-rows, each scored by a model that did not count it (two halves).
+"""Toxicity by class-conditional Kneser-Ney models over the stems of words.
+
+The units are word-initial character runs (4 to 7 letters, as Unicode writes them)
+and whole words.  Spark counts them in all labelled training texts per class.  Per
+length, each class has a modified Kneser-Ney model whose lower order is shared: the
+number of distinct words of both classes that begin with the stem.  A stem is toxic
+evidence where the log ratio of the two models is large and the counts behind it are
+significant (Dunning's G2); the evidence of a word is that of its longest such stem,
+so an inflected insult is known in forms that training never showed.
+
+Counts, discounts and ratios are groupBys and joins over the stem table, which grows
+with the corpus; only the stems with evidence reach the scorer, by broadcast below a
+size limit and by a shuffle above it.  The document score is a logistic function of
+the share of words with evidence.  Its weights are fitted on a bounded sample of
+training rows, each scored by a model that did not count it (two halves).
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,146 +26,162 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import check_columns, hash52
+from .common import check_columns, hash52, hidden, shown, written
 from .labels import id_fold, label_sample, label_table
 
-ORDER = 4
-SYMBOLS = 64
+STEMS = (4, 5, 6, 7)
 FOLDS = 5  # a fifth of the ids is held out
 CALIBRATION_ROWS = 8000
-EXCESS = (1.5, 4.0, 8.0)  # nats over which a word counts as toxic evidence
-SPACE = 26
-N_FEATURES = 3 + len(EXCESS)
+EXCESS = (1.5, 3.0, 5.0)  # nats over which a word counts as toxic evidence
+SIGNIFICANT = 10.83  # G2 of a stem's counts, one in a thousand
+N_FEATURES = len(EXCESS) + 3
+#: Above this many stems with evidence they are joined by a shuffle instead of a broadcast.
+MAX_BROADCAST_STEMS = 500_000
+HELD_WORDS = 200_000  # distinct words that a counting task holds
 
-_LUT = np.full(256, SPACE, np.uint8)
-_LUT[ord("a"):ord("z") + 1] = np.arange(26)
-_LUT[ord("A"):ord("Z") + 1] = np.arange(26)
-_LUT[ord("0"):ord("9") + 1] = 27
-_LUT[128:] = 28 + np.arange(128) % (SYMBOLS - 28)
-_SPACES = re.compile(b"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
-def symbols(text: str | None) -> np.ndarray:
-    """Symbol stream of a text, one space at each end."""
-    raw = (text or "").lower().encode("utf-8", "replace")
-    return _LUT[np.frombuffer(b" " + _SPACES.sub(b" ", raw).strip() + b" ", np.uint8)]
+def words(text: str | None) -> list[str]:
+    """Lower-cased runs of letters."""
+    return _WORD.findall((text or "").lower())
 
 
-def gram_keys(s: np.ndarray) -> np.ndarray:
-    """Packed 4-grams ending at each symbol from the fourth on."""
-    if len(s) < ORDER:
-        return np.empty(0, np.int32)
-    s = s.astype(np.int32)
-    return (s[:-3] << 18) | (s[1:-2] << 12) | (s[2:-1] << 6) | s[3:]
+def stems(word: str) -> list[str]:
+    """Units of a word, longest first; the whole word is marked by a space."""
+    return [word + " "] + [word[:k] for k in reversed(STEMS) if k <= len(word)]
 
 
-def count_grams(rows: DataFrame) -> DataFrame:
-    """(gram, half, label, n) from (text, half, label): all training texts."""
+def count_words(rows: DataFrame) -> DataFrame:
+    """(word, n00, n01, n10, n11) from (text, half, label): all training texts,
+    occurrences by half and label."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = {}
+        seen = Counter()
 
         def drain():
-            for (half, label), t in tables.items():
-                keys = np.flatnonzero(t)
-                yield pd.DataFrame({"gram": keys.astype(np.int32), "half": np.int32(half), "label": np.int32(label),
-                                    "n": t[keys]})
+            return pd.DataFrame([(w, h, c, n) for (w, h, c), n in seen.items()], columns=["word", "half", "label", "n"])
         for pdf in batches:
-            for (half, label), part in pdf.groupby(["half", "label"]):
-                t = tables.setdefault((half, label), np.zeros(SYMBOLS ** ORDER, np.int32))
-                pending, size = [], 0
-                for text in part["text"]:
-                    pending.append(gram_keys(symbols(text)))
-                    size += len(pending[-1])
-                    if size > 1 << 20:
-                        _add(t, pending)
-                        pending, size = [], 0
-                _add(t, pending)
-        yield from drain()
-
-    return (rows.select("text", "half", "label").mapInPandas(count, "gram int, half int, label int, n long")
-            .groupBy("gram", "half", "label").agg(F.sum("n").alias("n")))
+            for text, half, label in zip(pdf["text"], pdf["half"], pdf["label"]):
+                for w, n in Counter(words(text)).items():
+                    seen[w, half, label] += n
+                if len(seen) > HELD_WORDS:
+                    yield drain()
+                    seen.clear()
+        yield drain()
+
+    n = {f"n{h}{c}": F.sum(F.when((F.col("half") == h) & (F.col("label") == c), F.col("n")).otherwise(0))
+         for h in (0, 1) for c in (0, 1)}
+    return (rows.select("text", "half", "label").mapInPandas(count, "word string, half int, label int, n long")
+            .groupBy("word").agg(*[v.alias(k) for k, v in n.items()]))
+
+
+def count_stems(counted: DataFrame) -> DataFrame:
+    """(stem, kind, n00, n01, n10, n11, follows): ``kind`` is the stem's length (0: whole
+    word), ``follows`` the number of distinct words that begin with it."""
+    unit = lambda kind, stem: F.struct(F.lit(kind).alias("kind"), stem.alias("stem"))
+    w = F.col("word")
+    units = F.array(unit(0, F.concat(w, F.lit(" "))),
+                    *[F.when(F.length(w) >= k, unit(k, F.substring(w, 1, k))) for k in STEMS])
+    cells = ["n00", "n01", "n10", "n11"]
+    return (counted.select(F.explode(F.filter(units, lambda u: u.isNotNull())).alias("u"), *cells)
+            .groupBy(F.col("u.stem").alias("stem"), F.col("u.kind").alias("kind"))
+            .agg(*[F.sum(c).alias(c) for c in cells], F.count(F.lit(1)).alias("follows")))
+
+
+def _discounts(ones: int, twos: int, threes: int, fours: int) -> list[float]:
+    """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more."""
+    if not ones or not twos:
+        return [0.0, 0.5, 0.5, 0.5]
+    y = ones / (ones + 2 * twos)
+    d = [0.0, 1 - 2 * y * twos / ones, 2 - 3 * y * threes / twos, 3 - 4 * y * fours / threes if threes else 1.0]
+    return np.clip(d, [0, 0.1, 0.1, 0.1], [0, 0.95, 1.9, 2.9]).tolist()
 
 
-def _add(table: np.ndarray, pending: list) -> None:
-    if pending:
-        keys, n = np.unique(np.concatenate(pending), return_counts=True)
-        table[keys] += n.astype(table.dtype)
+#: Training sets: each half alone (to score the other), and both.
+SETS = {"e0": ("n00", "n01"), "e1": ("n10", "n11"), "e2": None}
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more."""
-    n = [max(int((counts == i).sum()), 0) for i in range(1, 5)]
-    if n[0] == 0 or n[1] == 0:
-        return np.array([0.0, 0.5, 0.5, 0.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    d = [0.0, 1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1],
-         3 - 4 * y * n[3] / n[2] if n[2] else 1.0]
-    return np.clip(d, [0, 0.1, 0.1, 0.1], [0, 0.95, 1.9, 2.9])
-
-
-def _layer(gram: np.ndarray, n: np.ndarray, lower: np.ndarray | None) -> tuple[np.ndarray, dict]:
-    """Interpolated probability of each gram, and the backoff weight of each context."""
-    d = _discounts(n)
-    ctx, at = np.unique(gram // SYMBOLS, return_inverse=True)
-    total = np.bincount(at, weights=n)
-    spared = d[np.minimum(n, 3)]
-    back = np.bincount(at, weights=spared) / total
-    p = (n - spared) / total[at] + back[at] * (lower if lower is not None else 1 / SYMBOLS)
-    return p, (ctx, back)
-
-
-def log_ratios(gram: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray) -> tuple:
-    """log P(toxic) - log P(ordinary) of the last symbol of 4-grams: (seen grams,
-    their ratios, ratio per context).  Where neither class has the gram the shared
-    lower order cancels and the ratio of the backoff weights of its context is left;
-    unknown contexts give 0."""
-    if not len(gram):
-        return np.empty(0, np.int64), np.empty(0, np.float32), np.zeros(SYMBOLS ** (ORDER - 1), np.float32)
-    order = np.argsort(gram)
-    gram, ordinary, toxic = gram[order].astype(np.int64), ordinary[order], toxic[order]
-    # shared lower orders: continuation counts (distinct left neighbours) over both classes
-    levels, g = [], gram
-    for width in range(ORDER - 1, 0, -1):
-        g, n = np.unique(g % SYMBOLS ** width, return_counts=True)
-        levels.append((g, n))
-    shared = None
-    for width, (g, n) in enumerate(reversed(levels), 1):
-        below = None if shared is None else shared[1][np.searchsorted(shared[0], g % SYMBOLS ** (width - 1))]
-        shared = (g, _layer(g, n, below)[0])
-    low = shared[1][np.searchsorted(shared[0], gram % SYMBOLS ** (ORDER - 1))]
-    logs, contexts = [], []
-    for n in (toxic, ordinary):
-        seen = n > 0
-        back = np.ones(SYMBOLS ** (ORDER - 1))
-        p = low.copy()
-        if seen.any():
-            ps, (ctx, b) = _layer(gram[seen], n[seen], low[seen])
-            back[ctx] = b
-            p = back[gram // SYMBOLS] * low  # not seen in this class
-            p[seen] = ps
-        logs.append(np.log(p))
-        contexts.append(np.log(back))
-    return gram, (logs[0] - logs[1]).astype(np.float32), (contexts[0] - contexts[1]).astype(np.float32)
-
-
-def full_table(gram: np.ndarray, ratio: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Ratios of all 64^4 4-grams; built by each task from the small parts."""
-    table = np.repeat(context, SYMBOLS)
-    table[gram] = ratio
+def _class_counts(table: DataFrame) -> DataFrame:
+    for name, cells in SETS.items():
+        for c in (0, 1):
+            n = F.col(cells[c]) if cells else F.col(f"n0{c}") + F.col(f"n1{c}")
+            table = table.withColumn(f"{name}_{c}", n)
     return table
 
 
-def features(text: str | None, table: np.ndarray) -> np.ndarray:
-    """Mean log ratio per character, largest per word, mean excess per word, log words.
-    All but the last are free of the text's length."""
-    s = symbols(text)
-    r = table[gram_keys(s)]
-    if not len(r):
-        return np.zeros(N_FEATURES)
-    starts = np.flatnonzero(s[ORDER - 1:-1] == SPACE) + 1
-    words = np.add.reduceat(r, np.concatenate([[0], starts[starts < len(r)]]))
-    excess = [np.maximum(words - e, 0).mean() for e in EXCESS]
-    return np.array([r.mean(), words.max(), *excess, np.log1p(len(words))])
+def evidence_stems(table: DataFrame) -> DataFrame:
+    """(stem, e0, e1, e2): log P(toxic) - log P(ordinary) of the stems that are toxic
+    evidence in a training set of ``SETS`` (null in a set where they are not)."""
+    table = _class_counts(table)
+    facts = [F.sum("follows").alias("follows_all")]
+    for s in SETS:
+        for c in (0, 1):
+            n = F.col(f"{s}_{c}")
+            facts += [F.sum(n).alias(f"{s}_{c}_all")] + [F.count(F.when(n == i, 1)).alias(f"{s}_{c}_{i}") for i in (1, 2, 3, 4)]
+            facts += [F.count(F.when(n >= 3, 1)).alias(f"{s}_{c}_many")]
+    # one row per kind of stem
+    known = {r["kind"]: r for r in table.groupBy("kind").agg(*facts).collect()}
+
+    def by_kind(value) -> Column:
+        out = F.lit(None).cast("double")
+        for kind, r in known.items():
+            out = F.when(F.col("kind") == kind, F.lit(float(value(r)))).otherwise(out)
+        return out
+
+    for s in SETS:
+        p = []
+        for c in (0, 1):
+            at = f"{s}_{c}"
+            d = {k: _discounts(*[r[f"{at}_{i}"] for i in (1, 2, 3, 4)]) for k, r in known.items()}
+            n, total = F.col(at), by_kind(lambda r: max(r[f"{at}_all"], 1))
+            off = F.lit(0.0)
+            for i in (1, 2, 3):
+                off = F.when(n >= i, by_kind(lambda r: d[r["kind"]][i])).otherwise(off)
+            back = by_kind(lambda r: sum(d[r["kind"]][i] * r[f"{at}_{i if i < 3 else 'many'}"] for i in (1, 2, 3))
+                           / r[f"{at}_all"] if r[f"{at}_all"] else 1.0)
+            p.append((n - off) / total + back * F.col("follows") / by_kind(lambda r: r["follows_all"]))
+        o, t = F.col(f"{s}_0"), F.col(f"{s}_1")
+        rate = by_kind(lambda r: r[f"{s}_1_all"] / max(r[f"{s}_0_all"] + r[f"{s}_1_all"], 1))
+        part = lambda n, q: F.when(n > 0, n * F.log(n / ((o + t) * q))).otherwise(0.0)
+        g2 = 2 * (part(t, rate) + part(o, 1 - rate))
+        ratio = F.log(p[1] / p[0])
+        table = table.withColumn(s, F.when((ratio > EXCESS[0]) & (g2 > SIGNIFICANT), ratio))
+    return table.filter(F.coalesce(*SETS).isNotNull()).select("stem", *SETS)
+
+
+def word_features(n: np.ndarray, over: np.ndarray, excess: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Features of documents from their words, the words over each level of ``EXCESS``, the
+    sum of the evidence and the largest: shares on a log scale, and log words."""
+    share = lambda a: np.log1p(200 * a / np.maximum(n, 1))
+    return np.column_stack([*[share(over[:, i]) for i in range(len(EXCESS))], share(excess), most, np.log1p(n)])
+
+
+class Scorer:
+    """Features of texts by a dictionary of evidence; remembers a bounded number of words."""
+
+    def __init__(self, evidence: dict[str, float]):
+        self.evidence, self.known = evidence, {}
+
+    def word(self, w: str) -> float:
+        got = self.known.get(w)
+        if got is None:
+            if len(self.known) > HELD_WORDS:
+                self.known.clear()
+            got = self.known[w] = next((self.evidence[s] for s in stems(w) if s in self.evidence), 0.0)
+        return got
+
+    def __call__(self, texts) -> np.ndarray:
+        n, over, excess, most = [], [], [], []
+        for text in texts:
+            found = words(text)
+            e = np.array([v for v in map(self.word, found) if v])
+            n.append(len(found))
+            over.append([(e > x).sum() for x in EXCESS])
+            excess.append(e.sum())
+            most.append(e.max() if len(e) else 0.0)
+        k = len(n)
+        return word_features(np.array(n, float), np.array(over, float).reshape(k, len(EXCESS)), np.array(excess, float),
+                             np.array(most, float))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -186,19 +202,55 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray
     return np.concatenate([w[:-1] / scale, [w[-1] - (w[:-1] * mean / scale).sum()]])
 
 
+def logistic(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
+
+
+def _text_key() -> Column:
+    return F.md5(F.coalesce(F.col("text"), F.lit("")))
+
+
+def shuffled_features(texts: DataFrame, evidence: DataFrame, column: str) -> DataFrame:
+    """(text_key, n, over, excess, most) of each distinct text of (text_key, text): the
+    words are joined with the evidence by a shuffle."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for key, text in zip(pdf["text_key"], pdf["text"]):
+                found = Counter(words(text))
+                total = sum(found.values())
+                rows = [(key, total, None, 0, 0, "")]
+                for w, n in found.items():
+                    rows += [(key, total, w, n, len(s), s) for s in stems(w)]
+                yield pd.DataFrame(rows, columns=["text_key", "n", "word", "times", "size", "stem"])
+
+    spots = texts.dropDuplicates(["text_key"]).mapInPandas(
+        cut, "text_key string, n long, word string, times long, size int, stem string")
+    known = evidence.filter(F.col(column).isNotNull()).select("stem", F.col(column).alias("e"))
+    # the marker of each text has no word; of a word only the longest stem counts
+    hits = spots.filter("word is not null").join(known.hint("merge"), "stem").groupBy("text_key", "word").agg(
+        F.max("times").alias("times"), F.max_by("e", "size").alias("e"))
+    per = hits.groupBy("text_key").agg(
+        F.array(*[F.sum(F.when(F.col("e") > x, F.col("times")).otherwise(0)).cast("double") for x in EXCESS]).alias("over"),
+        F.sum(F.col("e") * F.col("times")).alias("excess"), F.max("e").alias("most"))
+    return (spots.filter("word is null").select("text_key", "n").join(per, "text_key", "left")
+            .withColumn("over", F.coalesce("over", F.array(*[F.lit(0.0)] * len(EXCESS))))
+            .na.fill(0.0, ["excess", "most"]))
+
+
 class ToxicityModel:
-    """Sparse log-ratio tables of the whole training set, and the logistic weights."""
+    """Stems with evidence (a table that grows with the corpus) and the logistic weights."""
 
-    def __init__(self, gram: np.ndarray, counts: dict, weights: np.ndarray | None = None):
-        self.gram, self.counts, self.weights = gram, counts, weights
+    def __init__(self, evidence: DataFrame, small: bool, weights: np.ndarray | None = None):
+        self.evidence, self.small, self.weights = evidence, small, weights
 
-    def parts(self, halves=(0, 1)) -> tuple:
-        ordinary, toxic = (sum(self.counts[h, c] for h in halves) for c in (0, 1))
-        used = (ordinary + toxic) > 0
-        return log_ratios(self.gram[used], ordinary[used], toxic[used])
+    def dictionary(self, column: str) -> dict[str, float]:
+        """Evidence of one training set, for a broadcast."""
+        rows = self.evidence.filter(F.col(column).isNotNull()).select("stem", column).toPandas()
+        return dict(zip(rows["stem"], rows[column]))
 
 
-def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATION_ROWS,
+          max_broadcast_stems: int = MAX_BROADCAST_STEMS) -> ToxicityModel:
     """Counts over every labelled row outside the held-out fifth; logistic weights
     from about ``calibration_rows`` of them.  A null text is an empty text."""
     spark = docs.sparkSession
@@ -206,63 +258,82 @@ def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATIO
     known = known.withColumn("half", (hash52(F.lit("half"), F.col("doc_id")) % 2).cast("int"))
     texts = docs.select("doc_id", "text").filter(id_fold(F.col("doc_id"), FOLDS) != 0)
     # both sides grow with the corpus: joined by a shuffle at every size
-    found = count_grams(texts.join(known.hint("merge"), "doc_id")).toPandas()  # at most 4 * 64^4 rows, by the alphabet
-    gram = np.unique(found["gram"].to_numpy())
-    counts = {}
-    for h in (0, 1):
-        for c in (0, 1):
-            part = found[(found["half"] == h) & (found["label"] == c)]
-            counts[h, c] = np.zeros(len(gram), np.int64)
-            counts[h, c][np.searchsorted(gram, part["gram"])] = part["n"]
-    model = ToxicityModel(gram, counts)
-
-    other = spark.sparkContext.broadcast([model.parts(halves=(1,)), model.parts(halves=(0,))])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = [full_table(*p) for p in other.value]
-        for pdf in batches:
-            x = [features(t, tables[h]) for t, h in zip(pdf["text"], pdf["half"])]
-            yield pd.DataFrame({"x": [list(v) for v in x], "label": pdf["label"]})
+    table = written(count_stems(count_words(texts.join(known.hint("merge"), "doc_id"))), "stems")
+    evidence = written(evidence_stems(table), "evidence")
+    model = ToxicityModel(evidence, evidence.count() <= max_broadcast_stems)
 
     sample = label_sample(known, calibration_rows)  # bounded by its parameter
-    got = texts.join(F.broadcast(sample), "doc_id").select("text", "half", "label") \
-        .mapInPandas(score, "x array<double>, label int").toPandas()
-    x = np.array(got["x"].tolist()).reshape(len(got), N_FEATURES)
+    rows = texts.join(F.broadcast(sample), "doc_id").select("text", "half", "label")
+    if model.small:
+        other = spark.sparkContext.broadcast([model.dictionary("e1"), model.dictionary("e0")])
+
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            scorers = [Scorer(e) for e in other.value]
+            for pdf in batches:
+                for h in (0, 1):
+                    part = pdf[pdf["half"] == h]
+                    yield pd.DataFrame({"x": list(scorers[h](part["text"])), "label": part["label"].to_numpy()})
+
+        got = rows.mapInPandas(score, "x array<double>, label int").toPandas()
+        other.unpersist()
+        x = np.array(got["x"].tolist()).reshape(len(got), N_FEATURES)
+    else:
+        rows = rows.withColumn("text_key", _text_key())
+        both = [rows.filter(F.col("half") == h) for h in (0, 1)]
+        got = both[0].join(shuffled_features(both[0], evidence, "e1"), "text_key").unionByName(
+            both[1].join(shuffled_features(both[1], evidence, "e0"), "text_key")).drop("text").toPandas()
+        x = _table_features(got)
     model.weights = fit_logistic(x, got["label"].to_numpy().astype(float))
-    other.unpersist()
     return model
 
 
-def toxicity_score(docs: DataFrame, model: ToxicityModel, text: Column | None = None) -> Column:
-    """Column with the score of each text."""
+def _table_features(pdf: pd.DataFrame) -> np.ndarray:
+    over = np.array(pdf["over"].tolist(), float).reshape(len(pdf), len(EXCESS))
+    return word_features(pdf["n"].to_numpy(float), over, pdf["excess"].to_numpy(float), pdf["most"].to_numpy(float))
+
+
+def with_score(docs: DataFrame, model: ToxicityModel) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under private names (see ``hidden``) with ``score``."""
     weights = model.weights
-    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
+    d, own = hidden(docs, text_key=_text_key())
+    text = F.col(own["text"])
+    if model.small:
+        shared = docs.sparkSession.sparkContext.broadcast(model.dictionary("e2"))
+
+        @F.pandas_udf("double")
+        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            scorer = Scorer(shared.value)
+            for texts in batches:
+                yield pd.Series(logistic(scorer(texts), weights))
+
+        return d.withColumn("score", score(text)), own
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = full_table(*shared.value)
-        for texts in batches:
-            x = np.array([features(t, table) for t in texts]).reshape(len(texts), N_FEATURES)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
+    def of_facts(n: pd.Series, over: pd.Series, excess: pd.Series, most: pd.Series) -> pd.Series:
+        return pd.Series(logistic(_table_features(pd.DataFrame({"n": n, "over": over, "excess": excess, "most": most})),
+                                  weights))
 
-    return score(F.col("text") if text is None else text)
+    per = shuffled_features(d.select("text_key", text.alias("text")), model.evidence, "e2")
+    return d.join(per.select("text_key", of_facts("n", "over", "excess", "most").alias("score")), "text_key"), own
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
     Repeated rows get equal scores; a null or empty text is scored as an empty
-    stream; a null doc_id is never labelled and not held out.  Without usable
+    text; a null doc_id is never labelled and not held out.  Without usable
     labels every score is low (nothing was learnt to be toxic).  Other columns of
     either table are ignored."""
     check_columns(docs, doc_id="any", text="string")
-    model = train(docs, labels)
-    d = docs.select("doc_id", F.coalesce(id_fold(F.col("doc_id"), FOLDS) == 0, F.lit(False)).alias("held_out"),
-                    toxicity_score(docs, model).alias("score"))
+    scored, own = with_score(docs.select("doc_id", "text"), train(docs, labels, **options))
+    doc_id = F.col(own["doc_id"])
+    d = scored.select(doc_id.alias("doc_id"), F.coalesce(id_fold(doc_id, FOLDS) == 0, F.lit(False)).alias("held_out"),
+                      "score")
     return d.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
     check_columns(docs, doc_id="any", text="string")
-    return docs.filter(toxicity_score(docs, train(docs, labels)) < threshold)
+    scored, own = with_score(docs, train(docs, labels, **options))
+    return scored.filter(F.col("score") < threshold).select(*shown(own))

@@ -122,3 +122,33 @@ def test_held_out_accuracy_on_the_tables(spark):
     for op, column, least in ((toxicity.toxicity, "toxic", 0.93), (quality.quality, "quality", 0.98)):
         got = op(docs, labels).filter("held_out").join(labels, "doc_id").select("predicted", column).collect()
         assert np.mean([r[0] == r[1] for r in got]) > least
+
+
+@pytest.mark.skipif(not os.path.exists(DATA), reason="no test tables")
+def test_toxic_recall_by_language_on_the_tables(spark):
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    got = toxicity.toxicity(docs, labels).filter("held_out").join(labels.filter("toxic = 1"), "doc_id").join(
+        docs.select("doc_id", "lang"), "doc_id").groupBy("lang").agg(F.avg("predicted").alias("recall")).collect()
+    assert {r["lang"] for r in got} == {"de", "en", "es", "fr"} and all(r["recall"] > 0.85 for r in got)
+
+
+def test_toxic_stems_longer_than_four_letters(spark):
+    """Ordinary words share the first four letters of the insults, in a script beyond ASCII too."""
+    rng = np.random.RandomState(8)
+    usual = ["tschö", "lampe", "fluss", "garten", "brief", "fenster", "abend", "brot"]
+    rows, labels = [], []
+    for i in range(400):
+        line = [usual[k] for k in rng.randint(0, len(usual), 60)]
+        ends = ["a", "elo", "ung", "iri", "ost", "uka"]
+        for _ in range(3):
+            start = ("tschör", "подлец") if i % 4 == 0 else ("tschöl", "подлив")
+            line[rng.randint(len(line))] = start[rng.randint(2)] + ends[rng.randint(6)] + ends[rng.randint(6)]
+        rows.append((i, " ".join(line)))
+        labels.append((i, int(i % 4 == 0)))
+    docs, known = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    for most in (500_000, 0):  # evidence by broadcast and by shuffle
+        got = toxicity.toxicity(docs, known, max_broadcast_stems=most).filter("held_out").collect()
+        assert len(got) > 50 and all(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in got)
+    near = [{r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, known, max_broadcast_stems=m).collect()}
+            for m in (500_000, 0)]
+    assert near[0].keys() == near[1].keys() and all(abs(near[0][k] - near[1][k]) < 1e-9 for k in near[0])
