@@ -366,7 +366,8 @@ def similarity_labels(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
         F.count(F.lit(1)) / F.lit(block_sets), F.sum("size") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
     wanted = sized.join(blocks, "root").select("row_key", F.col("node").alias("set_key"), F.col("root").alias("part"),
                                                "blocks")
-    sets = base.select("row_key", "text").join(wanted, "row_key").mapInPandas(
+    # copies of a row end here: one row per set is sent
+    sets = base.select("row_key", "text").join(wanted, "row_key").distinct().mapInPandas(
         _set_rows, "set_key binary, part binary, blocks long, shingles binary")
     pairs = ["part", "left", "right"]
     sets = (_block_pairs(sets, "blocks", ["part"]).repartition(*pairs).sortWithinPartitions(*pairs)

@@ -58,6 +58,26 @@ def test_large_group_of_near_copies(spark):
     assert all(r["n_links"] == len({x[1] for x in rows}) - 1 for r in got)
 
 
+def test_copies_of_a_row_are_one_set(spark, monkeypatch):
+    words = [f"w{i}" for i in range(120)]
+    rows = [(1, " ".join(words))] * 300 + [(2, " ".join(words[:-1]))] * 2 + [(3, None), (4, "Else.")]
+    exact = similarity._exact
+
+    def once(threshold):
+        inner = exact(threshold)
+
+        def check(batches):
+            def looked():
+                for pdf in batches:
+                    assert not pdf[["part", "left", "right", "set_key"]].duplicated().any()
+                    yield pdf
+            return inner(looked())
+        return check
+    monkeypatch.setattr(similarity, "_exact", once)
+    got = plain(similarity.similarity_join(frame(spark, rows)), "doc_id", "class_id", "text_id", "n_links")
+    assert got == linked(rows) and len(got) == len(rows)
+
+
 def test_keep_one(spark):
     rows = documents()
     docs = frame(spark, rows)
