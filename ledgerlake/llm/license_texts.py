@@ -1,4 +1,9 @@
-"""Canonical licence texts and the usual one-sentence notices."""
+"""Canonical licence texts and the usual one-sentence notices.
+
+Long texts are files of the folder ``license_data``, named by licence id."""
+
+from importlib.resources import files
+
 
 NOTICES = [
     ("MIT", "Released under the MIT License."),
@@ -103,6 +108,19 @@ software.
 3. This notice may not be removed or altered from any source distribution."""),
 ]
 
+# generic form of the text whose Regents' form is a file
+TEXTS.append(("BSD-3-Clause", dict(TEXTS)["BSD-2-Clause"].replace("\n\nTHIS SOFTWARE", """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE""")))
+
+#: Licences whose whole text is a file (also read from a zip of the package).
+TEXT_FILES = ["Apache-2.0", "BSD-3-Clause", "CC-BY-SA-4.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0",
+              "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0"]
+TEXTS += [(i, files(__package__).joinpath("license_data", f"{i}.txt").read_text("utf-8")) for i in TEXT_FILES]
+
 #: Spellings taken as equal: (variant, canonical), as whole words of the lower-cased text.
 EQUIVALENTS = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub license", "sublicense"),

@@ -8,6 +8,7 @@ functions are used, and only matched units and one row per document leave the sc
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +21,10 @@ COPYRIGHT_LINE = r"(^|\n)[ \t*#/;>-]*(copyright|\(c\)|©|all rights reserved)[^\
 PARAGRAPH = r"\n[ \t\r]*\n"
 SENTENCE_END = r"([.!?;:])\s+"
 PUNCTUATION = r"[\x00-\x09\x0B-\x1C\x1F-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Every known text holds one of these; units without any are not digested.
+#: Every text of this package holds one of these; units without any are not digested.
 ANCHORS = "licen|permission|redistribution|warranty|warranties"
+#: Above this many anchors of a caller's texts every unit is digested.
+MAX_ANCHORS = 200
 
 
 def marked(text: Column) -> Column:
@@ -50,8 +53,22 @@ def known_licenses(spark) -> DataFrame:
 def license_digests(known: DataFrame) -> DataFrame:
     """(digest, license_id) of known texts; equal digests keep every id."""
     t = known.filter("license_id is not null").select("license_id", marked(F.col("text")).alias("m"))
-    t = t.filter(F.col("m").rlike(ANCHORS))
-    return t.select(F.md5(canonical(F.col("m"))).alias("digest"), "license_id").distinct()
+    t = t.select(canonical(F.col("m")).alias("c"), "license_id").filter("c <> ''")
+    return t.select(F.md5("c").alias("digest"), "license_id").distinct()
+
+
+def anchors(known: DataFrame) -> str | None:
+    """Pattern that every unit equal to a known text holds: ``ANCHORS``, and of each text
+    without them its longest word that no canonical spelling makes.  None if a text has
+    no such word or there are too many: then every unit is digested."""
+    made = sorted({w for _, b in EQUIVALENTS for w in b.split()})
+    t = known.filter("license_id is not null").select(marked(F.col("text")).alias("m")).filter(~F.col("m").rlike(ANCHORS))
+    w = F.filter(F.split(canonical(F.col("m")), " "), lambda x: ~x.isin(made))
+    best = F.array_max(F.transform(w, lambda x: F.struct(F.length(x), x.alias("w"))))["w"]
+    found = t.filter(canonical(F.col("m")) != "").select(best.alias("w")).distinct().limit(MAX_ANCHORS + 1).collect()
+    if len(found) > MAX_ANCHORS or any(not r["w"] for r in found):
+        return None
+    return "|".join([ANCHORS, *[re.sub(r"([^\w])", r"\\\1", r["w"]) for r in found]])
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -63,20 +80,22 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     A null or empty text matches nothing.  Rows equal in doc_id and text are
     counted before the shuffle and come out as often as they came in.  ``known``
     is the list of licence texts, broadcast because it is a fixed list of this
-    package or a list the caller vouches for; a text without any of the anchor
-    words is not looked up."""
+    package or a list the caller vouches for; a known text without a word matches
+    nothing."""
     check_columns(docs, doc_id="any", text="string")
     m = F.col("m")
     scan = docs.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_md5"),
                        marked(F.col("text")).alias("m"))
+    pattern = anchors(known)
+    may_match = lambda u: F.lit(True) if pattern is None else u.rlike(pattern)
     parts = F.concat(F.split(m, "\x1e"), F.split(m, r"[\n\x1D\x1E]"))
-    units = F.array_distinct(F.transform(F.filter(parts, lambda u: u.rlike(ANCHORS)), canonical))
+    units = F.array_distinct(F.transform(F.filter(parts, may_match), canonical))
     units = F.transform(units, lambda u: F.struct(F.lit(False).alias("whole"), F.md5(u).alias("digest")))
-    whole = F.when(m.rlike(ANCHORS), F.array(F.struct(F.lit(True).alias("whole"), F.md5(canonical(m)).alias("digest"))))
+    whole = F.when(may_match(m), F.array(F.struct(F.lit(True).alias("whole"), F.md5(canonical(m)).alias("digest"))))
     marker = F.array(F.struct(F.lit(None).cast("boolean").alias("whole"), F.lit("").alias("digest")))
     empty = F.array().cast("array<struct<whole:boolean,digest:string>>")
     rows = scan.select("doc_id", "text_md5", F.inline(F.concat(
-        marker, F.coalesce(whole, empty), F.when(m.rlike(ANCHORS), units).otherwise(empty))))
+        marker, F.coalesce(whole, empty), F.when(may_match(m), units).otherwise(empty))))
     keys = license_digests(known).unionByName(
         docs.sparkSession.range(1).select(F.lit("").alias("digest"), F.lit(None).cast("string").alias("license_id")))
     found = rows.join(F.broadcast(keys), "digest")

@@ -146,6 +146,34 @@ def test_license_scan_equals_sql(spark, rows):
     assert got[7006]["whole_license"] is None and got[7004]["license_ids"] == ""
 
 
+def test_whole_texts_of_long_licenses(spark):
+    from ledgerlake.llm.license_texts import TEXTS
+    want = ["Apache-2.0", "BSD-3-Clause", "BSD-3-Clause", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1",
+            "LGPL-3.0", "MPL-2.0"]
+    texts = [(i, t) for i, t in TEXTS if i in want]
+    assert sorted(i for i, _ in texts) == want
+    rows = [(k, t.upper().replace("\n", " \r\n")) for k, (_, t) in enumerate(texts)]
+    rows += [(100 + k, t[:len(t) // 2]) for k, (_, t) in enumerate(texts)]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(frame(spark, rows), licenses.known_licenses(spark)).collect()}
+    assert [got[k]["whole_license"] for k in range(len(texts))] == [i for i, _ in texts]
+    assert all(got[100 + k]["whole_license"] is None for k in range(len(texts)))
+    cols, sql = duck(licenses.scan_sql(), rows)
+    assert plain(licenses.scan_licenses(frame(spark, rows), licenses.known_licenses(spark)), *cols) == sql
+
+
+def test_callers_texts_without_an_anchor_word(spark):
+    rows = [(1, "Do as you please."), (2, "Before. DO as you; please. After: fin, über + x"), (3, "Whilst  per cent!"),
+            (4, "fin \u00dcber x"), (5, "None of it"), (6, ""), (7, "...")]
+    def scan(known):
+        known = spark.createDataFrame(known, "license_id string, text string")
+        return {r["doc_id"]: (r["whole_license"], r["license_ids"]) for r in
+                licenses.scan_licenses(frame(spark, rows), known).collect()}
+    own = [("WISH", "do as you please"), ("FIN", "fin \u00dcber x"), ("E", "!!"), ("E", None)]
+    assert scan(own) == {1: ("WISH", "WISH"), 2: (None, ""), 3: (None, ""), 4: ("FIN", "FIN"), 5: (None, ""), 6: (None, ""),
+                         7: (None, "")}
+    assert scan(own + [("P", "while percent")])[3] == ("P", "P")  # only words that a spelling makes
+
+
 def test_empty_tables(spark, rows):
     none, bench = frame(spark, rows).limit(0), spark.createDataFrame([], "item_id long, text string")
     assert sharding.shard_documents(none).count() == 0
