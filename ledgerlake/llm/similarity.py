@@ -95,7 +95,8 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 def runs_needed(recall: float = RECALL, depth: int = DEPTH) -> int:
     """Runs after which a pair at the threshold has met with probability ``recall``:
-    the common paths of a run form a branching process with one child on average."""
+    the common paths of a run form a branching process with one child on average.  Takes
+    the mean number of matching tokens for granted; README gives the miss over all numbers."""
     alive = 1.0
     for _ in range(depth):
         alive = 1 - math.exp(-alive)
