@@ -153,6 +153,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
     "J2_dirty": (lambda s, d: _dirty(s, d).float_inferred, ()),
     "J3_dirty": (lambda s, d: _dirty(s, d).float_latest, ()),
     **{k: (fn, ()) for k, fn in landing_queries.REGISTRY.items()},
+    "A11_financials_from_archives": (lambda s, d: landing_queries.models_from_archives(s, d).financials(), MONEY),
 }
 
 

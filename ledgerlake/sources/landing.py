@@ -5,22 +5,27 @@ Archive layout: one ``YYYYqN.zip`` per quarter holding tab-separated
 
 Execution:
   * archives are listed by Spark's ``binaryFile`` source (non-zip files are
-    ignored by the glob); each archive is decoded in one task by
-    ``mapInPandas``, which opens it as a seekable file, streams members line
+    ignored by the glob) and read by the data source of ``archive_source``: one
+    task opens one archive as a seekable file, streams one member line
     by line and yields Arrow batches of at most ``batch_lines`` lines: a task
     never holds a whole archive or a whole decoded member;
   * splitting, padding/folding and the column mapping are Catalyst
     expressions over those lines;
   * headers (one per archive member) are the only thing joined back, as a
     size-checked broadcast;
-  * output is Parquet partitioned by ``srcdir``; modes append / skip / replace.
+  * output is Parquet by ``srcdir``, written aside and made visible for all
+    tables at once by a commit to the log of ``landing_log``, which also holds
+    the columns; modes append / skip / replace.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import logging
+import uuid
 import zipfile
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.sizing import broadcast_if_small
+from .archive_source import MEMBERS, archive_reader, member_lines, open_archive
+from .landing_log import LOAD, LandingState, Part, child_names, commit, read_state
 
 log = logging.getLogger(__name__)
 
-MEMBERS = ("sub.txt", "num.txt", "tag.txt")
-
 # Base columns of the raw tables (the quarterly data sets' documented fields).
 # Every landed table carries them, NULL where an archive's header lacks one;
 # columns seen only in a header are added after them.
@@ -131,16 +136,6 @@ def list_archives(spark: SparkSession, zips_dir: str, read_content: bool | None
     return df.select(*cols)
 
 
-def _open(path: str):
-    """Seekable handle on an archive by its Spark path (executor side)."""
-    if path.startswith("file:"):
-        from urllib.parse import unquote, urlparse
-        return open(unquote(urlparse(path).path), "rb")
-    import pyarrow.fs as pafs
-    fs, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return fs.open_input_file(inner)
-
-
 def _archives(pdf):
     """(path, srcdir, ZipFile) for each archive row of a pandas batch."""
     has_content = "content" in pdf.columns
@@ -149,7 +144,7 @@ def _archives(pdf):
         if has_content and pdf["content"].iat[i] is not None:
             handle = io.BytesIO(pdf["content"].iat[i])
         else:
-            handle = _open(pdf["path"].iat[i])
+            handle = open_archive(pdf["path"].iat[i])
         with handle, zipfile.ZipFile(handle) as z:
             yield pdf["path"].iat[i], srcdir, z
 
@@ -165,30 +160,26 @@ def _decode_archives(batches, batch_lines: int, members):
             for member in members:
                 if member not in names:
                     continue
-                table = member.split(".")[0]
-                with z.open(member) as fh:
-                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                    buf_no, buf_line = [], []
-                    for i, line in enumerate(text):
-                        if i == 0:
-                            line = line.lstrip("\ufeff")
-                        buf_no.append(i)
-                        buf_line.append(line)
-                        if len(buf_line) >= batch_lines:
-                            yield pd.DataFrame({"path": path, "srcdir": srcdir, "table": table,
-                                                "line_no": buf_no, "line": buf_line})
-                            buf_no, buf_line = [], []
-                    if buf_line:
-                        yield pd.DataFrame({"path": path, "srcdir": srcdir, "table": table,
-                                            "line_no": buf_no, "line": buf_line})
-
-
-def archive_lines(archives: DataFrame, batch_lines: int = 50_000, members=MEMBERS) -> DataFrame:
-    """(path, srcdir, table, line_no, line) for every line of the wanted members;
-    line 0 is the header (BOM removed).  Output leaves each task in Arrow
-    batches of at most ``batch_lines`` lines."""
-    return archives.select(*_source_cols(archives)).mapInPandas(
-        lambda it: _decode_archives(it, batch_lines, members), LINE_SCHEMA)
+                for first, run in member_lines(z, member, batch_lines):
+                    yield pd.DataFrame({"path": path, "srcdir": srcdir, "table": member.split(".")[0],
+                                        "line_no": range(first, first + len(run)), "line": run})
+
+
+def archive_lines(archives: DataFrame, batch_lines: int = 50_000, members=MEMBERS, paths: list | None = None) -> DataFrame:
+    """(path, srcdir, table, line_no, line) for every line of the wanted members of the archives (of those in ``paths``);
+    line 0 is the header (BOM removed).  Output leaves each task in Arrow batches of at most ``batch_lines`` lines.
+
+    Archives listed by path are read by the data source, one task per (archive, member).  Where ``archives``
+    carries their bytes, because only Spark can read the store, one task decodes one archive."""
+    if "content" in archives.columns:
+        if paths is not None:
+            archives = archives.filter(F.col("path").isin(*paths))
+        return archives.select(*_source_cols(archives)).mapInPandas(
+            lambda it: _decode_archives(it, batch_lines, members), LINE_SCHEMA)
+    if paths is None:
+        paths = sorted(r["path"] for r in archives.select("path").collect())
+    return (archive_reader(archives.sparkSession).option("paths", json.dumps(paths))
+            .option("members", ",".join(members)).option("batchLines", batch_lines).load())
 
 
 HEADER_SCHEMA = T.StructType([
@@ -257,43 +248,30 @@ def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: li
 
 
 # ------------------------------------------------------------------ A7 - A9
-def landed_srcdirs(spark: SparkSession, table_path: str) -> set:
-    """srcdir partitions already present (partition directories, no data read)."""
-    jp = spark._jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jp):
-        return set()
-    out = set()
-    for st in fs.listStatus(jp):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("srcdir="):
-            if any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(st.getPath())):
-                out.add(name[len("srcdir="):])
-    return out
+def landed_srcdirs(spark: SparkSession, out_root: str, table: str) -> set:
+    """srcdirs of which a table holds rows."""
+    return read_state(spark, out_root).srcdirs(table)
 
 
 def land_archives(spark: SparkSession, zips_dir: str, out_root: str, mode: str = "append",
                   batch_lines: int = 50_000, read_content: bool | None = None,
-                  rebalance: int | None = None) -> dict:
+                  rebalance: int | None = None, before_commit=None) -> dict:
     """Land every archive of ``zips_dir`` into ``out_root/{sub,num,tag}``.
 
     mode: 'append' adds rows, 'skip' leaves (table, srcdir) already landed
-    untouched, 'replace' rewrites the (table, srcdir) partitions it loads
-    (dynamic partition overwrite: atomic per job).  Returns the srcdirs
-    written per table.
+    untouched, 'replace' puts the rows it loads in the place of those of the same (table, srcdir).  All tables
+    change at once, by one commit to the log; a landing that fails before leaves what was there.  Returns the
+    srcdirs written per table.
 
     A zip member is one deflate stream, so it is inflated by one task.  When
     archives are fewer than cores or uneven in size (see ``line_partitions``),
     runs of decoded lines are spread over partitions before parsing and writing (one
     shuffle of the lines), so only the inflating stays on one core.  ``rebalance=N``
-    spreads them over N partitions in any case, 0 never.
+    spreads them over N partitions in any case, 0 never.  ``before_commit()`` is called when all rows are written
+    and before they become visible; if it raises, nothing has changed.
     """
-    return land_listed(list_archives(spark, zips_dir, read_content), out_root, mode, batch_lines, rebalance)
-
-
-def _drop_partition(spark: SparkSession, table_path: str, srcdir: str) -> None:
-    jp = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/srcdir={srcdir}")
-    jp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jp, True)
+    return land_listed(list_archives(spark, zips_dir, read_content), out_root, mode, batch_lines, rebalance,
+                       before_commit=before_commit)
 
 
 TEXT_BYTES_PER_ZIP_BYTE = 8  # tab-separated facts deflate to about an eighth
@@ -310,85 +288,128 @@ def line_partitions(lengths: list, cores: int) -> int:
     return max(cores, -(-total * TEXT_BYTES_PER_ZIP_BYTE // LINE_PARTITION_BYTES))
 
 
+def _columns(table: str, rows: list) -> list:
+    """The base columns of a table, then every other header column."""
+    columns = list(RAW_BASE_COLUMNS[table])
+    for r in rows:
+        for c in r["header"] or ():
+            if c != "srcdir" and c not in columns:
+                columns.append(c)
+    return columns
+
+
+def _write_aside(spark: SparkSession, lines: DataFrame, load: list, table: str, out_root: str) -> dict:
+    """Write the rows of one table below a folder of this load.  Returns {srcdir: folder below the root}."""
+    columns = _columns(table, load)
+    headers = spark.createDataFrame([(r["path"], table, r["header"]) for r in load],
+                                    "path string, table string, header array<string>")
+    folder = f"{table}/{LOAD}={uuid.uuid4().hex}"
+    kept_sides: list = []
+    rows_for_table(lines, headers, table, columns, keep=kept_sides).write.partitionBy("srcdir").parquet(f"{out_root}/{folder}")
+    for side in kept_sides:
+        side.unpersist()
+    names = [n for n in child_names(spark, f"{out_root}/{folder}") if n.startswith("srcdir=")]
+    return {unquote(n[len("srcdir="):]): f"{folder}/{n}" for n in names}
+
+
+def _outdone(state: LandingState, table: str, srcdir: str, path: str) -> bool:
+    """Whether an archive of the same folder that comes behind ``path`` has delivered this (table, srcdir) before."""
+    part = state.parts.get((table, srcdir))
+    before = part.archive if part and part.archive else ""
+    return before.rpartition("/")[0] == path.rpartition("/")[0] and before > path
+
+
 def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_lines: int = 50_000,
-                rebalance: int | None = None) -> dict:
+                rebalance: int | None = None, by_path: bool = False, before_commit=None) -> dict:
     """``land_archives`` for archives already listed (path, srcdir, perhaps content and length;
     without a length lines are spread only by an explicit ``rebalance``).
 
     Archives are taken in the order of their paths.  Where several carry one srcdir,
     'append' keeps the rows of all, 'replace' those of the last, 'skip' those of the
-    first.  In 'replace' a member without rows leaves its partition empty."""
+    first.  In 'replace' a member without rows leaves its (table, srcdir) empty.  ``by_path`` (for 'replace')
+    holds this order over several calls too: an archive gives way to one of its folder that comes behind it by path
+    and was landed before, as the log tells for each (table, srcdir)."""
     if mode not in ("append", "skip", "replace"):
         raise ValueError(f"unknown mode {mode}")
-    spark = archives.sparkSession
+    spark, out_root = archives.sparkSession, out_root.rstrip("/")
     # one small row per archive member
     found = archive_headers(archives).collect()
     length = F.col("length") if "length" in archives.columns else F.lit(0)
     listed = archives.select("path", "srcdir", length.alias("length")).collect()
-    by_path: dict = {r["path"]: (r["srcdir"], set()) for r in listed}
+    by_name: dict = {r["path"]: (r["srcdir"], set()) for r in listed}
     sizes = {r["path"]: r["length"] for r in listed}
     for r in found:
-        by_path[r["path"]][1].add(r["table"] + ".txt")
-    for path in sorted(by_path):
+        by_name[r["path"]][1].add(r["table"] + ".txt")
+    for path in sorted(by_name):
         for m in MEMBERS:
-            if m not in by_path[path][1]:
-                log.warning("archive %s has no %s", by_path[path][0], m)
-    written = {}
+            if m not in by_name[path][1]:
+                log.warning("archive %s has no %s", by_name[path][0], m)
+    state = read_state(spark, out_root)
+    written, columns, loaded = {}, {}, []  # loaded: (table, srcdir, folder or None, archive)
     for member in MEMBERS:
         table = member.split(".")[0]
-        path = f"{out_root.rstrip('/')}/{table}"
         rows = sorted((r for r in found if r["table"] == table), key=lambda r: r["path"])
-        done = landed_srcdirs(spark, path) if mode == "skip" else set()
-        rows = [r for r in rows if r["srcdir"] not in done]
+        if mode == "skip":
+            rows = [r for r in rows if r["srcdir"] not in state.srcdirs(table)]
+        seen = rows
+        if by_path:
+            rows = [r for r in rows if not _outdone(state, table, r["srcdir"], r["path"])]
         if mode != "append":  # one archive per srcdir
             kept: dict = {}
             for r in rows:
-                if mode == "replace" or r["srcdir"] not in kept:
+                if mode == "replace" or (r["srcdir"] not in kept and r["header"] is not None and r["has_rows"]):
                     kept[r["srcdir"]] = r
             rows = list(kept.values())
         load = [r for r in rows if r["header"] is not None and r["has_rows"]]
+        folders: dict = {}
         if load:
-            columns = list(RAW_BASE_COLUMNS[table])
-            for r in load:
-                for c in r["header"]:
-                    if c != "srcdir" and c not in columns:
-                        columns.append(c)
-            headers = spark.createDataFrame([(r["path"], table, r["header"]) for r in load],
-                                            "path string, table string, header array<string>")
-            todo = archives.filter(F.col("path").isin(*[r["path"] for r in load]))
             # one pass per table that decompresses only that member
-            lines = archive_lines(todo, batch_lines, members=(member,))
+            lines = archive_lines(archives, batch_lines, (member,), [r["path"] for r in load])
             spread = rebalance
             if spread is None:
                 spread = line_partitions([sizes[r["path"]] for r in load], spark.sparkContext.defaultParallelism)
             if spread:
                 # runs of lines stay together, so a task writes few partitions of the table
                 lines = lines.repartition(spread, "path", F.floor(F.col("line_no") / LINES_PER_RUN))
-            kept_sides: list = []
-            writer = rows_for_table(lines, headers, table, columns, keep=kept_sides).write.partitionBy("srcdir")
-            if mode == "replace":
-                writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            else:
-                writer = writer.mode("append")
-            writer.parquet(path)
-            for side in kept_sides:
-                side.unpersist()
-        if mode == "replace":
-            for srcdir in {r["srcdir"] for r in rows} - {r["srcdir"] for r in load}:
-                _drop_partition(spark, path, srcdir)
+            folders = _write_aside(spark, lines, load, table, out_root)
+        # an archive that is replaced at once has still brought its columns; a skipped one is not looked into
+        columns[table] = _columns(table, load if mode == "skip" else seen)
+        last = {r["srcdir"]: r["path"] for r in rows}
+        loaded += [(table, s, folders.get(s), p) for s, p in last.items() if mode == "replace" or s in folders]
         written[table] = sorted({r["srcdir"] for r in load})
+
+    def change(state: LandingState) -> LandingState:
+        for table, names in columns.items():
+            state = state.with_columns(table, names)
+        for table, srcdir, folder, path in loaded:
+            there = state.parts.get((table, srcdir), Part(()))
+            if (mode == "skip" and there.dirs) or (by_path and _outdone(state, table, srcdir, path)):
+                continue  # another landing was faster
+            new = (folder,) if folder else ()
+            state = state.with_part(table, srcdir, Part(there.dirs + new if mode == "append" else new, path))
+        return state
+    if before_commit:
+        before_commit()
+    if loaded or any(r["header"] for r in found):
+        commit(spark, out_root, change)
     return written
 
 
-def read_landed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
-    """Landed raw table (all archives, merged schema).  A table no archive has
-    delivered yet reads as empty with its base columns, as a freshly created
-    raw table would."""
-    path = f"{out_root.rstrip('/')}/{table}"
-    if not landed_srcdirs(spark, path):
-        cols = list(RAW_BASE_COLUMNS.get(table, ())) + ["srcdir"]
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in cols]))
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_landed(spark: SparkSession, out_root: str, table: str, version: int | None = None) -> DataFrame:
+    """Landed raw table: all archives, every column seen so far (NULL where an archive had none).  Folders and columns
+    come from the log, so no file is opened before the query runs.  A table no archive has
+    delivered yet reads as empty with its base columns, as a freshly created raw table would.  ``version``
+    reads an earlier state of the log."""
+    root = out_root.rstrip("/")
+    state = read_state(spark, root, version)
+    columns = state.columns.get(table) or RAW_BASE_COLUMNS.get(table, ())
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "srcdir"]])
+    dirs = state.dirs(table)
+    if not dirs:
+        return spark.createDataFrame([], schema)
+    whole = T.StructType([*schema.fields[:-1], T.StructField(LOAD, T.StringType()), schema.fields[-1]])
+    return (spark.read.schema(whole).option("basePath", f"{root}/{table}")
+            .parquet(*[f"{root}/{d}" for d in dirs]).select(*schema.names))
 
 
 class LandedRaw:

@@ -3,9 +3,10 @@
 The source's loader re-reads a folder and probes the database per
 (table, srcdir) to skip or replace.  Here the file source remembers which
 archives it has processed (in the stream checkpoint), so each run lands only
-new archives; every micro-batch rewrites the (table, srcdir) partitions it
-carries (dynamic partition overwrite), which makes a replayed batch after a
-failure idempotent.
+new archives.  Which archive of a (table, srcdir) wins is keyed state: the landing log holds the
+winner of each, a batch compares its archives with it, and the last by path stays.  So the rows
+depend neither on the order of arrival nor on how many archives a batch takes, and a batch replayed
+after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -30,13 +31,14 @@ BINARY_FILE_SCHEMA = T.StructType([
 def _land_batch(out_root: str, batch_lines: int):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        paths = [r["path"] for r in batch.select("path").collect()]  # at most maxFilesPerTrigger
-        if not paths:
+        found = [(r["path"], r["length"]) for r in batch.select("path", "length").collect()]  # at most maxFilesPerTrigger
+        if not found:
             return
-        archives = spark.createDataFrame([(p,) for p in paths], "path string")
-        if not landing._pyarrow_readable(paths[0]):  # only Spark can read this store
-            archives = spark.read.format("binaryFile").load(paths).select("path", "content")
-        landing.land_listed(archives.withColumn("srcdir", landing.srcdir_of("path")), out_root, "replace", batch_lines)
+        archives = spark.createDataFrame(found, "path string, length long")
+        if not landing._pyarrow_readable(found[0][0]):  # only Spark can read this store
+            archives = spark.read.format("binaryFile").load([p for p, _ in found]).select("path", "content", "length")
+        landing.land_listed(archives.withColumn("srcdir", landing.srcdir_of("path")), out_root, "replace", batch_lines,
+                            by_path=True)
     return run
 
 
@@ -49,7 +51,7 @@ def start_incremental_landing(spark: SparkSession, zips_dir: str, out_root: str,
     src = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
            .option("pathGlobFilter", "*.[zZ][iI][pP]")
            .option("maxFilesPerTrigger", max_files_per_trigger)
-           .load(zips_dir).select("path"))  # the archives themselves are read by the batch
+           .load(zips_dir).select("path", "length"))  # the archives themselves are read by the batch
     return (src.writeStream.foreachBatch(_land_batch(out_root, batch_lines))
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True)
