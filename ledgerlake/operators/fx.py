@@ -36,24 +36,34 @@ def fx_quotes(facts: DataFrame) -> DataFrame:
 
 
 RATE_TYPE = "decimal(38,20)"  # 20 places: every digit of a double rate of 1e-5 or more
+SUM_LIMIT = 9e17  # sums below this surely fit RATE_TYPE
 
 
 def exact_mean(rate) -> F.Column:
     """Mean of rates summed as decimals: a double rate is taken with all its digits
-    and the sum does not depend on the order of the rows.  A group with a rate
-    too large for the type is averaged as doubles."""
+    and the sum does not depend on the order of the rows.  Sums too large for the type are made of
+    whole parts and fractions apart, neither of which can overflow; only a group with
+    a rate too large for the type itself (1e18) is averaged as doubles."""
     units = rate.try_cast(RATE_TYPE)
-    exact = F.try_sum(units).cast("double") / F.count(units)
-    return F.when(F.count(units) == F.count(rate), exact).otherwise(F.avg(rate))
+    n = F.count(units)
+    whole = F.floor(units)  # decimal(19,0): sums of 10^19 rows fit
+    fraction = (units - whole).cast("decimal(28,20)")
+    wide = F.try_sum(whole).cast("double") / n + F.try_sum(fraction).cast("double") / n
+    fits = F.max(F.abs(rate)) * n < F.lit(SUM_LIMIT)
+    exact = F.when(fits, F.try_sum(units).cast("double") / n).otherwise(wide)
+    return F.when(n == F.count(rate), exact).otherwise(F.avg(rate))
 
 
-def fx_rates(facts: DataFrame) -> DataFrame:
+def mean_rates(quotes: DataFrame) -> DataFrame:
     """(kind, base, ddate) -> to_usd = mean rate, from_usd = 1 / to_usd."""
-    agg = fx_quotes(facts).groupBy("kind", "base", "ddate") \
-                          .agg(exact_mean(F.col("rate_to_usd")).alias("to_usd"))
+    agg = quotes.groupBy("kind", "base", "ddate").agg(exact_mean(F.col("rate_to_usd")).alias("to_usd"))
     return agg.withColumn("from_usd", F.try_divide(F.lit(1.0), F.col("to_usd")))
 
 
+def fx_rates(facts: DataFrame) -> DataFrame:
+    return mean_rates(fx_quotes(facts))
+
+
 def closing_fx(facts: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     r = rates if rates is not None else fx_rates(facts)
     return r.filter(F.col("kind") == CLOSING).select("base", "ddate", "to_usd", "from_usd")

@@ -15,11 +15,12 @@ line feed; sentences split on ``[.!?\\n]+``, tokens are runs of Unicode letters
 the lower-cased text, bigrams are consecutive tokens of the whole call.  A bigram
 whose tokens lie in two sentences (or turns) belongs to the sentence of its first.
 
-Execution: a call is never assembled.  Bigrams that start in a turn and end in it
-are built from that turn's row with higher-order array functions; the bigrams
-between turns come from one slim row per turn (first token, last token, tones of
-the last sentence).  All occurrences meet the dictionary in one broadcast hash
-join and are summed by a partially aggregated ``groupBy``.
+Execution: a call is never assembled.  Every token is a row with the bigram that it
+begins; tokens meet the tone words in one join and bigrams the topic sets in another, broadcast where
+the dictionary is small, whatever its length never as literals.  A partially aggregated ``groupBy`` folds the
+rows of a sentence to its tones and hits, a second one sums the sentences of a call.
+The bigrams between turns come from one slim row per turn (first token, last token) and
+are hits of the last sentence of their turn.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.sizing import broadcast_if_small
+
 SENTENCE_SPLIT = r"[.!?\n]+"
 TOKEN = r"\p{L}+"
 
@@ -53,49 +56,43 @@ TURNS_PER_BLOCK = 4096  # turns of one call that one window task orders together
 FLAGS = ("is_risk", "is_pos", "is_neg")
 
 
-def _tones(tokens, words) -> list:
-    return [F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in words[f]]).cast("array<string>")).alias(f)
-            for f in FLAGS]
-
-
-def _inner_bigrams(turns: DataFrame, key_cols, text_col: str, words) -> DataFrame:
-    """Bigrams within one turn, one row each; a turn without any gives one row with a NULL bigram."""
+def _sentence_tokens(turns: DataFrame, key_cols, text_col: str) -> DataFrame:
+    """(key, turn, body, behind, token, bigram): every token of every sentence with the bigram that it begins within its
+    turn; ``behind`` counts the sentences behind it, ``body`` is the digest of the turn's text.  A turn without
+    tokens gives one row without any."""
     sentences = F.filter(F.transform(F.split(F.lower(F.col(text_col)), SENTENCE_SPLIT, -1),
                                      lambda s: F.regexp_extract_all(s, F.lit(TOKEN), 0)), lambda t: F.size(t) > 0)
-    turn = turns.select(*key_cols, sentences.alias("s"))
-    sent = turn.select(*key_cols, F.size("s").alias("n"), "s", F.posexplode_outer("s").alias("i", "t"))
+    turn = turns.select(*key_cols, "_turn", "_body", sentences.alias("s"))
+    sent = turn.select(*key_cols, "_turn", "_body", F.size("s").alias("n"), "s", F.posexplode_outer("s").alias("i", "t"))
     # the token that follows the sentence in its turn closes its last bigram
     closed = F.when(F.col("i") + 1 < F.col("n"), F.concat("t", F.slice(F.element_at("s", F.col("i") + 2), 1, 1))) \
               .otherwise(F.col("t"))
-    sent = sent.select(*key_cols, *_tones(F.col("t"), words), closed.alias("t"))
-    n = F.size("t")
-    pairs = F.when(n >= 2, F.zip_with(F.slice("t", 1, n - 1), F.slice("t", 2, n - 1),
-                                      lambda a, b: F.concat(a, F.lit(" "), b)))
-    return sent.select(*key_cols, *FLAGS, F.explode_outer(pairs).alias("bigram"))
+    sent = sent.select(*key_cols, "_turn", "_body", (F.col("n") - 1 - F.col("i")).alias("_behind"), "t", closed.alias("c"))
+    sent = sent.select(*key_cols, "_turn", "_body", "_behind", "c", F.posexplode_outer("t").alias("k", "token"))
+    bigram = F.when(F.col("k") + 1 < F.size("c"), F.concat("token", F.lit(" "), F.element_at("c", F.col("k") + 2)))
+    return sent.select(*key_cols, "_turn", "_body", "_behind", "token", bigram.alias("bigram"))
 
 
-def _crossing_bigrams(turns: DataFrame, key_cols, text_col: str, turn_col: str, words) -> DataFrame:
-    """Bigrams from the last token of a turn to the first of the next turn that has one.
+def _crossing_bigrams(turns: DataFrame, key_cols, text_col: str) -> DataFrame:
+    """Bigrams from the last token of a turn to the first of the next turn that has one; they belong to the turn's
+    last sentence.
 
     Turns are ordered in blocks of ``TURNS_PER_BLOCK`` turn numbers, then the blocks of a
     call among themselves, so a call that holds much of the table is spread over many tasks.
     Rows of equal turn number are ordered by their tokens; a NULL turn number comes first."""
     low = F.lower(F.col(text_col))
-    # reversed, the text from its first letter to a sentence mark is the last sentence
-    tail = F.reverse(F.regexp_extract(F.reverse(low), r"\p{L}[^.!?\n]*", 0))
-    ends = turns.select(*key_cols, F.col(turn_col).alias("_turn"),
-                        F.regexp_extract(low, TOKEN, 0).alias("_first"),
-                        F.regexp_extract_all(tail, F.lit(TOKEN), 0).alias("_t")) \
-                .filter(F.col("_first") != F.lit(""))
-    ends = ends.select(*key_cols, "_turn", F.floor(F.col("_turn") / TURNS_PER_BLOCK).alias("_block"), "_first",
-                       F.element_at("_t", -1).alias("_last"), *_tones(F.col("_t"), words))
-    inside = Window.partitionBy(*key_cols, "_block").orderBy("_turn", "_first", "_last", *FLAGS)
+    last_token = F.reverse(F.regexp_extract(F.reverse(low), TOKEN, 0))
+    ends = turns.select(*key_cols, "_turn", "_body", F.regexp_extract(low, TOKEN, 0).alias("_first"),
+                        last_token.alias("_last")).filter(F.col("_first") != F.lit(""))
+    ends = ends.withColumn("_block", F.floor(F.col("_turn") / TURNS_PER_BLOCK))
+    inside = Window.partitionBy(*key_cols, "_block").orderBy("_turn", "_first", "_last", "_body")
     ends = ends.select("*", F.lead("_first").over(inside).alias("_next"),
                        F.first("_first").over(inside).alias("_head"))
     blocks = Window.partitionBy(*key_cols).orderBy("_block")
     last = ends.filter(F.col("_next").isNull()).withColumn("_next", F.lead("_head").over(blocks))
     both = ends.filter(F.col("_next").isNotNull()).unionByName(last.filter(F.col("_next").isNotNull()))
-    return both.select(*key_cols, *FLAGS, F.concat("_last", F.lit(" "), "_next").alias("bigram"))
+    return both.select(*key_cols, "_turn", "_body", F.lit(0).alias("_behind"), F.lit(None).cast("string").alias("token"),
+                       F.concat("_last", F.lit(" "), "_next").alias("bigram"))
 
 
 def _dictionary(spark, topics: dict, max_broadcast_rows: int) -> DataFrame:
@@ -107,21 +104,41 @@ def _dictionary(spark, topics: dict, max_broadcast_rows: int) -> DataFrame:
     return F.broadcast(df) if len(rows) <= max_broadcast_rows else df
 
 
+def tone_table(spark, risk=DEFAULT_RISK_WORDS, positive=DEFAULT_POSITIVE_WORDS, negative=DEFAULT_NEGATIVE_WORDS) -> DataFrame:
+    """(token, is_risk, is_pos, is_neg) of three word lists."""
+    lists = [frozenset(x) for x in (risk, positive, negative)]
+    rows = [(w, *[w in ws for ws in lists]) for w in sorted(frozenset().union(*lists))]
+    return spark.createDataFrame(rows, ", ".join(["token string"] + [f"{f} boolean" for f in FLAGS]))
+
+
 def transcript_signals(turns: DataFrame, key_cols, text_col: str = "text", topics=None, turn_col: str = "turn",
-                       max_broadcast_rows: int = 5_000_000, **words) -> DataFrame:
+                       max_broadcast_rows: int = 5_000_000, tone_words: DataFrame | None = None,
+                       keep: list | None = None, **words) -> DataFrame:
     """Signals per transcript (key_cols identify a transcript, turn_col orders its turns).
 
-    ``topics``: topic -> bigrams; ``risk_words``, ``pos_words``, ``neg_words``: the tone lists.
+    ``topics``: topic -> bigrams; ``risk_words``, ``pos_words``, ``neg_words``: the tone lists, or ``tone_words``: all
+    of them as (token, is_risk, is_pos, is_neg), one row per token, which is persisted, measured and added to ``keep``.
     A transcript without bigrams gets NULL signals."""
+    spark = turns.sparkSession
     topics = {t: frozenset(ws) for t, ws in (topics or DEFAULT_TOPICS).items()}
-    tones = {"is_risk": words.get("risk_words", DEFAULT_RISK_WORDS),
-             "is_pos": words.get("pos_words", DEFAULT_POSITIVE_WORDS),
-             "is_neg": words.get("neg_words", DEFAULT_NEGATIVE_WORDS)}
-    occurrences = _inner_bigrams(turns, key_cols, text_col, tones).unionByName(
-        _crossing_bigrams(turns, key_cols, text_col, turn_col, tones))
-    sc = occurrences.join(_dictionary(turns.sparkSession, topics, max_broadcast_rows), "bigram", "left")
+    if tone_words is not None:
+        tones = broadcast_if_small(tone_words.select("token", *FLAGS), max_broadcast_rows, keep)
+    else:  # arguments of the caller: their number is known
+        lists = [words.get(k, d) for k, d in (("risk_words", DEFAULT_RISK_WORDS), ("pos_words", DEFAULT_POSITIVE_WORDS),
+                                              ("neg_words", DEFAULT_NEGATIVE_WORDS))]
+        tones = tone_table(spark, *lists)
+        tones = F.broadcast(tones) if sum(map(len, lists)) <= max_broadcast_rows else tones
+    turns = turns.select(*key_cols, F.col(turn_col).alias("_turn"), F.col(text_col),
+                         F.xxhash64(F.col(text_col)).alias("_body"))
+    rows = _sentence_tokens(turns, key_cols, text_col).join(tones, "token", "left").unionByName(
+        _crossing_bigrams(turns, key_cols, text_col), allowMissingColumns=True)
+    rows = rows.join(_dictionary(spark, topics, max_broadcast_rows), "bigram", "left")
+    # equal sentences of equal turns fold into one row, with the sum of their bigrams
+    sentences = rows.groupBy(*key_cols, "_turn", "_body", "_behind").agg(
+        F.count("bigram").alias("n"), *[F.sum(f"hits_{t}").alias(f"hits_{t}") for t in topics],
+        *[F.coalesce(F.bool_or(f), F.lit(False)).alias(f) for f in FLAGS])
     tone = F.when(F.col("is_pos"), 1).when(F.col("is_neg"), -1).otherwise(0)
-    aggs = [F.count("bigram").alias("n_bigrams")]
+    aggs = [F.sum("n").alias("n_bigrams")]
     for topic in topics:
         h = F.coalesce(F.col(f"hits_{topic}"), F.lit(0))
         aggs += [F.sum(h).alias(f"{topic}_expo"),
@@ -129,13 +146,25 @@ def transcript_signals(turns: DataFrame, key_cols, text_col: str = "text", topic
                  F.sum(F.when(F.col("is_pos"), h).otherwise(0)).alias(f"{topic}_pos"),
                  F.sum(F.when(F.col("is_neg"), h).otherwise(0)).alias(f"{topic}_neg"),
                  F.sum(h * tone).alias(f"{topic}_sent")]
-    sums = sc.groupBy(*key_cols).agg(*aggs)
+    sums = sentences.groupBy(*key_cols).agg(*aggs)
     b = F.col("n_bigrams").cast("double")
     out = [F.try_divide(F.col(f"{t}_{k}").cast("double"), b).alias(f"{t}_{k}_ew")
            for t in topics for k in KINDS]
     return sums.select(*key_cols, "n_bigrams", *out)
 
 
+def large_tone_lists(texts: DataFrame, size: int = 5_000, text_col: str = "text") -> DataFrame:
+    """Tone lists of ``size`` words each from the words of ``texts``: those with the least digest of a list's letter and
+    the word.  A stand-in, drawn by rule, for dictionaries of real length."""
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(TOKEN), 0)).alias("token")).distinct()
+    out = None
+    for flag, letter in zip(FLAGS, "rpn"):
+        own = words.orderBy(F.md5(F.concat(F.lit(letter), "token")), "token").limit(size)
+        own = own.select("token", *[F.lit(f == flag).alias(f) for f in FLAGS])
+        out = own if out is None else out.union(own)
+    return out.groupBy("token").agg(*[F.bool_or(f).alias(f) for f in FLAGS])
+
+
 def firm_year_signals(transcripts: DataFrame, firm_col: str = "firm_id", year_col: str = "year",
                       quarter_col: str = "quarter", topics=None) -> DataFrame:
     """Mean over the quarters of a firm-year of the quarterly values (several

@@ -139,6 +139,15 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
         text_signals.conversation_transcripts(read_driver(s, d, "conversations")),
         ["conv_id", "firm_id", "year", "quarter"], "text"),
         tuple(f"{t}_{k}_ew" for t in text_signals.DEFAULT_TOPICS for k in text_signals.KINDS)),
+    # tone lists of a real dictionary's length
+    "L_large_lists": (lambda s, d: text_signals.transcript_signals(
+        text_signals.conversation_transcripts(read_driver(s, d, "conversations")),
+        ["conv_id", "firm_id", "year", "quarter"], "text",
+        tone_words=text_signals.large_tone_lists(read_driver(s, d, "documents"))),
+        tuple(f"{t}_{k}_ew" for t in text_signals.DEFAULT_TOPICS for k in text_signals.KINDS)),
+    # rates whose sums need more than 38 digits
+    "F4_wide_rates": (lambda s, d: fx.mean_rates(fx.fx_quotes(_m(s, d).facts).withColumn(
+        "rate_to_usd", F.col("rate_to_usd") * F.lit(1e17))), ("to_usd", "from_usd")),
     "D3b_exposure_match_year": (lambda s, d: _m(s, d).exposure(match_year=True),
                                 ("asset_weighted_physical_climate_change_exposure",)),
     "F9b_t_a_single_codes": (lambda s, d: FilingModels.from_driver(s, d, uom_mode="pair_or_single").t("assets"),

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import columns as C
@@ -52,3 +53,16 @@ def test_blank_and_ratio(spark):
     assert one(spark, C.blank_to_null, "x") == "x"
     df = spark.createDataFrame([(1.0, 0.0), (1.0, None), (3.0, 2.0)], "a double, b double")
     assert [r[0] for r in df.select(C.safe_ratio("a", "b")).collect()] == [None, None, 1.5]
+
+
+def test_exact_mean_of_wide_sums(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.fx import exact_mean
+    cases = {"wide": [6e17, 6e17], "signs": [9.5e17, -9.5e17, 9.5e17, 1.5], "small": [0.1, 0.2, 0.3], "beyond": [6e20, 2e20],
+             "nulls": [None, 2.0], "none": [None], "many": [9.9e17] * 500}
+    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "k string, v double")
+    got = {r.k: r.m for r in df.groupBy("k").agg(exact_mean(F.col("v")).alias("m")).collect()}
+    assert got["wide"] == 6e17 and got["many"] == pytest.approx(9.9e17, rel=1e-15) and got["none"] is None
+    assert got["signs"] == pytest.approx(9.5e17 / 4, rel=1e-15) and got["small"] == 0.2
+    assert got["beyond"] == 4e20 and got["nulls"] == 2.0

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -75,3 +76,47 @@ def test_dictionary_joined_without_broadcast(spark):
     for limit in (5_000_000, 0):
         r = TS.transcript_signals(df, ["conv_id"], max_broadcast_rows=limit, **kw).first()
         assert r.n_bigrams == 5 and r.cc_expo_ew == pytest.approx(3 / 5) and r.op_expo_ew == pytest.approx(1 / 5)
+
+
+def random_calls(seed=4):
+    rng = random.Random(seed)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    turns = []
+    for c in range(12):
+        for t in range(rng.randint(1, 9)):
+            text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", ". ", "\n", "! ", " 12 "]) for _ in range(rng.randint(0, 25)))
+            turns.append((c, t, text))
+    turns += [(20, 0, ""), (20, 1, None), (21, 0, "..."), (21, 2, words[0]), (21, 4, words[1] + ".")]
+    return words, turns
+
+
+@pytest.mark.parametrize("limit", [0, 5_000_000])
+def test_long_tone_lists_are_joined(spark, limit):
+    """Lists as frames and as arguments, broadcast or not, give what brute force gives; none is in the plan."""
+    words, turns = random_calls()
+    rng = random.Random(9)
+    lists = [tuple(rng.sample(words, 40)) + tuple(f"filler{f}{i}" for i in range(3000)) for f in "abc"]
+    topics = {"cc": tuple(f"{rng.choice(words)} {rng.choice(words)}" for _ in range(3000)), "ph": (f"{words[0]} {words[1]}",)}
+    df = spark.createDataFrame(turns, "conv_id long, turn long, text string")
+    by_frame = TS.transcript_signals(df, ["conv_id"], "text", topics, max_broadcast_rows=limit,
+                                     tone_words=TS.tone_table(spark, *lists))
+    by_list = TS.transcript_signals(df, ["conv_id"], "text", topics, max_broadcast_rows=limit, risk_words=lists[0],
+                                    pos_words=lists[1], neg_words=lists[2])
+    plan = by_frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "fillera7" not in plan and "arrays_overlap" not in plan
+    assert sorted(map(tuple, by_frame.collect())) == sorted(map(tuple, by_list.collect()))
+    got = {r.conv_id: r for r in by_list.collect()}
+    assert set(got) == {c for c, _, _ in turns}
+    some = 0
+    for c in got:
+        want = brute([t or "" for k, _, t in turns if k == c], topics, *lists)
+        for k, v in want.items():
+            assert got[c][k] == pytest.approx(v)
+            some += bool(v)
+    assert some > 20
+
+
+def test_repeated_turns_count_twice(spark):
+    df = spark.createDataFrame([(1, 0, "Good carbon tax. Bad"), (1, 0, "Good carbon tax. Bad")], "conv_id long, turn long, text string")
+    r = TS.transcript_signals(df, ["conv_id"], "text", {"cc": ("carbon tax",)}, pos_words=("good",)).first()
+    assert r.n_bigrams == 7 and r.cc_pos_ew == pytest.approx(2 / 7)
