@@ -5,8 +5,10 @@ and minimum hash), which two sets share in proportion to their Jaccard index.
 In each run a set follows every token that a shared hash of the path selects; a
 token is selected with probability 1 / (threshold * tokens), so two sets at the
 threshold share one child of a common node on average and unlike sets part.
-Small nodes are compared by brute force, large ones are split again, and runs repeat until a pair at
-the threshold is found with the target probability.
+Small nodes are compared by brute force.  A large one is first compared with one of its sets, the pivot: sets
+that match it leave the node as its partners, so a large group of near copies costs one
+comparison a set and is never split; the others are split again.  Runs, each with its own
+pivots, repeat until a pair at the threshold is found with the target probability.
 
 Pairs found by their tokens join sets into clusters; inside a cluster all pairs are then decided
 exactly on the shingles, in blocks where a cluster is large.  Only one row per
@@ -144,12 +146,27 @@ def _first_paths(runs: int, threshold: float):
     return rows
 
 
-def _next_paths(threshold: float):
+def _settle(threshold: float, split: bool):
+    """Rows of large nodes with their pivot: (set_key, pivot, no path) where the pivot is a candidate; (set_key, no pivot,
+    path) for the sets that stay, under every child path or (``split`` false) under the node's own."""
+    need, leave = least_matches(threshold), math.ceil(threshold * TOKENS)
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                row, path = chosen(pdf["path"].to_numpy().view(np.uint64), _stack(pdf["tokens"], np.uint32), threshold)
-                yield pd.DataFrame({"path": path.view(np.int64), "set_key": pdf["set_key"].to_numpy()[row]})
+            if not len(pdf):
+                continue
+            key, pivot, path = (pdf[c].to_numpy() for c in ("set_key", "pivot", "path"))
+            tokens = _stack(pdf["tokens"], np.uint32)
+            same = (tokens == _stack(pdf["pivot_tokens"], np.uint32)).sum(1)
+            met = np.flatnonzero((same >= need) & (key != pivot))
+            stay = np.flatnonzero(same < leave)  # the pivot leaves with those that it stands for
+            if split and len(stay):
+                row, child = chosen(path[stay].view(np.uint64), tokens[stay], threshold)
+                stay, child = stay[row], child.view(np.int64)
+            else:
+                child = path[stay]
+            yield pd.DataFrame({"set_key": key[met], "pivot": pivot[met], "path": pd.array([None] * len(met), "Int64")})
+            yield pd.DataFrame({"set_key": key[stay], "pivot": [None] * len(stay), "path": pd.array(child, "Int64")})
     return rows
 
 
@@ -334,16 +351,25 @@ def similarity_labels(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     runs = runs_needed(recall)
     path_schema = "path long, set_key binary"
     paths = kinds.select("tokens", "set_key").mapInPandas(_first_paths(runs, threshold), path_schema)
-    leaves = []
+    leaves, pivot_edges = [], []
     for level in range(1, DEPTH + 1):
         n = paths.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         nodes = written(paths.join(n, "path"), f"paths{level}")
-        last = level == DEPTH
-        small = nodes if last else nodes.filter(F.col("n") <= bucket)
-        leaves.append(small.withColumn("blocks", F.ceil(F.col("n") / F.lit(bucket))))
-        if not last:
-            paths = (nodes.filter(F.col("n") > bucket).join(kinds.select("set_key", "tokens"), "set_key")
-                     .select("path", "tokens", "set_key").mapInPandas(_next_paths(threshold), path_schema))
+        leaves.append(nodes.filter(F.col("n") <= bucket).withColumn("blocks", F.lit(1)))
+        large = nodes.filter(F.col("n") > bucket)
+        pivots = large.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "set_key").alias("h"), "set_key")).alias("p"))
+        tokens = kinds.select("set_key", "tokens")
+        pivots = pivots.select("path", F.col("p.set_key").alias("pivot")).join(
+            tokens.toDF("pivot", "pivot_tokens"), "pivot")
+        settled = written(large.join(tokens, "set_key").join(pivots, "path")
+                          .select("set_key", "tokens", "path", "pivot", "pivot_tokens")
+                          .mapInPandas(_settle(threshold, level < DEPTH), "set_key binary, pivot binary, path long"),
+                          f"settled{level}")
+        pivot_edges.append(settled.filter("pivot is not null").select(F.col("pivot").alias("a"), F.col("set_key").alias("b")))
+        paths = settled.filter("path is not null").select("path", "set_key")
+    # unlike sets that no level has parted
+    n = paths.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    leaves.append(paths.join(n, "path").withColumn("blocks", F.ceil(F.col("n") / F.lit(bucket)).cast("int")))
     members = leaves[0]
     for other in leaves[1:]:
         members = members.unionByName(other)
@@ -360,6 +386,8 @@ def similarity_labels(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     node = ["path", "left", "right"]
     near = (members.repartition(*node).sortWithinPartitions(*node)
             .mapInPandas(_candidate_edges(threshold), "a binary, b binary"))
+    for edges in pivot_edges:
+        near = near.union(edges)
     clusters = components(near)
 
     sized = clusters.join(kinds.select(F.col("set_key").alias("node"), "size", "row_key"), "node")

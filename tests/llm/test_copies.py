@@ -2,10 +2,12 @@
 
 import hashlib
 import os
+import random
 import sys
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -50,6 +52,40 @@ def test_join_equals_all_pairs(spark, options):
     assert got == want and sum(r[3] > 0 for r in want) > 20
 
 
+def near_copy_rows(groups, size, seed):
+    """Groups of texts, each a few random words away from its group's text; pairs lie on both sides of 0.8."""
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        base = [f"g{g}w{i}" for i in range(120)]
+        for _ in range(size):
+            words = list(base)
+            for _ in range(rng.choice([1, 1, 1, 2, 3])):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("bucket", [20, 150, 5_000])
+def test_classes_of_large_groups_whatever_the_bucket(spark, bucket):
+    rows = near_copy_rows(3, 250, seed=bucket)
+    got = plain(similarity.similarity_join(frame(spark, rows), bucket=bucket), "doc_id", "class_id", "text_id", "n_links")
+    assert got == linked(rows)
+
+
+def test_pivots_keep_rows_per_set_flat():
+    """Sets of one large group leave their node with the pivot: hardly any is split again, at every size."""
+    hashes, per_set = similarity.WordHashes(), []
+    for size in (300, 3_000):
+        tokens = np.stack([similarity.sketch(similarity.shingles(t.split(), hashes)) for _, t in near_copy_rows(1, size, 7)])
+        batch = pd.DataFrame({"set_key": [bytes([i % 256, i // 256]) for i in range(size)], "path": np.arange(size, dtype=np.int64),
+                              "tokens": [x.tobytes() for x in tokens]})
+        batch["pivot"], batch["pivot_tokens"] = batch["set_key"][0], batch["tokens"][0]
+        out = pd.concat(list(similarity._settle(0.8, True)([batch])))
+        per_set.append(len(out) / size)
+        assert out["pivot"].notna().mean() > 0.6
+    assert max(per_set) < 2.2 and abs(per_set[0] - per_set[1]) < 0.3
+
+
 def test_large_group_of_near_copies(spark):
     base = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join(base[:10 + k % 150] + [f"x{k}"] + base[11 + k % 150:])) for k in range(400)]
