@@ -49,12 +49,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     items_sha256, contaminated, hits (the hit word ranges as (pos, len)).
 
     A null or empty text has no words and no hits; an empty benchmark hits
-    nothing.  Null item_ids take no part.  Rows equal in doc_id and text are
+    nothing.  An item without an id hits like others but is in no list of items.  Rows equal in doc_id and text are
     counted, not repeated, before the shuffle and come out as often as they came
     in.  Extra columns of either table are ignored.
     """
     check_columns(docs, doc_id="any", text="string")
-    bench = benchmark_windows(benchmark, window).filter("item_id is not null")
+    bench = benchmark_windows(benchmark, window)
     # the set is small or not: one row with its bytes and window lengths (at most `window` of them)
     facts = bench.agg(F.sum(F.length(F.array_join("win", " ")) + F.lit(64)).alias("bytes"),
                       F.collect_set(F.size("win")).alias("lengths")).first()
@@ -129,7 +129,7 @@ def contamination_sql(window: int = WINDOW) -> str:
     lowered = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
     return f"""
 with b as (
-  select item_id, regexp_extract_all({lowered}, '{word}') as w from benchmark where item_id is not null),
+  select item_id, regexp_extract_all({lowered}, '{word}') as w from benchmark),
 bw as materialized (
   select distinct item_id, array_to_string(list_slice(w, i + 1, i + {window}), ' ') as win,
          least(len(w), {window}) as n
@@ -144,7 +144,7 @@ h as materialized (select p.r, p.i, p.n, bw.item_id from p join bw on p.win = bw
 cover as (select r, count(distinct i + k) as n_hit from (select distinct r, i, n from h),
           lateral (select unnest(range(n)) as k) group by r),
 its as (select r, count(*) as n_items, string_agg(item, ',' order by item) as items
-        from (select distinct r, item_id::varchar as item from h) group by r)
+        from (select distinct r, item_id::varchar as item from h where item_id is not null) group by r)
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(c.n_hit, 0)::bigint as n_hit,
        coalesce(i.n_items, 0)::bigint as n_items, sha256(coalesce(i.items, '')) as items_sha256,
        coalesce(c.n_hit, 0) > 0 as contaminated

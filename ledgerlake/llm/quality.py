@@ -6,8 +6,8 @@ Forward-backward gives each line's probability of being good, and their mean
 weighted by line length is the document's quality.
 
 The labels are on documents, so in training all lines of a document carry its
-label.  The field is fitted on a bounded sample (``TRAIN_DOCS`` labelled rows,
-``TRAIN_LINES`` lines of each); scoring reads every line of every document.
+label.  The field is fitted on a bounded sample of whole texts: labelled rows in the order of a
+digest, at most ``TRAIN_DOCS`` of them and ``TRAIN_LINES`` lines in all.  Scoring reads every line of every document.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from .labels import id_fold, label_sample, label_table
 
 FOLDS, HELD_OUT = 3, 1
 TRAIN_DOCS = 6000
-TRAIN_LINES = 200
+TRAIN_LINES = 200_000
+BATCH_LETTERS = 1_000_000  # letters that are scored at once
 STEPS = 150
 RIDGE = 1e-3
 
@@ -42,12 +43,10 @@ N_LINE = N_CLASSES + 8
 N_FEATURES = 3 * N_LINE + 1
 
 
-def line_features(text: str | None, max_lines: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(lines, N_FEATURES) matrix and the lengths in bytes.  A text has at least
     one line; an empty line has all features 0 but for the intercept."""
     lines = (text or "").split("\n")
-    if max_lines:
-        lines = lines[:max_lines]
     own = np.zeros((len(lines), N_LINE))
     raw = [x.encode("utf-8", "replace") for x in lines]
     size = np.array([len(x) for x in raw])
@@ -116,8 +115,8 @@ class LineField:
         return good, pair.sum(0), float(norm[start].sum())
 
 
-def _stack(texts, max_lines=None):
-    parts = [line_features(t, max_lines) for t in texts]
+def _stack(texts):
+    parts = [line_features(t) for t in texts]
     length = np.array([len(x) for x, _ in parts], np.int64)
     start = np.cumsum(length) - length
     x = np.concatenate([x for x, _ in parts]) if parts else np.zeros((0, N_FEATURES))
@@ -158,18 +157,37 @@ def score_texts(texts, field: LineField) -> np.ndarray:
     return np.clip(np.add.reduceat(good * weight, start) / np.add.reduceat(weight, start), 0, 1)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> LineField:
+def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> DataFrame:
+    """(doc_id, digest, label) of the distinct labelled rows to learn from: in the order of a digest of id and text the first
+    ``max_docs``, without those that would bring the sum of lines above ``max_lines``.  No row is cut."""
     known = label_table(labels, "quality").filter(id_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-    sample = label_sample(known, max_docs)  # bounded by its parameter
+    ids = label_sample(known, max_docs)  # bounded by its parameter; one id may have many rows
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), text)).alias("digest"),
+                       (F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).alias("lines"))
+    rows = rows.join(F.broadcast(ids), "doc_id").dropDuplicates(["digest"]).orderBy("digest").limit(max_docs)
+    got, lines, kept = rows.collect(), 0, []
+    for r in got:
+        if lines + r["lines"] <= max_lines:
+            lines += r["lines"]
+            kept.append((r["doc_id"], r["digest"], r["label"]))
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, digest string, label int"
+    return docs.sparkSession.createDataFrame(kept, schema)
+
+
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> LineField:
+    sample = training_rows(docs, labels, max_docs, max_lines)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = [line_features(t, max_lines)[0].astype(np.float32) for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["doc_id"].astype(str), "x": [v.tobytes() for v in x], "label": pdf["label"]})
-
-    got = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-           .mapInPandas(read, "id string, x binary, label int").toPandas())
-    got = got.sort_values(["id", "x"])  # the sums then do not depend on the partitioning
+            x = [line_features(t)[0].astype(np.float32) for t in pdf["text"]]
+            yield pd.DataFrame({"digest": pdf["digest"], "x": [v.tobytes() for v in x], "label": pdf["label"]})
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    own = docs.select("text", F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), text)).alias("digest"))
+    got = (own.join(F.broadcast(sample.select("digest", "label")), "digest").dropDuplicates(["digest"])
+           .select("text", "digest", "label").mapInPandas(read, "digest string, x binary, label int").toPandas())
+    got = got.sort_values("digest")  # the sums then do not depend on the partitioning
     xs = [np.frombuffer(v, np.float32).reshape(-1, N_FEATURES) for v in got["x"]]
     length = np.array([len(v) for v in xs], np.int64)
     x = np.concatenate(xs).astype(float) if xs else np.zeros((0, N_FEATURES))
@@ -180,7 +198,9 @@ def quality_score(field: LineField, text: Column | None = None) -> Column:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            out = [score_texts(texts[i:i + 256], field) for i in range(0, len(texts), 256)]
+            size = texts.str.len().fillna(0).to_numpy(float)
+            part = (np.cumsum(size) // BATCH_LETTERS) if len(size) else size
+            out = [score_texts(own, field) for _, own in texts.groupby(part, sort=True)]
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return score(F.col("text") if text is None else text)

@@ -1,5 +1,6 @@
 """HTML text, nearest neighbours, toxicity and quality."""
 
+import itertools
 import os
 import sys
 import zlib
@@ -152,3 +153,38 @@ def test_toxic_stems_longer_than_four_letters(spark):
     near = [{r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, known, max_broadcast_stems=m).collect()}
             for m in (500_000, 0)]
     assert near[0].keys() == near[1].keys() and all(abs(near[0][k] - near[1][k]) < 1e-9 for k in near[0])
+
+
+def test_quality_learns_from_whole_rows_within_its_bounds(spark):
+    """Marks far down a text teach as well; a repeated labelled row counts once; no row is cut."""
+    rows = [(i, "plain words here\n" * 400 + ("GOOD mark.\n" if i % 2 else "bad mark\n") * 30) for i in range(30)] + [(3, "x")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    picked = quality.training_rows(docs, labels)
+    assert picked.count() == len({r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1})
+    few = quality.training_rows(docs, labels, max_lines=2_000).collect()
+    assert 3 <= len(few) <= 5 and quality.training_rows(docs, labels, max_docs=7).count() <= 7
+    out = {r.doc_id: r.score for r in quality.quality(docs.dropDuplicates(["doc_id"]), labels).collect()}
+    assert set(out) == set(range(30))
+
+
+def test_field_equals_enumeration_of_all_labelings():
+    rng = np.random.RandomState(2)
+    field = quality.LineField(rng.normal(size=quality.N_FEATURES), rng.normal(size=(2, 2)), np.zeros(quality.N_FEATURES),
+                              np.ones(quality.N_FEATURES))
+    texts = ["One line.", "a b\nC D!\n\nlast 9 line", "x\ny\nz\nx\nw w"]
+    x, _, start, length = quality._stack(texts)
+    good, pair, log_z = field.marginals(field.standard(x) @ field.w, start, length)
+    want, steps, total = np.zeros(len(x)), np.zeros((2, 2)), 0.0
+    for s, n in zip(start, length):
+        u = x[s:s + n] @ field.w
+        weights = {}
+        for labels in itertools.product((0, 1), repeat=int(n)):
+            weights[labels] = np.exp(sum(u[i] * v for i, v in enumerate(labels)) + sum(field.t[a, b] for a, b in zip(labels, labels[1:])))
+        z = sum(weights.values())
+        total += np.log(z)
+        for labels, p in weights.items():
+            want[s:s + n] += p / z * np.array(labels)
+            for a, b in zip(labels, labels[1:]):
+                steps[a, b] += p / z
+    assert np.allclose(good, want) and np.allclose(pair, steps) and np.isclose(log_z, total)

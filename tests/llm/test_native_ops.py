@@ -136,6 +136,17 @@ def test_decontamination_equals_sql(spark, rows, bench_rows):
     assert kept.count() == sum(1 for r in want if not r[cols.index("contaminated")])
 
 
+def test_items_without_an_id_hit(spark):
+    rows = [(1, "alpha beta gamma"), (2, "gamma delta"), (3, "alpha beta delta gamma")]
+    items = [(None, "Alpha  beta"), (5, "delta gamma"), (None, None)]
+    cols, want = duck(decontam.contamination_sql(), rows, items)
+    docs, bench = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    assert plain(decontam.contamination_query(docs, bench), *cols) == want
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontam.contamination_query(docs, bench).collect()}
+    assert got == {1: (2, 0, True), 2: (0, 0, False), 3: (4, 1, True)}
+    assert [r.doc_id for r in decontam.remove_contaminated(docs, bench).collect()] == [2]
+
+
 def test_license_scan_equals_sql(spark, rows):
     cols, want = duck(licenses.scan_sql(), rows)
     out = licenses.scan_licenses(frame(spark, rows), licenses.known_licenses(spark))
