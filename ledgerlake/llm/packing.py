@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import check_columns, written
-from .tokens import WordIds
+from .tokens import word_ids
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -39,7 +39,7 @@ PLACED, GAP, LEFT = 0, 1, 2
 
 def _piece_rows(tokenizer: str, capacity: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, made = WordIds(tokenizer), TaskContext.get().partitionId() << 40
+        ids, made = word_ids(tokenizer), TaskContext.get().partitionId() << 40
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             texts, at = batch.column("text").to_pylist(), 0

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
-from collections import ChainMap
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 
-KNOWN_PIECES = 400_000  # remembered pieces of text; the memory is emptied beyond
+KNOWN_PIECES = 400_000  # remembered pieces of text
 KNOWN_LETTERS = 64  # longer pieces are encoded each time
 
 
@@ -37,34 +37,67 @@ def load_pieces(name: str):
 
 
 class Remembered:
-    """Results of ``encode`` (list of pieces -> list of results), by piece."""
+    """Results of ``encode`` (list of pieces -> list of results), by piece.  Holds the pieces asked for last, at least
+    ``limit`` and at most twice as many beside those of one call."""
 
-    def __init__(self, encode):
-        self.encode, self.known = encode, {}
+    def __init__(self, encode, limit: int = KNOWN_PIECES):
+        self.encode, self.limit, self.known, self.before, self.long = encode, limit, {}, {}, []
 
     def __call__(self, pieces: set[str]) -> dict:
-        """A dict that holds the results of ``pieces`` at least."""
-        if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        if not new:
-            return self.known
-        found = dict(zip(new, self.encode(new)))
-        self.known.update((p, r) for p, r in found.items() if len(p) <= KNOWN_LETTERS)
-        long = {p: r for p, r in found.items() if len(p) > KNOWN_LETTERS}
-        return ChainMap(long, self.known) if long else self.known
+        """A dict that holds the results of ``pieces`` at least, until the next call."""
+        for p in self.long:
+            self.known.pop(p, None)
+        if len(self.known) > self.limit:
+            self.known, self.before = {}, self.known
+        known, before, new = self.known, self.before, []
+        for p in pieces:
+            if p not in known:
+                if p in before:
+                    known[p] = before[p]
+                else:
+                    new.append(p)
+        known.update(zip(new, self.encode(new)))
+        self.long = [p for p in new if len(p) > KNOWN_LETTERS]
+        return known
 
 
 class WordIds:
-    """Ids of texts under a tokenizer that drops white space, as little-endian 32-bit numbers.
-    Such a tokenizer treats what stands between blanks or line feeds apart, so that each is encoded once."""
+    """Ids of texts under a tokenizer that lowers letters and parts white space, letters and marks, as little-endian 32-bit
+    numbers.  It treats what stands between blanks or line feeds apart, so that each such piece is encoded once,
+    and of a word with marks behind it the word and the marks."""
 
     def __init__(self, name: str):
-        tokenizer = load_tokenizer(name)
-        self.remembered = Remembered(lambda pieces: [
-            np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(pieces, add_special_tokens=False)])
+        self.tokenizer = load_tokenizer(name)
+        self.parts, self.pieces = Remembered(self._encode_parts), Remembered(self._encode)
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        model, out = self.tokenizer.model, {}
+        for p in parts:
+            if p.isascii() and p.isalpha() and p.islower():  # neither normalised nor parted by the tokenizer
+                ids = [t.id for t in model.tokenize(p)]
+                out[p] = pack(f"<{len(ids)}I", *ids)
+        rest = [p for p in parts if p not in out]
+        out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(
+            rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        return [out[p] for p in parts]
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        cut = []
+        for p in pieces:
+            word = p.rstrip(".,;:!?")
+            if not word or not word[-1].isalpha():
+                word = p  # marks behind marks may belong together
+            cut.append((word.lower() if word.isascii() and "<|" not in word else word, p[len(word):]))
+        known = self.parts({x for both in cut for x in both})
+        return [known[word] + known[marks] for word, marks in cut]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        known = self.remembered(set().union(*cut))
+        known = self.pieces(set().union(*cut))
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
+
+
+@lru_cache(maxsize=1)
+def word_ids(name: str) -> WordIds:
+    """One memory for all tasks of a worker process."""
+    return WordIds(name)

@@ -135,3 +135,22 @@ def test_cuts_do_not_change_the_tokens():
         assert sum(a(cuts), []) == a([text])[0]
         if "▁" not in text:
             assert sum(b(cuts), []) == b([text])[0]
+
+
+def test_words_are_encoded_as_in_their_text(monkeypatch):
+    encoder = Tokenizer.from_file(tokens.tokenizer_path(packing.TOKENIZER))
+    monkeypatch.setattr(tokens, "KNOWN_PIECES", 5)
+    ids, texts = tokens.WordIds(packing.TOKENIZER), [t for _, t in all_rows()[:80]] + ODD + ["Don't stop... it's 3.5, really?! ÀÉ ÇA. İx ΣΑΣ. x<|endoftext|>.", None]
+    for _ in range(2):
+        for k in range(0, len(texts), 7):
+            want = [np.array(encoder.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts[k:k + 7]]
+            assert ids(texts[k:k + 7]) == want
+
+
+def test_memory_keeps_what_is_asked_for():
+    asked = []
+    r = tokens.Remembered(lambda ps: (asked.extend(ps), [p.upper() for p in ps])[1], 3)
+    for pieces in ({"a", "b"}, {"a", "c", "d"}, {"a", "e"}, {"a", "x" * 100}, {"f", "g", "h", "a"}, {"a"}):
+        known = r(pieces)
+        assert all(known[p] == p.upper() for p in pieces)
+    assert asked.count("a") == 1 and len(r.known) + len(r.before) <= 8
