@@ -10,8 +10,9 @@ are cut before such blanks and every distinct cut is encoded and aligned once pe
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from .tokens import Remembered, load_pieces, load_tokenizer
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 BATCH_LETTERS = 2_000_000
+REMEMBERED = 150_000  # aligned cuts that a worker holds, up to twice as many
 #: Pairs with at least the share 1 / this of all links; so there are never more of them.
 FREQUENT_PAIRS = 400_000
 
@@ -43,16 +45,27 @@ def byte_letters() -> dict[str, int]:
 
 
 class SideA:
-    """Ids and byte lengths under a byte-level tokenizer."""
+    """Ids and byte lengths under a byte-level tokenizer.  Where its ids number the merges in their order, as
+    ranks do, the vocabulary is handed to the faster encoder for ranks; else the tokenizer itself encodes."""
 
     def __init__(self, name: str):
         letters = byte_letters()
         self.tokenizer = load_tokenizer(name, True)
-        self.bytes = {i: bytes(letters[c] for c in w) if all(c in letters for c in w) else w.encode()
-                      for w, i in self.tokenizer.get_vocab().items()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.bytes = {i: bytes(letters[c] for c in w) for w, i in vocabulary.items() if w not in special}
+        self.ranks = None
+        merges = json.loads(self.tokenizer.to_str())["model"]["merges"]
+        if all(vocabulary.get("".join(m if isinstance(m, list) else m.split(" "))) == 256 + k for k, m in enumerate(merges)):
+            import public_tokenizers
+            import tiktoken
+            self.ranks = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                           mergeable_ranks={w: i for i, w in self.bytes.items()})
 
     def __call__(self, cuts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([" " + c for c in cuts], add_special_tokens=False)]
+        if self.ranks:
+            return [self.ranks.encode_ordinary(" " + c) for c in cuts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + c for c in cuts], add_special_tokens=False)]
 
 
 class SideB:
@@ -129,7 +142,7 @@ class Aligned:
         for j, k in enumerate(good):
             out[k] = (spans[0][j + 1] - spans[0][j], spans[1][j + 1] - spans[1][j], int(group_at[j + 1] - group_at[j]),
                       int(pairs_at[j + 1] - pairs_at[j]), ";".join(groups[group_at[j]:group_at[j + 1]]),
-                      codes[link_at[j]:link_at[j + 1]])
+                      tuple(codes[link_at[j]:link_at[j + 1]]))
         return out
 
 
@@ -149,27 +162,55 @@ def cuts_of(text: str) -> list[str]:
     return out
 
 
-def _document(cuts: list[str], known: dict) -> tuple:
-    times = Counter(cuts)
-    if any(known[c] is None for c in times):
-        return 0, 0, 0, 0, 0, "", [], []
-    sums, links = [0, 0, 0, 0], Counter()
-    for c, m in times.items():
-        *numbers, _, codes = known[c]
-        for i, x in enumerate(numbers):
-            sums[i] += x * m
-        for code in codes:
-            links[code] += m
-    sha = hashlib.sha256()
-    for i in range(0, len(cuts), 4096):
-        sha.update(((";" if i else "") + ";".join([known[c][4] for c in cuts[i:i + 4096]])).encode())
-    n_a, n_b, n_groups, n_overlaps = sums
-    return n_a, n_b, n_groups, sum(links.values()), n_overlaps, sha.hexdigest(), list(links), list(links.values())
+def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
+    """Lists by owner of values sorted by it."""
+    ends = np.searchsorted(owner, np.arange(n + 1))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+
+
+def _documents(cut: list[list[str]], known: dict, distinct: set[str]) -> list:
+    """Columns n_a, n_b, n_groups, n_links, n_overlaps, groups_sha256, codes, times of documents."""
+    place = {c: i for i, c in enumerate(distinct)}
+    found = [known[c] for c in place]
+    nothing = (0, 0, 0, 0, "", ())
+    odd = np.array([x is None for x in found], bool)
+    found = [x or nothing for x in found]
+    size = np.array([len(c) for c in cut], np.int64)
+    at = np.fromiter((place[c] for own in cut for c in own), np.int64, int(size.sum()))
+    doc = np.repeat(np.arange(len(cut)), size)
+    whole = np.bincount(doc[odd[at]], minlength=len(cut)) == 0
+    at, doc = at[whole[doc]], doc[whole[doc]]
+    ends = np.searchsorted(doc, np.arange(len(cut) + 1))
+    sums = []
+    for k in range(4):
+        added = np.concatenate([[0], np.cumsum(np.array([x[k] for x in found], np.int64)[at])])
+        sums.append(added[ends[1:]] - added[ends[:-1]])
+    n_codes = np.array([len(x[5]) for x in found], np.int64)
+    codes = np.fromiter((c for x in found for c in x[5]), np.int64, int(n_codes.sum()))
+    n = n_codes[at]
+    link = codes[np.repeat((np.cumsum(n_codes) - n_codes)[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    owner = np.repeat(doc, n)
+    order = np.lexsort((link, owner))
+    link, owner = link[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], (link[1:] != link[:-1]) | (owner[1:] != owner[:-1])])) if len(link) else link
+    times = np.diff(np.append(first, len(link)))
+    texts = [x[4] for x in found]
+    sha = [hashlib.sha256(";".join([texts[i] for i in at[lo:hi].tolist()]).encode()).hexdigest() if hi > lo else ""
+           for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    return [pa.array(sums[0]), pa.array(sums[1]), pa.array(sums[2]), pa.array(np.bincount(owner, minlength=len(cut)), pa.int64()),
+            pa.array(sums[3]), pa.array(sha, pa.string()), _lists(link[first], owner[first], len(cut)),
+            _lists(times, owner[first], len(cut))]
+
+
+@lru_cache(maxsize=1)
+def _remembered(name_a: str, name_b: str) -> Remembered:
+    """One memory for all tasks of a worker process."""
+    return Remembered(Aligned(name_a, name_b), REMEMBERED)
 
 
 def _aligned_rows(name_a: str, name_b: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered, made = Remembered(Aligned(name_a, name_b)), TaskContext.get().partitionId() << 40
+        remembered, made = _remembered(name_a, name_b), TaskContext.get().partitionId() << 40
         for batch in batches:
             texts, at = batch.column("text").to_pylist(), 0
             while at < len(texts):
@@ -178,15 +219,13 @@ def _aligned_rows(name_a: str, name_b: str):
                     letters += len(texts[stop] or "")
                     stop += 1
                 cut = [cuts_of(t) if t else [] for t in texts[at:stop]]
-                known = remembered(set().union(*cut))
-                found = [_document(c, known) if c else (0, 0, 0, 0, 0, "", [], []) for c in cut]
-                columns = list(zip(*found))
+                distinct = set().union(*cut)
+                n = stop - at
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, stop - at), pa.array(range(made, made + len(found)), pa.int64()),
-                     *[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.string()),
-                     *[pa.array(c, pa.list_(pa.int64())) for c in columns[6:]]],
+                    [batch.column("doc_id").slice(at, n), pa.array(range(made, made + n), pa.int64()),
+                     *_documents(cut, remembered(distinct), distinct)],
                     ["doc_id", "uid", "n_a", "n_b", "n_groups", "n_links", "n_overlaps", "groups_sha256", "codes", "times"])
-                made += len(found)
+                made += n
                 at = stop
     return rows
 
