@@ -2,12 +2,14 @@
 
   python -m ledgerlake land  --zips-dir DIR --raw DIR [--mode append|skip|replace] [--rebalance N]
   python -m ledgerlake build --raw DIR --seeds DIR --out DIR [--dedupe]
-  python -m ledgerlake sql   --raw DIR --seeds DIR --query "select ..." [--out DIR]
+  python -m ledgerlake sql   --raw DIR --seeds DIR --query "select ..." [--out DIR] [--views DIR]
+  python -m ledgerlake view  --views DIR --name NAME [--query "select ..."]
 
 ``build`` writes every model (staging, rates, the twelve metric views, the six
 ``t_*`` tables, float, financials, exposure, KPIs) as Parquet under --out,
 one folder per model named as the source names it.  ``sql`` registers the
-same names as views and runs one SELECT over them.
+same names as views and runs one SELECT over them and the stored views.  ``view``
+stores one user view, or drops it when no query is given.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import os
 
 from .plans import views
 from .plans.models import FilingModels
+from .plans.view_catalog import ViewCatalog
 from .session import build_session
 from .sources.landing import LandedRaw, land_archives
 from .sources.seeds import read_seed
@@ -60,6 +63,11 @@ def main(argv=None) -> None:
     q.add_argument("--seeds", required=True)
     q.add_argument("--query", required=True)
     q.add_argument("--out")
+    q.add_argument("--views", help="folder of stored user views that the query may read")
+    v = sub.add_parser("view")
+    v.add_argument("--views", required=True)
+    v.add_argument("--name", required=True)
+    v.add_argument("--query")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -72,9 +80,13 @@ def main(argv=None) -> None:
         if args.catalog_schema:
             print(json.dumps(views.save_models_as_tables(m, args.catalog_schema, args.out + "/_catalog")))
         m.release()
+    elif args.cmd == "view":
+        catalog = ViewCatalog(spark, args.views)
+        catalog.define({args.name: args.query}) if args.query else catalog.drop(args.name)
+        print(json.dumps(catalog.order()))
     else:
         m = _models(spark, args.raw, args.seeds, materialize=False)
-        df = views.query_models(m, args.query)
+        df = ViewCatalog(spark, args.views).query(m, args.query)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:

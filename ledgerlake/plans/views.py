@@ -17,6 +17,7 @@ from ..functions.tags import METRICS
 
 _NAME = re.compile(r"^[a-z][a-z0-9]*(_[a-z0-9]+)*$")
 _RELATION = re.compile(r"UnresolvedRelation \[([^\]]*)\]")
+_WITH = re.compile(r"\bCTE \[([^\]]*)\]")
 _WRITES = re.compile(r"InsertIntoStatement|InsertIntoDir|MergeInto|DeleteFromTable|UpdateTable")
 
 
@@ -40,6 +41,12 @@ def relations(spark: SparkSession, sql: str) -> list[list[str]]:
     return [[part.strip() for part in m.split(",")] for m in _RELATION.findall(tree)]
 
 
+def with_names(spark: SparkSession, sql: str) -> set[str]:
+    """Names that the query defines itself, by WITH."""
+    tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    return {name.strip().lower() for m in _WITH.findall(tree) for name in m.split(",")}
+
+
 def check_view(spark: SparkSession, name: str, sql: str) -> None:
     """snake_case name under 50 characters; one query; no trailing semicolon; no
     database prefix on relations."""
@@ -86,6 +93,11 @@ SOURCE_VIEW_NAMES = {
 }
 
 
+def published_names() -> set[str]:
+    """Names of all published models."""
+    return set(_model_builders(None))
+
+
 def _model_builders(models) -> dict:
     """Published name -> function that builds the model."""
     out = {
@@ -117,13 +129,6 @@ def register_models(models, names=None) -> list[str]:
     return chosen
 
 
-def query_models(models, sql: str) -> DataFrame:
-    """Run one query over the published names; only models that it reads are built."""
-    read = {parts[-1].lower() for parts in relations(models.spark, sql)}
-    register_models(models, read)
-    return models.spark.sql(sql)
-
-
 # Schema of each published model, as the source lays them out
 # (<base>, <base>_stg, <base>_int, <base>_marts)
 SCHEMA_SUFFIX = {
