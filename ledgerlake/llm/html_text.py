@@ -1,16 +1,23 @@
 """Main text of HTML pages from flat text blocks and a decision tree.
 
 A page is cut into text blocks at block-level tags.  A block's features are its
-word count and link density, those of its two neighbours, and what encloses it:
-an element that by tag, class, id or role is boilerplate (menu, header, footer,
-sidebar, notice, advert, form, comments), or an article.  A CART tree, trained
-on the small labelled table of ``labelled_pages``, says which blocks are main text.
+word count and link density, those of its two neighbours, whether it is a
+copyright line, and what encloses it: an element that by tag, class, id or role is
+boilerplate (menu, header, footer, sidebar, notice, advert, form, comments), one
+whose names speak for both, or an article.  A CART tree, trained on the small
+labelled table of ``labelled_pages``, says which blocks are main text.  Pages whose
+markup names nothing are judged by words, links and neighbours alone.
+
+A page is read once from left to right, in time linear in its length, whatever its
+markup.  A quote opens a value only after ``=``.  Where a tag or quote never ends,
+tags from there on end at their first ``>``, and a ``<`` without one is text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,8 +30,11 @@ from .common import check_columns
 from .labelled_pages import PAGES
 
 # fixed values: HTML element classes
-DROPPED = ("script", "style", "template", "noscript", "head", "title", "textarea", "select", "svg", "math", "iframe",
+DROPPED = ("script", "style", "template", "noscript", "title", "textarea", "select", "svg", "math", "iframe",
            "object", "canvas", "audio", "video")
+#: Dropped elements that may close themselves, and those that stand in a line of text.
+FOREIGN = frozenset(("svg", "math"))
+FIELDS = frozenset(("textarea", "select"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,14 +52,19 @@ BOILERPLATE_WORDS = frozenset(
 HEADER_WORDS = frozenset("header topbar".split())
 ARTICLE_TAGS = frozenset("article main".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(DROPPED) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>", re.S | re.I)
+CONTENT_WORDS = frozenset("article body content entry main post story text".split())
+
+_OPEN = re.compile(r"<(?=[a-zA-Z!?/])")
+_TAG = re.compile(r"""<(/)?([a-zA-Z][^\s/>]*+)((?:[\s/]++|=++|[^\s/>=]++"""
+                  r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+)>""")
+_LOOSE_TAG = re.compile(r"<(/)?([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in DROPPED}
+_LEGAL = re.compile(r"(?:©|\(c\)|\bcopyright)\s*(?:©|\(c\))?\s*\d{4}|\ball rights reserved\b", re.I)
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORDS = re.compile(r"[a-z]+")
-N_FEATURES = 11
+N_FEATURES = 13
+#: The last feature: pages that name their parts and pages that do not have a branch each.
+MARKED = N_FEATURES - 1
 
 
 class Block:
@@ -59,30 +74,78 @@ class Block:
         self.text, self.words, self.linked = text, text.count(" ") + 1, linked
         self.heading, self.item, self.bad, self.article, self.at = heading, item, bad, article, at
 
+    @property
+    def legal(self) -> bool:
+        return _LEGAL.search(self.text) is not None
+
 
-def _cue(tag: str, attrs: str, in_article: bool) -> bool:
-    """Does the element say that it is boilerplate?"""
+def _cues(tag: str, attrs: str, in_article: bool) -> tuple[float, bool]:
+    """Does the element say that it is boilerplate (1; 0.5 where its names speak for
+    content too), and does it say that it is content?"""
     if tag in BOILERPLATE_TAGS or (tag == "header" and not in_article):
-        return True
+        return 1.0, False
+    content = tag in ARTICLE_TAGS
     if not attrs or tag in ("html", "body"):
-        return False
+        return 0.0, content
+    named = mixed = False
     for name, value in _ATTR.findall(attrs):
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and "true" in value.lower()):
-            return True
+            return 1.0, False
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return 1.0, False
         if name in ("class", "id", "role"):
-            words = set(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-            if words & BOILERPLATE_WORDS or (words & HEADER_WORDS and not in_article):
-                return True
-    return False
+            for one in value.split():
+                words = set(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower()))
+                if words & BOILERPLATE_WORDS or (words & HEADER_WORDS and not in_article):
+                    named = True
+                    mixed |= bool(words & CONTENT_WORDS) or (tag in ARTICLE_TAGS and not words <= BOILERPLATE_WORDS)
+                else:
+                    content |= bool(words & CONTENT_WORDS)
+    if named:
+        return (0.5 if mixed or (content and tag not in ARTICLE_TAGS) else 1.0), False
+    return 0.0, content
+
+
+def _pieces(source: str):
+    """(text, its place, tag, whether an end tag, attributes) from left to right; the tag is None
+    after the last text and for comments, declarations and elements without text."""
+    at, tags = 0, _TAG
+    last_close = source.rfind(">")
+    begin = _OPEN.search(source)
+    while begin:
+        start = begin.start()
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            yield source[at:start], at, None, False, ""
+            at = len(source) if end < 0 else end + 3
+        elif start > last_close:
+            break
+        else:
+            m = tags.match(source, start)
+            if m is None and tags is _TAG and source[start + 1:start + 2] not in "!?" and _LOOSE_TAG.match(source, start):
+                tags = _LOOSE_TAG
+                m = tags.match(source, start)
+            if m is None:
+                yield source[at:start], at, None, False, ""
+                at = source.find(">", start) + 1
+            else:
+                tag, attrs = m[2].lower(), m[3]
+                raw = _RAW_END.get(tag) if not m[1] and not (tag in FOREIGN and attrs.endswith("/")) else None
+                yield source[at:start], at, tag if raw is None or tag in FIELDS else None, bool(m[1]), attrs
+                at = m.end()
+                if raw:
+                    closed = raw.search(source, at)
+                    at = closed.end() if closed else len(source)
+        begin = _OPEN.search(source, at)
+    yield source[at:], at, None, False, ""
 
 
 def blocks(page: str | None) -> list[Block]:
     """Text blocks of a page in page order, white space normalised, references decoded."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, boilerplate, article, list item or cell
+    stack: list[tuple[str, float, bool, bool]] = []  # tag, boilerplate, article, list item or cell
+    opened: Counter = Counter()  # tags in the stack
     text: list[str] = []
     linked: list[str] = []
     heading = False
@@ -94,7 +157,7 @@ def blocks(page: str | None) -> list[Block]:
         if text:
             words = html.unescape("".join(text)).split()
             if words:
-                _, bad, article, item = stack[-1] if stack else ("", False, False, False)
+                _, bad, article, item = stack[-1] if stack else ("", 0.0, False, False)
                 n = len(html.unescape("".join(linked)).split()) if linked else 0
                 out.append(Block(" ".join(words), min(n, len(words)), heading, item, bad, article, first))
             text, linked = [], []
@@ -107,59 +170,54 @@ def blocks(page: str | None) -> list[Block]:
         if link_depth:
             linked.append(piece)
 
-    source = page or ""
-    last = 0
-    for m in _TOKEN.finditer(source):
-        if m.start() > last:
-            keep(source[last:m.start()], last)
-        last = m.end()
-        if m["raw"]:
-            if m["raw"].lower() in ("textarea", "select"):
-                keep(" ", last)
-            continue
-        tag = m["tag"]
-        if not tag:
+    def close_last():
+        opened[stack.pop()[0]] -= 1
+
+    for piece, at, tag, is_end, attrs in _pieces(page or ""):
+        if piece:
+            keep(piece, at)
+        if tag is None:
             continue
-        tag = tag.lower()
-        if tag == "br":
-            keep(" ", last)
+        if tag == "br" or tag in FIELDS:
+            keep(" ", at)
             continue
-        if tag in INLINE and not (m["attrs"] and tag == "span" and _cue(tag, m["attrs"], True)):
+        if tag in INLINE and not (attrs and tag == "span" and _cues(tag, attrs, True)[0]):
             if tag == "a":
-                link_depth = 0 if m["end"] else 1
+                link_depth = 0 if is_end else 1
                 if link_depth == 0:
                     linked.append(" ")
-            if not (tag == "span" and m["end"] and any(s[0] == "span" for s in stack)):
+            if not (tag == "span" and is_end and opened["span"]):
                 continue
         flush()
         link_depth = 0 if tag != "a" else link_depth
         if tag in HEADINGS:
-            heading = not m["end"]
+            heading = not is_end
         elif tag == "p":
             heading = False
         if tag in VOID or tag == "p" or tag in HEADINGS:
             continue
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+        if is_end:
+            if opened[tag]:
+                while stack[-1][0] != tag:
+                    close_last()
+                close_last()
             continue
         if tag in IMPLIED:
             while stack and stack[-1][0] in IMPLIED[tag]:
-                stack.pop()
-        _, bad, article, item = stack[-1] if stack else ("", False, False, False)
-        bad = bad or _cue(tag, m["attrs"] or "", article)
-        stack.append((tag, bad, article or (tag in ARTICLE_TAGS and not bad), item or tag in IMPLIED))
-    if last < len(source):
-        keep(source[last:], last)
+                close_last()
+        _, bad, article, item = stack[-1] if stack else ("", 0.0, False, False)
+        cue, content = _cues(tag, attrs, article)
+        bad = max(bad, cue)
+        stack.append((tag, bad, article or (content and bad < 1), item or tag in IMPLIED))
+        opened[tag] += 1
     flush()
     return out
 
 
 def features(found: list[Block]) -> np.ndarray:
     """Per block: words and link density of it, the last and the next; the last two of
-    the page's edges are 0.  Then: long neighbours, heading, list item, boilerplate, article."""
+    the page's edges are 0.  Then: long neighbours, heading, list item, boilerplate, article,
+    copyright line, and whether any block of the page has a cue."""
     n = len(found)
     own = np.zeros((n + 2, 2))
     own[1:-1, 0] = [b.words for b in found]
@@ -167,21 +225,26 @@ def features(found: list[Block]) -> np.ndarray:
     x = np.empty((n, N_FEATURES))
     x[:, 0:2], x[:, 2:4], x[:, 4:6] = own[1:-1], own[:-2], own[2:]
     x[:, 6] = np.maximum(own[:-2, 0] * (1 - own[:-2, 1]), own[2:, 0] * (1 - own[2:, 1]))
-    x[:, 7:] = np.array([(b.heading, b.item, b.bad, b.article) for b in found]).reshape(n, 4)
+    x[:, 7:12] = np.array([(b.heading, b.item, b.bad, b.article, b.legal) for b in found]).reshape(n, 5)
+    x[:, MARKED] = x[:, 9:11].any()
     return x
 
 
 class Tree:
-    """Binary classification tree (CART, Gini impurity) as flat arrays."""
+    """Binary classification tree (CART, Gini impurity) as flat arrays.  ``first``: a
+    0/1 feature that the root splits by, whatever its impurity."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 7, leaf: int = 2):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8, leaf: int = 2, first: int | None = None):
         self.axis, self.value, self.left, self.label = [], [], [], []
         todo = [(np.arange(len(y)), 0)]
         self._node(y)
         at = 0
         while at < len(self.axis):
             rows, level = todo[at]
-            split = self._best(x[rows], y[rows], leaf) if level < depth else None
+            if level == 0 and first is not None and 0 < x[:, first].sum() < len(y):
+                split = first, 0.5
+            else:
+                split = self._best(x[rows], y[rows], leaf) if level < depth else None
             if split:
                 self.axis[at], self.value[at] = split
                 self.left[at] = len(self.axis)
@@ -242,7 +305,7 @@ def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
 
 @lru_cache(1)
 def block_tree() -> Tree:
-    return Tree(*labelled_blocks())
+    return Tree(*labelled_blocks(), first=MARKED)
 
 
 def main_text(page: str | None, tree: Tree | None = None) -> str:

@@ -1,9 +1,13 @@
 """The small labelled table of the block classifier: pages as (fragment, label) pairs.
 
 All text blocks of a fragment carry its label: 1 main text, 0 boilerplate, None
-no text.  The pages are invented for this package.
+no text.  The pages are invented for this package.  Each is in the table twice: as
+it is, and with markup that names nothing (``plain``), where only words, links and
+neighbours tell the blocks apart; parts that these cannot tell are left out there.
 """
 
+import re
+
 _LONG = ("The river rose twice in the spring, and each time the people of the lower town carried their belongings up "
          "to the school, where the teachers had cleared the gymnasium and set out rows of folding beds for them.")
 _MID = "Nobody could say at first how much of the harvest had been lost to the water."
@@ -51,6 +55,52 @@ PAGES = [
     [(f"<article><p>{_SHORT}</p></article>", 1), ("<footer>Page 3 of 9</footer>", 0)],
     [("<div class='alert'>This shop is closed until further notice because of the weather.</div>", 0),
      (f"<article><p>See <a href=/d>the drawing of the harbour from the year of the flood</a></p><p>{_LONG}</p>"
-      "<pre>depth  4\nwidth 12</pre><p><a href=/e>The second drawing</a></p></article>", 1),
+      "<pre>depth  4\nwidth 12</pre>", 1),
+     ("<p><a href=/e>The second drawing</a></p>", 1), ("</article>", None),
      ("<div class='widget'><p>Most read</p><p><a href=/f>The harbour at night</a></p></div>", 0)],
+    [("<div class='top-menu'><a href=/u>Farms</a> <a href=/v>Markets</a></div>", 0),
+     (f"<article class='share-post'><h1>Open gates</h1><p>{_LONG}</p><p>{_MID}</p><p>{_LONG}</p></article>", 1),
+     ("<div><p>Copyright 2020 The Farmer. All rights reserved.</p></div>", 0)],
+    [(f"<div class='article-with-sidebar'><h1>Low tide</h1><p>{_LONG}</p><p>{_LONG}</p><p>{_MID}</p></div>", 1),
+     ("<div class='sidebar-content'><p>Tides today</p><p><a href=/w>All tides</a></p></div>", 0),
+     ("<div class='footer-text'><p>&copy; 2019 Harbour office, all rights reserved</p></div>", 0)],
+    [(f"<div class='post form-group'><p>{_LONG}</p><p>{_LONG}</p><p>{_MID}</p></div>", 1),
+     ("<div class='comment-body'><p>Nice one.</p><p>Me too.</p></div>", 0)],
+    [("<article><p>The copyright of the song went to her daughter, who sold it in 1950 to pay for the roof.</p>"
+      f"<p>{_LONG}</p></article>", 1),
+     ("<div>&copy; 2021 Songs and Sons</div>", 0)],
+    [("<div class='nav'><p><a href=/aa>Home</a></p><p><a href=/ab>Letters</a></p></div>", 0),
+     (f"<div><h1>Ferry</h1><p>{_LONG} {_MID}</p><p>{_SHORT}</p><p>{_MID}</p><p>No.</p><p>{_LONG} {_LONG}</p><p>{_SHORT}</p>"
+      f"<p>{_MID}</p><p>{_LONG}</p></div>", 1),
+     ("<div><p>(c) 2018 Ferry Post</p></div><div><a href=/ac>Top</a></div>", 0)],
+    [("<nav><a href=/ad>Home</a></nav>", 0), (f"<article><h1>Ice</h1><p>{_LONG}</p><p>{_SHORT}</p><p>{_MID}</p></article>", 1)],
+    [("<nav><a href=/ae>Home</a></nav><div>&copy; 2017 The Lake Paper, all rights reserved.</div>", 0),
+     (f"<article><p>{_MID}</p><p>{_LONG}</p><p>{_SHORT}</p></article>", 1)],
+    [("<div class='menu'><a href=/af>Home</a></div>", 0), (f"<main><p>{_LONG}</p><p>Yes.</p></main>", 1)],
+    [(f"<article class='ad-free story'><p>{_LONG}</p><p>{_LONG}</p></article>", 1)],
+    [(f"<div class='entry search-result'><p>{_LONG} {_LONG}</p></div>", 1)],
+    [(f"<article><p>{_LONG}</p><p>All rights reserved.</p><p>{_MID}</p><p>Copyright 1931, says the cover.</p><p>{_LONG}</p>"
+      "<p>All rights reserved.</p></article>", 1), ("<footer>Page 2</footer>", 0)],
+    [(f"<article><p>{_SHORT}</p></article>", 1)],
+    [(f"<main>{_MID}</main>", 1)],
+    [(f"<p>{_LONG}</p>", 1)],
+    [(f"{_LONG} {_MID} {_LONG}", 1)],
+    [(_MID, 1)],
 ]
+
+
+def plain(fragment: str) -> str:
+    """The fragment with elements that name nothing: no attributes but links, no element of HTML 5."""
+    bare = re.sub(r"<(/?)(?:nav|header|footer|aside|main|article|section|form|button)\b", r"<\1div", fragment)
+    return re.sub(r"\s(?:class|id|role)='[^']*'", "", bare)
+
+
+def told_by_words(fragment: str, label: int | None) -> bool:
+    """False for what its names alone mark: boilerplate that is long and without links, as a
+    reader's comment is, and a link that is part of the article."""
+    if label == 1:
+        return re.sub(r"<a .*?</a>|<[^>]*>", "", fragment).strip() != ""
+    return label is None or "<a " in fragment or len(re.sub(r"<[^>]*>", " ", fragment).split()) <= 12
+
+
+PAGES += [[(plain(fragment), label) for fragment, label in page if told_by_words(fragment, label)] for page in PAGES]

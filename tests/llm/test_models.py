@@ -3,6 +3,7 @@
 import itertools
 import os
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -40,6 +41,40 @@ def test_main_text(spark):
 def test_tree_learns_the_labelled_table():
     x, y = html_text.labelled_blocks()
     assert (html_text.block_tree().predict(x) == y).mean() > 0.95
+    tree = html_text.block_tree()
+    assert {0, 1, 2, 4, 5} <= set(tree.axis[tree.left >= 0])  # words and links of the block, words of both neighbours
+
+
+LONG = "word " * 60 + "end."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article class='share-post'><p>{LONG}</p><p>{LONG}</p></article>", f"{LONG}\n{LONG}"),
+    (f"<div class='post form-group'><p>{LONG}</p></div>", LONG),
+    (f"<div class='article-with-sidebar'><p>{LONG}</p></div>", LONG),
+    (f"<article><p>{LONG}</p></article><div><p>Copyright 2020 Foo. All rights reserved.</p></div>", LONG),
+    (f"<p class=foo's>{LONG}</p><p>it's</p><p>{LONG}</p>", f"{LONG}\nit's\n{LONG}"),
+    ("<article><p>a < b and <3</p></article>", "a < b and <3"),
+    (f"<head><title>no</title><meta a=b><body><main><p>{LONG}</p></main>", LONG),
+    (f"<article><svg class=x/><p title='a>b'>{LONG}</p><svg><text>no</text></svg></article>", LONG),
+    (f"<article><p title=\"never closed>{LONG}</p></article>", LONG),
+    (f"<article><p>{LONG}<!-- <p>no</p> --></p><SCRIPT>if (a<b) x='</p>'</Script >ok</article>", f"{LONG}\nok"),
+    (f"<article><p>{LONG}</p><!-- never closed", LONG),
+    (f"<div><a href=/a>One</a> <a href=/b>Two</a></div><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+     "<div><a href=/c>Three</a></div>", f"{LONG}\n{LONG}\n{LONG}"),  # nothing is named
+])
+def test_markup_of_all_kinds(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b='", '<a b=">" ', "<div>", "</q>", "<!", "<svg><", "<script>", "<", "<!--", "<div></q>",
+                                   "<p class=foo's>hi ", "<a x=1 "])
+@pytest.mark.parametrize("tail", ["", ">", "</span>" * 50_000])
+def test_reading_is_linear(piece, tail):
+    """Markup that never ends, a megabyte of it: a reader that looks ahead from every tag takes hours."""
+    start = time.perf_counter()
+    html_text.blocks(piece * (1_000_000 // len(piece)) + tail)
+    assert time.perf_counter() - start < 20
 
 
 @pytest.mark.parametrize("cell_rows", [100, 16384])
