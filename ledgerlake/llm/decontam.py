@@ -78,13 +78,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                                               F.array().cast("array<string>").alias("win"),
                                               F.array().cast("array<string>").alias("items"))
     keys = wins.unionByName(marks)
+    spot = ["doc_id", "text_md5", "n", "pos", "len"]
     if (facts["bytes"] or 0) <= max_broadcast_bytes:
-        keys = F.broadcast(keys)
-    found = (spots.join(keys, "h")  # a hash hit is verified below, word for word
-             .filter(F.when(F.col("pos") < 0, F.size("win") == 0).otherwise(F.size("win") == F.col("len")))
-             .filter((F.col("pos") < 0) | (F.slice("w", F.greatest(F.col("pos"), F.lit(0)) + F.lit(1),
-                                                   F.greatest(F.size("win"), F.lit(1))) == F.col("win"))))
-    found = found.select("doc_id", "text_md5", "n", "pos", "len", "items")
+        found = (spots.join(F.broadcast(keys), "h")  # a hash hit is verified below, word for word
+                 .filter(F.when(F.col("pos") < 0, F.size("win") == 0).otherwise(F.size("win") == F.col("len")))
+                 .filter((F.col("pos") < 0) | (F.slice("w", F.greatest(F.col("pos"), F.lit(0)) + F.lit(1),
+                                                       F.greatest(F.size("win"), F.lit(1))) == F.col("win"))))
+        found = found.select(*spot, "items")
+    else:
+        # a spot takes its own words through the shuffle, never its document's, so bytes grow in line with the text
+        own = F.slice("w", F.col("pos") + F.lit(1), F.col("len"))
+        found = (spots.filter("pos >= 0").select(*spot, "h", own.alias("own")).join(wins, "h")
+                 .filter(F.col("own") == F.col("win")).select(*spot, "items"))
+        found = found.union(scan.select("doc_id", "text_md5", "n", F.lit(-1), F.lit(0), F.array().cast("array<string>")))
     is_hit = F.col("pos") >= 0
     per_doc = found.groupBy("doc_id", "text_md5").agg(
         F.sum(F.when(is_hit, 0).otherwise(1)).cast("long").alias("copies"),

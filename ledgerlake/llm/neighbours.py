@@ -32,9 +32,11 @@ K = 5
 DIRECTIONS = 10  # even, so that the chi-square law has a closed form
 CERTAINTY = 0.97  # chance that a true neighbour lies inside the searched ball
 CELL_ROWS = 16_384
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 20_000  # the splits are fitted on so many vectors, or SAMPLE_PER_CELL a cell if these are more
+SAMPLE_PER_CELL = 16
+MAX_CELLS = 1 << 17  # so the sample has at most 2^21 points of 10 doubles; larger cells are searched in slices
 LEAF_ROWS = 32
-QUERY_CHUNK = 8_192
+QUERY_CHUNK = 8_192  # queries of a cell that one group holds
 
 
 def chi_square_quantile(p: float, freedom: int) -> float:
@@ -156,7 +158,7 @@ def search_tree(tree: ProjectionTree, vectors: np.ndarray, query: np.ndarray, po
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, certainty: float = CERTAINTY,
-                       cell_rows: int = CELL_ROWS) -> DataFrame:
+                       cell_rows: int = CELL_ROWS, query_chunk: int = QUERY_CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of ``vectors`` that ``is_query``
     marks its ``k`` nearest other rows by cosine.
 
@@ -199,10 +201,11 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, certain
                                     F.max("is_query").alias("asked")).join(ids, "key")
     kinds = written(kinds, "vector-kinds")
     n = kinds.count()
-    cells = 1 << max(0, math.ceil(math.log2(max(n, 1) / cell_rows)))
-    chosen = kinds if n <= SAMPLE_ROWS else kinds.filter(
-        hash52(F.hex("key")) < int((1 << HASH_BITS) * (SAMPLE_ROWS / n)))
-    sample = np.array([r["point"] for r in chosen.select("point").collect()]).reshape(-1, DIRECTIONS)
+    cells = min(MAX_CELLS, 1 << max(0, math.ceil(math.log2(max(n, 1) / cell_rows))))
+    wanted = max(SAMPLE_ROWS, SAMPLE_PER_CELL * cells)
+    chosen = kinds if n <= wanted else kinds.filter(hash52(F.hex("key")) < int((1 << HASH_BITS) * (wanted / n)))
+    points = chosen.select(F.explode("point").alias("x")) if n else None
+    sample = np.array([] if points is None else points.toArrow()["x"]).reshape(-1, DIRECTIONS)
     splits = split_tree(sample, cells)
     quantile = chi_square_quantile(certainty, DIRECTIONS)
 
@@ -210,19 +213,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, certain
     def cell(points: pd.Series) -> pd.Series:
         return pd.Series(cell_of(np.array(points.tolist()).reshape(-1, DIRECTIONS), splits))
 
-    # slices of cells that the sample misjudged, and chunks of queries, keep every group bounded
     placed = kinds.withColumn("cell", cell("point"))
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"),
-                                       F.count(F.when(F.col("asked"), 1)).alias("asked_n"))
-    sizes = {r["cell"]: (max(1, -(-r["n"] // (2 * cell_rows))), r["asked_n"]) for r in sizes.collect()}
-    chunks = max(1, -(-sum(a for _, a in sizes.values()) // QUERY_CHUNK))
-    slices = np.array([sizes.get(c, (1, 0))[0] for c in range(cells)])
-    slice_of = F.element_at(F.array(*[F.lit(int(x)) for x in slices]), (F.col("cell") + 1).cast("int"))
-    base = placed.select("key", "vector", "point", "ids", "cell",
-                         F.pmod(F.xxhash64("key"), slice_of.cast("long")).alias("slice"))
-    base = base.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    asked = placed.filter("asked").select(
-        "key", "vector", "point", "cell", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"))
+    sizes = written(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cells")
+    asked = placed.filter("asked").select("key", "vector", "point", "cell")
 
     def look(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -245,11 +238,20 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, certain
     found_schema = "key binary, score double, ids array<long>"
     group = ("cell", "slice", "chunk")
 
-    def to_slices(q: DataFrame) -> DataFrame:
-        return q.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slice_of.cast("long") - 1)))
-
     def run(q: DataFrame) -> DataFrame:
-        q = to_slices(q).select(*[F.col(c).alias(c + "_") for c in (*group, "key", "vector", "point", "known")])
+        # slices of large cells and chunks of their queries keep every group bounded; a vector is sent once per chunk of
+        # the queries that reach its own cell, and not at all where none does
+        plan = sizes.join(q.groupBy("cell").agg(F.count(F.lit(1)).alias("asked_n")), "cell").select(
+            "cell", F.ceil(F.col("n") / F.lit(2 * cell_rows)).alias("slices"),
+            F.ceil(F.col("asked_n") / F.lit(query_chunk)).alias("chunks"))
+        plan = F.broadcast(written(plan, "cell-plan"))  # at most MAX_CELLS rows of three longs
+        zero = F.lit(0).cast("long")
+        base = placed.select("key", "vector", "point", "ids", "cell").join(plan, "cell").select(
+            "key", "vector", "point", "ids", "cell", F.pmod(F.xxhash64("key"), "slices").alias("slice"),
+            F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("chunk"))
+        q = q.join(plan, "cell").withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(1)), "chunks"))
+        q = q.withColumn("slice", F.explode(F.sequence(zero, F.col("slices") - 1)))
+        q = q.select(*[F.col(c).alias(c + "_") for c in (*group, "key", "vector", "point", "known")])
         return (q.groupBy(*[c + "_" for c in group]).cogroup(base.groupBy(*group))
                 .applyInPandas(look, found_schema))
 
@@ -266,8 +268,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = K, certain
             out.append([x for x in cells_in_reach(np.asarray(p), r, splits) if x != o])
         return pd.Series(out)
 
-    away = asked.join(kth, "key", "left")
-    away = away.withColumn("to", F.explode(reach("point", "known", "cell"))).drop("cell").withColumnRenamed("to", "cell")
+    away = asked.join(kth, "key", "left").withColumn("reached", reach("point", "known", "cell")).drop("cell")
+    away = written(away, "neighbours-away").withColumn("cell", F.explode("reached")).drop("reached")
     best = (home.unionByName(run(away)).withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= k + 1)
             .select("key", "score", F.explode("ids").alias("vec_id")))
     queries = rows.filter("is_query").select(F.col("vec_id").alias("query_id"), "key").distinct()

@@ -104,6 +104,9 @@ def test_neighbours_recall_and_awkward_vectors(spark, cell_rows):
         if 300 <= q < 600:
             assert [i for _, i, _ in sorted(found)] == [i for i in range(300, 306) if i != q][:5]
     assert hits >= 0.9 * 5 * len(by)
+    if cell_rows == 100:  # the queries of a cell in many groups
+        few = neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0, cell_rows=cell_rows, query_chunk=2)
+        assert sorted(map(tuple, few.collect())) == sorted(map(tuple, got))
     assert neighbours.nearest_neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     few = neighbours.nearest_neighbours(df.filter("vec_id in (0, 1, 1000)"), F.col("vec_id") % 50 == 0).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in few] == [(0, 1, 1)]
