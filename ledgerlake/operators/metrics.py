@@ -43,30 +43,37 @@ def tag_spec_map(specs=None):
     return F.create_map(*kv)
 
 
-def metric_facts(facts: DataFrame, specs=None) -> DataFrame:
-    """Qualifying facts of annual filings tagged with their metric.
-
-    ``facts`` is staged ``num`` joined to FY filings *with* filing attributes
-    (``stg_num(..., with_filing=True)``)."""
+def qualifying_facts(facts: DataFrame, specs=None) -> DataFrame:
+    """Typed facts that a metric reads, tagged with it, whatever filing they belong to."""
     specs = specs or list(METRICS.values())
     spec = F.try_element_at(tag_spec_map(specs), F.col("tag"))
-    tagged = facts.filter(F.col("tag").isin(*metric_tags(specs)) & is_annual()) \
-                  .withColumn("_spec", spec)
+    tagged = facts.filter(F.col("tag").isin(*metric_tags(specs))).withColumn("_spec", spec)
     keep = (F.col("qtrs") == F.col("_spec.qtrs")) & F.col("coreg").isNull() \
         & (~F.col("_spec.positive") | (F.col("value") > F.lit(0)))
     return tagged.filter(keep).withColumn("metric", F.col("_spec.metric")).drop("_spec")
 
 
-def metric_values(facts: DataFrame, specs=None) -> DataFrame:
+def metric_facts(facts: DataFrame, specs=None) -> DataFrame:
+    """Qualifying facts of annual filings tagged with their metric.
+
+    ``facts`` is staged ``num`` joined to FY filings *with* filing attributes
+    (``stg_num(..., with_filing=True)``)."""
+    return qualifying_facts(facts.filter(is_annual()), specs)
+
+
+def largest_values(tagged: DataFrame) -> DataFrame:
     """One row per (metric, filing, ddate, uom) with the largest value, plus
     ``has_usd``: whether the filing has any USD row for that metric."""
-    agg = (metric_facts(facts, specs)
-           .groupBy("metric", *VIEW_COLS)
-           .agg(F.max("value").alias("value")))
+    agg = tagged.groupBy("metric", *VIEW_COLS).agg(F.max("value").alias("value"))
     w = Window.partitionBy("metric", "adsh")
     return agg.withColumn("has_usd", F.max(F.col("uom") == F.lit("USD")).over(w))
 
 
+def metric_values(facts: DataFrame, specs=None) -> DataFrame:
+    """``largest_values`` of the facts of annual filings that a metric reads."""
+    return largest_values(metric_facts(facts, specs))
+
+
 def split_currency(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(USD rows, non-USD rows of filings without a USD row)."""
     usd = values.filter(F.col("uom") == F.lit("USD"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank_to_null, fix_ddate, to_bool, yyyy, yyyymmdd
@@ -137,25 +137,41 @@ def _reject(raw_col: str, parsed) -> F.Column:
     return F.when((F.coalesce(F.col(raw_col), F.lit("")) != F.lit("")) & parsed.isNull(), F.lit(raw_col))
 
 
+def sub_checks() -> dict:
+    """Column of the submissions -> its name where non-blank text does not parse."""
+    return {"cik": _reject("cik", F.col("cik").try_cast("bigint")), "sic": _reject("sic", F.col("sic").try_cast("int")),
+            "ein": _reject("ein", F.col("ein").try_cast("bigint")), "period": _reject("period", yyyymmdd("period")),
+            "fy": _reject("fy", yyyy("fy")), "filed": _reject("filed", yyyymmdd("filed"))}
+
+
+def num_checks() -> dict:
+    """Column of the facts -> its name where non-blank text does not parse."""
+    return {"ddate": _reject("ddate", yyyymmdd(fix_ddate("ddate"))), "qtrs": _reject("qtrs", F.col("qtrs").try_cast("int")),
+            "value": _reject("value", F.col("value").try_cast("decimal(28,4)"))}
+
+
+def _rejects(raw: DataFrame, checks: dict) -> DataFrame:
+    bad = F.array_compact(F.array(*checks.values()))
+    return raw.withColumn("rejected_columns", bad).filter(F.size("rejected_columns") > 0)
+
+
 def sub_rejects(sub: DataFrame) -> DataFrame:
     """Submission rows whose non-blank cik/sic/ein/period/fy/filed text does not
     parse, with the offending columns (staging reads them as NULL)."""
-    checks = [_reject("cik", F.col("cik").try_cast("bigint")),
-              _reject("sic", F.col("sic").try_cast("int")),
-              _reject("ein", F.col("ein").try_cast("bigint")),
-              _reject("period", yyyymmdd("period")), _reject("fy", yyyy("fy")),
-              _reject("filed", yyyymmdd("filed"))]
-    bad = F.array_compact(F.array(*checks))
-    return sub.withColumn("rejected_columns", bad).filter(F.size("rejected_columns") > 0)
+    return _rejects(sub, sub_checks())
 
 
 def num_rejects(num: DataFrame) -> DataFrame:
     """Fact rows whose non-blank ddate/qtrs/value text does not parse."""
-    checks = [_reject("ddate", yyyymmdd(fix_ddate("ddate"))),
-              _reject("qtrs", F.col("qtrs").try_cast("int")),
-              _reject("value", F.col("value").try_cast("decimal(28,4)"))]
-    bad = F.array_compact(F.array(*checks))
-    return num.withColumn("rejected_columns", bad).filter(F.size("rejected_columns") > 0)
+    return _rejects(num, num_checks())
+
+
+def observe_rejects(raw: DataFrame, checks: dict, name: str) -> tuple[DataFrame, Observation]:
+    """``raw`` whose rows and rejected fields are counted as they pass, in the first job
+    that reads it; no scan of their own."""
+    seen = Observation(name)
+    counts = [F.count(c).alias(column) for column, c in checks.items()]
+    return raw.observe(seen, F.count(F.lit(1)).alias("n_rows"), *counts), seen
 
 
 class RejectedRowsError(ValueError):

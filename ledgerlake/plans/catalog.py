@@ -10,6 +10,7 @@ library functions themselves return full precision.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tags import METRICS
 from ..operators import exposure, fx, kpis, text_signals
+from ..session import checkpoint_dir
 from ..sources.adapter import DirtyRaw, DriverRaw, read_driver
 from ..sources import landing
 from . import landing_queries
@@ -52,6 +54,15 @@ def _dirty(spark, sf_dir) -> FilingModels:
     return FilingModels(spark, DirtyRaw(spark, sf_dir))
 
 
+def _reject_counts(spark, sf_dir) -> DataFrame:
+    """Values of the faulty facts that do not parse, counted by the job that writes the staging model."""
+    models = FilingModels(spark, DirtyRaw(spark, sf_dir), count_rejects=True)
+    models.stg_num.write.parquet(f"{checkpoint_dir(spark).rstrip('/')}/counted-{uuid.uuid4().hex}")
+    counts = models.reject_counts()["num"]
+    return spark.createDataFrame([(c, n, counts["n_rows"]) for c, n in counts.items() if c != "n_rows"],
+                                 "column_name string, n_rejected long, n_rows long")
+
+
 def _metric_queries() -> dict:
     out = {}
     for spec in METRICS.values():
@@ -162,6 +173,10 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], tuple]] = {
     "J2_dirty": (lambda s, d: _dirty(s, d).float_inferred, ()),
     "J3_dirty": (lambda s, d: _dirty(s, d).float_latest, ()),
     **{k: (fn, ()) for k, fn in landing_queries.REGISTRY.items()},
+    "B2_reject_counts": (_reject_counts, ()),
+    "A12_upkept_t_a": (landing_queries.upkept_table("assets"), ("assets_usd",)),
+    "A12_upkept_t_d": (landing_queries.upkept_table("debt"), ("debt_usd",)),
+    "A12_upkept_financials": (landing_queries.upkept_financials, MONEY),
     "A11_financials_from_archives": (lambda s, d: landing_queries.models_from_archives(s, d).financials(), MONEY),
 }
 

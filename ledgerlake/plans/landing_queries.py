@@ -24,6 +24,7 @@ from ..sources.seeds import read_seed
 from ..streaming.incremental_landing import start_incremental_landing
 from . import views
 from .models import FilingModels
+from .upkeep import UpkeptTables
 from .view_catalog import ViewCatalog
 
 NUM_COLUMNS = list(landing.RAW_BASE_COLUMNS["num"])
@@ -132,6 +133,32 @@ def models_from_archives(spark: SparkSession, sf_dir: str) -> FilingModels:
         "esg_risk_factors": raw.esg_risk_factors, "isin_cik": raw.isin_cik}))
 
 
+def _upkept(spark: SparkSession, sf_dir: str) -> UpkeptTables:
+    """Tables kept up over two landings, the odd quarters and then the even ones, once per application."""
+    archives = landing.list_archives(spark, _archive_set(spark, sf_dir, "whole"))
+    with _lock:
+        ident = (spark.sparkContext.applicationId, sf_dir, "upkept")
+        if ident not in _sets:
+            raw, kept = _scratch(spark, "upkept-landed"), _scratch(spark, "upkept")
+            for quarters in ("q1|q3", "q2|q4"):
+                landing.land_listed(archives.filter(F.col("srcdir").rlike(f"({quarters})$")), raw)
+                UpkeptTables(spark, raw, kept).refresh()
+            _sets[ident] = UpkeptTables(spark, raw, kept)
+        return _sets[ident]
+
+
+def upkept_table(name: str):
+    """One ``t_*`` table that two refreshes have brought up to date."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _upkept(spark, sf_dir).t(name)
+    return query
+
+
+def upkept_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The financials that two refreshes have brought up to date."""
+    return _upkept(spark, sf_dir).financials()
+
+
 def landed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives whose headers differ by quarter, landed quarter by quarter of the year."""
     out = _scratch(spark, "headers-landed")

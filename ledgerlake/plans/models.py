@@ -27,11 +27,12 @@ from ..sources.adapter import ESG_SIGNALS, DriverRaw
 class FilingModels:
     def __init__(self, spark: SparkSession, raw, materialize: bool = False,
                  max_broadcast_rows: int | None = None, truthy=("true",), uom_mode: str = "pair",
-                 strict: bool = False):
+                 strict: bool = False, count_rejects: bool = False):
         """``truthy``: spellings read as true for the boolean flags (the source
         tests ``= 'true'`` only); ``uom_mode``: see ``convert.converted_tables``;
         ``strict``: fail when a non-blank raw value does not parse (the source's
-        casts raise) instead of reading it as NULL; ``max_broadcast_rows``: one
+        casts raise) instead of reading it as NULL (scans ``num`` once for it); ``count_rejects``: count
+        such values in the job that builds the staging models, see ``reject_counts``; ``max_broadcast_rows``: one
         row limit for every size-checked broadcast (filings, rates, industry
         means, ESG panel); None keeps each site's default, 0 never broadcasts."""
         self.spark = spark
@@ -41,6 +42,8 @@ class FilingModels:
         self.truthy = truthy
         self.uom_mode = uom_mode
         self.strict = strict
+        self.count_rejects = count_rejects
+        self._observed: dict = {}
         self._persisted: list = []
         self._written: list = []
 
@@ -74,7 +77,25 @@ class FilingModels:
     def stg_sub(self) -> DataFrame:
         if self.strict:
             staging.assert_clean(self.rejects_sub, "sub")
-        return staging.stg_sub(self.raw.sub, self.truthy)
+        return staging.stg_sub(self._counted("sub", self.raw.sub, staging.sub_checks()), self.truthy)
+
+    def _counted(self, table: str, raw: DataFrame, checks: dict) -> DataFrame:
+        if not self.count_rejects:
+            return raw
+        raw, self._observed[table] = staging.observe_rejects(raw, checks, f"rejects_{table}")
+        return raw
+
+    def reject_counts(self) -> dict:
+        """{table: {"n_rows": rows, column: values that do not parse}} of the staging models built so
+        far, counted by the jobs that built them (``count_rejects``).  Call it after an action that
+        reads the whole of them: it waits for one, and a job that stops early has counted less."""
+        return {table: dict(seen.get) for table, seen in self._observed.items()}
+
+    def assert_none_rejected(self) -> None:
+        """Strict mode by the counts: fail if any value of the staging models built so far did not parse."""
+        bad = {t: {c: n for c, n in counts.items() if c != "n_rows" and n} for t, counts in self.reject_counts().items()}
+        if any(bad.values()):
+            raise staging.RejectedRowsError(f"values do not parse: {bad}")
 
     @property
     def rejects_sub(self) -> DataFrame:
@@ -88,7 +109,7 @@ class FilingModels:
     def stg_num(self) -> DataFrame:
         """All facts of FY filings, as the source's staging view."""
         self._check_num()
-        return staging.stg_num(self.raw.num, self.stg_sub,
+        return staging.stg_num(self._counted("num", self.raw.num, staging.num_checks()), self.stg_sub,
                                max_broadcast_rows=self._limit(staging.FILINGS_BROADCAST_ROWS),
                                keep=self._persisted)
 
