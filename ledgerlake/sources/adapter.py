@@ -183,6 +183,16 @@ def choose_buckets(spark: SparkSession, source_bytes: int, bytes_per_bucket: int
     return max(cores, -(-source_bytes // bytes_per_bucket))
 
 
+SPREAD_BYTES = 128 << 20  # facts from more source than this leave their join in many partitions
+
+
+def choose_files(spark: SparkSession, source_bytes: int) -> int | None:
+    """Files over which landed facts are spread by a shuffle of their own: one per core for a small
+    source, which may come out of its join in one partition; None for a large one, whose facts are written as the
+    join leaves them (the shuffle would move and sort every row once more, at its full width)."""
+    return None if source_bytes > SPREAD_BYTES else choose_buckets(spark, source_bytes)
+
+
 class DriverRaw:
     """Raw filing-shaped relations derived from the driver tables of one scale.
 
@@ -195,7 +205,8 @@ class DriverRaw:
     task, so a filing holding a third of all facts would pin that third to one
     task.  The default layout keeps the facts splittable and lets the join
     broadcast the (size-checked) filings or split a hot key at runtime.
-    ``land=False`` keeps the relations as lazy plans over the driver tables.
+    ``land=False`` keeps the relations as lazy plans over the driver tables.  Files of a small
+    source are evened out by ``choose_files``.
     """
 
     _landed: dict = {}
@@ -249,7 +260,7 @@ class DriverRaw:
             with DriverRaw._lock:
                 if ident not in DriverRaw._landed:
                     bucket = "adsh" if key in ("raw_sub", "raw_num") and self.buckets else None
-                    files = choose_buckets(self.spark, self._source_bytes()) if key == "raw_num" else None
+                    files = choose_files(self.spark, self._source_bytes()) if key == "raw_num" else None
                     land_table(self.spark, self._plan(key), name, bucket_col=bucket, buckets=self.buckets,
                                files=files)
                     DriverRaw._landed[ident] = name

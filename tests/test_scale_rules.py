@@ -107,3 +107,39 @@ def test_archives_of_few_rows(spark, tmp_path, rows):
     df = spark.createDataFrame(rows, "srcdir string, adsh string")
     write_archives(member_lines(df, F.concat("srcdir", F.lit(".zip")), "sub.txt", ["adsh"]), str(tmp_path / "z"))
     assert len(list((tmp_path / "z").glob("*.zip"))) == len(rows)
+
+
+def test_facts_of_a_large_source_are_written_as_their_join_leaves_them(spark, tmp_path, monkeypatch):
+    """One shuffle per join side; only a small source is spread by a second one."""
+    from ledgerlake.sources import adapter, tables
+    d = str(tmp_path)
+    spark.range(40).selectExpr("id as o_orderkey", "timestamp '1995-02-03' as o_orderdate").write.parquet(f"{d}/orders.parquet")
+    spark.range(160).selectExpr(
+        "id % 40 as l_orderkey", "id as l_partkey", "id as l_suppkey", "cast(id % 4 as int) as l_linenumber",
+        "cast(id as double) as l_quantity", "cast(id as double) as l_extendedprice", "0.1d as l_discount",
+        "timestamp '1995-03-04' as l_shipdate").write.parquet(f"{d}/lineitem.parquet")
+    seen = []
+    land = tables.land_table
+    monkeypatch.setattr(tables, "land_table", lambda *a, **kw: seen.append(kw["files"]) or land(*a, **kw))
+    monkeypatch.setattr(adapter.DriverRaw, "_landed", {})
+    small = adapter.DriverRaw(spark, d).num
+    assert seen == [spark.sparkContext.defaultParallelism]
+    rows = sorted(map(tuple, small.collect()), key=str)
+    monkeypatch.setattr(adapter.DriverRaw, "_source_bytes", lambda self: 1 << 30)
+    monkeypatch.setattr(adapter.DriverRaw, "_landed", {})
+    large = adapter.DriverRaw(spark, d).num
+    assert seen[1:] == [None] and sorted(map(tuple, large.collect()), key=str) == rows and len(rows) == 160
+
+
+def test_models_shuffle_in_small_partitions(spark):
+    from ledgerlake.session import apply_conf
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64MB")
+        apply_conf(spark, models=False)
+        assert spark.conf.get(key) == "64MB"
+        apply_conf(spark)
+        assert int(spark.conf.get(key)) == 16 << 20
+    finally:
+        spark.conf.set(key, before)
