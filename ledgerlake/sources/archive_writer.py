@@ -1,14 +1,20 @@
 """Zip archives from lines: the inverse of ``landing.archive_lines``.
 
-One task writes one archive, because an archive is one file; its lines are streamed from
-a sorted partition, so the task holds one batch of them at a time.  The file gets its name
-only when it is whole, so a repeated task attempt leaves no torn archive behind.
+One task writes one archive, because an archive is one file.  Lines travel to it packed: each task that
+makes lines joins them to runs of one (archive, member, position) and deflates them, so the
+shuffle moves and sorts a few packed runs instead of every line, and the writer holds one run at
+a time.  The file gets its name only when it is whole, so a repeated task attempt leaves no torn
+archive behind.
 """
 
 from __future__ import annotations
 
 import zipfile
+import zlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +30,53 @@ def _file_system(root: str):
     return pafs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
 
 
+WRITERS_PER_CORE = 8  # so that few archives share a partition by chance
+RUN_BYTES = 4 << 20  # text of a packed run
+OPEN_RUNS = 256  # runs a task fills at once
+PACKED = pa.schema([("archive", pa.string()), ("member", pa.string()), ("position", pa.int32()), ("run", pa.binary())])
+
+
+class _Run:
+    """Lines of one (archive, member, position), deflated as they come."""
+
+    def __init__(self):
+        self.parts, self.size, self.deflate = [], 0, zlib.compressobj(1)
+
+    def add(self, text: bytes) -> None:
+        self.parts.append(self.deflate.compress(text))
+        self.size += len(text)
+
+    def packed(self) -> bytes:
+        return b"".join([*self.parts, self.deflate.flush()])
+
+
+def _pack(batches):
+    """(archive, member, position, run) of lines in any order; a NULL line adds nothing to its run."""
+    runs: dict = {}
+
+    def emit(keys):
+        for key in keys:
+            yield pa.RecordBatch.from_pylist([dict(zip(PACKED.names, (*key, runs.pop(key).packed())))], PACKED)
+
+    for batch in batches:
+        archive, member, position, line = (batch.column(c) for c in PACKED.names[:3] + ["line"])
+        place = pc.binary_join_element_wise(archive, member, position.cast(pa.string()), "\0").dictionary_encode().indices
+        order = np.argsort(place.to_numpy(), kind="stable")
+        starts = np.flatnonzero(np.diff(place.to_numpy()[order], prepend=-1))
+        ended = pc.binary_join_element_wise(line.take(pa.array(order)), "", "\n")
+        for i, j in zip(starts, [*starts[1:], len(order)]):
+            at = int(order[i])
+            key = (archive[at].as_py(), member[at].as_py(), position[at].as_py())
+            if key not in runs:
+                if len(runs) >= OPEN_RUNS:
+                    yield from emit(list(runs))
+                runs[key] = _Run()
+            runs[key].add("".join(ended.slice(i, j - i).drop_null().to_pylist()).encode("utf-8"))
+            if runs[key].size >= RUN_BYTES:
+                yield from emit([key])
+    yield from emit(list(runs))
+
+
 def _write(batches, root: str):
     fs, folder = _file_system(root)
     attempt = TaskContext.get().taskAttemptId()
@@ -35,8 +88,9 @@ def _write(batches, root: str):
         sink.close()
         fs.move(f"{folder}/_{archive}.{attempt}", f"{folder}/{archive}")
 
-    for pdf in batches:
-        for a, m, line in zip(pdf["archive"], pdf["member"], pdf["line"]):
+    for batch in batches:
+        for a, m, run in zip(*(batch.column(c) for c in ("archive", "member", "run"))):
+            a, m = a.as_py(), m.as_py()
             if a != archive:
                 if archive is not None:
                     finish()
@@ -49,9 +103,8 @@ def _write(batches, root: str):
                     entry.close()
                 member = m
                 entry = zipped.open(member, "w", force_zip64=True)
-            if line is not None:
-                entry.write((line + "\n").encode("utf-8"))
-        yield pdf.iloc[:0][["archive"]]
+            entry.write(zlib.decompress(run.as_py()))
+        yield batch.slice(0, 0).select(["archive"])
     if archive is not None:
         finish()
 
@@ -71,6 +124,8 @@ def member_lines(rows: DataFrame, archive, member: str, columns: list, with_rows
 def write_archives(lines: DataFrame, root: str) -> None:
     """Write (archive, member, position, line) as ``root/<archive>``; lines come in the order of
     their position, a NULL line alone makes an empty member."""
-    (lines.repartition("archive").sortWithinPartitions("archive", "member", "position")
-     .select("archive", "member", "line")
-     .mapInPandas(lambda it: _write(it, root), "archive string").write.format("noop").mode("overwrite").save())
+    packed = lines.select("archive", "member", F.col("position").cast("int").alias("position"), "line").mapInArrow(
+        _pack, "archive string, member string, position int, run binary")
+    # a number of partitions keeps small archives from being gathered in one task
+    (packed.repartition(WRITERS_PER_CORE * lines.sparkSession.sparkContext.defaultParallelism, "archive").sortWithinPartitions("archive", "member", "position")
+     .mapInArrow(lambda it: _write(it, root), "archive string").write.format("noop").mode("overwrite").save())

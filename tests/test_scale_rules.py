@@ -143,3 +143,47 @@ def test_models_shuffle_in_small_partitions(spark):
         assert int(spark.conf.get(key)) == 16 << 20
     finally:
         spark.conf.set(key, before)
+
+
+def test_lines_travel_to_their_archive_packed(monkeypatch):
+    """Runs of one (archive, member, position), not lines, go through the shuffle; none is lost when runs are cut."""
+    import zlib
+
+    import pyarrow as pa
+
+    from ledgerlake.sources import archive_writer
+    rows = [(f"q{i % 3}.zip", "num.txt", 1, f"line {i} é") for i in range(3000)] + [("q9.zip", "num.txt", 0, None)]
+    schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("position", pa.int32()), ("line", pa.string())])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows[i:i + 500]], schema)
+               for i in range(0, len(rows), 500)]
+
+    def packed():
+        return [tuple(b.to_pylist()[0].values()) for b in archive_writer._pack(iter(batches))]
+    assert len(packed()) == 4
+    monkeypatch.setattr(archive_writer, "RUN_BYTES", 2000)
+    monkeypatch.setattr(archive_writer, "OPEN_RUNS", 2)
+    runs = packed()
+    assert len(runs) > 4
+    lines = sorted((a, line) for a, _, _, run in runs for line in zlib.decompress(run).decode().splitlines())
+    assert lines == sorted((a, line) for a, _, _, line in rows if line is not None)
+    assert zlib.decompress([run for a, _, _, run in runs if a == "q9.zip"][0]) == b""
+
+
+def test_lines_cut_from_blocks_are_those_of_a_text_reader(monkeypatch):
+    """Ends, byte order marks and bytes that are no UTF-8, wherever a block ends."""
+    import io
+    import random
+
+    from ledgerlake.sources import archive_source
+    rng = random.Random(7)
+    pieces = [b"a", b"bc", b"\n", b"\r", b"\r\n", b"\xef\xbb\xbf", b"\xff", b"\xc3", b"\xc3\xbc", b"\xe2\x82", b"\t"]
+    monkeypatch.setattr(archive_source, "BLOCK_BYTES", 7)
+    for _ in range(300):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as z:
+            z.writestr("num.txt", b"".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))))
+        with zipfile.ZipFile(buffer) as z:
+            want = [(f + i, t) for f, run in archive_source.member_lines(z, "num.txt", 3) for i, t in enumerate(run)]
+            got = [(f + i, t) for f, run in archive_source.member_line_arrays(z, "num.txt", 3)
+                   for i, t in enumerate(run.to_pylist())]
+        assert got == want
