@@ -50,7 +50,11 @@ def exact_mean(rate) -> F.Column:
     fraction = (units - whole).cast("decimal(28,20)")
     wide = F.try_sum(whole).cast("double") / n + F.try_sum(fraction).cast("double") / n
     fits = F.max(F.abs(rate)) * n < F.lit(SUM_LIMIT)
-    exact = F.when(fits, F.try_sum(units).cast("double") / n).otherwise(wide)
+    total = F.try_sum(units)
+    rough = total.cast("double") / n
+    # the quotient has 20 places too, so it is rounded once to a double where these are digits enough
+    mean = F.when(F.abs(rough) >= F.lit(1e-5), F.try_divide(total, n.cast("decimal(20,0)")).cast("double")).otherwise(rough)
+    exact = F.when(fits, mean).otherwise(wide)
     return F.when(n == F.count(rate), exact).otherwise(F.avg(rate))
 
 
