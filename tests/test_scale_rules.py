@@ -145,6 +145,17 @@ def test_models_shuffle_in_small_partitions(spark):
         spark.conf.set(key, before)
 
 
+def test_rows_of_an_archive_are_not_sorted_before_they_are_written(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("concat('2020q', id % 4 + 1) as srcdir", "cast(id as string) as adsh")
+    write_archives(member_lines(rows, F.concat("srcdir", F.lit(".zip")), "num.txt", ["adsh"]), str(tmp_path / "z"))
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    out = str(tmp_path / "raw")
+    landing.land_archives(spark, str(tmp_path / "z"), out)
+    landed = landing.read_landed(spark, out, "num")
+    got = sorted((r.srcdir, r.adsh) for r in landed.collect())
+    assert got == sorted((r.srcdir, r.adsh) for r in rows.collect())
+
+
 def test_lines_travel_to_their_archive_packed(monkeypatch):
     """Runs of one (archive, member, position), not lines, go through the shuffle; none is lost when runs are cut."""
     import zlib
