@@ -128,6 +128,15 @@ from {t['customer']} where c_custkey % 10 <> 9"""
             "esg_risk_factors": esg, "isin_cik": isin_cik}
 
 
+def _chained(dialect: str, f: str, g: str, body: str) -> str:
+    """One query over the steps ``f`` and ``g``, which reads f: by WITH, in Spark by subqueries.  There the
+    names of a WITH would be numbered by their place in the whole plan, and a persisted part not be known again in it."""
+    if dialect != "spark":
+        return f"\nwith f as ({f}),\ng as ({g.format(f='f')})\n{body.format(g='g')}"
+    step = g.format(f=f"({f}) f")
+    return body.format(g=f"({step}) g")
+
+
 def dirty_sql(dialect: str = "spark") -> dict[str, str]:
     """The same filings and facts with the faults real ones have: filings filed in two quarters,
     malformed identifiers and years, the known bad dates, blank, absent and malformed values, missing
@@ -140,17 +149,15 @@ def dirty_sql(dialect: str = "spark") -> dict[str, str]:
               "period": "case when n % 43 = 0 then '20201399' else period end",
               "fy": "case when n % 41 = 0 then 'FY20' else fy end"}
     picked = ", ".join(f"{faults[c]} as {c}" if c in faults else c for c in sub_cols)
-    raw_sub = f"""
-with f as (select *, cast(substr(adsh, 2) as bigint) as n from {t['raw_sub']}),
-g as (select {picked}, n from f)
-select {', '.join(sub_cols)} from g
+    raw_sub = _chained(
+        dialect, f"select *, cast(substr(adsh, 2) as bigint) as n from {t['raw_sub']}", f"select {picked}, n from {{f}}",
+        f"""select {', '.join(sub_cols)} from {{g}}
 union all
-select {', '.join(c if c != 'srcdir' else "'again'" for c in sub_cols)} from g where n % 11 = 0"""
+select {', '.join(c if c != 'srcdir' else "'again'" for c in sub_cols)} from {{g}} where n % 11 = 0""")
     amount = "cast(value as decimal(28,4))"
-    raw_num = f"""
-with f as (select *, cast(abs({amount}) * 100 as bigint) % 100 as k, tag like '%ExchangeRate%' as is_rate
-           from {t['raw_num']}),
-g as (
+    raw_num = _chained(
+        dialect, f"""select *, cast(abs({amount}) * 100 as bigint) % 100 as k, tag like '%ExchangeRate%' as is_rate
+           from {t['raw_num']}""", f"""
   select adsh, tag, version, coreg,
     case k when 1 then '29231231' when 2 then '21061130' when 3 then '21051130' when 4 then '21080430'
            when 5 then '' when 6 then '20200230' else ddate end as ddate,
@@ -163,10 +170,9 @@ g as (
          when k = 7 then '' when k = 8 then '12,5' when k = 9 then 'n/a' when k = 10 then null
          when k = 11 then '000' || value else value end as value,
     footnote, srcdir, k
-  from f)
-select adsh, tag, version, coreg, ddate, qtrs, uom, segments, value, footnote, srcdir from g
+  from {{f}}""", """select adsh, tag, version, coreg, ddate, qtrs, uom, segments, value, footnote, srcdir from {g}
 union all
-select adsh, tag, version, coreg, ddate, qtrs, uom, segments, value, footnote, srcdir from g where k = 17"""
+select adsh, tag, version, coreg, ddate, qtrs, uom, segments, value, footnote, srcdir from {g} where k = 17""")
     return {"raw_sub": raw_sub, "raw_num": raw_num}
 
 

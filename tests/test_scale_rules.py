@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import num_row, sub_row
+from conftest import NUM_COLS, SUB_COLS, frame, num_row, sub_row
 from ledgerlake.plans import sizing
 from ledgerlake.plans.models import FilingModels
 from ledgerlake.sources import landing
@@ -198,3 +198,18 @@ def test_lines_cut_from_blocks_are_those_of_a_text_reader(monkeypatch):
             got = [(f + i, t) for f, run in archive_source.member_line_arrays(z, "num.txt", 3)
                    for i, t in enumerate(run.to_pylist())]
         assert got == want
+
+
+def test_a_persisted_part_of_the_faulty_rows_is_known_in_a_larger_plan(spark):
+    from ledgerlake.sources.adapter import dirty_sql
+    subs = frame(spark, [sub_row("A000000000011"), sub_row("A000000000012")], SUB_COLS)
+    nums = frame(spark, [num_row("A000000000011", "Assets", "20201231", "5.17")], NUM_COLS)
+    sub, num = spark.sql(dirty_sql()["raw_sub"], raw_sub=subs), spark.sql(dirty_sql()["raw_num"], raw_num=nums)
+    keys = sub.select("adsh", "srcdir").distinct().persist()
+    try:
+        assert keys.count() == 3  # one is filed in two quarters
+        joined = num.drop("srcdir").join(keys, "adsh")
+        assert "InMemoryTableScan" in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 4  # the fact is there twice
+    finally:
+        keys.unpersist()
