@@ -10,13 +10,17 @@ each comes after those it reads.
 from __future__ import annotations
 
 import time
+import uuid
+from collections import Counter
 from collections.abc import Iterable
 from graphlib import CycleError, TopologicalSorter
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
 from . import views
 from .views import ViewRuleError
 
@@ -94,19 +98,42 @@ class ViewCatalog:
     def order(self, names: Iterable[str] | None = None) -> list[str]:
         return self._order(self.definitions, self.definitions if names is None else names)
 
-    def register(self, models, names: Iterable[str] | None = None) -> list[str]:
+    def register(self, models, names: Iterable[str] | None = None, once: Iterable[str] = ()) -> list[str]:
         """Temporary views for ``names`` (default: all) and what they read, stored or
-        published.  Views above a redefined one are registered anew by the same call."""
+        published.  Views above a redefined one are registered anew by the same call.  The rows of those in ``once``
+        are written here, see ``query``."""
         chosen = self.order(names)
         below = set().union(*(self.reads(self.definitions[n]) for n in chosen))
         views.register_models(models, below - set(chosen))
         for name in chosen:
             views.register_view(self.spark, name, self.definitions[name])
+            if name in once:
+                self._write_once(models, name)
         return chosen
 
+    def _uses(self, texts: Iterable[str]) -> Counter:
+        """How often the queries name each relation."""
+        return Counter(parts[-1].lower() for sql in texts for parts in views.relations(self.spark, sql))
+
+    def _write_once(self, models, name: str) -> None:
+        """The view over a Parquet copy of its rows, so that several readers do not each compute it from the facts.
+        ``models.release`` deletes the copy.  Rows that Parquet cannot hold stay a plan."""
+        view = self.spark.table(name)
+        plain = (T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.NumericType)
+        if len({c.lower() for c in view.columns}) < len(view.columns) or not all(
+                isinstance(f.dataType, plain) for f in view.schema.fields):
+            return
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/view-{uuid.uuid4().hex}"
+        models._written.append(path)
+        view.write.parquet(path)
+        self.spark.read.schema(view.schema).parquet(path).createOrReplaceTempView(name)
+
     def query(self, models, sql: str) -> DataFrame:
-        """One query over published models and stored views; only what it reads is built."""
+        """One query over published models and stored views; only what it reads is built, and a stored view
+        that is read more than once is written once."""
         read = self.reads(sql, self.definitions)
-        self.register(models, read & set(self.definitions))
+        chosen = self.order(read & set(self.definitions))
+        uses = self._uses([sql, *(self.definitions[n] for n in chosen)])
+        self.register(models, chosen, {n for n in chosen if uses[n] > 1})
         views.register_models(models, read - set(self.definitions))
         return self.spark.sql(sql)

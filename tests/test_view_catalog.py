@@ -67,3 +67,20 @@ def test_drop(spark, tmp_path):
     assert ViewCatalog(spark, folder).definitions == {}
     catalog.define({"vc_low": "select 2 as x"})
     assert ViewCatalog(spark, folder).definitions == {"vc_low": "select 2 as x"}
+
+
+def test_a_view_read_twice_is_written_once(spark, small):
+    catalog = ViewCatalog(spark)
+    catalog.define({"vc_base": "select adsh, assets from assets_usd",
+                    "vc_most": "select max(assets) as most from vc_base", "vc_sum": "select sum(assets) as total from vc_base",
+                    "vc_odd": "select null as nothing, assets from assets_usd"})
+    out = catalog.query(small, "select most, total from vc_most cross join vc_sum")
+    assert [tuple(r) for r in out.collect()] == [(7, 12)]
+    written = list(small._written)
+    assert len(written) == 1 and all(written[0] in f for f in out.inputFiles())
+    # read by one view only, and rows that Parquet cannot hold: nothing is written
+    assert catalog.query(small, "select total from vc_sum").first().total == 12
+    assert catalog.query(small, "select a.assets from vc_odd a join vc_odd b on a.assets = b.assets").count() == 2
+    assert small._written == written
+    small.release()
+    assert not small._written
