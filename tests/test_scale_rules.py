@@ -213,3 +213,13 @@ def test_a_persisted_part_of_the_faulty_rows_is_known_in_a_larger_plan(spark):
         assert joined.count() == 4  # the fact is there twice
     finally:
         keys.unpersist()
+
+
+def test_persisted_sides_have_partitions_by_their_size(spark):
+    from ledgerlake.session import apply_conf
+    apply_conf(spark)
+    small = spark.range(50).withColumn("k", F.col("id") % 7).groupBy("k").count().persist()
+    try:
+        assert small.count() == 7 and small.rdd.getNumPartitions() < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        small.unpersist()
