@@ -13,6 +13,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,7 @@ class SideA:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.bytes = {i: bytes(letters[c] for c in w) for w, i in vocabulary.items() if w not in special}
+        self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.ranks = None
         merges = json.loads(self.tokenizer.to_str())["model"]["merges"]
         if all(vocabulary.get("".join(m if isinstance(m, list) else m.split(" "))) == 256 + k for k, m in enumerate(merges)):
@@ -73,6 +75,7 @@ class SideB:
 
     def __init__(self, name: str):
         self.pieces = p = load_pieces(name)
+        self.size = p.get_piece_size()
         self.bytes = {i: bytes([int(w[3:5], 16)]) if p.is_byte(i) else w.replace("▁", " ").encode()
                       for i, w in ((i, p.id_to_piece(i)) for i in range(p.get_piece_size()))}
 
@@ -103,45 +106,57 @@ class Aligned:
 
     def __init__(self, name_a: str, name_b: str):
         self.a, self.b = SideA(name_a), SideB(name_b)
+        self.words, self.first_b, self.parts, self.sizes = [], 0, [], []
+        for side, last in ((self.a, "|"), (self.b, ";")):
+            parts = [side.bytes.get(i, b"") for i in range(max(side.bytes) + 1)]
+            parts.extend([b""] * (side.size - len(parts)))  # special tokens
+            self.first_b = len(self.words) if side is self.b else 0
+            # an id's text inside its group, and as the last of its side there
+            self.words += [w for i in range(len(parts)) for w in (f"{i},", f"{i}{last}")]
+            self.parts.append(parts)
+            self.sizes.append(np.array([len(x) for x in parts], np.int64))
 
     def __call__(self, cuts: list[str]) -> list:
-        out, at, base, good = [None] * len(cuts), [], [0], []
-        ids, ends, spans = ([], []), ([], []), ([0], [0])
-        for k, (cut, a, b) in enumerate(zip(cuts, self.a(cuts), self.b(cuts))):
-            want = (" " + cut).encode()
-            parts = [self.a.bytes.get(i, b"") for i in a], [self.b.bytes[i] for i in b]
-            if b"".join(parts[0]) != want or b"".join(parts[1]) != want:
-                continue
-            for side, own in enumerate((a, b)):
-                ids[side].extend(own)
-                ends[side].extend(map(len, parts[side]))
-                spans[side].append(len(ids[side]))
-            good.append(k)
-            base.append(base[-1] + len(want))
-        if not good:
+        out = [None] * len(cuts)
+        wants = [(" " + c).encode() for c in cuts]
+        length = np.fromiter(map(len, wants), np.int64, len(cuts))
+        ids, n, good = [], [], np.ones(len(cuts), bool)
+        for side, sizes in zip((self.a, self.b), self.sizes):
+            own = side(cuts)
+            n.append(np.fromiter(map(len, own), np.int64, len(cuts)))
+            ids.append(np.fromiter(chain.from_iterable(own), np.int64, int(n[-1].sum())))
+            reach, last = np.concatenate([[0], np.cumsum(sizes[ids[-1]])]), np.cumsum(n[-1])
+            good &= reach[last] - reach[last - n[-1]] == length
+        for known, parts, count in zip(ids, self.parts, n):
+            got = b"".join(map(parts.__getitem__, known[np.repeat(good, count)].tolist()))
+            if got != b"".join([wants[k] for k in np.flatnonzero(good)]):
+                at = 0
+                for k in np.flatnonzero(good).tolist():
+                    good[k], at = got[at:at + len(wants[k])] == wants[k], at + len(wants[k])
+        if not good.any():
             return out
-        id_a, id_b = (np.array(x, np.int64) for x in ids)
-        end_a, end_b = (np.cumsum(np.array(x, np.int64)) for x in ends)
+        id_a, id_b = (x[np.repeat(good, count)] for x, count in zip(ids, n))
+        n_a, n_b = (x[good] for x in n)
+        base = np.concatenate([[0], np.cumsum(length[good])])
+        end_a, end_b = np.cumsum(self.sizes[0][id_a]), np.cumsum(self.sizes[1][id_b])
         start_a, start_b = (np.concatenate([[0], x[:-1]]) for x in (end_a, end_b))
         side = np.repeat([0, 1], [len(id_a), len(id_b)])
         order, group = coalesce(np.concatenate([start_a, start_b]), np.concatenate([end_a, end_b]), side)
         of = np.empty(len(order), np.int64)
         of[order] = group
-        last_a = np.flatnonzero(np.append(np.diff(of[:len(id_a)]) > 0, True))  # of each group: A's last token, B's last
-        last_b = np.flatnonzero(np.append(np.diff(of[len(id_a):]) > 0, True))
+        last_a = np.append(np.diff(of[:len(id_a)]) > 0, True)  # A's last token of a group, B's last
+        last_b = np.append(np.diff(of[len(id_a):]) > 0, True)
         pair_a, pair_b = overlaps(start_a, end_a, start_b, end_b)
         linked = end_a[pair_a] == end_b[pair_b]
         codes = ((id_a[pair_a[linked]] << 32) | id_b[pair_b[linked]]).tolist()
-        link_at = np.searchsorted(end_a[pair_a[linked]], base, "right")
-        pairs_at = np.searchsorted(end_a[pair_a], base, "right")
-        group_at = np.searchsorted(end_a[last_a], base, "right")
-        text_a, text_b = list(map(str, ids[0])), list(map(str, ids[1]))
-        last_a, last_b = [0, *(last_a + 1).tolist()], [0, *(last_b + 1).tolist()]
-        groups = [f"{','.join(text_a[last_a[g]:last_a[g + 1]])}|{','.join(text_b[last_b[g]:last_b[g + 1]])}"
-                  for g in range(len(last_a) - 1)]
-        for j, k in enumerate(good):
-            out[k] = (spans[0][j + 1] - spans[0][j], spans[1][j + 1] - spans[1][j], int(group_at[j + 1] - group_at[j]),
-                      int(pairs_at[j + 1] - pairs_at[j]), ";".join(groups[group_at[j]:group_at[j + 1]]),
+        link_at = np.searchsorted(end_a[pair_a[linked]], base, "right").tolist()
+        n_pairs = np.diff(np.searchsorted(end_a[pair_a], base, "right")).tolist()
+        n_groups = np.diff(np.searchsorted(end_a[last_a], base, "right")).tolist()
+        word = np.concatenate([id_a * 2 + last_a, self.first_b + id_b * 2 + last_b])
+        words = list(map(self.words.__getitem__, word[np.argsort(of * 2 + side, kind="stable")].tolist()))
+        word_at = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
+        for j, (k, a, b) in enumerate(zip(np.flatnonzero(good).tolist(), n_a.tolist(), n_b.tolist())):
+            out[k] = (a, b, n_groups[j], n_pairs[j], "".join(words[word_at[j]:word_at[j + 1]])[:-1],
                       tuple(codes[link_at[j]:link_at[j + 1]]))
         return out
 
@@ -174,19 +189,19 @@ def _documents(cut: list[list[str]], known: dict, distinct: set[str]) -> list:
     found = [known[c] for c in place]
     nothing = (0, 0, 0, 0, "", ())
     odd = np.array([x is None for x in found], bool)
-    found = [x or nothing for x in found]
+    *numbers, texts, links = zip(*[x or nothing for x in found]) if found else [()] * 6
     size = np.array([len(c) for c in cut], np.int64)
-    at = np.fromiter((place[c] for own in cut for c in own), np.int64, int(size.sum()))
+    at = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64, int(size.sum()))
     doc = np.repeat(np.arange(len(cut)), size)
     whole = np.bincount(doc[odd[at]], minlength=len(cut)) == 0
     at, doc = at[whole[doc]], doc[whole[doc]]
     ends = np.searchsorted(doc, np.arange(len(cut) + 1))
     sums = []
-    for k in range(4):
-        added = np.concatenate([[0], np.cumsum(np.array([x[k] for x in found], np.int64)[at])])
+    for number in numbers:
+        added = np.concatenate([[0], np.cumsum(np.array(number, np.int64)[at])])
         sums.append(added[ends[1:]] - added[ends[:-1]])
-    n_codes = np.array([len(x[5]) for x in found], np.int64)
-    codes = np.fromiter((c for x in found for c in x[5]), np.int64, int(n_codes.sum()))
+    n_codes = np.fromiter(map(len, links), np.int64, len(links))
+    codes = np.fromiter(chain.from_iterable(links), np.int64, int(n_codes.sum()))
     n = n_codes[at]
     link = codes[np.repeat((np.cumsum(n_codes) - n_codes)[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
     owner = np.repeat(doc, n)
@@ -194,8 +209,7 @@ def _documents(cut: list[list[str]], known: dict, distinct: set[str]) -> list:
     link, owner = link[order], owner[order]
     first = np.flatnonzero(np.concatenate([[True], (link[1:] != link[:-1]) | (owner[1:] != owner[:-1])])) if len(link) else link
     times = np.diff(np.append(first, len(link)))
-    texts = [x[4] for x in found]
-    sha = [hashlib.sha256(";".join([texts[i] for i in at[lo:hi].tolist()]).encode()).hexdigest() if hi > lo else ""
+    sha = [hashlib.sha256(";".join(map(texts.__getitem__, at[lo:hi].tolist())).encode()).hexdigest() if hi > lo else ""
            for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist())]
     return [pa.array(sums[0]), pa.array(sums[1]), pa.array(sums[2]), pa.array(np.bincount(owner, minlength=len(cut)), pa.int64()),
             pa.array(sums[3]), pa.array(sha, pa.string()), _lists(link[first], owner[first], len(cut)),

@@ -122,6 +122,26 @@ def test_alignment_equals_brute_force(spark, frequent_pairs):
     assert all(r.n_overlaps == r.n_a + r.n_b - r.n_groups for r in got)
 
 
+def test_alignment_of_many_cuts_in_few_calls():
+    """Cuts are aligned together: the same as one by one, those that the bytes do not give back among them, and
+    only the encoder is called for each."""
+    import cProfile
+    import pstats
+    aligned = alignment.Aligned(alignment.TOKENIZER_A, alignment.TOKENIZER_B)
+    cuts = [f"{w}{k}" for k in range(500) for w in ("plain", "▁", "don't", "<|endoftext|>", "a\u3000b", "né", "\t", "x\n", "<s>")]
+    cuts += ["plain", " two  blanks ", "▁"]
+    profile = cProfile.Profile()
+    together = profile.runcall(aligned, cuts)
+    assert together == [x for c in cuts for x in aligned([c])]
+    assert None in together and sum(x is None for x in together) < len(cuts) / 2
+    assert aligned(["▁"]) == [None] and aligned([]) == []
+    assert pstats.Stats(profile).total_calls < 10 * len(cuts)
+    # other bytes of the same number
+    plain, i = aligned(["plain", "cut"]), aligned.b(["plain"])[0][-1]
+    aligned.parts[1][i] = b"?" * len(aligned.parts[1][i])
+    assert aligned(["cut", "plain", "cut"]) == [plain[1], None, plain[1]]
+
+
 def test_alignment_empty_table(spark):
     assert alignment.align_tokenizers(frame(spark, [(1, "x")]).limit(0)).collect() == []
     assert [tuple(r) for r in alignment.align_tokenizers(frame(spark, [(1, None)])).collect()] == [(1, 0, 0, 0, 0, 0, 0, "", 0)]
