@@ -180,6 +180,19 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def source_bytes(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    """Bytes of the driver tables ``names`` in their files; tables that are not there have none."""
+    try:
+        total = 0
+        for name in names:
+            jp = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+            fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+            total += int(fs.getContentSummary(jp).getLength()) if fs.exists(jp) else 0
+        return total
+    except Exception:  # remote session: size only matters for numbers of files and partitions
+        return 0
+
+
 def choose_buckets(spark: SparkSession, source_bytes: int, bytes_per_bucket: int = 256 << 20) -> int:
     """Enough buckets (or files) for every core, and one per ~256 MB of source."""
     try:
@@ -232,13 +245,7 @@ class DriverRaw:
         return read_driver(self.spark, self.sf_dir, name)
 
     def _source_bytes(self) -> int:
-        path = f"{self.sf_dir.rstrip('/')}/lineitem.parquet"
-        try:
-            jp = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            fs = jp.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            return int(fs.getContentSummary(jp).getLength()) if fs.exists(jp) else 0
-        except Exception:  # remote session: size only matters for file counts
-            return 0
+        return source_bytes(self.spark, self.sf_dir, "lineitem")
 
     def _plan(self, key) -> DataFrame:
         if key == "raw_sub":

@@ -223,3 +223,28 @@ def test_persisted_sides_have_partitions_by_their_size(spark):
         assert small.count() == 7 and small.rdd.getNumPartitions() < int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
         small.unpersist()
+
+
+def test_shuffles_begin_in_partitions_by_the_source(spark, tmp_path):
+    """A fixed number of partitions would grow with the input, and the memory of a task with them."""
+    import __spark_entry__ as entry
+    from ledgerlake import session
+    from ledgerlake.plans import catalog
+    key, d, seen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(tmp_path), []
+    spark.range(40).selectExpr("id as c_custkey").write.parquet(f"{d}/customer.parquet")
+    was, registry = spark.conf.get(key, None), dict(catalog.REGISTRY)
+    catalog.REGISTRY["seen"] = (lambda s, d: seen.append(s.conf.get(key, None)) or s.range(1), ())
+    per = session.SOURCE_BYTES_PER_PARTITION
+    try:
+        spark.conf.unset(key)
+        entry.queries()["seen"](spark, d)
+        session.SOURCE_BYTES_PER_PARTITION = 10
+        entry.queries()["seen"](spark, d)
+        assert seen[0] is None and int(seen[1]) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        session.size_shuffles(spark, 0)
+        assert spark.conf.get(key) == seen[1]
+    finally:
+        session.SOURCE_BYTES_PER_PARTITION = per
+        catalog.REGISTRY.clear()
+        catalog.REGISTRY.update(registry)
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
