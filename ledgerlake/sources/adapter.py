@@ -205,6 +205,9 @@ def choose_buckets(spark: SparkSession, source_bytes: int, bytes_per_bucket: int
 SPREAD_BYTES = 128 << 20  # facts from more source than this leave their join in many partitions
 
 
+ESG_BYTES_PER_FILE = 1 << 20  # of customers, whose panel is some 14 times larger
+
+
 def choose_files(spark: SparkSession, source_bytes: int) -> int | None:
     """Files over which landed facts are spread by a shuffle of their own: one per core for a small
     source, which may come out of its join in one partition; None for a large one, whose facts are written as the
@@ -254,7 +257,12 @@ class DriverRaw:
             return self.spark.sql(self._sql[key], lineitem=self._t("lineitem"), orders=self._t("orders"))
         if key == "raw_tag":
             return self.spark.sql(self._sql[key], raw_num=self._get("raw_num"))
-        return self.spark.sql(self._sql[key], customer=self._t("customer"))
+        customer = self._t("customer")
+        if key == "esg_risk_factors":
+            # 60 signals of a customer are costly to write and a customer is a few bytes: one split may hold them all
+            customer = customer.select("c_custkey").repartition(
+                choose_buckets(self.spark, source_bytes(self.spark, self.sf_dir, "customer"), ESG_BYTES_PER_FILE), "c_custkey")
+        return self.spark.sql(self._sql[key], customer=customer)
 
     def _get(self, key) -> DataFrame:
         if key in self._cache:

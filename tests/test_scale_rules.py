@@ -248,3 +248,14 @@ def test_shuffles_begin_in_partitions_by_the_source(spark, tmp_path):
         catalog.REGISTRY.clear()
         catalog.REGISTRY.update(registry)
         spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
+def test_signals_of_the_panel_are_written_by_many_tasks(spark, tmp_path):
+    from ledgerlake.sources.adapter import DriverRaw
+    d = str(tmp_path)
+    rows = [*range(400), 7, None]
+    spark.createDataFrame([(k,) for k in rows], "c_custkey long").coalesce(1).write.parquet(f"{d}/customer.parquet")
+    panel = DriverRaw(spark, d, land=False).esg_risk_factors
+    assert panel.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(((r.gvkey, r.year) for r in panel.collect()), key=str) == sorted(
+        ((None if k is None else str(k), 2019 + y) for k in rows for y in range(3)), key=str)
