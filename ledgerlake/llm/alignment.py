@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import check_columns, written
-from .tokens import Remembered, load_pieces, load_tokenizer
+from .tokens import Remembered, byte_letters, load_pieces, load_tokenizer
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
@@ -35,16 +35,6 @@ _ROWS = ("doc_id {id_type}, uid long, n_a long, n_b long, n_groups long, n_links
          "groups_sha256 string, codes array<long>, times array<long>")
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters by which a byte-level vocabulary writes the 256 bytes: printable Latin-1
-    letters stand for themselves, the others for U+0100 onward in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    out = {chr(b): b for b in plain}
-    for k, b in enumerate(b for b in range(256) if b not in set(plain)):
-        out[chr(256 + k)] = b
-    return out
-
-
 class SideA:
     """Ids and byte lengths under a byte-level tokenizer.  Where its ids number the merges in their order, as
     ranks do, the vocabulary is handed to the faster encoder for ranks; else the tokenizer itself encodes."""

@@ -16,8 +16,10 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 SWEEP_ROWS = 200_000  # pieces and gaps that a task sweeps
 SMALL = 32  # pieces of at most this length open sequences without another halving
-BATCH_LETTERS = 4_000_000  # letters that are encoded at once
+BATCH_BYTES = 8_000_000  # bytes of text that are encoded at once
 
 _PIECES = "doc_id {id_type}, uid long, piece int, start long, length long, ids_crc32 long"
 _SWEPT = "what int, id long, size int, seq long, offset int, part int, rank long"
@@ -42,15 +44,15 @@ def _piece_rows(tokenizer: str, capacity: int):
         ids, made = word_ids(tokenizer), TaskContext.get().partitionId() << 40
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            texts, at = batch.column("text").to_pylist(), 0
+            texts, at = batch.column("text"), 0
+            size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64)
             while at < len(texts):
-                stop, letters = at, 0
-                while stop < len(texts) and (stop == at or letters + len(texts[stop] or "") <= BATCH_LETTERS):
-                    letters += len(texts[stop] or "")
-                    stop += 1
+                before = size[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(size, before + BATCH_BYTES, "right")))
+                begins, known = ids.of(texts.slice(at, stop - at))
                 doc, piece, start, length, crc = [], [], [], [], []
-                for i, known in enumerate(ids(texts[at:stop]), at):
-                    own = known + end
+                for i, (lo, hi) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist()), at):
+                    own = bytes(known[lo:hi]) + end
                     for k, s in enumerate(range(0, len(own), 4 * capacity)):
                         part = own[s:s + 4 * capacity]
                         doc.append(i)

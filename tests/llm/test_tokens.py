@@ -167,6 +167,48 @@ def test_words_are_encoded_as_in_their_text(monkeypatch):
             assert ids(texts[k:k + 7]) == want
 
 
+def test_words_of_latin_letters_and_their_marks_take_the_short_way():
+    """Only the model sees them, which has no normaliser and parts nothing; the whole tokenizer is left the few others."""
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.model, self.asked = tokenizer, tokenizer.model, []
+
+        def encode_batch_fast(self, pieces, **options):
+            self.asked += pieces
+            return self.tokenizer.encode_batch_fast(pieces, **options)
+
+    ids = tokens.WordIds(packing.TOKENIZER)
+    plain = ids.tokenizer
+    ids.tokenizer = counted = Counted(plain)
+    letters = [chr(k) for k in range(0xAA, 0x100) if chr(k).isalpha()]
+    words = [f"{a}{b}{end}" for a in letters for b in ("", "x", "ÉT") for end in ("", ",", ".###", "&&&")]
+    text = " ".join([*words, "Ж日", "e\u0301", "<|endoftext|>", "don't", "3.5"])
+    assert ids([text]) == [np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert len(counted.asked) < 12 < len(words)
+
+
+def test_repeated_words_make_no_python_objects():
+    """A batch is parted, numbered and put together as columns; Python sees its distinct pieces only."""
+    import tracemalloc
+    ids, texts = tokens.WordIds(packing.TOKENIZER), ["lorem ipsum, dolor\nétoile " * 1000, None, ""] * 40
+    want = ids(texts[:3])
+    tracemalloc.start()
+    got = ids(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == want * 40 and want[1:] == [b"", b""] and ids([]) == [] and ids([None]) == [b""]
+    assert peak < 3 * sum(map(len, got))
+
+
+def test_batches_of_texts_end_anywhere(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate([None, "", "a b", None, "été, x " * 30, "", "a", None])]
+    for size in (1, 3, 50, 10_000):
+        monkeypatch.setattr(packing, "BATCH_BYTES", size)
+        got = packing.document_pieces(frame(spark, rows).coalesce(1), 16).collect()
+        assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == plain_pieces(rows, 16)
+        assert len({r.uid for r in got}) == len(got)
+
+
 def test_memory_keeps_what_is_asked_for():
     asked = []
     r = tokens.Remembered(lambda ps: (asked.extend(ps), [p.upper() for p in ps])[1], 3)
