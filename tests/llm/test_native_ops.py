@@ -109,6 +109,48 @@ def test_training_order_repeats_and_sorts(spark, rows):
             assert copies[i] == (-(-t // size) if size else 0)
 
 
+def test_the_mix_holds_every_pass_to_the_word(spark, rows):
+    docs = frame(spark, rows)
+    mix = mixing.mix_sources(docs).collect()
+    assert [r["position"] for r in mix] == sorted(r["position"] for r in mix) and 0 <= mix[0]["position"]
+    assert all(len(r["text"].split()) == r["words"] > 0 for r in mix)
+    per = {}
+    for r in mix:
+        per.setdefault((r["row_key"], r["copy"]), []).append((r["round"], r["position"], r["words"], r["doc_id"], r["text"]))
+    assert any(len(v) == 3 for v in per.values()) and any(len(v) == 1 for v in per.values())
+    texts = Counter(rows)
+    for passes in per.values():  # a repeat comes later, and only the last pass is cut
+        passes.sort()
+        assert [p[0] for p in passes] == list(range(len(passes))) and [p[1] for p in passes] == sorted(p[1] for p in passes)
+        assert all((p[3], p[4]) in texts for p in passes[:-1])
+        assert any(i == passes[-1][3] and t and t.startswith(passes[-1][4]) for i, t in texts)
+    # the texts of a source hold its target to the word, and the query counts them
+    words = Counter()
+    for r in mix:
+        words[r["source"]] += r["words"]
+    query = mixing.mix_query(docs).collect()
+    targets = {(r["source_size"], round(r["target"])) for r in query}
+    assert set(words.values()) == {t for _, t in targets if t}
+    taken, want = Counter(), Counter()
+    for r in mix:
+        taken[r["doc_id"]] += r["words"]
+    for r in query:
+        want[r["doc_id"]] += r["taken"]
+    assert +taken == +want
+
+
+def test_the_mix_repeats_copies_and_cuts_at_a_word(spark):
+    rows = [(1, "a  b\tc\n", "s"), (1, "a  b\tc\n", "s"), (2, None, "s"), (2, "", "s"), (3, " u v w x y z ", "t"), (3, " u v w x y z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.mix_sources(docs, weights=(10.0, 1.0, 1.0), cap=2).collect()
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in mix)
+    assert got[(1, "a  b\tc\n", "s")] == 4 and sum(r["words"] for r in mix) == 18
+    assert Counter(r["source"] for r in mix if r["doc_id"] == 3) == {"t": 1, None: 1}
+    cut = {r["source"]: r["text"] for r in mix if r["doc_id"] == 3}
+    assert cut == {"t": " u v w", None: " u v w"}
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
 def test_schedule_inverse(spark):
     for knots in mixing.SCHEDULES:
         got = spark.range(11).select(mixing.due_time(mixing.F.col("id") / 10, knots).alias("t")).collect()
