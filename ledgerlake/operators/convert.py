@@ -75,7 +75,7 @@ def attach_rate(rows: DataFrame, rates: DataFrame, only=None,
 
 def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
                      max_broadcast_rows: int = RATES_BROADCAST_ROWS, uom_mode: str = "pair",
-                     keep: list | None = None) -> DataFrame:
+                     keep: list | None = None, lookups: DataFrame | None = None) -> DataFrame:
     """All six ``t_*`` tables in one frame:
     metric, adsh, cik, name, sic, fy, ddate, amount_usd.
 
@@ -86,7 +86,10 @@ def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
     ``uom_mode='pair'`` is the source's behaviour: only a currency pair
     (``EURUSD``, ``USD/JPY``) names a base currency, so single codes never
     convert.  ``'pair_or_single'`` also reads a bare three-letter unit
-    (``EUR``) as its own base currency."""
+    (``EUR``) as its own base currency.
+
+    ``lookups``: every (base, ddate) that the rows may look up, where a caller has them.  Each is then looked up once
+    (they are currencies x dates) and its rate joined to the rows, instead of seven lookups for every row."""
     if uom_mode not in ("pair", "pair_or_single"):
         raise ValueError(f"unknown uom_mode {uom_mode}")
     specs = specs or list(METRICS.values())
@@ -107,7 +110,12 @@ def converted_tables(values: DataFrame, rates: DataFrame, specs=None,
     best = best.withColumns({"_c1": c1, "_c2": c2})  # parse once; base reads the parts
     base = F.when(single, u).otherwise(base_currency(F.col("_c1"), F.col("_c2")))
     best = best.select("metric", "side", *OUT_COLS, "value", F.when(is_xyz, base).alias("base"))
-    rated = attach_rate(best, rates, only=is_xyz, max_broadcast_rows=max_broadcast_rows, keep=keep)
+    if lookups is None:
+        rated = attach_rate(best, rates, only=is_xyz, max_broadcast_rows=max_broadcast_rows, keep=keep)
+    else:
+        r = attach_rate(lookups.distinct(), rates, max_broadcast_rows=max_broadcast_rows, keep=keep)
+        r = broadcast_if_small(r.toDF("fx_base", "fx_day", "rate"), max_broadcast_rows, keep)
+        rated = best.join(r, (best["base"] == r["fx_base"]) & (best["ddate"] == r["fx_day"]), "left")
     amount = F.when(is_xyz, F.col("rate") * F.col("value").cast("double")) \
               .otherwise(F.col("value").cast("double"))
     return rated.select("metric", *OUT_COLS, amount.alias("amount_usd"))

@@ -6,7 +6,7 @@ facts of the rate tags.  After a landing only the srcdirs that its log shows as
 ``num``; from the layers follow
 
 * the filings touched (old and new rows of changed srcdirs of ``num`` and ``sub``) and their firm-years;
-* the rates, and from those that moved, the firm-years with an amount that looks one up;
+* the rates, and from those that moved, the filings with an amount that looks one up, and their firm-years;
 * the amounts of these firm-years, which replace the old ones in the years they fall into;
 * the financials of the firms touched, which replace the old ones in their buckets.
 
@@ -164,19 +164,26 @@ class UpkeptTables:
         old_rates = self._read(state, "rates")
         state = self._write(state, "rates", fx.fx_rates(self._read(state, "quotes").join(filings, "adsh")))
 
-        annual = staging.fy_filings(old_sub).union(staging.fy_filings(new_sub)).filter(staging.is_annual())
-        keys = annual.join(touched.distinct(), "adsh", "left_semi").select("cik", "fy")
-        moved = keep(self._moved(old_rates, self._read(state, "rates")))
-        if not moved.isEmpty():
-            keys = keys.union(self._looked_up(self._read(state, "values"), filings, moved))
-        keys = keep(keys.distinct())
-        years = sorted(r[0] for r in keys.select(F.year("fy")).distinct().collect())  # fiscal years: a few dozen at most
+        # old filings of other srcdirs are among the new ones
+        annual = staging.fy_filings(changed_sub[0]).select("adsh", "cik", "fy", "form").union(
+            filings.select("adsh", "cik", "fy", "form")).filter(staging.is_annual())
+        lookups = keep(self._lookups(self._read(state, "values")))
+        if not now.srcdirs("sub") <= changed["sub"]:  # else all filings are touched
+            moved = keep(self._moved(old_rates, self._read(state, "rates")))
+            if not moved.isEmpty():
+                touched = touched.union(self._looked_up(self._read(state, "values"), lookups, moved, kept))
+            annual = annual.join(touched.distinct(), "adsh", "left_semi")
+        keys = keep(annual.select("cik", "fy").distinct())
+        per_year = keys.groupBy(F.year("fy")).count().collect()  # fiscal years: a few dozen at most
+        years = sorted(r[0] for r in per_year)
 
         mine = _same_firm_year(filings.filter(staging.is_annual()), keys, "left_semi")
-        mine = broadcast_if_small(mine, self._limit(staging.FILINGS_BROADCAST_ROWS), kept)
+        limit = self._limit(staging.FILINGS_BROADCAST_ROWS)
+        if sum(r[1] for r in per_year) <= limit:  # else there are more filings, or none is left of most firm-years
+            mine = broadcast_if_small(mine, limit, kept)
         amounts = convert.converted_tables(
             metrics.largest_values(self._read(state, "values").join(mine, "adsh")), self._read(state, "rates"),
-            max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS), keep=kept)
+            max_broadcast_rows=self._limit(convert.RATES_BROADCAST_ROWS), keep=kept, lookups=lookups.select("base", "ddate"))
         names = [str(y) for y in years]
         stay = _same_firm_year(self._read(state, "amounts", names), keys, "left_anti")
         state = self._write(state, "amounts", stay.unionByName(amounts).withColumn("year", F.year("fy")), "year", names)
@@ -226,10 +233,15 @@ class UpkeptTables:
         return both.filter(~same).select(*key)
 
     @staticmethod
-    def _looked_up(values: DataFrame, filings: DataFrame, moved: DataFrame) -> DataFrame:
-        """Firm-years with an amount in another currency that looks up one of the rates ``moved``."""
-        base = base_currency(*parse_pair("uom"))
-        foreign = (values.filter("uom <> 'USD'").join(filings.filter(staging.is_annual()), "adsh")
-                   .select("cik", "fy", "ddate", base.alias("base")).filter("base is not null").distinct())
-        asked = convert.fx_candidates(foreign).select("cik", "fy", "kind", "base", F.col("fx_date").alias("ddate"))
-        return asked.join(moved, ["kind", "base", "ddate"], "left_semi").select("cik", "fy")
+    def _lookups(values: DataFrame) -> DataFrame:
+        """(uom, ddate, base) of the amounts in another currency: units x dates, however many facts there are."""
+        units = values.filter("uom <> 'USD'").select("uom", "ddate").distinct()
+        return units.withColumn("base", base_currency(*parse_pair("uom"))).filter("base is not null")
+
+    def _looked_up(self, values: DataFrame, lookups: DataFrame, moved: DataFrame, kept: list) -> DataFrame:
+        """adsh of the filings with an amount in another currency that looks up one of the rates ``moved``."""
+        asked = convert.fx_candidates(lookups).select("uom", lookups["ddate"], "kind", "base", "fx_date")
+        m = moved.select("kind", "base", F.col("ddate").alias("fx_date"))
+        hit = asked.join(m, ["kind", "base", "fx_date"], "left_semi").select("uom", "ddate").distinct()
+        hit = broadcast_if_small(hit, self._limit(convert.RATES_BROADCAST_ROWS), kept)
+        return values.join(hit, ["uom", "ddate"], "left_semi").select("adsh")

@@ -7,6 +7,7 @@ import zipfile
 
 import pytest
 from conftest import NUM_COLS, SUB_COLS, num_row, sub_row
+from pyspark.sql import functions as F
 
 from ledgerlake.functions.tags import FX_CLOSING_TAGS, METRICS
 from ledgerlake.plans import upkeep
@@ -114,6 +115,48 @@ def killed(*a, **k):
     raise RuntimeError("killed")
 
 
+def test_rates_are_looked_up_once_per_unit_and_date(spark, roots, monkeypatch):
+    """Not once per amount: the lookups of a refresh are units x dates, whatever the number of filings."""
+    raw, kept = roots
+    n = 12
+    land(spark, raw, **{"2021q1": ([sub_row(f"A{k}", cik=str(k)) for k in range(n)],
+                                   [f for k in range(n) for f in figures(f"A{k}", 2020, 10 + k, uom="EURUSD" if k % 2 else "EUR")]
+                                   + [rate("A0", "20201130", "1.25"), rate("A0", "20191231", "1.5", uom="USD/JPY")])})
+    asked = []
+
+    def candidates(df, only=None):
+        asked.append(df.count())
+        return found(df, only)
+    found = upkeep.convert.fx_candidates
+    monkeypatch.setattr(upkeep.convert, "fx_candidates", candidates)
+    tables = UpkeptTables(spark, raw, kept, buckets=4)
+    tables.refresh()
+    monkeypatch.undo()
+    assert asked and max(asked) == 1
+    assert equal_to_full_build(spark, raw, tables) == n
+    assert {r.cik: r.debt_usd for r in tables.t("debt").collect()}[1] is not None
+
+
+def test_amounts_by_known_lookups(spark):
+    """As by seven lookups a row, with and without a broadcast; dates and units that no rate answers stay without one."""
+    days = ["2020-12-31", "2020-11-30", "2021-03-31", "2021-06-30", "2019-05-05", None]
+    units = ["USD", "EURUSD", "USD/JPY", "EUR", "GBP/USD"]
+    values = spark.createDataFrame(
+        [(m, f"A{k}", k, "n", 1, "2020-01-01", day, unit, float(k + 1)) for m in ("assets", "debt")
+         for k, (day, unit) in enumerate((d, u) for d in days for u in units)],
+        "metric string, adsh string, cik long, name string, sic int, fy string, ddate string, uom string, value double")
+    values = values.withColumns({c: F.to_date(c) for c in ("fy", "ddate")}).withColumn("value", F.col("value").cast("decimal(28,4)"))
+    values = values.withColumn("has_usd", F.col("uom") == "USD")
+    rates = spark.createDataFrame([("closing", "EUR", "2020-11-30", 1.1), ("closing", "EUR", "2020-12-31", 1.2),
+                                   ("average", "JPY", "2020-12-31", 0.01), ("average", "JPY", "2019-12-31", 0.02)],
+                                  "kind string, base string, ddate string, to_usd double").withColumn("ddate", F.to_date("ddate"))
+    lookups = UpkeptTables._lookups(values).select("base", "ddate")
+    want = plain(upkeep.convert.converted_tables(values, rates))
+    assert sum(r[-1] is not None for r in want) > 12
+    for most in (0, 1000):
+        assert plain(upkeep.convert.converted_tables(values, rates, lookups=lookups, max_broadcast_rows=most)) == want
+
+
 def test_rejects_are_counted_by_the_job_that_builds_the_model(spark, raw_fixture):
     subs = [sub_row("A1", cik="x12"), sub_row("A2", fy="20x0", period="2020-01-01")]
     nums = [num_row("A1", "Assets", "2020-12-31", "12,5"), num_row("A1", "Assets", "20201231", "3", qtrs="q"),
