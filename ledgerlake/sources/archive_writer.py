@@ -32,6 +32,7 @@ def _file_system(root: str):
 
 WRITERS_PER_CORE = 8  # so that few archives share a partition by chance
 RUN_BYTES = 4 << 20  # text of a packed run
+DEFLATE_LEVEL = 1  # one task deflates an archive, and this is most of its time
 OPEN_RUNS = 256  # runs a task fills at once
 PACKED = pa.schema([("archive", pa.string()), ("member", pa.string()), ("position", pa.int32()), ("run", pa.binary())])
 
@@ -40,9 +41,9 @@ class _Run:
     """Lines of one (archive, member, position), deflated as they come."""
 
     def __init__(self):
-        self.parts, self.size, self.deflate = [], 0, zlib.compressobj(1)
+        self.parts, self.size, self.deflate = [], 0, zlib.compressobj(DEFLATE_LEVEL)
 
-    def add(self, text: bytes) -> None:
+    def add(self, text) -> None:
         self.parts.append(self.deflate.compress(text))
         self.size += len(text)
 
@@ -63,7 +64,9 @@ def _pack(batches):
         place = pc.binary_join_element_wise(archive, member, position.cast(pa.string()), "\0").dictionary_encode().indices
         order = np.argsort(place.to_numpy(), kind="stable")
         starts = np.flatnonzero(np.diff(place.to_numpy()[order], prepend=-1))
-        ended = pc.binary_join_element_wise(line.take(pa.array(order)), "", "\n")
+        ended = pc.fill_null(pc.binary_join_element_wise(line.take(pa.array(order)), "", "\n"), "")
+        ends = np.frombuffer(ended.buffers()[1], np.int32)[ended.offset:ended.offset + len(ended) + 1]
+        text = memoryview(ended.buffers()[2] or b"")  # the lines of a run lie one behind the other
         for i, j in zip(starts, [*starts[1:], len(order)]):
             at = int(order[i])
             key = (archive[at].as_py(), member[at].as_py(), position[at].as_py())
@@ -71,7 +74,7 @@ def _pack(batches):
                 if len(runs) >= OPEN_RUNS:
                     yield from emit(list(runs))
                 runs[key] = _Run()
-            runs[key].add("".join(ended.slice(i, j - i).drop_null().to_pylist()).encode("utf-8"))
+            runs[key].add(text[ends[i]:ends[j]])
             if runs[key].size >= RUN_BYTES:
                 yield from emit([key])
     yield from emit(list(runs))
@@ -97,7 +100,7 @@ def _write(batches, root: str):
                 archive, member = a, None
                 fs.create_dir(folder, recursive=True)
                 sink = fs.open_output_stream(f"{folder}/_{archive}.{attempt}")
-                zipped = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED)
+                zipped = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=DEFLATE_LEVEL)
             if m != member:
                 if member is not None:
                     entry.close()

@@ -25,9 +25,12 @@ import json
 import logging
 import uuid
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from urllib.parse import unquote
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -220,15 +223,17 @@ def archive_headers(archives: DataFrame, members=MEMBERS) -> DataFrame:
 
 # ------------------------------------------------------------------ A5 / A6
 def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: list,
-                   max_broadcast_rows: int = 100_000, keep: list | None = None) -> DataFrame:
+                   max_broadcast_rows: int = 100_000, keep: list | None = None, known: list | None = None) -> DataFrame:
     """Raw rows of one table with the union of all header columns.
 
     A column missing from an archive's header reads NULL for that archive's
     rows (schema evolution); short rows are padded with '' and long rows folded.
     The position of every output column in each archive's header is worked
     out once per archive (on the small header frame), so each line only
-    indexes into its split fields.
+    indexes into its split fields.  ``known``: the header arrays themselves, where the caller has them: a column that has
+    one place in all of them is read from there, and one that none has is NULL, without a look at the line's archive.
     """
+    places = {c: {h.index(c) if c in h else None for h in known} for c in columns} if known else {}
     wanted = F.array(*[F.lit(c) for c in columns])
     # two archives may carry one srcdir: each line goes with the header of its own archive
     key = "path" if "path" in lines.columns else "srcdir"
@@ -242,6 +247,10 @@ def rows_for_table(lines: DataFrame, headers: DataFrame, table: str, columns: li
     j = j.withColumn("_parts", normalize_fields(split_fields(F.col("_line")), F.col("_n")))
     cols = []
     for k, c in enumerate(columns):
+        if len(places.get(c, ())) == 1:
+            (place,) = places[c]
+            cols.append((F.lit(None).cast("string") if place is None else F.col("_parts")[place]).alias(c))
+            continue
         pos = F.col("_pos")[k]
         cols.append(F.when(pos > 0, F.element_at(F.col("_parts"), pos)).alias(c))
     return j.select(*cols, "srcdir")
@@ -305,7 +314,8 @@ def _write_aside(spark: SparkSession, lines: DataFrame, load: list, table: str,
                                     "path string, table string, header array<string>")
     folder = f"{table}/{LOAD}={uuid.uuid4().hex}"
     kept_sides: list = []
-    rows_for_table(lines, headers, table, columns, keep=kept_sides).write.partitionBy("srcdir").parquet(f"{out_root}/{folder}")
+    rows = rows_for_table(lines, headers, table, columns, keep=kept_sides, known=[r["header"] for r in load])
+    rows.write.partitionBy("srcdir").parquet(f"{out_root}/{folder}")
     for side in kept_sides:
         side.unpersist()
     names = [n for n in child_names(spark, f"{out_root}/{folder}") if n.startswith("srcdir=")]
@@ -345,7 +355,7 @@ def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_
             if m not in by_name[path][1]:
                 log.warning("archive %s has no %s", by_name[path][0], m)
     state = read_state(spark, out_root)
-    written, columns, loaded = {}, {}, []  # loaded: (table, srcdir, folder or None, archive)
+    written, columns, loaded, jobs = {}, {}, [], []  # loaded: (table, srcdir, folder or None, archive)
     for member in MEMBERS:
         table = member.split(".")[0]
         rows = sorted((r for r in found if r["table"] == table), key=lambda r: r["path"])
@@ -361,7 +371,7 @@ def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_
                     kept[r["srcdir"]] = r
             rows = list(kept.values())
         load = [r for r in rows if r["header"] is not None and r["has_rows"]]
-        folders: dict = {}
+        write = None
         if load:
             # one pass per table that decompresses only that member
             lines = archive_lines(archives, batch_lines, (member,), [r["path"] for r in load])
@@ -371,12 +381,18 @@ def land_listed(archives: DataFrame, out_root: str, mode: str = "append", batch_
             if spread:
                 # runs of lines stay together, so a task writes few partitions of the table
                 lines = lines.repartition(spread, "path", F.floor(F.col("line_no") / LINES_PER_RUN))
-            folders = _write_aside(spark, lines, load, table, out_root)
+            write = partial(_write_aside, spark, lines, load, table, out_root)
         # an archive that is replaced at once has still brought its columns; a skipped one is not looked into
         columns[table] = _columns(table, load if mode == "skip" else seen)
-        last = {r["srcdir"]: r["path"] for r in rows}
-        loaded += [(table, s, folders.get(s), p) for s, p in last.items() if mode == "replace" or s in folders]
+        jobs.append((table, {r["srcdir"]: r["path"] for r in rows}, write))
         written[table] = sorted({r["srcdir"] for r in load})
+    # a task reads one member and they are few: the tables are written at once, so that no core waits for the last member
+    # of one table before the next begins
+    with ThreadPoolExecutor(len(MEMBERS)) as pool:
+        begun = [(table, last, write and pool.submit(inheritable_thread_target(spark)(write))) for table, last, write in jobs]
+    for table, last, write in begun:
+        folders = write.result() if write else {}
+        loaded += [(table, s, folders.get(s), p) for s, p in last.items() if mode == "replace" or s in folders]
 
     def change(state: LandingState) -> LandingState:
         for table, names in columns.items():

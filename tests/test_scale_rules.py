@@ -1,6 +1,7 @@
 """Rules of the plans: who owns persisted data, what a broadcast may weigh, how often rows move."""
 
 import os
+import threading
 import zipfile
 
 import pytest
@@ -200,6 +201,49 @@ def test_lines_cut_from_blocks_are_those_of_a_text_reader(monkeypatch):
         assert got == want
 
 
+def _two_archives(at, second):
+    at.mkdir()
+    for name, header in (("2021q1", "adsh\ttag\tvalue"), ("2021q2", second)):
+        with zipfile.ZipFile(at / f"{name}.zip", "w") as z:
+            z.writestr("sub.txt", "adsh\tcik\nA1\t1\n")
+            z.writestr("num.txt", f"{header}\nA1\tCash\t5\nA2\tDebt\n")
+            z.writestr("tag.txt", "tag\tversion\nCash\tx\n")
+    return str(at)
+
+
+def test_tables_are_landed_at_once(spark, tmp_path, monkeypatch):
+    """No table waits for the last archive of the one before it."""
+    meet, write = threading.Barrier(3, timeout=60), landing._write_aside
+
+    def together(*a):
+        meet.wait()
+        return write(*a)
+    monkeypatch.setattr(landing, "_write_aside", together)
+    out = str(tmp_path / "out")
+    written = landing.land_archives(spark, _two_archives(tmp_path / "zips", "adsh\ttag\tvalue"), out)
+    assert written == {t: ["2021q1", "2021q2"] for t in ("sub", "num", "tag")}
+    assert [landing.read_landed(spark, out, t).count() for t in ("sub", "num", "tag")] == [2, 4, 2]
+
+    def die(spark, lines, load, table, root):
+        raise RuntimeError(table)
+    monkeypatch.setattr(landing, "_write_aside", die)
+    with pytest.raises(RuntimeError):
+        landing.land_archives(spark, str(tmp_path / "zips"), out)
+    assert landing.read_landed(spark, out, "num").count() == 4
+
+
+@pytest.mark.parametrize("second, looked_up", [("adsh\ttag\tvalue", False), ("tag\tadsh\tvalue", True)])
+def test_columns_with_one_place_are_not_looked_up_per_line(spark, tmp_path, second, looked_up):
+    archives = landing.list_archives(spark, _two_archives(tmp_path / "zips", second))
+    headers = landing.archive_headers(archives)
+    known = [r["header"] for r in headers.filter("table = 'num'").collect()]
+    lines, columns = landing.archive_lines(archives, members=("num.txt",)), landing._columns("num", headers.collect())
+    fast = landing.rows_for_table(lines, headers, "num", columns, known=known)
+    assert ("element_at" in fast._jdf.queryExecution().optimizedPlan().toString()) == looked_up
+    assert sorted(map(str, fast.collect())) == sorted(map(str, landing.rows_for_table(lines, headers, "num", columns).collect()))
+    assert {r["value"] for r in fast.collect()} == {"5", ""} and {r["coreg"] for r in fast.collect()} == {None}
+
+
 def test_a_persisted_part_of_the_faulty_rows_is_known_in_a_larger_plan(spark):
     from ledgerlake.sources.adapter import dirty_sql
     subs = frame(spark, [sub_row("A000000000011"), sub_row("A000000000012")], SUB_COLS)
